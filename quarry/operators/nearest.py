@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import BROADCAST_MAX_ROWS
+from quarry.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 from quarry.session import ensure_checkpoint_dir
 
 # Mean Earth radius (km) and degrees-to-radians factor.
@@ -95,24 +95,29 @@ def nearest_place(
     cell_deg: float = 1.0,
     growth: float = 4.0,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    keep_invalid: bool = False,
 ) -> DataFrame:
     """``(event_id, place_id, distance_km)`` for every event with valid
-    coordinates. ``event_id`` must be unique; ``place_id`` orderable."""
+    coordinates (and, with ``keep_invalid``, NULLs for the others).
+    ``event_id`` must be unique; ``place_id`` orderable."""
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
-    ev = events.select(
+    ev_all = events.select(
         F.col(event_id).alias("__eid"),
-        F.col(event_lat).cast("double").alias("__elat"),
-        F.col(event_lon).cast("double").alias("__elon"),
-    ).where(
+        F.col(event_lat).try_cast("double").alias("__elat"),
+        F.col(event_lon).try_cast("double").alias("__elon"),
+    )
+    valid = F.coalesce(
         F.col("__elat").isNotNull() & F.col("__elon").isNotNull()
         & ~F.isnan("__elat") & ~F.isnan("__elon")
-        & F.col("__elat").between(-90.0, 90.0)
+        & F.col("__elat").between(-90.0, 90.0),
+        F.lit(False),
     )
+    ev = ev_all.where(valid)
     pl = places.select(
         F.col(place_id).alias("__pid"),
-        F.col(place_lat).cast("double").alias("__plat"),
-        F.col(place_lon).cast("double").alias("__plon"),
+        F.col(place_lat).try_cast("double").alias("__plat"),
+        F.col(place_lon).try_cast("double").alias("__plon"),
     ).where(
         F.col("__plat").isNotNull() & F.col("__plon").isNotNull()
         & ~F.isnan("__plat") & ~F.isnan("__plon")
@@ -138,6 +143,10 @@ def nearest_place(
         open_events = best.where(~final).select("__eid", "__elat", "__elon")
         if open_events.isEmpty():
             break
+    if keep_invalid:
+        resolved.append(ev_all.where(~valid).select(
+            "__eid", "__elat", "__elon", F.lit(None).cast("double").alias("__km"), F.lit(None).cast(pid_type).alias("__pid")
+        ))
     out = resolved[0]
     for part in resolved[1:]:
         out = out.unionByName(part)
@@ -186,3 +195,33 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
         .agg(F.min(F.struct("k", "p")).alias("__b"))
         .select("__eid", "__elat", "__elon", F.col("__b.k").alias("__km"), F.col("__b.p").alias("__pid"))
     )
+
+
+def locate(
+    events: DataFrame,
+    places: DataFrame,
+    attributes: dict[str, str],
+    event_id: str = "id",
+    event_lat: str = "latitude",
+    event_lon: str = "longitude",
+    place_id: str = "place_id",
+    place_lat: str = "latitude",
+    place_lon: str = "longitude",
+    keep_unlocated: bool = True,
+    **kwargs,
+) -> DataFrame:
+    """Events with the attributes of their nearest place attached.
+
+    ``attributes`` maps place columns to output names. Events whose
+    coordinates are NULL, NaN or not numbers keep NULL attributes when
+    ``keep_unlocated`` (left semantics), else they are dropped. The
+    attach is a key join on the event id (rows have no positions).
+    """
+    hits = nearest_place(
+        events, places, event_id=event_id, event_lat=event_lat, event_lon=event_lon,
+        place_id=place_id, place_lat=place_lat, place_lon=place_lon,
+        keep_invalid=keep_unlocated, **kwargs,
+    )
+    attrs = places.select(F.col(place_id).alias("__pid"), *[F.col(c).alias(o) for c, o in attributes.items()])
+    attrs = bounded_broadcast(attrs)
+    return hits.join(attrs, hits[place_id] == attrs["__pid"], "left").drop("__pid")

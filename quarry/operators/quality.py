@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import lit_ntz
@@ -99,3 +99,29 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def freshness_by(
+    df: DataFrame,
+    source: Column,
+    loaded_at: str,
+    as_of: dt.datetime,
+    warn_after: dt.timedelta = WARN_AFTER,
+    error_after: dt.timedelta = ERROR_AFTER,
+) -> DataFrame:
+    """Freshness of many sources held in one table, one row per source
+    (a grouped max with partial aggregation, not one scan per source)."""
+    newest = df.groupBy(source.alias("table_name")).agg(
+        F.max(F.col(f"`{loaded_at}`").cast("timestamp_ntz")).alias("max_loaded_at")
+    )
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), lit_ntz(as_of))
+    return newest.select(
+        "table_name",
+        "max_loaded_at",
+        age.cast("bigint").alias("age_seconds"),
+        F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
+        .when(age <= int(warn_after.total_seconds()), F.lit("pass"))
+        .when(age <= int(error_after.total_seconds()), F.lit("warn"))
+        .otherwise(F.lit("error"))
+        .alias("status"),
+    )

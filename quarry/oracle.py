@@ -269,8 +269,7 @@ def with_(ctes: list[str], body: str) -> str:
 def _nearest_sql(null_coords: bool) -> str:
     lat = "CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE latitude END" if null_coords else "latitude"
     events = f"""ev AS (
-  SELECT id, {lat} AS latitude, longitude, CAST(id AS BIGINT) AS o_orderkey FROM (
-    SELECT id, latitude, longitude, CAST(id AS BIGINT) AS o_orderkey FROM raw_quakes) q
+  SELECT id, {lat} AS latitude, longitude FROM (SELECT *, CAST(id AS BIGINT) AS o_orderkey FROM raw_quakes) q
 )"""
     dist = (
         "round(2 * 6371.0 * asin(sqrt(pow(sin((p.\"LATITUDE\" - e.latitude) * 0.017453292519943295 / 2), 2)"
@@ -327,3 +326,188 @@ FROM earthquake_analysis"""),
     "bronze_county": with_([RAW_COUNTIES], "SELECT * FROM raw_counties"),
     "bronze_rig_earthquake": with_([RAW_QUAKES], "SELECT * FROM raw_quakes"),
 }
+
+
+# ---- single operators ----------------------------------------------------
+
+def _gaps(nan: bool) -> str:
+    mag = "CASE WHEN k % 83 = 0 THEN CAST('NaN' AS DOUBLE) ELSE magnitude END" if nan else "magnitude"
+    return f"""gaps AS (
+  SELECT
+    CASE WHEN k % 67 = 0 THEN NULL ELSE id END AS id,
+    CASE WHEN k % 71 = 0 THEN NULL ELSE time END AS time,
+    {mag} AS magnitude,
+    place,
+    k AS row_key
+  FROM (SELECT *, CAST(id AS BIGINT) AS k FROM raw_quakes) q
+)"""
+
+
+LINEITEM_TEXT = """li_text AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_orderkey % 67 = 0 THEN NULL
+         WHEN l_orderkey % 53 = 0 THEN 'n/a'
+         ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity,
+    CASE WHEN l_orderkey % 59 = 0 THEN '1996-02-30' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS ship_date,
+    CASE WHEN l_orderkey % 61 = 0 THEN repeat('x', 501) ELSE l_returnflag END AS flag
+  FROM lineitem
+), classified AS (
+  SELECT *,
+    CASE WHEN quantity IS NOT NULL AND TRY_CAST(quantity AS BIGINT) IS NULL THEN 'bad_value:quantity'
+         WHEN ship_date IS NOT NULL AND TRY_CAST(ship_date AS DATE) IS NULL THEN 'bad_value:ship_date'
+         WHEN length(flag) > 500 THEN 'too_long:flag'
+    END AS _reject_reason
+  FROM li_text
+)"""
+
+LAST_TOKEN_TEXT = """texts AS (
+  SELECT c.c_custkey,
+    CASE c.c_custkey % 5
+      WHEN 0 THEN c.c_name
+      WHEN 1 THEN c.c_name || ','
+      WHEN 2 THEN c.c_name || ',' || chr(9) || n.n_name || ' '
+      WHEN 3 THEN NULL
+      ELSE c.c_name || ', ' || n.n_name END AS place
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+)"""
+
+
+def _not_null_sql(table: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'not_null' AS check_name, "
+            f"CAST(COALESCE(COUNT_IF({c} IS NULL), 0) AS BIGINT) AS failures, "
+            f"CASE WHEN COALESCE(COUNT_IF({c} IS NULL), 0) = 0 THEN 'pass' ELSE 'fail' END AS status FROM {table}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _unique_sql(table: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'unique' AS check_name, "
+            f"CAST(COUNT(*) AS BIGINT) AS failures, CASE WHEN COUNT(*) = 0 THEN 'pass' ELSE 'fail' END AS status "
+            f"FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE.update({
+    "passthrough": "SELECT * FROM customer",
+    "rename_project": with_([RAW_QUAKES], """SELECT id, "magType" AS magnitude_type, sig AS significance,
+  time AS event_time, region AS country FROM raw_quakes"""),
+    "required_fields": with_([RAW_QUAKES, _gaps(False)],
+        "SELECT * FROM gaps WHERE id IS NOT NULL AND time IS NOT NULL AND magnitude IS NOT NULL"),
+    "required_fields_nan": with_([RAW_QUAKES, _gaps(True)],
+        "SELECT * FROM gaps WHERE id IS NOT NULL AND time IS NOT NULL AND magnitude IS NOT NULL AND NOT isnan(magnitude)"),
+    "normalized_equality": with_([RAW_RIGS], """SELECT "Country" AS country, "State/Province" AS state,
+  "US_PublishDate" AS publish_date, "Rig Count Value" AS rig_count
+FROM raw_rigs WHERE upper("Country") = 'UNITED STATES'"""),
+    "audit_columns": f"SELECT o_orderkey, {LOADED_AT_SQL} AS dbt_loaded_at, {RUN_ID_SQL} AS dbt_batch_id FROM orders",
+    "time_window_filter": """SELECT event_id, ts, event_type, value FROM events
+WHERE ts >= CAST(DATE '2024-01-20' - INTERVAL 90 DAY AS TIMESTAMP) AND ts <= CAST(DATE '2024-01-20' AS TIMESTAMP)""",
+    "bbox_filter": f"""SELECT * FROM (
+  SELECT o_orderkey,
+    {_spread('o_orderkey', A.EVENT_LAT_FACTOR, 18000, -90.0)} AS latitude,
+    {_spread('o_orderkey', A.EVENT_LON_FACTOR, 36000, -180.0)} AS longitude
+  FROM orders) p
+WHERE latitude BETWEEN 24.6 AND 49.0 AND longitude BETWEEN -125.0 AND -65.0""",
+    "stamp_metadata": f"""SELECT *, {INGESTED_AT_SQL} AS ingestion_timestamp, '{A.QUAKE_SOURCE}' AS data_source,
+  '{A.QUAKE_API_URL}' AS api_url, DATE '2023-10-22' AS data_period_start, DATE '2024-01-20' AS data_period_end,
+  'USA' AS region FROM events""",
+    "lenient_cast_split": with_([LINEITEM_TEXT], "SELECT * FROM classified"),
+    "load_audit": with_([LINEITEM_TEXT], """SELECT CAST(COUNT(*) AS BIGINT) AS rows_in,
+  CAST(COUNT(*) FILTER (WHERE _reject_reason IS NULL) AS BIGINT) AS rows_loaded,
+  CAST(COUNT(*) FILTER (WHERE _reject_reason IS NOT NULL) AS BIGINT) AS rows_rejected
+FROM classified"""),
+    "null_tokens": """SELECT event_id, raw_text,
+  CASE WHEN raw_text IN ('NULL', 'null', '') THEN NULL ELSE raw_text END AS quake_value,
+  raw_text AS rig_value
+FROM (SELECT event_id,
+  CASE event_id % 7 WHEN 0 THEN 'NULL' WHEN 1 THEN 'null' WHEN 2 THEN '' WHEN 3 THEN NULL ELSE event_type END AS raw_text
+  FROM events) t""",
+    "lookup_join": with_([RAW_COUNTIES, STATE_CODES], """SELECT c."NAME" AS name, c."STATE" AS state, sc.state_full
+FROM raw_counties c JOIN state_codes sc ON c."STATE" = sc.state_abbrev"""),
+    "agg_to_agg_join": with_(WEEKLY_CHAIN, """SELECT state, year, event_week_num,
+  CAST(total_rigs AS BIGINT) AS total_rigs, CAST(total_earthquakes AS BIGINT) AS total_earthquakes,
+  round(avg_magnitude, 9) AS avg_magnitude FROM combined_data"""),
+    "nearest_place": _nearest_sql(False),
+    "nearest_place_nulls": _nearest_sql(True),
+    "sum_by_group": with_(RIG_CHAIN, """SELECT state_or_province, CAST(SUM(rig_count) AS BIGINT) AS total_rigs
+FROM silver_rig_counts GROUP BY state_or_province"""),
+    "count_by_group": with_(QUAKE_CHAIN, """SELECT state, county, CAST(COUNT(*) AS BIGINT) AS total_earthquakes
+FROM silver_earthquake GROUP BY state, county"""),
+    "distinct_dates": with_(RIG_CHAIN, """SELECT state_or_province, CAST(COUNT(DISTINCT date) AS BIGINT) AS active_days
+FROM silver_rig_counts GROUP BY state_or_province"""),
+    "distinct_days": with_(QUAKE_CHAIN, """SELECT state, CAST(COUNT(DISTINCT CAST(event_time AS DATE)) AS BIGINT) AS active_days
+FROM silver_earthquake GROUP BY state"""),
+    "distinct_timestamps": with_(QUAKE_CHAIN, """SELECT state, county, CAST(COUNT(DISTINCT event_time) AS BIGINT) AS active_days
+FROM silver_earthquake GROUP BY state, county"""),
+    "count_if_by_group": with_(QUAKE_CHAIN, """SELECT state, event_year, event_week_num,
+  CAST(COALESCE(COUNT_IF(magnitude >= 3.0), 0) AS BIGINT) AS significant_events
+FROM silver_earthquake GROUP BY state, event_year, event_week_num"""),
+    "sum_case": with_(QUAKE_CHAIN, """SELECT state, county,
+  CAST(SUM(CASE WHEN magnitude >= 4.0 THEN 1 ELSE 0 END) AS BIGINT) AS significant_quakes
+FROM silver_earthquake GROUP BY state, county"""),
+    "avg_by_group": with_(RIG_CHAIN, """SELECT state_or_province, county, AVG(rig_count) AS avg_daily_rigs
+FROM silver_rig_counts GROUP BY state_or_province, county"""),
+    "max_by_group": with_(QUAKE_CHAIN, """SELECT state, MAX(magnitude) AS max_magnitude
+FROM silver_earthquake GROUP BY state"""),
+    "weekly_activity": with_(QUAKE_CHAIN + [QUAKE_WEEKLY], """SELECT state, year, event_week_num,
+  CAST(total_earthquakes AS BIGINT) AS total_earthquakes, CAST(active_days AS BIGINT) AS active_days,
+  round(avg_magnitude, 9) AS avg_magnitude, max_magnitude,
+  CAST(significant_events AS BIGINT) AS significant_events,
+  round(avg_significance, 9) AS avg_significance
+FROM earthquake_by_state"""),
+    "rig_weekly": with_(RIG_CHAIN + [RIG_WEEKLY], """SELECT state, year, event_week_num,
+  CAST(total_rigs AS BIGINT) AS total_rigs, CAST(active_days AS BIGINT) AS active_days,
+  avg_daily_rigs, CAST(peak_rigs AS BIGINT) AS peak_rigs
+FROM rig_by_state"""),
+    "mean_of_means": with_(WEEKLY_CHAIN, """SELECT state, round(AVG(avg_magnitude), 9) AS avg_earthquake_magnitude
+FROM combined_data GROUP BY state"""),
+    "rank_over_aggregates": with_(RIG_CHAIN + [STATE_RANKINGS], """SELECT state, county,
+  CAST(peak_rig_rank AS BIGINT) AS peak_rig_rank, CAST(total_rig_rank AS BIGINT) AS total_rig_rank,
+  CAST(avg_rig_rank AS BIGINT) AS avg_rig_rank FROM state_rankings"""),
+    "multi_metric_rank": with_(QUAKE_CHAIN + [EARTHQUAKE_ANALYSIS], """SELECT state, county,
+  CAST(RANK() OVER (ORDER BY total_earthquakes DESC NULLS FIRST) AS BIGINT) AS rank_by_frequency,
+  CAST(RANK() OVER (ORDER BY max_magnitude DESC NULLS FIRST) AS BIGINT) AS rank_by_max_magnitude,
+  CAST(RANK() OVER (ORDER BY significant_quakes DESC NULLS FIRST) AS BIGINT) AS rank_by_significant_quakes
+FROM earthquake_analysis"""),
+    "row_position": with_(WEEKLY_CHAIN + [GOLD_STATE], """SELECT state,
+  CAST(total_rigs_count AS BIGINT) AS total_rigs_count, CAST(rig_rank AS BIGINT) AS rig_rank,
+  CAST(rig_position AS BIGINT) AS rig_position FROM gold_state"""),
+    "upper_text": "SELECT c_custkey, upper(lower(c_name)) AS name_upper FROM customer",
+    "date_parts": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
+  TRY_CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS day_from_text,
+  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+  CAST(week(CAST(o_orderdate AS DATE)) AS INTEGER) AS iso_week
+FROM orders""",
+    "null_default": with_([RAW_QUAKES], "SELECT id, COALESCE(magnitude, 0.0) AS magnitude FROM raw_quakes"),
+    "epoch_millis": """SELECT event_id, ms,
+  CASE WHEN ms IS NULL OR ms = 0 THEN NULL ELSE epoch_ms(ms) END AS event_time
+FROM (SELECT event_id,
+  CAST(CASE event_id % 13 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE epoch_us(ts) // 1000 END AS BIGINT) AS ms
+  FROM events) t""",
+    "safe_index": """SELECT vec_id,
+  CAST(coords[1] AS DOUBLE) AS longitude, CAST(coords[2] AS DOUBLE) AS latitude,
+  CAST(coords[3] AS DOUBLE) AS elevation
+FROM (SELECT vec_id, embedding[1:(vec_id % 4)] AS coords FROM embeddings) e""",
+    "last_token": with_([LAST_TOKEN_TEXT], f"""SELECT c_custkey, place,
+  {_strip("string_split(place, ',')[-1]")} AS state_code FROM texts"""),
+    "explode_nested": """SELECT vec_id, CAST(UNNEST(range(len(embedding))) AS BIGINT) AS pos,
+  CAST(UNNEST(embedding) AS DOUBLE) AS value FROM embeddings""",
+    "json_field": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+    "dq_not_null": with_([RAW_QUAKES], _not_null_sql("raw_quakes", [
+        "id", "magnitude", "time", "longitude", "latitude", "ingestion_timestamp", "data_source", "region"])),
+    "dq_unique": with_([RAW_QUAKES], _unique_sql("raw_quakes", ["id", "place", "sig"])),
+    "dq_freshness": """SELECT table_name, max_loaded_at,
+  CAST(floor((epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max_loaded_at)) / 1000000) AS BIGINT) AS age_seconds,
+  CASE WHEN max_loaded_at IS NULL THEN 'error'
+       WHEN (epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max_loaded_at)) / 1000000 <= 86400 THEN 'pass'
+       WHEN (epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max_loaded_at)) / 1000000 <= 172800 THEN 'warn'
+       ELSE 'error' END AS status
+FROM (SELECT 'user_' || CAST(user_id AS VARCHAR) AS table_name, max(ts) AS max_loaded_at FROM events GROUP BY user_id) t""",
+})
+ORACLE["ordered_marts"] = ORACLE["state_rig_count"]

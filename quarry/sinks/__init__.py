@@ -1,0 +1 @@
+"""Load stamping, table writes (append / full refresh / split), extracts."""
