@@ -7,19 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table broadcast by row count when its size is checked.
+# Largest lookup table broadcast when its size is checked.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimized plan (no job is run).
 
-    The check counts at most ``max_rows + 1`` rows (a limit, not a full
-    scan of a large table). Larger inputs are returned unhinted, so the
-    planner picks a shuffle join.
+    For file scans this is the file size scaled to the read columns; it
+    ignores filters, so it errs on the large side.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
+def bounded_broadcast(
+    df: DataFrame,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    exact: bool = False,
+) -> DataFrame:
+    """Broadcast ``df`` only when its size is checked to be small.
+
+    By default the check is the planner's size estimate against
+    ``max_bytes`` (the statistic Spark's own broadcast threshold uses; no
+    job). With ``exact`` it counts at most ``max_rows + 1`` rows (a limit,
+    not a full scan). Larger inputs are returned unhinted, so the
+    planner joins them by shuffle.
+    """
+    if exact:
+        ok = df.limit(max_rows + 1).count() <= max_rows
+    else:
+        ok = estimated_bytes(df) <= max_bytes
+    return F.broadcast(df) if ok else df
 
 
 def lookup_join(
@@ -35,5 +56,5 @@ def lookup_join(
     (a 51-row seed); those are broadcast without a count. Otherwise the
     size is checked first.
     """
-    side = F.broadcast(lookup) if lookup_is_bounded else bounded_broadcast(lookup)
+    side = F.broadcast(lookup) if lookup_is_bounded else bounded_broadcast(lookup, exact=True)
     return facts.join(side, on=on, how=how)

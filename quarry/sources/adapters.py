@@ -6,8 +6,9 @@ centroids) and of the state lookup. The oracle SQL in
 ``quarry.oracle`` builds the same shapes with the same expressions.
 
 Dimension tables (supplier, part, customer) grow with the scale factor,
-so their joins are left to the planner (size-based broadcast or a
-shuffle join); only ``nation``, fixed at 25 rows, is broadcast.
+so each is broadcast only after a row-count check (``bounded_broadcast``)
+and joined by shuffle otherwise; ``nation``, fixed at 25 rows, is
+always broadcast. The fact tables (lineitem, orders) are never broadcast.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import lit_ntz
+from quarry.operators.joins import bounded_broadcast, estimated_bytes
 
 # Fixed values stamped on adapted rows (must match quarry.oracle).
 INGESTED_AT = dt.datetime(2024, 1, 31, 6, 0, 0)
@@ -38,8 +40,44 @@ PLACE_LON_FACTOR, PLACE_LAT_FACTOR = 611953, 15485863
 MAGNITUDE_DIVISOR = 100003.0
 
 
+# Row key of each test table, used to spread an unsplittable scan.
+TABLE_KEYS = {
+    "lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey",
+    "supplier": "s_suppkey", "events": "event_id", "embeddings": "vec_id", "documents": "doc_id",
+}
+
+
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. The files are read-only, so the DataFrame (listing,
+    footer schema, split check) is made once per application."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spread_scan(spark.read.parquet(path), TABLE_KEYS.get(name))
+        _TABLES[key] = df
+    return df
+
+
+# Scans estimated below this size are left in one task (spreading them
+# would cost more than it saves).
+SPREAD_MIN_BYTES = 2 * 1024 * 1024
+
+
+def spread_scan(df: DataFrame, key: str | None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition a scan that yields fewer splits than the cluster
+    has cores (e.g. one file with one row group), so the work up to the
+    first shuffle is not done by a single task. A large input already
+    has many splits and is returned as it is; so is a small table.
+    Hash (not round-robin) partitioning keeps a recomputed task's rows
+    in the same place."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if key is None or estimated_bytes(df) < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
 
 
 def spread(key: Column, factor: int, steps: int, origin: float) -> Column:
@@ -55,8 +93,11 @@ def raw_rigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    sup_nat = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
-    j = li.join(sup_nat, li.l_suppkey == sup_nat.s_suppkey).join(part, li.l_partkey == part.p_partkey)
+    sup_nat = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey).select("s_suppkey", "n_name")
+    # The fact side is never broadcast; each dimension is, after a row check.
+    j = li.join(bounded_broadcast(sup_nat), li.l_suppkey == sup_nat.s_suppkey).join(
+        bounded_broadcast(part), li.l_partkey == part.p_partkey
+    )
     k = F.col("l_orderkey")
     return j.select(
         F.when(k % 10 < 9, F.lit("United States")).otherwise(F.lit("Canada")).alias("Country"),
@@ -82,8 +123,10 @@ def raw_quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cust = c.join(F.broadcast(nat), c.c_nationkey == nat.n_nationkey)
-    j = o.join(cust, o.o_custkey == cust.c_custkey)
+    cust = c.join(F.broadcast(nat), c.c_nationkey == nat.n_nationkey).select(
+        "c_custkey", "c_name", "c_mktsegment", "n_name"
+    )
+    j = o.join(bounded_broadcast(cust), o.o_custkey == cust.c_custkey)
     k = F.col("o_orderkey")
     return j.select(
         k.cast("string").alias("id"),
