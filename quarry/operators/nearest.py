@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
@@ -67,6 +67,40 @@ def _lon_cell(lon: Column, deg: float) -> Column:
     return F.pmod(F.floor((lon + F.lit(180.0)) / F.lit(deg)).cast("int"), F.lit(n_lon))
 
 
+# Target candidates: about this many places in the densest 1x1 block,
+# and enough places per block on average that nearly every event is
+# final at the first level.
+MAX_PLACES_PER_CELL = 32
+MEAN_PLACES_PER_CELL = 6.0
+
+
+def _place_stats(places: DataFrame, broadcast_max_rows: int) -> tuple[int, bool, float]:
+    """One aggregate job over the places: row count (for the broadcast
+    check) and densities on a 1-degree grid (for the first cell size).
+
+    The first cell is coarse enough for ~6 places per cell on average
+    over the occupied area, but fine enough that the densest 1-degree
+    cell is split into cells of ~32 places, so a cluster of places does
+    not give every nearby event thousands of candidates.
+    """
+    per_cell = places.groupBy(
+        F.floor(F.col("__plat")).alias("y"), F.floor(F.col("__plon")).alias("x")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    row = per_cell.agg(
+        F.sum("n").alias("places"), F.count(F.lit(1)).alias("cells"), F.max("n").alias("peak")
+    ).collect()[0]
+    n = int(row["places"] or 0)
+    if n == 0:
+        return 0, True, 120.0
+    mean_density = n / max(int(row["cells"]), 1)
+    deg = min(
+        math.sqrt(MEAN_PLACES_PER_CELL / mean_density),
+        math.sqrt(MAX_PLACES_PER_CELL / max(int(row["peak"]), 1)),
+    )
+    deg = min(max(deg, 0.01), 60.0)
+    return n, n <= min(broadcast_max_rows, 1 << RANK_BITS), deg
+
+
 def _levels(cell_deg: float, growth: float) -> list[float]:
     """Cell sizes ``360 / m`` for a shrinking integer ``m``.
 
@@ -92,7 +126,7 @@ def nearest_place(
     place_id: str = "place_id",
     place_lat: str = "latitude",
     place_lon: str = "longitude",
-    cell_deg: float = 1.0,
+    cell_deg: float | None = None,
     growth: float = 4.0,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     keep_invalid: bool = False,
@@ -113,7 +147,7 @@ def nearest_place(
         & F.col("__elat").between(-90.0, 90.0),
         F.lit(False),
     )
-    ev = ev_all.where(valid)
+    ev = ev_all.where(valid).select("__eid", "__elat", "__elon")
     pl = places.select(
         F.col(place_id).alias("__pid"),
         F.col(place_lat).try_cast("double").alias("__plat"),
@@ -122,14 +156,22 @@ def nearest_place(
         F.col("__plat").isNotNull() & F.col("__plon").isNotNull()
         & ~F.isnan("__plat") & ~F.isnan("__plon")
     )
-    small_places = pl.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    n_places, small_places, auto_deg = _place_stats(pl, broadcast_max_rows)
+    if cell_deg is None:
+        cell_deg = auto_deg
     pid_type = pl.schema["__pid"].dataType
+    if small_places:
+        # Number the places 0..n-1 by id (n is checked to fit in RANK_BITS).
+        pl = pl.withColumn(
+            "__prank", (F.row_number().over(Window.orderBy("__pid", "__plat", "__plon")) - 1).cast("long")
+        )
+        pl = pl.checkpoint(eager=True)
 
     resolved: list[DataFrame] = []
     open_events = ev
     levels = _levels(cell_deg, growth)
     for i, deg in enumerate(levels):
-        best = _best_in_block(open_events, pl, deg, small_places, pid_type).checkpoint(eager=True)
+        best = _best_in_block(open_events, pl, deg, small_places).checkpoint(eager=True)
         if i == len(levels) - 1:
             resolved.append(best)
             break
@@ -138,36 +180,48 @@ def nearest_place(
         guard = F.lit(EARTH_RADIUS_KM * (1.0 - 1e-9)) * F.least(
             F.lit(c_rad), F.asin(F.cos(F.col("__elat") * DEG_TO_RAD) * F.lit(math.sin(c_rad)))
         )
-        final = F.col("__km") < guard
+        final = F.col("__km").isNotNull() & (F.col("__km") < guard)
         resolved.append(best.where(final))
         open_events = best.where(~final).select("__eid", "__elat", "__elon")
         if open_events.isEmpty():
             break
-    if keep_invalid:
-        resolved.append(ev_all.where(~valid).select(
-            "__eid", "__elat", "__elon", F.lit(None).cast("double").alias("__km"), F.lit(None).cast(pid_type).alias("__pid")
-        ))
     out = resolved[0]
     for part in resolved[1:]:
         out = out.unionByName(part)
-    no_place = F.isnan("__km") | (F.col("__km") == F.lit(float("inf")))
+    out = out.select("__eid", "__km", "__pid" if not small_places else "__prank")
+    if small_places:
+        ids = F.broadcast(pl.select("__prank", "__pid"))
+        out = out.join(ids, "__prank", "left")
+    if keep_invalid:
+        out = out.unionByName(ev_all.where(~valid).select(
+            "__eid", F.lit(None).cast("double").alias("__km"), F.lit(None).cast(pid_type).alias("__pid"),
+            *([F.lit(None).cast("long").alias("__prank")] if small_places else []),
+        ))
     return out.select(
         F.col("__eid").alias(event_id),
         F.col("__pid").alias(place_id),
-        F.when(no_place, F.lit(None)).otherwise(F.col("__km")).alias("distance_km"),
+        F.col("__km").alias("distance_km"),
     )
 
 
-def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_places: bool, pid_type) -> DataFrame:
+# A candidate is packed as (distance in micro-km) << RANK_BITS | place rank,
+# so the best candidate is a plain min over longs (a code-generated hash
+# aggregate) and equal distances go to the smaller place id.
+RANK_BITS = 20
+NO_CANDIDATE = (1 << 62)
+
+
+def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_places: bool) -> DataFrame:
     """Best candidate per open event among the places of its 3x3 block.
 
-    Every event also gets a sentinel candidate at infinite distance, so
-    events with no place in the block still come out of the aggregate
-    (no join back to the events is needed).
+    Every event also gets a sentinel candidate, so events with no place
+    in the block still come out of the aggregate (no join back to the
+    events is needed). ``__km`` is NULL for those.
     """
     n_lat, n_lon = _cells(deg)
+    cols = ["__pid", "__plat", "__plon"] + (["__prank"] if small_places else [])
     pc = places.select(
-        "__pid", "__plat", "__plon",
+        *cols,
         _lat_cell(F.col("__plat"), deg).alias("__cy"),
         _lon_cell(F.col("__plon"), deg).alias("__cx"),
     )
@@ -185,15 +239,39 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
     )
     side = F.broadcast(pc) if small_places else pc
     km = F.round(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon")), KM_DECIMALS)
-    cand = expanded.join(side, ["__cy", "__cx"]).select("__eid", "__elat", "__elon", km.alias("k"), F.col("__pid").alias("p"))
+    cand = expanded.join(side, ["__cy", "__cx"])
+    keys = ["__eid", "__elat", "__elon"]
+    if small_places:
+        packed = F.shiftleft(F.round(km * F.lit(10.0 ** KM_DECIMALS)).cast("long"), RANK_BITS) + F.col("__prank")
+        sentinel = open_events.select(*keys, F.lit(NO_CANDIDATE).cast("long").alias("__key"))
+        best = (
+            cand.select(*keys, packed.alias("__key"))
+            .unionByName(sentinel)
+            .groupBy(*keys)
+            .agg(F.min("__key").alias("__key"))
+        )
+        found = F.col("__key") < F.lit(NO_CANDIDATE)
+        return best.select(
+            *keys,
+            F.when(found, F.shiftright("__key", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)).alias("__km"),
+            F.when(found, F.col("__key").bitwiseAND(F.lit((1 << RANK_BITS) - 1))).alias("__prank"),
+        )
+    # Large place tables: a struct minimum (sort-based aggregate).
+    pid_type = places.schema["__pid"].dataType
     sentinel = open_events.select(
-        "__eid", "__elat", "__elon", F.lit(float("inf")).alias("k"), F.lit(None).cast(pid_type).alias("p")
+        *keys, F.lit(float("inf")).alias("k"), F.lit(None).cast(pid_type).alias("p")
     )
-    return (
-        cand.unionByName(sentinel)
-        .groupBy("__eid", "__elat", "__elon")
+    best = (
+        cand.select(*keys, km.alias("k"), F.col("__pid").alias("p"))
+        .unionByName(sentinel)
+        .groupBy(*keys)
         .agg(F.min(F.struct("k", "p")).alias("__b"))
-        .select("__eid", "__elat", "__elon", F.col("__b.k").alias("__km"), F.col("__b.p").alias("__pid"))
+    )
+    found = F.col("__b.k") < F.lit(float("inf"))
+    return best.select(
+        *keys,
+        F.when(found, F.col("__b.k")).alias("__km"),
+        F.col("__b.p").alias("__pid"),
     )
 
 
