@@ -1,0 +1 @@
+"""Incremental file loads with Structured Streaming."""
