@@ -290,7 +290,8 @@ def locate(
 ) -> DataFrame:
     """Events with the attributes of their nearest place attached.
 
-    ``attributes`` maps place columns to output names. Events whose
+    ``attributes`` maps place columns to output names (one row per place
+    id is used if a place appears more than once). Events whose
     coordinates are NULL, NaN or not numbers keep NULL attributes when
     ``keep_unlocated`` (left semantics), else they are dropped. The
     attach is a key join on the event id (rows have no positions).
@@ -300,6 +301,7 @@ def locate(
         place_id=place_id, place_lat=place_lat, place_lon=place_lon,
         keep_invalid=keep_unlocated, **kwargs,
     )
+    # One attribute row per place id, even if a place was loaded twice.
     attrs = places.select(F.col(place_id).alias("__pid"), *[F.col(c).alias(o) for c, o in attributes.items()])
-    attrs = bounded_broadcast(attrs)
+    attrs = bounded_broadcast(attrs.dropDuplicates(["__pid"]))
     return hits.join(attrs, hits[place_id] == attrs["__pid"], "left").drop("__pid")

@@ -37,13 +37,14 @@ def places(wh: Warehouse) -> DataFrame:
     c = wh.source(loads.COUNTY_TABLE)
     sc = F.broadcast(wh.source(loads.SEED_TABLE))
     j = c.join(sc, c["STATE"] == sc["state_abbrev"], "left")
+    # The raw table is append-only, so a place loaded twice appears twice.
     return j.select(
         F.col("OBJECTID").alias("place_id"),
         F.col("LATITUDE").alias("latitude"),
         F.col("LONGITUDE").alias("longitude"),
         F.coalesce(F.col("state_full"), F.col("STATE")).alias("state"),
         F.col("NAME").alias("county"),
-    )
+    ).dropDuplicates(["place_id"])
 
 
 def run_loads(wh: Warehouse, inputs: Inputs, ctx: RunContext) -> dict[str, LoadResult]:

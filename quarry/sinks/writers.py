@@ -102,5 +102,11 @@ def write_split(classified: DataFrame, good_cols: list[Column], table: str, quar
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:
-    """CSV extract with a header and every field quoted."""
-    df.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
+    """CSV extract with a header, every field quoted and quotes doubled."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("quoteAll", True)
+        .option("escape", '"')
+        .csv(path)
+    )
