@@ -26,21 +26,19 @@ def bounded_broadcast(
     df: DataFrame,
     max_bytes: int = BROADCAST_MAX_BYTES,
     max_rows: int = BROADCAST_MAX_ROWS,
-    exact: bool = False,
 ) -> DataFrame:
-    """Broadcast ``df`` only when its size is checked to be small.
+    """Broadcast ``df`` only when its size is proven small.
 
-    By default the check is the planner's size estimate against
-    ``max_bytes`` (the statistic Spark's own broadcast threshold uses; no
-    job). With ``exact`` it counts at most ``max_rows + 1`` rows (a limit,
-    not a full scan). Larger inputs are returned unhinted, so the
-    planner joins them by shuffle.
+    Two checks: the planner's size estimate against ``max_bytes`` (no
+    job; rules out large tables at once), then an exact row bound by
+    counting at most ``max_rows + 1`` rows (a limit, not a full scan).
+    Anything larger is returned unhinted and joined by shuffle.
     """
-    if exact:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-    else:
-        ok = estimated_bytes(df) <= max_bytes
-    return F.broadcast(df) if ok else df
+    if estimated_bytes(df) > max_bytes:
+        return df
+    if df.limit(max_rows + 1).count() > max_rows:
+        return df
+    return F.broadcast(df)
 
 
 def lookup_join(
@@ -56,5 +54,5 @@ def lookup_join(
     (a 51-row seed); those are broadcast without a count. Otherwise the
     size is checked first.
     """
-    side = F.broadcast(lookup) if lookup_is_bounded else bounded_broadcast(lookup, exact=True)
+    side = F.broadcast(lookup) if lookup_is_bounded else bounded_broadcast(lookup)
     return facts.join(side, on=on, how=how)

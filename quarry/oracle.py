@@ -200,7 +200,7 @@ RIG_WEEKLY = """rig_by_state AS (
 )"""
 
 QUAKE_WEEKLY = """earthquake_by_state AS (
-  SELECT state, event_year AS year, event_week_num,
+  SELECT state, CAST(event_year AS BIGINT) AS year, event_week_num,
     COUNT(*) AS total_earthquakes,
     COUNT(DISTINCT CAST(event_time AS DATE)) AS active_days,
     AVG(magnitude) AS avg_magnitude,

@@ -52,7 +52,9 @@ def quake_weekly(silver_quakes: DataFrame, thresholds: Thresholds = Thresholds()
         silver_quakes.where(F.col("state").isNotNull())
         .groupBy(
             F.col("state").alias("state"),
-            F.col("event_year").alias("year"),
+            # bigint like the rig side's year, so the join reuses this
+            # aggregate's partitioning instead of shuffling it again
+            F.col("event_year").cast("bigint").alias("year"),
             F.col("event_week_num").alias("event_week_num"),
         )
         .agg(

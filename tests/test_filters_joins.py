@@ -53,7 +53,9 @@ def test_bounded_broadcast_hint(spark):
     small = spark.range(10)
     plan = spark.range(1000).join(joins.bounded_broadcast(small), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    assert joins.bounded_broadcast(spark.range(100), max_rows=10, exact=True) is not None
+    big = spark.range(100)
+    plan2 = spark.range(1000).join(joins.bounded_broadcast(big, max_rows=10), "id")
+    assert "ResolvedHint" not in plan2._jdf.queryExecution().analyzed().toString()
 
 
 def _silver_rigs(spark, rows):
