@@ -84,6 +84,7 @@ def add_rank(
     nulls_first: bool = True,
     rows_per_task: int = ROWS_PER_TASK,
     checkpoint: bool = True,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``RANK()`` and/or ``ROW_NUMBER()`` over the whole DataFrame.
 
@@ -95,7 +96,7 @@ def add_rank(
         return df
     if checkpoint:
         df = _checkpointed(df)
-    n = df.count()
+    n = df.count() if n_rows is None else n_rows
     order = _order(value, keys, descending, nulls_first)
     if n <= rows_per_task:
         return _single_task(df, value, order, rank_col, position_col, descending, nulls_first)
@@ -155,6 +156,9 @@ def _bucketed(df, value, keys, order, buckets, n, rank_col, position_col, descen
         .withColumn(_POS, (F.col("__offset") + in_bucket).cast("bigint"))
         .drop("__offset", _BUCKET)
     )
+    if rank_col:
+        # Read twice below (grouped min and join back): materialize once.
+        positioned = _checkpointed(positioned)
     out = positioned
     if rank_col:
         firsts = positioned.groupBy(value).agg(F.min(_POS).alias(rank_col))
@@ -179,9 +183,12 @@ def add_ranks(
     The input is checkpointed once and shared by every rank.
     """
     out = _checkpointed(df)
-    for out_col, value in ranks.items():
+    n = out.count()
+    for i, (out_col, value) in enumerate(ranks.items()):
+        if i and n > rows_per_task:
+            out = _checkpointed(out)  # each large rank starts from a cut lineage
         out = add_rank(
             out, value, keys, rank_col=out_col, descending=descending,
-            nulls_first=nulls_first, rows_per_task=rows_per_task, checkpoint=False,
+            nulls_first=nulls_first, rows_per_task=rows_per_task, checkpoint=False, n_rows=n,
         )
     return out

@@ -56,14 +56,20 @@ class Warehouse:
         tags: tuple[str, ...] = (),
         comment: str | None = None,
         fmt: str = "parquet",
+        partition_by: tuple[str, ...] = (),
     ) -> None:
         """Rebuild the table in full from ``df``.
 
         The write replaces the table's files; with a transactional table
         format (set ``fmt``) readers see either the old or the new data.
+        ``partition_by`` lays files out by those columns, so filters on
+        them prune whole directories.
         """
         target = self.name(layer, model)
-        df.write.format(fmt).mode("overwrite").saveAsTable(target)
+        writer = df.write.format(fmt).mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(target)
         props = {"layer": layer}
         if tags:
             props["tags"] = ",".join(tags)

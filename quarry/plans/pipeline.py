@@ -72,16 +72,20 @@ BRONZE_VIEWS = {
 }
 
 
-def build_models(wh: Warehouse, ctx: RunContext) -> None:
+def build_models(wh: Warehouse, ctx: RunContext, partition_silver: bool = False) -> None:
+    """Bronze views, silver tables, gold tables. With ``partition_silver``
+    the large silver tables are laid out by year, so year filters prune."""
     raw = f"`{wh.ns.raw}`"
     for name, sql in BRONZE_VIEWS.items():
         wh.view("bronze", name, sql.format(raw=raw))
     wh.table("silver", "silver_rig_counts",
-             silver.silver_rig_counts(wh.ref("bronze", "bronze_rig_count"), ctx), SILVER_TAGS)
+             silver.silver_rig_counts(wh.ref("bronze", "bronze_rig_count"), ctx), SILVER_TAGS,
+             partition_by=("year",) if partition_silver else ())
     wh.table("silver", "silver_counties",
              silver.silver_counties(wh.ref("bronze", "bronze_county"), wh.source(loads.SEED_TABLE), ctx), SILVER_TAGS)
     wh.table("silver", "silver_earthquake",
-             silver.silver_earthquake(wh.source(loads.QUAKE_TABLE), ctx), SILVER_TAGS)
+             silver.silver_earthquake(wh.source(loads.QUAKE_TABLE), ctx), SILVER_TAGS,
+             partition_by=("event_year",) if partition_silver else ())
     wh.table("silver", "silver_earthquake_with_location",
              silver.silver_earthquake_with_location(wh.ref("bronze", "bronze_rig_earthquake"), ctx), SILVER_TAGS)
     rigs, quakes = wh.ref("silver", "silver_rig_counts"), wh.ref("silver", "silver_earthquake")
@@ -94,8 +98,8 @@ def build_models(wh: Warehouse, ctx: RunContext) -> None:
              comment="State-level rigs and events over shared weeks")
 
 
-def run(wh: Warehouse, inputs: Inputs, ctx: RunContext) -> dict[str, LoadResult]:
+def run(wh: Warehouse, inputs: Inputs, ctx: RunContext, partition_silver: bool = False) -> dict[str, LoadResult]:
     wh.create_namespaces()
     results = run_loads(wh, inputs, ctx)
-    build_models(wh, ctx)
+    build_models(wh, ctx, partition_silver=partition_silver)
     return results

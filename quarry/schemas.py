@@ -117,3 +117,8 @@ def spark_type_for(name: str, pandas_dtype: str, source: str = "rigs") -> T.Data
     if source == "quakes" and "bool" in dtype:
         return B
     return S
+
+
+def schema_from_dtypes(dtypes: dict[str, str], source: str) -> T.StructType:
+    """Storage schema of a raw table from an extract's column dtypes."""
+    return T.StructType([T.StructField(n, spark_type_for(n, d, source), True) for n, d in dtypes.items()])
