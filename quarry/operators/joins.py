@@ -18,8 +18,11 @@ def estimated_bytes(df: DataFrame) -> int:
     For file scans this is the file size scaled to the read columns; it
     ignores filters, so it errs on the large side.
     """
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # no plan statistics here: let the exact row check decide
+        return 0
 
 
 def bounded_broadcast(

@@ -74,10 +74,14 @@ def spread_scan(df: DataFrame, key: str | None, min_partitions: int | None = Non
     has many splits and is returned as it is; so is a small table.
     Hash (not round-robin) partitioning keeps a recomputed task's rows
     in the same place."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if key is None or estimated_bytes(df) < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= target:
+    if key is None or estimated_bytes(df) < SPREAD_MIN_BYTES:
         return df
-    return df.repartition(target, key)
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # split count not available: leave the scan as it is
+        return df
+    return df if splits >= target else df.repartition(target, key)
 
 
 def _memo(fn):

@@ -74,3 +74,11 @@ def test_no_places(spark):
     pl = spark.createDataFrame([], "place_id bigint, latitude double, longitude double")
     got = nearest_place(ev, pl).collect()
     assert [(r.id, r.place_id, r.distance_km) for r in got] == [(1, None, None)]
+
+
+def test_text_coordinates_that_do_not_cast_give_null(spark):
+    ev = spark.createDataFrame([(1, "10.0", "10.0"), (2, "abc", "10.0"), (3, None, "1")],
+                               "id bigint, latitude string, longitude string")
+    pl = spark.createDataFrame([(7, 10.0, 10.0)], "place_id bigint, latitude double, longitude double")
+    got = {r.id: r.place_id for r in nearest_place(ev, pl, keep_invalid=True).collect()}
+    assert got == {1: 7, 2: None, 3: None}
