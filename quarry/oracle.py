@@ -496,7 +496,8 @@ FROM (SELECT event_id,
 FROM (SELECT vec_id, embedding[1:(vec_id % 4)] AS coords FROM embeddings) e""",
     "last_token": with_([LAST_TOKEN_TEXT], f"""SELECT c_custkey, place,
   {_strip("string_split(place, ',')[-1]")} AS state_code FROM texts"""),
-    "explode_nested": """SELECT vec_id, CAST(UNNEST(range(len(embedding))) AS BIGINT) AS pos,
+    "explode_nested": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+    "explode_array": """SELECT vec_id, CAST(UNNEST(range(len(embedding))) AS BIGINT) AS pos,
   CAST(UNNEST(embedding) AS DOUBLE) AS value FROM embeddings""",
     "json_field": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "dq_not_null": with_([RAW_QUAKES], _not_null_sql("raw_quakes", [

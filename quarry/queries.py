@@ -378,6 +378,12 @@ def q_last_token(spark, d):
 
 
 def q_explode_nested(spark, d):
+    """A nested JSON field by path (NULL when the key is missing)."""
+    ev = A.table(spark, d, "events").select("event_id", "props")
+    return ev.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+
+
+def q_explode_array(spark, d):
     e = A.table(spark, d, "embeddings").select("vec_id", "embedding")
     return e.select("vec_id", F.posexplode("embedding").alias("pos", "value")).select(
         "vec_id", F.col("pos").cast("bigint").alias("pos"), F.col("value").cast("double").alias("value")
@@ -458,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "safe_index": q_safe_index,
     "last_token": q_last_token,
     "explode_nested": q_explode_nested,
+    "explode_array": q_explode_array,
     "json_field": q_json_field,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
