@@ -171,7 +171,11 @@ def nearest_place(
     open_events = ev
     levels = _levels(cell_deg, growth)
     for i, deg in enumerate(levels):
-        best = _best_in_block(open_events, pl, deg, small_places).checkpoint(eager=True)
+        if i == 0 or not small_places:
+            best = _best_in_block(open_events, pl, deg, small_places)
+        else:
+            best = _best_in_block_pruned(open_events, pl, deg)
+        best = best.checkpoint(eager=True)
         if i == len(levels) - 1:
             resolved.append(best)
             break
@@ -211,6 +215,93 @@ RANK_BITS = 20
 NO_CANDIDATE = (1 << 62)
 
 
+# Sub-cells per cell side used to prune places at the coarser levels.
+SUB_CELLS = 4
+
+
+def _lower_bound_km(lat: Column, lon: Column, lat_lo: Column, lat_hi: Column, lon_lo: Column, lon_hi: Column) -> Column:
+    """A lower bound of the distance from a point to any point of a
+    latitude / longitude box: the larger of the latitude gap and the
+    distance to the nearest meridian of the box's longitude range."""
+    dlat = F.greatest(lat_lo - lat, lat - lat_hi, F.lit(0.0))
+    # Longitude gap to the box, wrap-aware, capped at 90 degrees.
+    def gap(a, b):
+        d = F.pmod(a - b, F.lit(360.0))
+        return F.least(d, F.lit(360.0) - d)
+    inside = F.pmod(lon - lon_lo, F.lit(360.0)) <= F.pmod(lon_hi - lon_lo, F.lit(360.0))
+    dlon = F.when(inside, F.lit(0.0)).otherwise(F.least(gap(lon, lon_lo), gap(lon, lon_hi)))
+    dlon = F.least(dlon, F.lit(90.0))
+    lon_bound = F.asin(F.cos(lat * DEG_TO_RAD) * F.sin(dlon * DEG_TO_RAD))
+    return F.lit(EARTH_RADIUS_KM) * F.greatest(dlat * DEG_TO_RAD, lon_bound)
+
+
+def _best_in_block_pruned(open_events: DataFrame, places: DataFrame, deg: float) -> DataFrame:
+    """Like ``_best_in_block``, for the coarse levels, without scoring
+    every place of a dense block.
+
+    Phase A joins each open event to per-sub-cell summaries of its 3x3
+    block (at most 9 * SUB_CELLS^2 rows per event): the bounding box of
+    the sub-cell's places and one representative place. The distance to
+    the box is a lower bound, the distance to the representative an
+    upper bound of the event's nearest distance. Phase B scores only the
+    places of sub-cells whose lower bound is within the event's best
+    upper bound; the nearest place is always in one of them.
+    """
+    n_lat, n_lon = _cells(deg)
+    sub = deg / SUB_CELLS
+    pc = places.select(
+        "__pid", "__plat", "__plon", "__prank",
+        _lat_cell(F.col("__plat"), deg).alias("__cy"),
+        _lon_cell(F.col("__plon"), deg).alias("__cx"),
+        F.floor((F.col("__plat") + F.lit(90.0)) / F.lit(sub)).cast("long").alias("__sy"),
+        F.floor((F.col("__plon") + F.lit(180.0)) / F.lit(sub)).cast("long").alias("__sx"),
+    )
+    summary = pc.groupBy("__cy", "__cx", "__sy", "__sx").agg(
+        F.min("__plat").alias("__lat_lo"), F.max("__plat").alias("__lat_hi"),
+        F.min("__plon").alias("__lon_lo"), F.max("__plon").alias("__lon_hi"),
+        F.min(F.struct("__prank", "__plat", "__plon")).alias("__rep"),
+    )
+    offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    keys = ["__eid", "__elat", "__elon"]
+    expanded = (
+        open_events
+        .withColumn("__dy", F.explode(offsets))
+        .withColumn("__dx", F.explode(offsets))
+        .select(
+            *keys,
+            (_lat_cell(F.col("__elat"), deg) + F.col("__dy")).alias("__cy"),
+            F.pmod(_lon_cell(F.col("__elon"), deg) + F.col("__dx"), F.lit(n_lon)).alias("__cx"),
+        )
+        .where(F.col("__cy").between(0, n_lat))
+    )
+    rep_km = F.round(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__rep.__plat"), F.col("__rep.__plon")), KM_DECIMALS)
+    phase_a = expanded.join(F.broadcast(summary), ["__cy", "__cx"]).select(
+        *keys, "__sy", "__sx",
+        _lower_bound_km(F.col("__elat"), F.col("__elon"), F.col("__lat_lo"), F.col("__lat_hi"),
+                        F.col("__lon_lo"), F.col("__lon_hi")).alias("__lb"),
+        (F.shiftleft(F.round(rep_km * F.lit(10.0 ** KM_DECIMALS)).cast("long"), RANK_BITS)
+         + F.col("__rep.__prank")).alias("__ub"),
+    )
+    upper = phase_a.groupBy("__eid").agg(F.min("__ub").alias("__u"))
+    # Keep sub-cells that can hold something at most as far as the best
+    # representative (1 mm slack for rounding).
+    u_km = F.shiftright("__u", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)
+    kept = phase_a.join(upper, "__eid").where(F.col("__lb") <= u_km + F.lit(1e-6)).select(*keys, "__sy", "__sx", "__u")
+    km = F.round(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon")), KM_DECIMALS)
+    packed = F.shiftleft(F.round(km * F.lit(10.0 ** KM_DECIMALS)).cast("long"), RANK_BITS) + F.col("__prank")
+    scored = kept.join(F.broadcast(pc.select("__sy", "__sx", "__plat", "__plon", "__prank")), ["__sy", "__sx"]).select(
+        *keys, packed.alias("__key")
+    )
+    sentinel = open_events.select(*keys, F.lit(NO_CANDIDATE).cast("long").alias("__key"))
+    best = scored.unionByName(sentinel).groupBy(*keys).agg(F.min("__key").alias("__key"))
+    found = F.col("__key") < F.lit(NO_CANDIDATE)
+    return best.select(
+        *keys,
+        F.when(found, F.shiftright("__key", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)).alias("__km"),
+        F.when(found, F.col("__key").bitwiseAND(F.lit((1 << RANK_BITS) - 1))).alias("__prank"),
+    )
+
+
 def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_places: bool) -> DataFrame:
     """Best candidate per open event among the places of its 3x3 block.
 

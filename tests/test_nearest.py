@@ -82,3 +82,11 @@ def test_text_coordinates_that_do_not_cast_give_null(spark):
     pl = spark.createDataFrame([(7, 10.0, 10.0)], "place_id bigint, latitude double, longitude double")
     got = {r.id: r.place_id for r in nearest_place(ev, pl, keep_invalid=True).collect()}
     assert got == {1: 7, 2: None, 3: None}
+
+
+def test_far_events_from_dense_cluster_use_pruned_levels(spark):
+    rng = random.Random(5)
+    places = [(i, 40.0 + rng.random() * 0.5, -100.0 + rng.random() * 0.5) for i in range(2000)]
+    places += [(5000 + i, rng.uniform(-50, 50), rng.uniform(-180, 180)) for i in range(30)]
+    events = [(i, 40.25 + rng.uniform(-30, 30), -99.75 + rng.uniform(-30, 30)) for i in range(600)]
+    assert _run(spark, events, places) == _brute(events, places)
