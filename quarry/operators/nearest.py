@@ -40,8 +40,8 @@ from quarry.session import ensure_checkpoint_dir
 EARTH_RADIUS_KM = 6371.0
 DEG_TO_RAD = 0.017453292519943295
 
-# Distances are compared after rounding to this many km decimals (1 mm),
-# so last-bit differences of sin/cos cannot reorder equal distances.
+# Distances are compared in whole millimetres (KM_DECIMALS decimals of a
+# km), so last-bit differences of sin/cos cannot reorder equal distances.
 KM_DECIMALS = 6
 
 
@@ -50,10 +50,19 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     p1, p2 = lat1 * DEG_TO_RAD, lat2 * DEG_TO_RAD
     dphi = (lat2 - lat1) * DEG_TO_RAD
     dlmb = (lon2 - lon1) * DEG_TO_RAD
-    a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
+    s_phi, s_lmb = F.sin(dphi / 2), F.sin(dlmb / 2)
+    a = s_phi * s_phi + F.cos(p1) * F.cos(p2) * (s_lmb * s_lmb)
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
 
 
+def km_units(km: Column) -> Column:
+    """Distance in whole millimetres (half up), as a long.
+
+    Plain floating-point operations only, so every engine computes the
+    same value from the same distance."""
+    return F.floor(km * F.lit(10.0 ** KM_DECIMALS) + F.lit(0.5)).cast("long")
+
+
 def _cells(deg: float) -> tuple[int, int]:
     return math.ceil(180.0 / deg), math.ceil(360.0 / deg)
 
@@ -274,21 +283,20 @@ def _best_in_block_pruned(open_events: DataFrame, places: DataFrame, deg: float)
         )
         .where(F.col("__cy").between(0, n_lat))
     )
-    rep_km = F.round(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__rep.__plat"), F.col("__rep.__plon")), KM_DECIMALS)
+    rep_km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__rep.__plat"), F.col("__rep.__plon"))
     phase_a = expanded.join(F.broadcast(summary), ["__cy", "__cx"]).select(
         *keys, "__sy", "__sx",
         _lower_bound_km(F.col("__elat"), F.col("__elon"), F.col("__lat_lo"), F.col("__lat_hi"),
                         F.col("__lon_lo"), F.col("__lon_hi")).alias("__lb"),
-        (F.shiftleft(F.round(rep_km * F.lit(10.0 ** KM_DECIMALS)).cast("long"), RANK_BITS)
-         + F.col("__rep.__prank")).alias("__ub"),
+        (F.shiftleft(km_units(rep_km), RANK_BITS) + F.col("__rep.__prank")).alias("__ub"),
     )
     upper = phase_a.groupBy("__eid").agg(F.min("__ub").alias("__u"))
     # Keep sub-cells that can hold something at most as far as the best
     # representative (1 mm slack for rounding).
     u_km = F.shiftright("__u", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)
     kept = phase_a.join(upper, "__eid").where(F.col("__lb") <= u_km + F.lit(1e-6)).select(*keys, "__sy", "__sx", "__u")
-    km = F.round(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon")), KM_DECIMALS)
-    packed = F.shiftleft(F.round(km * F.lit(10.0 ** KM_DECIMALS)).cast("long"), RANK_BITS) + F.col("__prank")
+    km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon"))
+    packed = F.shiftleft(km_units(km), RANK_BITS) + F.col("__prank")
     scored = kept.join(F.broadcast(pc.select("__sy", "__sx", "__plat", "__plon", "__prank")), ["__sy", "__sx"]).select(
         *keys, packed.alias("__key")
     )
@@ -329,11 +337,11 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
         .where(F.col("__cy").between(0, n_lat))
     )
     side = F.broadcast(pc) if small_places else pc
-    km = F.round(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon")), KM_DECIMALS)
+    km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon"))
     cand = expanded.join(side, ["__cy", "__cx"])
     keys = ["__eid", "__elat", "__elon"]
     if small_places:
-        packed = F.shiftleft(F.round(km * F.lit(10.0 ** KM_DECIMALS)).cast("long"), RANK_BITS) + F.col("__prank")
+        packed = F.shiftleft(km_units(km), RANK_BITS) + F.col("__prank")
         sentinel = open_events.select(*keys, F.lit(NO_CANDIDATE).cast("long").alias("__key"))
         best = (
             cand.select(*keys, packed.alias("__key"))
@@ -353,7 +361,7 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
         *keys, F.lit(float("inf")).alias("k"), F.lit(None).cast(pid_type).alias("p")
     )
     best = (
-        cand.select(*keys, km.alias("k"), F.col("__pid").alias("p"))
+        cand.select(*keys, (km_units(km).cast("double") / F.lit(10.0 ** KM_DECIMALS)).alias("k"), F.col("__pid").alias("p"))
         .unionByName(sentinel)
         .groupBy(*keys)
         .agg(F.min(F.struct("k", "p")).alias("__b"))

@@ -271,11 +271,12 @@ def _nearest_sql(null_coords: bool) -> str:
     events = f"""ev AS (
   SELECT id, {lat} AS latitude, longitude FROM (SELECT *, CAST(id AS BIGINT) AS o_orderkey FROM raw_quakes) q
 )"""
-    dist = (
-        "round(2 * 6371.0 * asin(sqrt(pow(sin((p.\"LATITUDE\" - e.latitude) * 0.017453292519943295 / 2), 2)"
-        " + cos(e.latitude * 0.017453292519943295) * cos(p.\"LATITUDE\" * 0.017453292519943295)"
-        " * pow(sin((p.\"LONGITUDE\" - e.longitude) * 0.017453292519943295 / 2), 2))), 6)"
-    )
+    d2r = "0.017453292519943295"
+    s_phi = f'sin((p."LATITUDE" - e.latitude) * {d2r} / 2)'
+    s_lmb = f'sin((p."LONGITUDE" - e.longitude) * {d2r} / 2)'
+    km = (f"(2 * 6371.0 * asin(sqrt({s_phi} * {s_phi} + cos(e.latitude * {d2r}) * cos(p.\"LATITUDE\" * {d2r})"
+          f" * ({s_lmb} * {s_lmb}))))")
+    dist = f"CAST(floor({km} * 1000000.0 + 0.5) AS BIGINT)"
     ranked = f"""ranked AS (
   SELECT e.id, p."OBJECTID" AS place_id, p."NAME" AS county, p."STATE" AS state, {dist} AS km,
     ROW_NUMBER() OVER (PARTITION BY e.id ORDER BY {dist}, p."OBJECTID") AS rn
@@ -283,7 +284,7 @@ def _nearest_sql(null_coords: bool) -> str:
   WHERE e.latitude IS NOT NULL AND e.longitude IS NOT NULL
 )"""
     body = """SELECT e.id AS id, r.place_id AS place_id, r.county AS county, r.state AS state,
-  round(r.km, 3) AS distance_km
+  CAST(r.km AS DOUBLE) / 1000000.0 AS distance_km
 FROM ev e LEFT JOIN ranked r ON e.id = r.id AND r.rn = 1"""
     return with_([RAW_QUAKES, RAW_COUNTIES, events, ranked], body)
 

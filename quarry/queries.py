@@ -227,7 +227,7 @@ def _located(spark, d, null_coords: bool):
     )
     return out.select(
         F.col("id"), F.col("OBJECTID").alias("place_id"), "county", "state",
-        F.round("distance_km", 3).alias("distance_km"),
+        F.col("distance_km"),
     )
 
 

@@ -6,7 +6,8 @@ from quarry.operators.nearest import EARTH_RADIUS_KM, locate, nearest_place
 
 def _hav(lat1, lon1, lat2, lon2):
     r = math.radians
-    a = math.sin(r(lat2 - lat1) / 2) ** 2 + math.cos(r(lat1)) * math.cos(r(lat2)) * math.sin(r(lon2 - lon1) / 2) ** 2
+    sp, sl = math.sin((lat2 - lat1) * 0.017453292519943295 / 2), math.sin((lon2 - lon1) * 0.017453292519943295 / 2)
+    a = sp * sp + math.cos(lat1 * 0.017453292519943295) * math.cos(lat2 * 0.017453292519943295) * (sl * sl)
     return 2 * EARTH_RADIUS_KM * math.asin(math.sqrt(a))
 
 
@@ -16,7 +17,7 @@ def _brute(events, places):
         if lat is None or lon is None:
             out[eid] = None
             continue
-        best = min((round(_hav(lat, lon, plat, plon), 6), pid) for pid, plat, plon in places)
+        best = min((math.floor(_hav(lat, lon, plat, plon) * 1e6 + 0.5), pid) for pid, plat, plon in places)
         out[eid] = best[1]
     return out
 
