@@ -36,12 +36,16 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", app_name="quarry-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # a scratch folder, for tools/stage_times.py
+    if log_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
+    spark = build_session(f"local[{cpus}]", app_name="quarry-bench", shuffle_partitions=cpus * 2, extra=extra)
     timings: dict[str, float] = {}
     for name in names:
         runs = []
         for i in range(repeats + 1):
+            spark.sparkContext.setJobDescription(f"{name} run {i}")
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             if i:

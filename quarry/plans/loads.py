@@ -51,24 +51,31 @@ def _load(
     meta: dict[str, object],
     ctx: RunContext,
     loaded_at_col: str = "ingestion_timestamp",
+    refresh: bool = False,
 ) -> writers.LoadResult:
+    """Create the table if absent, then append the good rows (``refresh``:
+    replace the table's rows instead) and quarantine the rest."""
     target = wh.name("raw", table)
     writers.ensure_table(wh.spark, target, schema)
     if classified.isEmpty():  # S7: nothing to load, table untouched
         return writers.LoadResult(0, 0, 0, wh.spark.table(target).count())
     stamped = writers.stamp_metadata(classified, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
     good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    result = writers.write_split(stamped, good_cols, target, quarantine)
+    result = writers.write_split(stamped, good_cols, target, quarantine, refresh=refresh)
     result.table_rows = wh.spark.table(target).count()
     return result
 
 
-def load_rigs(wh: Warehouse, paths: str | Sequence[str], quarantine: str, ctx: RunContext) -> writers.LoadResult:
-    """Sheet exports -> raw rigs. Empty text stays empty (no NULL tokens)."""
+def load_rigs(wh: Warehouse, paths: str | Sequence[str], quarantine: str, ctx: RunContext,
+              refresh: bool = False) -> writers.LoadResult:
+    """Sheet exports -> raw rigs. Empty text stays empty (no NULL tokens).
+
+    ``refresh`` replaces the table's rows with this extract (stamped like
+    an append) instead of adding to them."""
     raw = sheet.read_rig_sheet(wh.spark, paths).drop("file_path")
     classified = validate.classify(raw, S.RIG_SHEET, corrupt_col="_corrupt_record")
     meta = {"data_source": RIG_SOURCE, "file_url": _paths_text(paths)}
-    return _load(wh, RIG_TABLE, S.RAW_RIGS, classified, quarantine, meta, ctx)
+    return _load(wh, RIG_TABLE, S.RAW_RIGS, classified, quarantine, meta, ctx, refresh=refresh)
 
 
 def load_counties(wh: Warehouse, path: str, quarantine: str, ctx: RunContext) -> writers.LoadResult:

@@ -86,15 +86,17 @@ def load_counts(classified: DataFrame) -> DataFrame:
     )
 
 
-def write_split(classified: DataFrame, good_cols: list[Column], table: str, quarantine_path: str) -> LoadResult:
-    """Append good rows to ``table`` and write rejected rows to
-    ``quarantine_path`` (parquet). Counts come from Observations on the
-    writes, so no extra scan is needed."""
+def write_split(classified: DataFrame, good_cols: list[Column], table: str, quarantine_path: str,
+                refresh: bool = False) -> LoadResult:
+    """Append good rows to ``table`` (or, with ``refresh``, replace its
+    rows) and write rejected rows to ``quarantine_path`` (parquet).
+    Counts come from Observations on the writes, so no extra scan is
+    needed."""
     obs_good = Observation("good")
     obs_bad = Observation("bad")
     good = classified.where(F.col(REASON).isNull()).select(*good_cols)
     bad = classified.where(F.col(REASON).isNotNull())
-    good.observe(obs_good, F.count(F.lit(1)).alias("n")).write.mode("append").insertInto(table)
+    good.observe(obs_good, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=refresh)
     bad.observe(obs_bad, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine_path)
     n_good = obs_good.get.get("n", 0)
     n_bad = obs_bad.get.get("n", 0)

@@ -156,3 +156,17 @@ def test_incremental_load_only_new_files(spark, tmp):
     put("extract-2.csv", [("CC", "C")])
     assert run() == 1
     assert spark.table(name).count() == 3
+
+
+def test_rig_refresh_load_replaces_rows_with_metadata(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    inputs = _write_inputs(tmp)
+    q = os.path.join(tmp, "q")
+    loads.load_rigs(wh, inputs.rig_sheets, q, CTX)
+    loads.load_rigs(wh, inputs.rig_sheets, q, CTX)
+    assert wh.source(loads.RIG_TABLE).count() == 8
+    res = loads.load_rigs(wh, inputs.rig_sheets, q, CTX, refresh=True)
+    rows = wh.source(loads.RIG_TABLE).collect()
+    assert res.rows_loaded == 4 and len(rows) == 4
+    assert all(r.ingestion_timestamp == CTX.loaded_at and r.data_source == loads.RIG_SOURCE for r in rows)
