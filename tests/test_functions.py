@@ -1,7 +1,5 @@
 import datetime as dt
-import math
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry import functions as QF

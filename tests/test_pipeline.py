@@ -3,7 +3,6 @@ import json
 import os
 import uuid
 
-from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.config import Namespaces, RunContext
