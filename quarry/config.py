@@ -25,6 +25,19 @@ class Namespaces:
         """Custom schema name if given (trimmed), else the default one."""
         return default.strip() if custom is None else custom.strip()
 
+    @classmethod
+    def routed(cls, default: str | None = None, **custom: str | None) -> "Namespaces":
+        """Layer databases from optional custom names.
+
+        A layer with a custom name uses it verbatim (trimmed); a layer
+        without one uses ``default`` when given, else its own name."""
+        base = cls()
+        names = {}
+        for layer in ("raw", "bronze", "silver", "gold"):
+            fallback = default if default is not None else getattr(base, layer)
+            names[layer] = cls.route(custom.get(layer), fallback)
+        return cls(**names)
+
 
 @dataclass(frozen=True)
 class Thresholds:

@@ -36,6 +36,9 @@ def build_session(
         # Lenient CSV loads flag rows with a wrong field count; that flag
         # must not depend on which columns a query happens to read.
         "spark.sql.csv.parser.columnPruning.enabled": "false",
+        # Ranking and nearest-place checkpoint intermediate results; drop
+        # those files once nothing references them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

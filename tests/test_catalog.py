@@ -10,6 +10,9 @@ from quarry.schemas import schema_from_dtypes
 def test_namespace_routing():
     assert Namespaces.route(None, "analytics") == "analytics"
     assert Namespaces.route("  silver ", "analytics") == "silver"
+    ns = Namespaces.routed(default="analytics", silver=" clean ")
+    assert (ns.raw, ns.bronze, ns.silver, ns.gold) == ("analytics", "analytics", "clean", "analytics")
+    assert Namespaces.routed().gold == "gold"
 
 
 def test_dtype_rules():
