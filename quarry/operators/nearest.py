@@ -165,6 +165,10 @@ def nearest_place(
         F.col("__plat").isNotNull() & F.col("__plon").isNotNull()
         & ~F.isnan("__plat") & ~F.isnan("__plon")
     )
+    # Copies of a place (same coordinates) cannot be split by any grid;
+    # they are at equal distance from every event and ties go to the
+    # smaller id, so keeping the smallest id per coordinate is exact.
+    pl = pl.groupBy("__plat", "__plon").agg(F.min("__pid").alias("__pid"))
     n_places, small_places, auto_deg = _place_stats(pl, broadcast_max_rows)
     if cell_deg is None:
         cell_deg = auto_deg

@@ -91,3 +91,13 @@ def test_far_events_from_dense_cluster_use_pruned_levels(spark):
     places += [(5000 + i, rng.uniform(-50, 50), rng.uniform(-180, 180)) for i in range(30)]
     events = [(i, 40.25 + rng.uniform(-30, 30), -99.75 + rng.uniform(-30, 30)) for i in range(600)]
     assert _run(spark, events, places) == _brute(events, places)
+
+
+def test_copies_of_places(spark):
+    rng = random.Random(9)
+    hot = [(i, 35.0, -97.0) for i in range(3000)]          # one place copied 3000 times
+    others = [(10000 + i, rng.uniform(30, 40), rng.uniform(-100, -90)) for i in range(100)]
+    events = [(i, rng.uniform(30, 40), rng.uniform(-100, -90)) for i in range(500)]
+    got = _run(spark, events, hot + others)
+    assert got == _brute(events, hot + others)
+    assert all(p == 0 or p >= 10000 for p in got.values())
