@@ -57,10 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; only when the setting is absent
     (local tests) is a folder of our own set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = os.environ.get("QUARRY_CHECKPOINT_DIR", DEFAULT_CHECKPOINT_DIR)
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
