@@ -156,7 +156,9 @@ def nearest_place(
         & F.col("__elat").between(-90.0, 90.0),
         F.lit(False),
     )
-    ev = ev_all.where(valid).select("__eid", "__elat", "__elon")
+    # Events with unusable coordinates ride along at the first level (so
+    # the events are read once) and come out with no place.
+    ev = ev_all.select("__eid", "__elat", "__elon")
     pl = places.select(
         F.col(place_id).alias("__pid"),
         F.col(place_lat).try_cast("double").alias("__plat"),
@@ -189,6 +191,15 @@ def nearest_place(
         else:
             best = _best_in_block_pruned(open_events, pl, deg)
         best = best.checkpoint(eager=True)
+        if i == 0:
+            invalid = ~valid
+            if keep_invalid:
+                resolved.append(best.where(invalid).select(
+                    "__eid", "__elat", "__elon", F.lit(None).cast("double").alias("__km"),
+                    *([F.lit(None).cast("long").alias("__prank")] if small_places else
+                      [F.lit(None).cast(pid_type).alias("__pid")]),
+                ))
+            best = best.where(valid)
         if i == len(levels) - 1:
             resolved.append(best)
             break
@@ -209,11 +220,6 @@ def nearest_place(
     if small_places:
         ids = F.broadcast(pl.select("__prank", "__pid"))
         out = out.join(ids, "__prank", "left")
-    if keep_invalid:
-        out = out.unionByName(ev_all.where(~valid).select(
-            "__eid", F.lit(None).cast("double").alias("__km"), F.lit(None).cast(pid_type).alias("__pid"),
-            *([F.lit(None).cast("long").alias("__prank")] if small_places else []),
-        ))
     return out.select(
         F.col("__eid").alias(event_id),
         F.col("__pid").alias(place_id),
@@ -272,7 +278,9 @@ def _best_in_block_pruned(open_events: DataFrame, places: DataFrame, deg: float)
     summary = pc.groupBy("__cy", "__cx", "__sy", "__sx").agg(
         F.min("__plat").alias("__lat_lo"), F.max("__plat").alias("__lat_hi"),
         F.min("__plon").alias("__lon_lo"), F.max("__plon").alias("__lon_hi"),
-        F.min(F.struct("__prank", "__plat", "__plon")).alias("__rep"),
+        F.min("__prank").alias("__rep_rank"),
+        F.min_by("__plat", "__prank").alias("__rep_lat"),
+        F.min_by("__plon", "__prank").alias("__rep_lon"),
     )
     offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
     keys = ["__eid", "__elat", "__elon"]
@@ -287,12 +295,12 @@ def _best_in_block_pruned(open_events: DataFrame, places: DataFrame, deg: float)
         )
         .where(F.col("__cy").between(0, n_lat))
     )
-    rep_km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__rep.__plat"), F.col("__rep.__plon"))
+    rep_km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__rep_lat"), F.col("__rep_lon"))
     phase_a = expanded.join(F.broadcast(summary), ["__cy", "__cx"]).select(
         *keys, "__sy", "__sx",
         _lower_bound_km(F.col("__elat"), F.col("__elon"), F.col("__lat_lo"), F.col("__lat_hi"),
                         F.col("__lon_lo"), F.col("__lon_hi")).alias("__lb"),
-        (F.shiftleft(km_units(rep_km), RANK_BITS) + F.col("__rep.__prank")).alias("__ub"),
+        (F.shiftleft(km_units(rep_km), RANK_BITS) + F.col("__rep_rank")).alias("__ub"),
     )
     upper = phase_a.groupBy("__eid").agg(F.min("__ub").alias("__u"))
     # Keep sub-cells that can hold something at most as far as the best
@@ -315,11 +323,11 @@ def _best_in_block_pruned(open_events: DataFrame, places: DataFrame, deg: float)
 
 
 def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_places: bool) -> DataFrame:
-    """Best candidate per open event among the places of its 3x3 block.
+    """Best candidate per event among the places of its 3x3 block.
 
-    Every event also gets a sentinel candidate, so events with no place
-    in the block still come out of the aggregate (no join back to the
-    events is needed). ``__km`` is NULL for those.
+    The block join is a left join, so an event whose block holds no
+    place (or whose coordinates are unusable) still comes out of the
+    aggregate, with no candidate. No second read of the events is needed.
     """
     n_lat, n_lon = _cells(deg)
     cols = ["__pid", "__plat", "__plon"] + (["__prank"] if small_places else [])
@@ -338,18 +346,20 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
             (_lat_cell(F.col("__elat"), deg) + F.col("__dy")).alias("__cy"),
             F.pmod(_lon_cell(F.col("__elon"), deg) + F.col("__dx"), F.lit(n_lon)).alias("__cx"),
         )
-        .where(F.col("__cy").between(0, n_lat))
+        # Rows off the grid are kept when the cell is NULL (bad
+        # coordinates), so such events still come out of the aggregate.
+        .where(F.col("__cy").isNull() | F.col("__cy").between(0, n_lat))
     )
     side = F.broadcast(pc) if small_places else pc
     km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon"))
-    cand = expanded.join(side, ["__cy", "__cx"])
+    # Left join: an event whose block holds no place keeps a row with no
+    # candidate, so every event comes out of the aggregate below.
+    cand = expanded.join(side, ["__cy", "__cx"], "left")
     keys = ["__eid", "__elat", "__elon"]
     if small_places:
-        packed = F.shiftleft(km_units(km), RANK_BITS) + F.col("__prank")
-        sentinel = open_events.select(*keys, F.lit(NO_CANDIDATE).cast("long").alias("__key"))
+        packed = F.coalesce(F.shiftleft(km_units(km), RANK_BITS) + F.col("__prank"), F.lit(NO_CANDIDATE))
         best = (
             cand.select(*keys, packed.alias("__key"))
-            .unionByName(sentinel)
             .groupBy(*keys)
             .agg(F.min("__key").alias("__key"))
         )
@@ -360,13 +370,9 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
             F.when(found, F.col("__key").bitwiseAND(F.lit((1 << RANK_BITS) - 1))).alias("__prank"),
         )
     # Large place tables: a struct minimum (sort-based aggregate).
-    pid_type = places.schema["__pid"].dataType
-    sentinel = open_events.select(
-        *keys, F.lit(float("inf")).alias("k"), F.lit(None).cast(pid_type).alias("p")
-    )
+    k = F.coalesce(km_units(km).cast("double") / F.lit(10.0 ** KM_DECIMALS), F.lit(float("inf")))
     best = (
-        cand.select(*keys, (km_units(km).cast("double") / F.lit(10.0 ** KM_DECIMALS)).alias("k"), F.col("__pid").alias("p"))
-        .unionByName(sentinel)
+        cand.select(*keys, k.alias("k"), F.col("__pid").alias("p"))
         .groupBy(*keys)
         .agg(F.min(F.struct("k", "p")).alias("__b"))
     )
