@@ -139,3 +139,13 @@ def test_quoted_csv_round_trip(spark, tmp):
     assert text.splitlines()[0] == '"t","n","e"'
     back = spark.read.schema("t string, n bigint, e string").option("header", True).option("escape", '"').csv(out)
     assert sorted((r.t, r.n) for r in back.collect()) == [("a,b", 1), ('q"uote', 2)]
+
+
+def test_sheet_many_small_files_in_one_partition(spark, tmp):
+    d = os.path.join(tmp, "small")
+    os.makedirs(d)
+    for f in range(6):
+        _sheet(os.path.join(d, f"f{f}.csv"), [_row(100 * f + i) for i in range(3)])
+    df = sheet.read_rig_sheet(spark, d)
+    rows = sorted(r.County for r in df.collect())
+    assert rows == sorted(f"County {100 * f + i}" for f in range(6) for i in range(3))
