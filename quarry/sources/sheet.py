@@ -39,7 +39,7 @@ def _drop_leading(skip: int):
             if first.any():
                 # Position of each line within its file's first split.
                 pos = pdf[first].groupby("file_path", sort=False).cumcount()
-                offset = pdf.loc[first, "file_path"].map(lambda p: seen.get(p, 0))
+                offset = pdf.loc[first, "file_path"].map(seen).fillna(0).astype("int64")
                 keep.loc[first] = (pos + offset) >= skip
                 for path, n in pdf[first].groupby("file_path", sort=False).size().items():
                     seen[path] = seen.get(path, 0) + int(n)
