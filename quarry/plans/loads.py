@@ -62,6 +62,9 @@ def _load(
     stamped = writers.stamp_metadata(classified, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
     good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     result = writers.write_split(stamped, good_cols, target, quarantine, refresh=refresh)
+    # The write may have run in another session (a stream's batch): drop
+    # this session's cached file listing of the table before reading it.
+    wh.spark.catalog.refreshTable(target)
     result.table_rows = wh.spark.table(target).count()
     return result
 
@@ -73,8 +76,14 @@ def load_rigs(wh: Warehouse, paths: str | Sequence[str], quarantine: str, ctx: R
     ``refresh`` replaces the table's rows with this extract (stamped like
     an append) instead of adding to them."""
     raw = sheet.read_rig_sheet(wh.spark, paths).drop("file_path")
+    return load_rig_rows(wh, raw, quarantine, ctx, _paths_text(paths), refresh=refresh)
+
+
+def load_rig_rows(wh: Warehouse, raw: DataFrame, quarantine: str, ctx: RunContext, file_url: str,
+                  refresh: bool = False) -> writers.LoadResult:
+    """Parsed sheet rows (12 text columns + corrupt record) -> raw rigs."""
     classified = validate.classify(raw, S.RIG_SHEET, corrupt_col="_corrupt_record")
-    meta = {"data_source": RIG_SOURCE, "file_url": _paths_text(paths)}
+    meta = {"data_source": RIG_SOURCE, "file_url": file_url}
     return _load(wh, RIG_TABLE, S.RAW_RIGS, classified, quarantine, meta, ctx, refresh=refresh)
 
 

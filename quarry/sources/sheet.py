@@ -8,6 +8,10 @@ there, per file, while the split streams through (no shuffle, no
 whole-file task). Quoted line breaks inside a field are not supported
 on this path, and the first split of a file must hold all preamble
 lines (any split size above a few KB does).
+
+Text stays as it is: a quoted empty field is an empty string, not NULL
+(extracts are written fully quoted). An unquoted empty field reads as
+NULL, which is how Spark's CSV parser treats it.
 """
 
 from __future__ import annotations
@@ -47,9 +51,17 @@ def _drop_leading(skip: int):
     return run
 
 
-def read_sheet_lines(spark: SparkSession, paths: str | Sequence[str], skip: int = PREAMBLE_LINES + HEADER_LINES) -> DataFrame:
-    """Data lines of the sheet exports (``value``, ``file_path``)."""
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+def read_sheet_lines(spark: SparkSession, paths: str | Sequence[str], skip: int = PREAMBLE_LINES + HEADER_LINES,
+                     stream: bool = False) -> DataFrame:
+    """Data lines of the sheet exports (``value``, ``file_path``).
+
+    With ``stream`` the folder ``paths`` is read as a file stream (new
+    files only, tracked by the query's checkpoint)."""
+    if stream:
+        raw = spark.readStream.text(paths)
+    else:
+        raw = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    lines = raw.select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -75,6 +87,6 @@ def parse_positional(lines: DataFrame, names: Sequence[str] = RIG_SHEET_COLUMNS)
     )
 
 
-def read_rig_sheet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_rig_sheet(spark: SparkSession, paths: str | Sequence[str], stream: bool = False) -> DataFrame:
     """The rig sheet as text columns with its 12 positional names."""
-    return parse_positional(read_sheet_lines(spark, paths))
+    return parse_positional(read_sheet_lines(spark, paths, stream=stream))

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -30,6 +31,7 @@ def load_new_files(
     fmt: str = "csv",
     options: dict[str, str] | None = None,
     max_files_per_trigger: int | None = None,
+    refresh_table: str | None = None,
 ) -> int:
     """Process files not seen before; return the number of input rows."""
     reader = spark.readStream.format(fmt).schema(schema)
@@ -45,6 +47,9 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
+    if refresh_table:
+        # Batches write through the stream's own session.
+        spark.catalog.refreshTable(refresh_table)
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 
@@ -55,3 +60,35 @@ def append_batches(table: str, transform: Callable[[DataFrame], DataFrame]) -> C
         cols = batch.sparkSession.table(table).columns
         out.select(*[f"`{c}`" for c in cols]).write.mode("append").insertInto(table)
     return run
+
+
+def load_new_sheets(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx) -> int:
+    """Rig sheet exports dropped into ``drop_dir``: load the files not
+    seen before into the raw rig table (typed, quarantined, stamped like
+    a batch load); return the number of data lines read."""
+    from quarry.plans import loads
+    from quarry.sources import sheet
+
+    parsed = sheet.read_rig_sheet(wh.spark, drop_dir, stream=True)
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        # The load runs several actions (empty check, good rows, rejected
+        # rows); keep the batch so its files are read once.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            loads.load_rig_rows(wh, batch.drop("file_path"), f"{quarantine.rstrip('/')}/batch={epoch_id}", ctx,
+                                file_url=drop_dir)
+        finally:
+            batch.unpersist()
+
+    query = (
+        parsed.writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    # Batches write through the stream's own session; refresh the
+    # caller's view of the table.
+    wh.spark.catalog.refreshTable(wh.name("raw", loads.RIG_TABLE))
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)

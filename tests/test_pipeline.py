@@ -10,7 +10,7 @@ from quarry.operators import quality
 from quarry.plans import loads, pipeline
 from quarry.plans.materialize import Warehouse
 from quarry.sinks import writers
-from quarry.streaming.incremental import append_batches, load_new_files
+from quarry.streaming.incremental import append_batches, load_new_files, load_new_sheets
 
 CTX = RunContext(run_id="run-1", loaded_at=dt.datetime(2024, 1, 10, 6, 0))
 
@@ -147,7 +147,7 @@ def test_incremental_load_only_new_files(spark, tmp):
 
     def run():
         return load_new_files(spark, drop, S.STATE_CODE, cp, append_batches(name, lambda b: b),
-                              options={"header": "true"})
+                              options={"header": "true"}, refresh_table=name)
 
     put("extract-1.csv", [("AA", "A"), ("BB", "B")])
     assert run() == 2
@@ -169,3 +169,24 @@ def test_rig_refresh_load_replaces_rows_with_metadata(spark, tmp):
     rows = wh.source(loads.RIG_TABLE).collect()
     assert res.rows_loaded == 4 and len(rows) == 4
     assert all(r.ingestion_timestamp == CTX.loaded_at and r.data_source == loads.RIG_SOURCE for r in rows)
+
+
+def test_incremental_rig_sheets(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    src = _write_inputs(tmp).rig_sheets[0]
+    drop = os.path.join(tmp, "rig_drop")
+    os.makedirs(drop)
+    cp, q = os.path.join(tmp, "rig_cp"), os.path.join(tmp, "rig_q")
+    with open(src) as f:
+        text = f.read()
+    with open(os.path.join(drop, "2024-01-05.csv"), "w") as f:
+        f.write(text)
+    load_new_sheets(wh, drop, cp, q, CTX)
+    assert wh.source(loads.RIG_TABLE).count() == 4          # 5 data lines, 1 quarantined
+    load_new_sheets(wh, drop, cp, q, CTX)
+    assert wh.source(loads.RIG_TABLE).count() == 4          # nothing new
+    with open(os.path.join(drop, "2024-01-12.csv"), "w") as f:
+        f.write(text)
+    load_new_sheets(wh, drop, cp, q, CTX)
+    assert wh.source(loads.RIG_TABLE).count() == 8
