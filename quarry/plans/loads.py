@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,11 +58,17 @@ def _load(
     replace the table's rows instead) and quarantine the rest."""
     target = wh.name("raw", table)
     writers.ensure_table(wh.spark, target, schema)
-    if classified.isEmpty():  # S7: nothing to load, table untouched
-        return writers.LoadResult(0, 0, 0, wh.spark.table(target).count())
-    stamped = writers.stamp_metadata(classified, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
-    good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    result = writers.write_split(stamped, good_cols, target, quarantine, refresh=refresh)
+    # Good rows and rejected rows are two writes of one classified plan;
+    # keep it so the extract's files are read once.
+    classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if classified.isEmpty():  # S7: nothing to load, table untouched
+            return writers.LoadResult(0, 0, 0, wh.spark.table(target).count())
+        stamped = writers.stamp_metadata(classified, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
+        good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+        result = writers.write_split(stamped, good_cols, target, quarantine, refresh=refresh)
+    finally:
+        classified.unpersist()
     # The write may have run in another session (a stream's batch): drop
     # this session's cached file listing of the table before reading it.
     wh.spark.catalog.refreshTable(target)
