@@ -55,11 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
     Read from ``spark.checkpoint.dir``; only when the setting is absent
-    (local tests) is a folder of our own set.
+    and the master is local (tests) is a folder of our own set. On a
+    cluster a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = os.environ.get("QUARRY_CHECKPOINT_DIR", DEFAULT_CHECKPOINT_DIR)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
