@@ -37,6 +37,8 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
     extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_JAVA_OPTS"):
+        extra["spark.driver.extraJavaOptions"] = os.environ["BENCH_JAVA_OPTS"]
     log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # a scratch folder, for tools/stage_times.py
     if log_dir:
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
