@@ -34,9 +34,10 @@ QUAKE_TABLE = "bronze_earthquake_raw"
 COUNTY_TABLE = "us_counties_centroids"
 SEED_TABLE = "state_code"
 
-RIG_SOURCE = "Baker Hughes Rig Count"
-QUAKE_SOURCE = "USGS Earthquake API"
-COUNTY_SOURCE = "US_Counties_Centroids_CSV"
+# Load labels stamped into ``data_source``.
+RIG_SOURCE = "rig count sheet"
+QUAKE_SOURCE = "earthquake feed"
+COUNTY_SOURCE = "county centroids csv"
 
 
 def _paths_text(paths: str | Sequence[str]) -> str:
