@@ -7,7 +7,7 @@ import uuid
 from quarry import schemas as S
 from quarry.config import Namespaces, RunContext
 from quarry.operators import quality
-from quarry.plans import loads, pipeline
+from quarry.plans import checks, loads, pipeline
 from quarry.plans.materialize import Warehouse
 from quarry.sinks import writers
 from quarry.streaming.incremental import append_batches, load_new_files, load_new_sheets
@@ -89,6 +89,11 @@ def test_whole_run(spark, tmp):
     # quarantine keeps the rejected rig row
     q = spark.read.parquet(os.path.join(tmp, "quarantine", "rigs"))
     assert [r._reject_reason for r in q.collect()] == ["bad_value:Rig Count Value"]
+    # the declared checks: 23 not-null + 2 unique, all passing on one clean load
+    dq = checks.column_checks(wh).collect()
+    assert len(dq) == 25 and {r.status for r in dq} == {"pass"}
+    fresh = {r.table_name: r.status for r in checks.source_freshness(wh, CTX.loaded_at + dt.timedelta(hours=30)).collect()}
+    assert fresh == {loads.RIG_TABLE: "warn", loads.QUAKE_TABLE: "warn", loads.COUNTY_TABLE: "warn"}
 
 
 def test_append_twice_doubles_and_unique_fails(spark, tmp):
