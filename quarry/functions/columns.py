@@ -36,9 +36,16 @@ def to_day(c: ColumnOrName) -> Column:
     return F.to_date(_col(c))
 
 
+# Text date layouts accepted besides ISO ``yyyy-M-d`` (with or without a
+# time part), in the order tried (fixed values).
+TEXT_DATE_FORMATS = ("M/d/yyyy",)
+
+
 def text_to_date(c: ColumnOrName) -> Column:
-    """Date from text; text that is not a date becomes NULL."""
-    return F.try_to_date(_col(c))
+    """Date from text (ISO first, then US month/day/year); text that is
+    not a date becomes NULL."""
+    col = _col(c)
+    return F.coalesce(F.try_to_date(col), *[F.try_to_date(col, f) for f in TEXT_DATE_FORMATS])
 
 
 def iso_week(c: ColumnOrName) -> Column:

@@ -12,8 +12,10 @@ def test_iso_week_and_calendar_year(spark):
 
 
 def test_text_to_date_is_lenient(spark):
-    df = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("n/a",), (None,)], "s string")
-    assert [r.d for r in df.select(QF.text_to_date("s").alias("d")).collect()] == [dt.date(2024, 2, 29), None, None, None]
+    texts = ["2024-02-29", "2023-02-29", "n/a", None, "2024-01-05 00:00:00", "1/5/2024", "01/05/2024"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.d for r in df.select(QF.text_to_date("s").alias("d")).collect()]
+    assert got == [dt.date(2024, 2, 29), None, None, None, dt.date(2024, 1, 5), dt.date(2024, 1, 5), dt.date(2024, 1, 5)]
 
 
 def test_last_token(spark):
