@@ -195,3 +195,18 @@ def test_incremental_rig_sheets(spark, tmp):
         f.write(text)
     load_new_sheets(wh, drop, cp, q, CTX)
     assert wh.source(loads.RIG_TABLE).count() == 8
+
+
+def test_command_line_run(tmp):
+    import subprocess
+    import sys
+    inputs = _write_inputs(tmp)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cmd = [sys.executable, "-m", "quarry", "--master", "local[2]", "--schema", f"cli_{uuid.uuid4().hex[:6]}",
+           "run", "--rig-sheet", inputs.rig_sheets[0], "--quake-features", inputs.quake_features[0],
+           "--county-csv", inputs.county_csv, "--quarantine", os.path.join(tmp, "q"), "--run-id", "cli"]
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--conf spark.sql.warehouse.dir=" + os.path.join(tmp, "wh") + " pyspark-shell")
+    out = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=600, env=env)
+    assert out.returncode == 0, out.stderr[-2000:]
+    res = json.loads(out.stdout.strip().splitlines()[-1])
+    assert res["rigs"]["rows_loaded"] == 4 and res["quakes"]["rows_loaded"] == 6
