@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--quarantine", required=True)
     r.add_argument("--run-id")
     r.add_argument("--partition-silver", action="store_true")
+    r.add_argument("--checks-as-of", help="also print the data-quality checks, freshness against this ISO time")
     c = sub.add_parser("checks", help="not-null / unique checks and source freshness")
     c.add_argument("--as-of", help="ISO timestamp; default: now (UTC)")
     args = p.parse_args(argv)
@@ -51,15 +52,22 @@ def main(argv: list[str] | None = None) -> int:
                                  quarantine_dir=args.quarantine)
         results = pipeline.run(wh, inputs, ctx, partition_silver=args.partition_silver)
         print(json.dumps({k: vars(v) for k, v in results.items()}))
+        if args.checks_as_of:
+            _print_checks(wh, dt.datetime.fromisoformat(args.checks_as_of))
     else:
+        # Needs the tables in a persistent catalog (a cluster metastore).
         as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        for row in checks.column_checks(wh).collect():
-            print(json.dumps(row.asDict()))
-        for row in checks.source_freshness(wh, as_of).collect():
-            print(json.dumps({k: str(v) for k, v in row.asDict().items()}))
+        _print_checks(wh, as_of)
     spark.stop()
     return 0
 
 
+def _print_checks(wh: Warehouse, as_of: dt.datetime) -> None:
+    for row in checks.column_checks(wh).collect():
+        print(json.dumps(row.asDict()))
+    for row in checks.source_freshness(wh, as_of).collect():
+        print(json.dumps({k: str(v) for k, v in row.asDict().items()}))
+
+
 if __name__ == "__main__":
     sys.exit(main())

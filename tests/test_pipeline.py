@@ -204,9 +204,14 @@ def test_command_line_run(tmp):
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     cmd = [sys.executable, "-m", "quarry", "--master", "local[2]", "--schema", f"cli_{uuid.uuid4().hex[:6]}",
            "run", "--rig-sheet", inputs.rig_sheets[0], "--quake-features", inputs.quake_features[0],
-           "--county-csv", inputs.county_csv, "--quarantine", os.path.join(tmp, "q"), "--run-id", "cli"]
+           "--county-csv", inputs.county_csv, "--quarantine", os.path.join(tmp, "q"), "--run-id", "cli",
+           "--checks-as-of", "2024-01-10T07:00:00"]
     env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--conf spark.sql.warehouse.dir=" + os.path.join(tmp, "wh") + " pyspark-shell")
     out = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=600, env=env)
     assert out.returncode == 0, out.stderr[-2000:]
-    res = json.loads(out.stdout.strip().splitlines()[-1])
+    lines = [json.loads(x) for x in out.stdout.strip().splitlines() if x.startswith("{")]
+    res = lines[0]
     assert res["rigs"]["rows_loaded"] == 4 and res["quakes"]["rows_loaded"] == 6
+    checks_out = lines[1:]
+    assert len(checks_out) == 25 + 3
+    assert {c["status"] for c in checks_out[:25]} == {"pass"}
