@@ -84,29 +84,33 @@ MEAN_PLACES_PER_CELL = 6.0
 
 
 def _place_stats(places: DataFrame, broadcast_max_rows: int) -> tuple[int, bool, float]:
-    """One aggregate job over the places: row count (for the broadcast
-    check) and densities on a 1-degree grid (for the first cell size).
-
-    The first cell is coarse enough for ~6 places per cell on average
-    over the occupied area, but fine enough that the densest 1-degree
-    cell is split into cells of ~32 places, so a cluster of places does
-    not give every nearby event thousands of candidates.
+    """Row count of the places (for the broadcast check) and the first
+    cell size, from small aggregate jobs over the places only.
+
+    The first cell is sized for ~MEAN_PLACES_PER_CELL places per cell at
+    the places' mean density over their bounding box, so nearly every
+    event is final at the first level. It is then shrunk while the
+    busiest cell holds more than 2 * MAX_PLACES_PER_CELL places, so a
+    cluster of places does not give every nearby event thousands of
+    candidates (the coarser levels prune instead of scoring all).
     """
-    per_cell = places.groupBy(
-        F.floor(F.col("__plat")).alias("y"), F.floor(F.col("__plon")).alias("x")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    row = per_cell.agg(
-        F.sum("n").alias("places"), F.count(F.lit(1)).alias("cells"), F.max("n").alias("peak")
+    row = places.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("__plat").alias("lat_lo"), F.max("__plat").alias("lat_hi"),
+        F.min("__plon").alias("lon_lo"), F.max("__plon").alias("lon_hi"),
     ).collect()[0]
-    n = int(row["places"] or 0)
+    n = int(row["n"] or 0)
     if n == 0:
         return 0, True, 120.0
-    mean_density = n / max(int(row["cells"]), 1)
-    deg = min(
-        math.sqrt(MEAN_PLACES_PER_CELL / mean_density),
-        math.sqrt(MAX_PLACES_PER_CELL / max(int(row["peak"]), 1)),
-    )
-    deg = min(max(deg, 0.01), 60.0)
+    area = max((row["lat_hi"] - row["lat_lo"]) * (row["lon_hi"] - row["lon_lo"]), 1e-4)
+    deg = min(max(math.sqrt(MEAN_PLACES_PER_CELL * area / n), 0.01), 60.0)
+    for _ in range(8):
+        peak = places.groupBy(
+            F.floor(F.col("__plat") / F.lit(deg)), F.floor(F.col("__plon") / F.lit(deg))
+        ).count().agg(F.max("count")).collect()[0][0]
+        if peak <= 2 * MAX_PLACES_PER_CELL or deg <= 0.01:
+            break
+        deg = max(deg * math.sqrt(MAX_PLACES_PER_CELL / peak), 0.01)
     return n, n <= min(broadcast_max_rows, 1 << RANK_BITS), deg
 
 
