@@ -238,6 +238,29 @@ RANK_BITS = 20
 NO_CANDIDATE = (1 << 62)
 
 
+def _into_blocks(df: DataFrame, n_lat: int, n_lon: int) -> DataFrame:
+    """Copy each row of a (small) table keyed by cell (``__cy``, ``__cx``)
+    into the 9 cells whose 3x3 block contains that cell, so an event
+    joins on its own cell only and the large side is not multiplied."""
+    offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    return (
+        df.withColumn("__dy", F.explode(offsets))
+        .withColumn("__dx", F.explode(offsets))
+        .withColumn("__cy", F.col("__cy") + F.col("__dy"))
+        .withColumn("__cx", F.pmod(F.col("__cx") + F.col("__dx"), F.lit(n_lon)))
+        .where(F.col("__cy").between(0, n_lat))
+        .drop("__dy", "__dx")
+    )
+
+
+def _event_cells(open_events: DataFrame, deg: float) -> DataFrame:
+    return open_events.select(
+        "__eid", "__elat", "__elon",
+        _lat_cell(F.col("__elat"), deg).alias("__cy"),
+        _lon_cell(F.col("__elon"), deg).alias("__cx"),
+    )
+
+
 # Sub-cells per cell side used to prune places at the coarser levels.
 SUB_CELLS = 4
 
@@ -286,19 +309,9 @@ def _best_in_block_pruned(open_events: DataFrame, places: DataFrame, deg: float)
         F.min_by("__plat", "__prank").alias("__rep_lat"),
         F.min_by("__plon", "__prank").alias("__rep_lon"),
     )
-    offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
     keys = ["__eid", "__elat", "__elon"]
-    expanded = (
-        open_events
-        .withColumn("__dy", F.explode(offsets))
-        .withColumn("__dx", F.explode(offsets))
-        .select(
-            *keys,
-            (_lat_cell(F.col("__elat"), deg) + F.col("__dy")).alias("__cy"),
-            F.pmod(_lon_cell(F.col("__elon"), deg) + F.col("__dx"), F.lit(n_lon)).alias("__cx"),
-        )
-        .where(F.col("__cy").between(0, n_lat))
-    )
+    expanded = _event_cells(open_events, deg)
+    summary = _into_blocks(summary, n_lat, n_lon)
     rep_km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__rep_lat"), F.col("__rep_lon"))
     phase_a = expanded.join(F.broadcast(summary), ["__cy", "__cx"]).select(
         *keys, "__sy", "__sx",
@@ -331,7 +344,8 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
 
     The block join is a left join, so an event whose block holds no
     place (or whose coordinates are unusable) still comes out of the
-    aggregate, with no candidate. No second read of the events is needed.
+    aggregate, with no candidate. Events keep one row each (the places
+    are copied into neighbouring cells instead) and are read once.
     """
     n_lat, n_lon = _cells(deg)
     cols = ["__pid", "__plat", "__plon"] + (["__prank"] if small_places else [])
@@ -340,24 +354,17 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
         _lat_cell(F.col("__plat"), deg).alias("__cy"),
         _lon_cell(F.col("__plon"), deg).alias("__cx"),
     )
-    offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    expanded = (
-        open_events
-        .withColumn("__dy", F.explode(offsets))
-        .withColumn("__dx", F.explode(offsets))
-        .select(
-            "__eid", "__elat", "__elon",
-            (_lat_cell(F.col("__elat"), deg) + F.col("__dy")).alias("__cy"),
-            F.pmod(_lon_cell(F.col("__elon"), deg) + F.col("__dx"), F.lit(n_lon)).alias("__cx"),
-        )
-        # Rows off the grid are kept when the cell is NULL (bad
-        # coordinates), so such events still come out of the aggregate.
-        .where(F.col("__cy").isNull() | F.col("__cy").between(0, n_lat))
-    )
+    # Events keep one row (their own cell); places are copied into the
+    # cells whose block holds them. A NULL cell (bad coordinates) matches
+    # nothing, so such events come out with no candidate.
+    expanded = _event_cells(open_events, deg)
+    pc = _into_blocks(pc, n_lat, n_lon)
     side = F.broadcast(pc) if small_places else pc
     km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon"))
     # Left join: an event whose block holds no place keeps a row with no
-    # candidate, so every event comes out of the aggregate below.
+    # candidate, so every event comes out of the aggregate below. All
+    # candidates of an event come from one input row in one task, so the
+    # partial aggregate leaves one row per event for the shuffle.
     cand = expanded.join(side, ["__cy", "__cx"], "left")
     keys = ["__eid", "__elat", "__elon"]
     if small_places:
@@ -373,7 +380,8 @@ def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_
             F.when(found, F.shiftright("__key", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)).alias("__km"),
             F.when(found, F.col("__key").bitwiseAND(F.lit((1 << RANK_BITS) - 1))).alias("__prank"),
         )
-    # Large place tables: a struct minimum (sort-based aggregate).
+    # Large place tables: a shuffle join on the cell, then a struct
+    # minimum per event (sort-based aggregate).
     k = F.coalesce(km_units(km).cast("double") / F.lit(10.0 ** KM_DECIMALS), F.lit(float("inf")))
     best = (
         cand.select(*keys, k.alias("k"), F.col("__pid").alias("p"))
