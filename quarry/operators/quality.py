@@ -125,3 +125,36 @@ def freshness_by(
         .otherwise(F.lit("error"))
         .alias("status"),
     )
+
+
+def unique_many(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """``unique`` for several columns in one scan of the table.
+
+    One grouping-sets aggregate counts every value of every column (each
+    set groups one column; ``grouping_id`` tells the sets apart), then a
+    single global aggregate counts, per column, the values seen more
+    than once. NULLs are ignored as in ``unique``.
+    """
+    if len(columns) == 1:
+        return unique(df, table, columns[0])
+    k = len(columns)
+    cols = [F.col(f"`{c}`") for c in columns]
+    counted = df.groupingSets([[c] for c in cols], *cols).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid")
+    )
+    dup = counted.where(F.col("__n") > 1)
+    full = (1 << k) - 1
+    per_column = dup.agg(*[
+        F.count_if((F.col("__gid") == F.lit(full ^ (1 << (k - 1 - i)))) & cols[i].isNotNull()).cast("bigint").alias(f"c{i}")
+        for i in range(k)
+    ])
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("failures")) for i, c in enumerate(columns)
+    ]))
+    return per_column.select(stacked.alias("s")).select(
+        F.lit(table).alias("table_name"),
+        F.col("s.column_name").alias("column_name"),
+        F.lit("unique").alias("check_name"),
+        F.col("s.failures").alias("failures"),
+        _status(F.col("s.failures")).alias("status"),
+    )

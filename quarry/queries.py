@@ -405,7 +405,7 @@ def q_dq_not_null(spark, d):
 
 def q_dq_unique(spark, d):
     raw = A.raw_quakes(spark, d)
-    return quality.union_all([quality.unique(raw, "raw_quakes", c) for c in ("id", "place", "sig")])
+    return quality.unique_many(raw, "raw_quakes", ["id", "place", "sig"])
 
 
 def q_dq_freshness(spark, d):

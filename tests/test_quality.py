@@ -39,3 +39,12 @@ def test_freshness_by_source(spark):
                                "src string, loaded timestamp_ntz")
     got = {r.table_name: r.status for r in quality.freshness_by(df, F.col("src"), "loaded", AS_OF).collect()}
     assert got == {"x": "pass", "y": "error"}
+
+
+def test_unique_many_matches_single_checks(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "p"), ("a", 2, "p"), ("b", 2, None), (None, None, None), (None, 3, "q"), ("c", 3, "q")],
+        "x string, y bigint, z string")
+    many = {r.column_name: (r.failures, r.status) for r in quality.unique_many(df, "t", ["x", "y", "z"]).collect()}
+    single = {c: (r.failures, r.status) for c in ["x", "y", "z"] for r in quality.unique(df, "t", c).collect()}
+    assert many == single == {"x": (1, "fail"), "y": (2, "fail"), "z": (2, "fail")}
