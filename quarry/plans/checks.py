@@ -1,7 +1,8 @@
 """The warehouse's declared data-quality suite (Q1-Q3) as DataFrames.
 
 ``column_checks`` runs every not-null and unique check of the raw and
-silver tables (one aggregate pass per table for the not-null checks);
+silver tables (one scan per table for its not-null checks, one for its
+unique checks);
 ``source_freshness`` checks the loaded-at column of each raw source.
 """
 
@@ -43,7 +44,10 @@ def _table(wh: Warehouse, layer: str, name: str) -> DataFrame:
 def column_checks(wh: Warehouse) -> DataFrame:
     """(table_name, column_name, check_name, failures, status) per check."""
     parts = [quality.not_null(_table(wh, layer, t), t, cols) for layer, t, cols in NOT_NULL]
-    parts += [quality.unique(_table(wh, layer, t), t, c) for layer, t, c in UNIQUE]
+    by_table: dict[tuple[str, str], list[str]] = {}
+    for layer, t, c in UNIQUE:
+        by_table.setdefault((layer, t), []).append(c)
+    parts += [quality.unique_many(_table(wh, layer, t), t, cols) for (layer, t), cols in by_table.items()]
     return quality.union_all(parts)
 
 
