@@ -122,6 +122,20 @@ def load_quakes(
     ``bbox`` are the extract's source-side predicates.
     """
     ev = geojson.read_events(wh.spark, paths, sequence=sequence)
+    return load_quake_rows(wh, ev, quarantine, ctx, places=places, period=period, bbox=bbox, api_url=api_url)
+
+
+def load_quake_rows(
+    wh: Warehouse,
+    ev: DataFrame,
+    quarantine: str,
+    ctx: RunContext,
+    places: DataFrame | None = None,
+    period: tuple[dt.date, dt.date] | None = None,
+    bbox: dict | None = None,
+    api_url: str = "",
+) -> writers.LoadResult:
+    """Flattened feed events (``geojson.flatten_features``) -> raw events."""
     if period:
         ev = filters.time_window(ev, "time", period[0], period[1])
     if bbox:

@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -92,3 +93,33 @@ def load_new_sheets(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx) ->
     # caller's view of the table.
     wh.spark.catalog.refreshTable(wh.name("raw", loads.RIG_TABLE))
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+def load_new_features(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx, places: DataFrame | None = None,
+                      api_url: str = "") -> int:
+    """Line-delimited GeoJSON features dropped into ``drop_dir``: load the
+    files not seen before into the raw event table, each event located
+    at its nearest place; return the number of features read."""
+    from quarry.plans import loads
+    from quarry.sources import geojson
+
+    features = wh.spark.readStream.schema(geojson.FEATURE).json(drop_dir).select(F.struct("*").alias("f"))
+    events = geojson.flatten_features(features)
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            loads.load_quake_rows(wh, batch, f"{quarantine.rstrip('/')}/batch={epoch_id}", ctx,
+                                  places=places, api_url=api_url)
+        finally:
+            batch.unpersist()
+
+    query = (
+        events.writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    wh.spark.catalog.refreshTable(wh.name("raw", loads.QUAKE_TABLE))
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)

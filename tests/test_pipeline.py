@@ -10,7 +10,7 @@ from quarry.operators import quality
 from quarry.plans import checks, loads, pipeline
 from quarry.plans.materialize import Warehouse
 from quarry.sinks import writers
-from quarry.streaming.incremental import append_batches, load_new_files, load_new_sheets
+from quarry.streaming.incremental import append_batches, load_new_features, load_new_files, load_new_sheets
 
 CTX = RunContext(run_id="run-1", loaded_at=dt.datetime(2024, 1, 10, 6, 0))
 
@@ -215,3 +215,30 @@ def test_command_line_run(tmp):
     checks_out = lines[1:]
     assert len(checks_out) == 25 + 3
     assert {c["status"] for c in checks_out[:25]} == {"pass"}
+
+
+def test_incremental_event_features(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    inputs = _write_inputs(tmp)
+    pipeline.run_loads(wh, pipeline.Inputs(county_csv=inputs.county_csv,
+                                           quarantine_dir=os.path.join(tmp, "q0")), CTX)
+    places = pipeline.places(wh)
+    drop = os.path.join(tmp, "event_drop")
+    os.makedirs(drop)
+    cp, q = os.path.join(tmp, "ev_cp"), os.path.join(tmp, "ev_q")
+
+    def put(name, ids):
+        with open(os.path.join(drop, name), "w") as f:
+            for i in ids:
+                f.write(json.dumps({"id": f"e{i}", "properties": {"mag": 1.0 + i, "time": 1704067200000 + i},
+                                    "geometry": {"coordinates": [-95.3, 29.9, 1.0]}}) + "\n")
+
+    put("day-1.jsonl", range(3))
+    load_new_features(wh, drop, cp, q, CTX, places=places)
+    load_new_features(wh, drop, cp, q, CTX, places=places)
+    put("day-2.jsonl", range(3, 5))
+    load_new_features(wh, drop, cp, q, CTX, places=places)
+    rows = wh.source(loads.QUAKE_TABLE).collect()
+    assert sorted(r.id for r in rows) == [f"e{i}" for i in range(5)]
+    assert {(r.state, r.county) for r in rows} == {("TEXAS", "Harris")}
