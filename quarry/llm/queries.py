@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm.decontam import contamination
+from quarry.llm.id_files import encode_and_read
 from quarry.llm.near_dedup import near_duplicates
-from quarry.llm.tables import table
+from quarry.llm.tables import table, tokenizer_file
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_read(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op9_id_files": op9_id_files,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {}

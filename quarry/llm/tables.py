@@ -76,3 +76,10 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
                 yield from fn(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

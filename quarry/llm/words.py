@@ -3,9 +3,8 @@
 The operators of this package read words straight from the UTF-8 bytes of
 an Arrow string column: a byte table says which bytes belong to words, the
 word borders are found with one pass, and each word becomes a 64-bit hash
-(polynomial over its bytes, mixed). Work is done in pieces of bounded
-size that end between words, so that a very long text needs no more
-scratch memory than a short one.
+(polynomial over its bytes, mixed). Hashing goes in pieces of bounded
+size that end between words.
 
 Null texts have no words. The hash of a word depends on its (lower-cased)
 bytes alone; two different words share one with probability about 2**-64.
@@ -18,12 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes scanned at once
+PIECE = 1 << 17  # bytes hashed at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"): ord("Z") + 1] += 32
-_SAME = np.arange(256, dtype=np.uint8)
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"): ord("Z") + 1] += 32
 
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -107,67 +105,43 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
 
+def units(folded: np.ndarray, begin: np.ndarray, offsets: np.ndarray, keep: np.ndarray | None = None) -> Words:
+    """Units of every row of (already folded) bytes. ``begin`` marks the bytes
+    at which a unit starts; rows start one by themselves. Units whose first
+    byte is not in ``keep`` are left out."""
+    n = len(folded)
+    begin[offsets[offsets < n]] = True
+    start = np.flatnonzero(begin)
+    end = np.append(start[1:], n)
+    if keep is not None:
+        kept = keep[start]
+        start, end = start[kept], end[kept]
+    hash_ = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + PIECE)))
+        if j - i > 1 and end[j - 1] - start[i] > 2 * PIECE:  # an extraordinary unit waits for its own turn
+            j -= 1
+        a, b = start[i], end[j - 1]
+        up, down = _powers(b - a + 1)
+        with np.errstate(over="ignore"):
+            total = np.empty(b - a + 1, np.uint64)
+            total[0] = 0
+            np.cumsum((folded[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=total[1:])
+            hash_[i:j] = mix((total[end[i:j] - a] - total[start[i:j] - a]) * down[start[i:j] - a])
+        i = j
+    return Words(hash_, start, end, np.searchsorted(start, offsets, side="left"))
+
+
 def scan(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray = NOT_SPACE, lower: bool = True) -> Words:
     """Words of every row. ``inside`` tells the word bytes (of text that is
     lower-cased first if ``lower``)."""
-    n = len(raw)
-    fold = _LOWER if lower else _SAME
-    table = inside[fold]
-    starts, ends, hashes = [], [], []
-    breaks = np.unique(offsets[(offsets > 0) & (offsets < n)])
-    a = 0
-    while a < n:
-        b = min(n, a + PIECE)
-        word = table[raw[a:b]]
-        if b < n and word[-1]:  # end between two words (or rows) if one is in reach
-            gaps = np.flatnonzero(~word)
-            cut = a + int(gaps[-1]) + 1 if len(gaps) else a
-            k = int(np.searchsorted(breaks, b, side="right"))
-            if k and breaks[k - 1] > a:
-                cut = max(cut, int(breaks[k - 1]))
-            if cut > a:
-                b = cut
-                word = word[: b - a]
-            else:  # a word longer than a piece: take it whole
-                k = int(np.searchsorted(breaks, b))
-                stop = int(breaks[k]) if k < len(breaks) else n
-                step = b
-                while step < stop:
-                    out = np.flatnonzero(~table[raw[step: min(stop, step + PIECE)]])
-                    if len(out):
-                        stop = step + int(out[0])
-                        break
-                    step += PIECE
-                b = stop
-                word = table[raw[a:b]]
-        if b <= a:
-            b = min(n, a + 1)
-            word = table[raw[a:b]]
-        change = np.empty(len(word) + 1, dtype=bool)
-        change[0] = word[0]
-        change[-1] = word[-1]
-        np.not_equal(word[1:], word[:-1], out=change[1:-1])
-        inner = breaks[np.searchsorted(breaks, a, "right"): np.searchsorted(breaks, b, "left")] - a
-        split = inner[word[inner] & word[inner - 1]]  # a row ends inside a run of word bytes
-        edge = np.flatnonzero(change)
-        if len(split):
-            edge = np.sort(np.concatenate([edge, split, split]))
-        s, e = edge[0::2], edge[1::2]
-        starts.append(s + a)
-        ends.append(e + a)
-        if len(s):
-            up, down = _powers(b - a + 1)
-            with np.errstate(over="ignore"):
-                total = np.empty(b - a + 1, np.uint64)
-                total[0] = 0
-                np.cumsum((fold[raw[a:b]].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=total[1:])
-                hashes.append(mix((total[e] - total[s]) * down[s]))
-        a = b
-    none = np.zeros(0, np.int64)
-    start = np.concatenate(starts) if starts else none
-    end = np.concatenate(ends) if ends else none
-    hash_ = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    return Words(hash_, start, end, np.searchsorted(start, offsets, side="left"))
+    folded = LOWER[raw] if lower else raw
+    word = inside[folded]
+    begin = np.empty(len(word), bool)
+    begin[:1] = True
+    np.not_equal(word[1:], word[:-1], out=begin[1:])
+    return units(folded, begin, offsets, word)
 
 
 def windows(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
