@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm.decontam import contamination
 from quarry.llm.id_files import encode_and_read
 from quarry.llm.near_dedup import near_duplicates
+from quarry.llm.quality_mil import quality_scores
+from quarry.llm.sharding import shards_by_bytes
 from quarry.llm.tables import table, tokenizer_file
 
 
@@ -16,6 +18,14 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards_by_bytes(table(spark, sf_dir, "documents"), 24)
+
+
 def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -26,6 +36,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op7_sharding": op7_sharding,
     "op9_id_files": op9_id_files,
     "op10_decontamination": op10_decontamination,
 }
