@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm.brown_lm import lm_scores
 from quarry.llm.decontam import contamination
 from quarry.llm.id_files import encode_and_read
 from quarry.llm.near_dedup import near_duplicates
@@ -26,6 +27,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_by_bytes(table(spark, sf_dir, "documents"), 24)
 
 
+def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_sharding": op7_sharding,
+    "op8_brown_lm": op8_brown_lm,
     "op9_id_files": op9_id_files,
     "op10_decontamination": op10_decontamination,
 }
