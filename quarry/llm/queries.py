@@ -12,17 +12,32 @@ from quarry.llm.id_files import encode_and_read
 from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.quality_mil import quality_scores
 from quarry.llm.sharding import shards_by_bytes
+from quarry.llm.sp_viterbi import digests as viterbi_digests
 from quarry.llm.tables import table, tokenizer_file
+from quarry.llm.token_counts import token_counts
+from quarry.llm.topk import top_k
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi_digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_by_bytes(table(spark, sf_dir, "documents"), 24)
 
@@ -41,11 +56,30 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_exact_topk": op4_exact_topk,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_token_counts": op6_token_counts,
     "op7_sharding": op7_sharding,
     "op8_brown_lm": op8_brown_lm,
     "op9_id_files": op9_id_files,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_exact_topk": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
