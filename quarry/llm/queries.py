@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.brown_lm import lm_scores
+from quarry.llm.chat_hmm import format_chats
 from quarry.llm.decontam import contamination
 from quarry.llm.id_files import encode_and_read
 from quarry.llm.near_dedup import near_duplicates
@@ -18,6 +19,10 @@ from quarry.llm.token_counts import token_counts
 from quarry.llm.topk import top_k
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_exact_topk": op4_exact_topk,
