@@ -92,10 +92,12 @@ def word_counts(training: DataFrame) -> DataFrame:
 class Head:
     """Look-up of the frequent words: place in falling order of frequency, or -1."""
 
-    def __init__(self, h: np.ndarray, n: np.ndarray):
+    def __init__(self, h: np.ndarray, n: np.ndarray, n_all: int, v_all: int, ends: int):
+        self.all = n_all + ADD * (v_all + 1)
+        self.ends, self.end_log = ends, float(np.log10((ends + ADD) / self.all))
         order = np.lexsort((h, -n))
         self.h, self.n = h[order], n[order]
-        self.log = np.log10(self.n + ADD)
+        self.log = np.log10((self.n + ADD) / self.all)
         self.tables = []
         left = np.arange(len(self.h))
         for shift in (43, 22):  # two direct tables; the few words that fit neither are searched
@@ -142,8 +144,7 @@ def sequences(docs: DataFrame, sent) -> DataFrame:
     the scores, and the hashes of its other words."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        head: Head = sent.value[0]
-        end_log = sent.value[1]
+        head: Head = sent.value
         for rows, raw, at in text_blocks(batch):
             w = W.scan(raw, at)
             counts = w.counts()
@@ -152,7 +153,11 @@ def sequences(docs: DataFrame, sent) -> DataFrame:
             units = (place + 1).astype(np.uint16)
             units[rare] = unit_of(place[rare], forms(raw, w, rare))
             units = np.insert(units, w.first[1:], 0)
-            gain = np.concatenate([[0.0], np.cumsum(np.where(place >= 0, head.log[place] if len(head.log) else 0.0, 0.0))])
+            known_logs = np.append(head.log, 0.0)[place]  # place -1: nothing yet
+            s_head = np.full(len(counts), head.end_log)
+            some = counts > 0
+            if some.any():
+                s_head[some] += np.add.reduceat(known_logs, w.first[:-1][some])
             known = np.concatenate([[0], np.cumsum(place >= 0)])
             n_head = known[w.first[1:]] - known[w.first[:-1]]
             size = rows.stop - rows.start
@@ -161,8 +166,8 @@ def sequences(docs: DataFrame, sent) -> DataFrame:
                 [
                     *same,
                     pa.array(counts + 1),
-                    pa.array(n_head + int(end_log[1])),
-                    pa.array(gain[w.first[1:]] - gain[w.first[:-1]] + end_log[0]),
+                    pa.array(n_head + int(head.ends > 0)),
+                    pa.array(s_head),
                     blobs(units, counts + 1),
                     lists(w.hash[place < 0].view(np.int64), counts - n_head, pa.int64()),
                 ],
@@ -293,7 +298,7 @@ def _class_sizes(words: DataFrame, sent, classes: np.ndarray) -> tuple[np.ndarra
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h, form, n = (batch.column(i).to_numpy() for i in range(3))
         h = h.view(np.uint64)
-        unit = unit_of(sent.value[0].find(h), np.minimum(form, FORMS - 1))
+        unit = unit_of(sent.value.find(h), np.minimum(form, FORMS - 1))
         unit[h == END] = 0
         cls = cls_sent.value[unit]
         yield pa.RecordBatch.from_arrays(
@@ -318,8 +323,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     n_all, v_all = int(size["n"] or 0), int(size["v"])
     head_rows = words.where((F.col("n") * HEAD >= n_all) & (F.col("h") != int(END))).select("h", "n").toPandas()
     ends = words.where(F.col("h") == int(END)).agg(F.sum("n").alias("n")).first()["n"] or 0
-    head = Head(head_rows["h"].to_numpy(np.int64).view(np.uint64), head_rows["n"].to_numpy(np.int64))
-    sent = spark.sparkContext.broadcast((head, (float(np.log10(ends + ADD)), ends > 0)))
+    head = Head(head_rows["h"].to_numpy(np.int64).view(np.uint64), head_rows["n"].to_numpy(np.int64), n_all, v_all, int(ends))
+    sent = spark.sparkContext.broadcast(head)
     seqs = sequences(docs, sent)
     classes, pairs = cluster(seqs)
     tokens, kinds = _class_sizes(words, sent, classes)
@@ -327,7 +332,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     share = (tokens + 1) / (tokens.sum() + CLASSES)
     step = np.log10((pairs + CLASSES * share[None, :]) / (pairs.sum(axis=1, keepdims=True) + CLASSES))
     norm = np.log10(tokens + ADD * (kinds + 1))
-    model = spark.sparkContext.broadcast((classes, step - norm[None, :]))
+    base = float(np.log10(head.all))
+    model = spark.sparkContext.broadcast((classes, step - norm[None, :] + base))  # beside the base score's log10((n + 0.1) / all)
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         cls_of, table = model.value
@@ -339,9 +345,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         for r0 in range(0, len(n), 512):  # some texts at once
             r1 = min(len(n), r0 + 512)
             part = cls_of[u[a: ends_[r1 - 1]]]
-            run = np.concatenate([[0.0], np.cumsum(table[np.concatenate([[0], part[:-1]]), part])])
-            cut = np.concatenate([[0], ends_[r0:r1] - a])
-            total[r0:r1] = run[cut[1:]] - run[cut[:-1]]
+            logs = table[np.concatenate([[0], part[:-1]]), part]
+            total[r0:r1] = np.add.reduceat(logs, np.concatenate([[0], ends_[r0: r1 - 1] - a]))
             a = ends_[r1 - 1]
         names = ["row", "doc_id", "held_out", "n_tokens", "n_head", "s_head"]
         yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(total)], names=[*names, "s_class"])
@@ -349,17 +354,15 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     kept = seqs.select("row", "doc_id", "held_out", "n_tokens", "n_head", "s_head", "units")
     scored = arrow_map(kept, score, "row long, doc_id long, held_out boolean, n_tokens long, n_head long, s_head double, s_class double")
     rare = seqs.select("row", F.explode("tail").alias("h")).join(words.select("h", "n"), "h", "left")
-    tail = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + ADD)).alias("s_tail"), F.count("n").alias("n_tail"))
-    # Each term is a logarithm of a number of 0.1 at least; the order of summation shows in the last digits only.
+    tail = rare.groupBy("row").agg(F.sum(F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(float(head.all)))).alias("s_tail"), F.count("n").alias("n_tail"))
     words_part = F.col("s_head") + F.coalesce("s_tail", F.lit(0.0))
-    base = float(np.log10(n_all + ADD * (v_all + 1)))
     return scored.join(tail, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (words_part - F.col("n_tokens") * base).alias("base_score"),
+        words_part.alias("base_score"),
         (words_part + F.col("s_class")).alias("score"),
         F.pow(F.lit(10.0), -(words_part + F.col("s_class")) / F.col("n_tokens")).alias("perplexity"),
     )

@@ -64,10 +64,12 @@ def marker(line: str) -> tuple[int, int]:
     return (_ROLE_OF[m[m.lastgroup].lower()], m.end()) if m else (-1, 0)
 
 
-def features(lines: list[str]) -> np.ndarray:
-    """One row of feature values for each line."""
+def features(turns: list, segment: int) -> np.ndarray:
+    """One row of feature values for each line of a segment's turns. Every
+    turn ends with a blank line, so one comes before all segments but the first."""
+    lines = [line for t in turns for line in t["lines"]]
     out = np.zeros((len(lines), len(FEATURES)), np.int64)
-    blank = False
+    blank = segment > 0
     for k, line in enumerate(lines):
         role, length = marker(line)
         text = line[length:].strip()
@@ -101,13 +103,10 @@ class Model:
     def emit(self, x: np.ndarray) -> np.ndarray:
         return sum(table[:, x[:, f]].T for f, table in enumerate(self.show))
 
-    def through(self, x: np.ndarray, first: bool) -> np.ndarray:
-        """Best score from each state before the lines (START for the first
-        segment) to each state at the last line."""
+    def through(self, x: np.ndarray) -> np.ndarray:
+        """Best score from each state before the lines to each at the last line."""
         emit = self.emit(x)
-        best = np.full((STATES + 1, STATES), -np.inf)
-        rows = [START] if first else range(STATES)
-        best[rows] = self.step[rows] + emit[0]
+        best = self.step + emit[0]
         for e in emit[1:]:
             best = (best[:, :, None] + self.step[None, :STATES, :]).max(axis=1) + e
         return best
@@ -176,7 +175,7 @@ def fit(segments: DataFrame) -> Model:
         show = [np.zeros((STATES, n), np.int64) for n in FEATURES]
         for segment, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             s = true_states(turns)
-            x = features([line for t in turns for line in t["lines"]])
+            x = features(turns, segment)
             if segment == 0:
                 step[START, s[0]] += 1
             np.add.at(step, (s[:-1], s[1:]), 1)
@@ -196,22 +195,21 @@ def fit(segments: DataFrame) -> Model:
     return Model(step, show)
 
 
-def render(lines: list[str], states: np.ndarray) -> tuple[str, int, bool]:
-    """(canonical text, turns begun, whether the first line continues a turn)."""
+def render(lines: list[str], states: np.ndarray, opened: bool) -> tuple[str, int]:
+    """(canonical text, turns begun); ``opened`` tells that a turn before is
+    still open. The last turn is left open."""
     out: list[str] = []
     turns = 0
     for line, s in zip(lines, states.tolist(), strict=True):
         if s % 2 == 0:
-            if turns or out:
+            if opened:
                 out.append("<|end|>")
             out.append(f"<|{ROLES[s // 2]}|>")
             line = line[marker(line)[1]:]
-            turns += 1
-            if not line.strip():
-                continue
+            turns, opened = turns + 1, True
         if line.strip():
             out.append(line)
-    return "\n".join(out), turns, bool(len(states)) and states[0] % 2 == 1
+    return "\n".join(out), turns
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
@@ -224,16 +222,13 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out = []
         for segment, turns in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            x = features([line for t in turns for line in t["lines"]])
-            out.append(model.value.through(x, segment == 0).tobytes())
+            out.append(model.value.through(features(turns, segment)).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["conv", "segment", "scores"])
 
     def chain(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         conv, number, before, last = [], [], [], []
         for c, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             tables = [np.frombuffer(r["scores"]).reshape(STATES + 1, STATES) for r in rows]
-            if not np.isfinite(tables[0][START]).any():  # the first turns are missing: any state may come before
-                tables[0] = np.vstack([tables[0][:STATES], tables[0][:STATES].max(axis=0)])
             best, back = tables[0][START], []
             for t in tables[1:]:
                 reach = best[:, None] + t[:STATES]
@@ -243,11 +238,10 @@ def format_chats(conversations: DataFrame) -> DataFrame:
             for b in reversed(back):
                 ends.append(int(b[ends[-1]]))
             ends.reverse()
-            first = START if rows[0]["segment"] == 0 else int(tables[0][:STATES, ends[0]].argmax())
             for k, r in enumerate(rows):
                 conv.append(c)
                 number.append(r["segment"])
-                before.append(ends[k - 1] if k else first)
+                before.append(ends[k - 1] if k else START)
                 last.append(ends[k])
         yield pa.RecordBatch.from_arrays([pa.array(conv, pa.string()), pa.array(number, pa.int64()), pa.array(before, pa.int64()), pa.array(last, pa.int64())],
                                          names=["conv", "segment", "before", "last"])
@@ -255,10 +249,10 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     def fill(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         col = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()
         found = []
-        for turns, before, last in zip(col("turns"), col("before"), col("last"), strict=True):
+        for segment, turns, before, last in zip(col("segment"), col("turns"), col("before"), col("last"), strict=True):
             lines = [line for t in turns for line in t["lines"]]
-            states = model.value.path(features(lines), before, last)
-            text, n_turns, _ = render(lines, states)
+            states = model.value.path(features(turns, segment), before, last)
+            text, n_turns = render(lines, states, before != START)
             found.append((len(lines), n_turns, int((states // 2 == true_states(turns) // 2).sum()), text))
         n_lines, n_turns, agree, text = zip(*found, strict=True)
         yield pa.RecordBatch.from_arrays(

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.memo import Memo
-from quarry.llm.tables import BROADCAST_ROWS, arrow_map, scratch, text_blocks
+from quarry.llm.tables import arrow_map, binary_files, checked_broadcast, scratch, text_blocks
 from quarry.llm.words import LOWER, NOT_SPACE, Words, units
 from quarry.operators.joins import estimated_bytes
 
@@ -213,7 +213,10 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray,
 def write_files(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, shard_bytes: int = SHARD_BYTES) -> None:
     """Encodes (doc_id, text) and writes the id files below ``path``, shards
     numbered in ascending doc_id order."""
-    parts = max(1, -(-estimated_bytes(docs) // shard_bytes))
+    size = estimated_bytes(docs.select("doc_id", "text"))
+    if size >= 1 << 60:  # not known for this plan
+        size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    parts = max(1, -(-size // shard_bytes))
     key = F.xxhash64("text")
     ordered = docs.select("doc_id", "text", key.alias("k")).repartitionByRange(parts, "doc_id", "k").sortWithinPartitions("doc_id", "k")
 
@@ -223,7 +226,7 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, s
             if not batch.num_rows:
                 continue
             ids, counts = [], []
-            for _, raw, at in text_blocks(batch):
+            for _, raw, at in text_blocks(batch, most=1 << 20):
                 i, n = with_end(*word_ids(tokenizer, raw, at), end)
                 ids.append(i)
                 counts.append(n)
@@ -239,24 +242,17 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, s
 def read_files(spark, path: str) -> DataFrame:
     """(shard long, n_ids long, start long, content binary): ``start`` is the
     number of ids in all shards before."""
-    from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
-
-    schema = StructType([StructField("path", StringType()), StructField("modificationTime", TimestampType()), StructField("length", LongType()),
-                         StructField("content", BinaryType()), StructField("shard", LongType()), StructField("n_ids", LongType())])
-    files = spark.read.schema(schema).format("binaryFile").load(path)
+    files = binary_files(spark, path, {"shard": "long", "n_ids": "long"})
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
-    if starts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        starts = F.broadcast(starts)
-    return files.select("shard", "n_ids", "content").join(starts, "shard")
+    return files.select("shard", "n_ids", "content").join(checked_broadcast(starts), "shard")
 
 
 def _digests(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for r in range(batch.num_rows):
         f = IdFile(memoryview(batch.column(batch.schema.get_field_index("content"))[r].as_buffer()))
         a, b = f.bounds(np.arange(len(f.doc_ids)))
-        wide = memoryview(f.ids.astype("<u4").tobytes())
-        crc = [zlib.crc32(wide[4 * x: 4 * y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+        crc = [zlib.crc32(f.ids[x:y].astype("<u4").tobytes()) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
         base = batch.column(batch.schema.get_field_index("start"))[r].as_py()
         yield pa.RecordBatch.from_arrays(
             [pa.array(f.doc_ids, pa.int64()), pa.array(a + base), pa.array(b - a), pa.array(crc, pa.int64())],

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import words as W
 from quarry.llm.components import components
-from quarry.llm.tables import BROADCAST_ROWS, arrow_map, lists, text_blocks, written
+from quarry.llm.tables import arrow_map, checked_broadcast, lists, text_blocks, written
 
 SHINGLE = 5
 BINS = 224
@@ -46,7 +46,7 @@ BANDS = BINS // ROWS
 PERCENT = 85  # 100 * intersection >= PERCENT * union
 
 
-def _distinct(h: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+def distinct_sets(h: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of each row, concatenated, and their number."""
     cut = np.searchsorted(row, np.arange(n_rows + 1))
     parts = [np.unique(h[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
@@ -57,7 +57,7 @@ def _distinct(h: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray,
 def shingle_sets(raw: np.ndarray, at: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text: concatenated and counted."""
     h, row = W.run_hashes(W.scan(raw, at), width)
-    return _distinct(h, row, len(at) - 1)
+    return distinct_sets(h, row, len(at) - 1)
 
 
 def sketch(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -123,10 +123,6 @@ def _set_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _checked_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, inter, na, nb) of candidate pairs, from the full sets."""
     sa = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
@@ -152,7 +148,9 @@ def _around_centres(open_: DataFrame, sets: DataFrame) -> DataFrame:
     15 / 185 of |x| + |y|. Two sets with too little in common in D are no
     link; if they need nothing in common there, both are linked to R. So a
     pair that is left shares one of the rarest elements of D: of x's, the
-    first 15 / 85 * |x| + 1 (a prefix filter, exact)."""
+    first 15 / 85 * |x| + 1 (a prefix filter, exact). The first element that
+    they share, rarest first, also tells how many more they can share: what
+    stands behind it in both (a positional filter, exact)."""
     sr = sets.select(F.col("cid").alias("centre"), F.col("shingles").alias("sr"))
     diff = (
         open_.join(sets, "cid")
@@ -165,7 +163,7 @@ def _around_centres(open_: DataFrame, sets: DataFrame) -> DataFrame:
     place = F.col("size") - F.count("*").over(one) + F.row_number().over(one.orderBy("f", "e"))
     allowed = F.floor(F.col("n") * (100 - PERCENT) / PERCENT) + 1
     prefix = written(
-        elements.join(often, ["centre", "e"]).withColumn("place", place).where(F.col("place") <= allowed).select("centre", "e", "cid", "comp", "n"),
+        elements.join(often, ["centre", "e"]).withColumn("place", place).where(F.col("place") <= allowed).select("centre", "e", "cid", "comp", "n", "size", "place"),
         "prefixes",
     )
     x, y = prefix.alias("x"), prefix.alias("y")
@@ -202,7 +200,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spokes = written(members.join(centres, "key").where("cid <> centre"), "spokes")
     stars = spokes.where(_sizes_allow("n", "nc")).select(F.col("cid").alias("a"), F.col("centre").alias("b")).distinct()
 
-    needed = _checked_broadcast(written(members.select(F.col("cid").alias("doc_id")).distinct(), "needed"))
+    needed = checked_broadcast(written(members.select(F.col("cid").alias("doc_id")).distinct(), "needed"))
     one_each = docs.join(needed, "doc_id", "left_semi")
     sets = written(arrow_map(one_each, _set_rows, "cid long, shingles array<long>").dropDuplicates(["cid"]), "sets")
 

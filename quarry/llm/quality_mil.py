@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import words as W
-from quarry.llm.near_dedup import _distinct
+from quarry.llm.near_dedup import distinct_sets
 from quarry.llm.tables import arrow_map, blobs, text_blocks
 
 PASSAGE = 64  # words
@@ -100,7 +100,7 @@ def passage_features(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nd
     same[1:] = w.hash[1:] == w.hash[:-1]
     out[:, col + 5] = total(same) / size
     three, three_row = W.run_hashes(w, 3)
-    _, kinds = _distinct(three, three_row, n_rows)
+    _, kinds = distinct_sets(three, three_row, n_rows)
     runs = np.maximum(np.where(counts >= 3, counts - 2, np.minimum(counts, 1)), 1)
     out[:, col + 6] = (kinds / runs)[row]
     out[:, col + 7] = (np.log1p(counts) / 10)[row]
@@ -224,3 +224,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, model: Model | None = Non
 
     scored = arrow_map(docs.select("doc_id", "text"), score, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, whatever its other columns, that are not rejected."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        scores = [sent.value.score(*passage_features(raw, at)) for _, raw, at in text_blocks(batch)]
+        yield batch.filter(pa.array(np.concatenate(scores) >= THRESHOLD))
+
+    return arrow_map(docs, run, docs.schema)

@@ -1,23 +1,33 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
-A text is cut into the pieces of a SentencePiece model with the largest sum
-of the model's scores. The search goes through the text once. Scores are
-kept for the last ``longest`` positions only, since no piece reaches
-further back. Whenever the backpointer paths of all those positions meet in
-one boundary, the ids up to it can no longer change: they are committed and
+The search goes through a text once and keeps, for every position, one
+surviving path: the piece that ends there and a backpointer. It looks back
+over ``longest`` positions only, since no piece reaches further. Whenever
+the paths of all positions that a later piece can start from meet in one
+boundary, the ids up to it can no longer change: they are committed and
 forgotten.
 
-Some boundaries are certain beforehand: if no piece has a space after
-another sign (pieces of spaces only aside) and none holds a line break
-beside other signs, every path passes the start of each run of spaces and
-both sides of each line break. Texts are cut there, and each distinct part
-is searched once per worker (``Memo``, bounded).
+Which path survives follows from the kind of the model:
+
+* unigram: the one with the largest sum of scores (equal sums go to the
+  longer last piece);
+* bpe: the one that merging pairs by score would give. Of two neighbouring
+  pieces such a path is the merge of their own text; a path all of whose
+  neighbours are so is the merge of the whole, and for each position there
+  is exactly one. Neighbours are checked once and remembered. Sums of the
+  scores (which are merge ranks in these models) would give other ids than
+  the model was made for.
+
+Some boundaries are certain beforehand: where two bytes meet that stand
+beside each other in no piece (a letter before a space, say, or a line
+break and anything), every path has a boundary. Texts are cut there, and
+each distinct part is searched once per worker (``Memo``, bounded).
 
 Rules: a space is put before every text that is not empty; a character
-without a piece becomes its UTF-8 bytes (byte pieces) at the lowest piece
-score less ``UNKNOWN``; equal sums go to the longer last piece. Decoding
-joins the pieces and takes the first space away again, so it returns every
-text exactly (a literal U+2581 is sent as bytes).
+without a piece becomes its UTF-8 bytes (byte pieces), in unigram models at
+the lowest piece score less ``UNKNOWN``. Decoding joins the pieces and
+takes the first space away again, so it returns every text exactly (a
+literal U+2581 is sent as bytes).
 
 Defined cases: null and empty texts have no ids and decode to the empty
 text; null or repeated doc_ids are carried along row by row.
@@ -37,18 +47,26 @@ from quarry.llm.tables import arrow_map, lists, text_blocks
 from quarry.llm.words import Words, units
 
 UNKNOWN = 10  # below the lowest score
+NEIGHBOURS = 1 << 18  # pairs of pieces remembered at once
 SPACE = "▁"
 
 
 class Lattice:
     """Pieces and scores of a model, with the streaming search."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], size: int):
-        self.pieces, self.byte_ids = pieces, byte_ids
+    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], size: int, bpe: bool):
+        self.pieces, self.byte_ids, self.bpe = pieces, byte_ids, bpe
         self.longest = max(map(len, pieces), default=1)
-        usable = [s for _, s in pieces.values() if s > -1e8]
-        self.unknown = min(usable, default=0.0) - UNKNOWN
-        self.cuts = not any((" " in p[1:] and p.strip(" ")) or ("\n" in p and len(p) > 1) for p in pieces)
+        self.unknown = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN
+        self.reach: dict[str, int] = {}  # the longest piece by its last three characters
+        self.joined = np.zeros(1 << 16, bool)  # bytes beside each other in a piece or a character
+        self.joined.reshape(256, 256)[:, 0x80:0xC0] = True
+        for p in pieces:
+            self.reach[p[-3:]] = max(len(p), self.reach.get(p[-3:], 0))
+            b = np.frombuffer(p.encode(), np.uint8).astype(np.int64)
+            self.joined[b[:-1] << 8 | b[1:]] = True
+        self.text = {i: p for p, (i, _) in pieces.items()}
+        self.neighbours: dict[tuple[int, int], bool] = {}
         text = [b""] * size
         for p, (i, _) in pieces.items():
             text[i] = p.encode()
@@ -61,34 +79,67 @@ class Lattice:
     @classmethod
     def load(cls, path: str) -> Lattice:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2 as pb
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        spec = pb.ModelProto.FromString(sp.serialized_model_proto()).trainer_spec
         ids = range(sp.get_piece_size())
         odd = {i for i in ids if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)}
         pieces = {sp.id_to_piece(i).replace(SPACE, " "): (i, sp.get_score(i)) for i in ids if i not in odd}
-        return cls(pieces, [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], len(ids))
+        return cls(pieces, [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], len(ids), spec.model_type == spec.BPE)
+
+    def merged(self, text: str) -> list[str]:
+        """A short text by merging the best-scored pair again and again, the
+        first of equals."""
+        parts = list(text)
+        while len(parts) > 1:
+            best, at = None, -1
+            for k in range(len(parts) - 1):
+                hit = self.pieces.get(parts[k] + parts[k + 1])
+                if hit is not None and (best is None or hit[1] > best):
+                    best, at = hit[1], k
+            if best is None:
+                break
+            parts[at: at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def beside(self, left: int, right: int) -> bool:
+        """Whether merging the joint text of two pieces gives these two again;
+        no left piece (-1): whether it gives the right one."""
+        if len(self.neighbours) >= NEIGHBOURS:
+            self.neighbours.clear()
+        pair = [self.text[i] for i in (left, right) if i >= 0]
+        known = self.neighbours[left, right] = self.merged("".join(pair)) == pair
+        return known
 
     def search(self, text: str) -> Iterator[list[int]]:
         """Committed ids of ``text``, run by run."""
-        get, longest, unknown = self.pieces.get, self.longest, self.unknown
-        base, best, back, ids = 0, [0.0], [0], [0]  # from the last committed boundary on
+        get, reach, known = self.pieces.get, self.reach.get, self.neighbours.get
+        base, best, back, ids = 0, [0.0], [0], [-1]  # from the last committed boundary on, its last piece first
         n = len(text)
         for pos in range(1, n + 1):
-            top = None
-            for start in range(max(base, pos - longest), pos):  # the longest piece first
+            top, at, piece = None, pos - 1, -1  # unless a piece fits: the character's bytes
+            low = pos - reach(text[pos - 3 if pos > 3 else 0: pos], 2)
+            for start in range(low if low > base else base, pos):  # the longest piece first
                 hit = get(text[start:pos])
-                if hit is not None:
+                if hit is None:
+                    continue
+                if self.bpe:
+                    pair = ids[start - base], hit[0]
+                    if known(pair) or known(pair) is None and self.beside(*pair):
+                        at, piece = start, hit[0]
+                        break
+                else:
                     score = best[start - base] + hit[1]
                     if top is None or score > top:
                         top, at, piece = score, start, hit[0]
-            if hit is None:  # the character alone is no piece
-                score = best[pos - 1 - base] + unknown
-                if top is None or score > top:
-                    top, at, piece = score, pos - 1, -1
-            best.append(top)
+            if not self.bpe:
+                if text[pos - 1] not in self.pieces and (top is None or best[-1] + self.unknown > top):
+                    top, at, piece = best[-1] + self.unknown, pos - 1, -1
+                best.append(top)
             back.append(at)
             ids.append(piece)
-            if pos - base >= 2 * longest and pos < n:
+            if pos - base >= 2 * self.longest and pos < n:
                 meet = self._meeting(back, base, pos)
                 if meet > base:
                     yield self._path(text, back, ids, base, meet)
@@ -136,12 +187,10 @@ def spaced(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.insert(raw, offsets[:-1][some], 0x20), offsets + np.concatenate([[0], np.cumsum(some)])
 
 
-def parts(raw: np.ndarray, offsets: np.ndarray, cuts: bool = True) -> Words:
+def parts(lattice: Lattice, raw: np.ndarray, offsets: np.ndarray) -> Words:
     """Parts of (spaced) texts between certain boundaries."""
     begin = np.zeros(len(raw), bool)
-    if cuts and len(raw):
-        space, line = raw == 0x20, raw == 0x0A
-        begin[1:] = line[1:] | line[:-1] | (space[1:] & ~space[:-1])
+    begin[1:] = ~lattice.joined[raw[:-1].astype(np.uint16) << np.uint16(8) | raw[1:]]
     return units(raw, begin, offsets)
 
 
@@ -161,7 +210,7 @@ def encode_block(path: str, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
     """(ids, number of ids of each text) of some whole texts."""
     lattice, memo = model(path)
     text, at = spaced(raw, offsets)
-    p = parts(text, at, lattice.cuts)
+    p = parts(lattice, text, at)
     ids, n = memo.ids(text, p)
     ends = np.concatenate([[0], np.cumsum(n)])
     return ids, ends[p.first[1:]] - ends[p.first[:-1]]

@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.llm.words import blocks, text_bytes
 from quarry.session import ensure_checkpoint_dir
@@ -32,15 +34,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: For tables of rows of some megabytes: row groups of a few rows, so that readers hold little at once.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
+
+
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: cuts the
     lineage, and a lost executor costs nothing that is in the table."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def binary_files(spark: SparkSession, path: str, folders: dict[str, str]) -> DataFrame:
+    """Files below ``path`` with the values of their ``name=value`` folders,
+    typed; no rows if nothing was written."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("length", "content", *((F.col(n) if n in files.columns else F.lit(None)).cast(kind).alias(n) for n, kind in folders.items()))
+
+
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """``df`` (a written table) for a broadcast join if it has at most
+    BROADCAST_ROWS rows; else as it is, for a join by shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def text_blocks(batch: pa.RecordBatch, column: str = "text", most: int = BLOCK) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets) for runs of rows of a batch with about ``most``
     bytes of text each."""
@@ -67,7 +86,7 @@ def blobs(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data.tobytes())])
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``fn`` applied to each Arrow batch of ``df``; batches without rows are skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

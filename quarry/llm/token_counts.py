@@ -26,11 +26,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.llm.id_files import with_end
 from quarry.llm.sp_viterbi import encode_block
-from quarry.llm.tables import arrow_map, lists, scratch, text_blocks
+from quarry.llm.tables import arrow_map, binary_files, lists, scratch, text_blocks
 
 END_ID = 2
 SEPARATOR = "\x02\x00"
@@ -61,9 +60,7 @@ def write_files(docs: DataFrame, path: str, tokenizer: str) -> None:
 
 
 def _files(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()), T.StructField("length", T.LongType()),
-                           T.StructField("content", T.BinaryType()), T.StructField("file", T.LongType())])
-    return spark.read.schema(schema).format("binaryFile").load(f"{path}/kind={kind}").select("file", "length", "content")
+    return binary_files(spark, path, {"kind": "string", "file": "long"}).where(F.col("kind") == kind).select("file", "length", "content")
 
 
 def read_blocks(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
