@@ -4,6 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet to the shared folder and read again as the next stage's
 ``docs``. All but the last stage return the columns of ``documents``.
 
+A document is named by its doc_id: rows that share one go together if none
+of them stays. Rows without a doc_id are judged for quality; no later stage
+takes them out.
+
 ORACLE_SQL is None: the classifier and the lattice search are not SQL; the
 tests hold the pipeline against a brute-force version instead.
 """
@@ -15,24 +19,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.decontam import contamination
 from quarry.llm.near_dedup import near_duplicates
-from quarry.llm.tables import table, written
+from quarry.llm.quality_mil import keep_good
+from quarry.llm.sp_viterbi import encode
+from quarry.llm.tables import checked_broadcast, table, tokenizer_file, written
 
 ORACLE_SQL = None
 
 
-def keep_by_id(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``dropped``; null ids stay."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def without(docs: DataFrame, verdicts: DataFrame, stays: str) -> DataFrame:
+    """``docs`` without the documents of which no row stays by ``verdicts``."""
+    gone = verdicts.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.expr(stays)).alias("stays")).where("not stays").select("doc_id")
+    return docs.join(checked_broadcast(written(gone, "gone")), "doc_id", "left_anti").select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return keep_by_id(docs, near_duplicates(docs).where("not kept"))
+    """Of each group of near copies the document with the smallest id stays;
+    of repeated rows (id and text equal) one."""
+    kept = without(docs, near_duplicates(docs), "kept")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by ``benchmark``."""
+    return without(docs, contamination(docs, table(spark, sf_dir, "benchmark")), "not contaminated")
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, n_tokens, exact) of each document that is left."""
+    return encode(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality),
     ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("sentencepiece", token_ids),
 ]
 
 
