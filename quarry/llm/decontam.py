@@ -35,13 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import words as W
-from quarry.llm.tables import arrow_map, blobs, lists, text_blocks, written
+from quarry.llm.tables import ROW_GROUPS, arrow_map, blobs, lists, text_blocks, written
 
 WINDOW = 13
-SEGMENT = 8 << 20  # bytes of text in a segment
+SEGMENT = 2 << 20  # bytes of text in a segment
 ITEM_WORDS = 1_000_000  # benchmark words searched at once
 
-INDEX = "doc_ids array<long>, first binary, terms binary, heads binary, postings binary"
+INDEX = "doc_ids array<long>, first binary, terms binary, counts binary, postings binary"
 
 
 class Segment:
@@ -109,23 +109,24 @@ def _segments(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for rows, raw, at in text_blocks(batch, most=SEGMENT):
         s = Segment.of(W.scan(raw, at, W.ALNUM))
         n = rows.stop - rows.start
-        one = [np.array([len(x)]) for x in (s.first, s.terms, s.heads, s.postings)]
+        counts = np.diff(s.heads)  # small numbers: they compress well
+        one = [np.array([len(x)]) for x in (s.first, s.terms, counts, s.postings)]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids.slice(rows.start, n)),
                 blobs(s.first.astype(np.uint32), one[0]),
                 blobs(s.terms, one[1]),
-                blobs(s.heads.astype(np.uint32), one[2]),
+                blobs(counts.astype(np.uint32), one[2]),
                 blobs(s.postings.astype(np.uint32), one[3]),
             ],
-            names=["doc_ids", "first", "terms", "heads", "postings"],
+            names=["doc_ids", "first", "terms", "counts", "postings"],
         )
 
 
 def build_index(docs: DataFrame) -> DataFrame:
     """Positional index of (doc_id, text), a row a segment, in the shared folder."""
     rows = arrow_map(docs.select("doc_id", "text"), _segments, INDEX)
-    return written(rows.select(F.monotonically_increasing_id().alias("segment"), "*"), "index")
+    return written(rows.select(F.monotonically_increasing_id().alias("segment"), "*"), "index", ROW_GROUPS)
 
 
 def _item_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -165,7 +166,8 @@ def _search(batch: pa.RecordBatch, items: tuple, width: int, span: int | None) -
     names, hashes, item_first = items
     for r in range(batch.num_rows):
         cell = {c: batch.column(i)[r] for i, c in enumerate(batch.schema.names)}
-        first, heads, postings = (np.frombuffer(cell[c].as_buffer(), np.uint32).astype(np.int64) for c in ("first", "heads", "postings"))
+        first, counts, postings = (np.frombuffer(cell[c].as_buffer(), np.uint32) for c in ("first", "counts", "postings"))
+        first, heads = first.astype(np.int64), np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
         seg = Segment(first, np.frombuffer(cell["terms"].as_buffer(), np.uint64), heads, postings)
         n = len(first) - 1
         mark = np.zeros(first[-1] + 1, np.int64)
