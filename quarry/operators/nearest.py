@@ -1,39 +1,40 @@
-"""Nearest-place join (J3-J5): each event takes the closest place.
+"""Nearest-place join (J3-J5): each event row takes its closest place.
 
 No distance cut-off: every event with valid coordinates gets a place
 (while any place exists). Distances are great-circle (haversine) in km;
-equal distances, compared at a 1 mm resolution, go to the smaller
-place id.
-
-Plan, level by level with cells of ``cell_deg`` degrees, growing by
-``growth`` per level:
-
-1. every place gets its cell; every still-open event is expanded to the
-   3x3 block of cells around its own and equi-joined to the places on
-   the cell key (longitude cells wrap around the globe);
-2. per event, ``min(struct(km, place_id))`` keeps the best candidate.
-   The expansion and the join keep the event's partition, so the
-   partial aggregate collapses the candidates before the shuffle;
-3. a candidate is final when it is closer than anything outside the
-   3x3 block can be: ``km < R * min(C, asin(cos(lat) * sin(C)))``;
-   the other events (and events with no candidate) go to the next,
-   coarser level.
-
-The last level uses cells large enough for the 3x3 block to cover the
-globe, so every event is final there. Each level's open events are
-checkpointed, so levels do not recompute each other. Places are a
-lookup table: their row count is checked before they are broadcast,
-and a larger table is joined by shuffle on the cell key instead.
+equal distances, compared in whole millimetres, go to the smaller place
+id. The search depends on an event's coordinates alone, never on its id,
+so repeated and NULL ids are located like others. Coordinates that are
+NULL, not numbers, not finite or out of range give NULLs.
+
+Places are put into a balanced tree over their unit vectors (``PlaceTree``,
+a few array operations). A batch of events first descends greedily to one
+leaf, which gives each an upper bound; then all of them go down together,
+level by level, and keep only the nodes whose bounding box is within the
+bound. So an event scores the places of a few leaves, wherever the places
+are dense and however far away the event is.
+
+* Up to ``TREE_PLACES`` places (checked by reading one more at most) the
+  tree is sent to the tasks and events are searched where they stand: two
+  columns through Arrow, no shuffle, no checkpoint, one row in, one out.
+* More places are cut into tiles of about that many. Each distinct event
+  coordinate is sent to the tiles that may hold its nearest place, by the
+  tiles' bounding boxes (mostly one), every tile is searched with the same
+  tree in salted groups, and the best of the tiles is joined back to the
+  events on the coordinates. Both ways give the same rows.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
+from quarry.operators.joins import bounded_broadcast
 from quarry.session import ensure_checkpoint_dir
 
 # Mean Earth radius (km) and degrees-to-radians factor.
@@ -44,6 +45,12 @@ DEG_TO_RAD = 0.017453292519943295
 # km), so last-bit differences of sin/cos cannot reorder equal distances.
 KM_DECIMALS = 6
 
+TREE_PLACES = 200_000  # places in one tree
+LEAF_PLACES = 16
+EVENTS_AT_ONCE = 4096
+SALT_EVENTS = 500_000  # distinct event coordinates per salt of a tile
+_SLACK = 1e-9  # of a chord on the unit sphere: about 6 mm, more than rounding
+
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in km."""
@@ -52,7 +59,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     dlmb = (lon2 - lon1) * DEG_TO_RAD
     s_phi, s_lmb = F.sin(dphi / 2), F.sin(dlmb / 2)
     a = s_phi * s_phi + F.cos(p1) * F.cos(p2) * (s_lmb * s_lmb)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(a > 1.0, 1.0).otherwise(a)))
 
 
 def km_units(km: Column) -> Column:
@@ -63,71 +70,220 @@ def km_units(km: Column) -> Column:
     return F.floor(km * F.lit(10.0 ** KM_DECIMALS) + F.lit(0.5)).cast("long")
 
 
-def _cells(deg: float) -> tuple[int, int]:
-    return math.ceil(180.0 / deg), math.ceil(360.0 / deg)
-
-
-def _lat_cell(lat: Column, deg: float) -> Column:
-    return F.floor((lat + F.lit(90.0)) / F.lit(deg)).cast("int")
-
-
-def _lon_cell(lon: Column, deg: float) -> Column:
-    n_lon = _cells(deg)[1]
-    return F.pmod(F.floor((lon + F.lit(180.0)) / F.lit(deg)).cast("int"), F.lit(n_lon))
-
-
-# Target candidates: about this many places in the densest 1x1 block,
-# and enough places per block on average that nearly every event is
-# final at the first level.
-MAX_PLACES_PER_CELL = 32
-MEAN_PLACES_PER_CELL = 6.0
-
-
-def _place_stats(places: DataFrame, broadcast_max_rows: int) -> tuple[int, bool, float]:
-    """Row count of the places (for the broadcast check) and the first
-    cell size, from small aggregate jobs over the places only.
-
-    The first cell is sized for ~MEAN_PLACES_PER_CELL places per cell at
-    the places' mean density over their bounding box, so nearly every
-    event is final at the first level. It is then shrunk while the
-    busiest cell holds more than 2 * MAX_PLACES_PER_CELL places, so a
-    cluster of places does not give every nearby event thousands of
-    candidates (the coarser levels prune instead of scoring all).
-    """
-    row = places.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("__plat").alias("lat_lo"), F.max("__plat").alias("lat_hi"),
-        F.min("__plon").alias("lon_lo"), F.max("__plon").alias("lon_hi"),
-    ).collect()[0]
-    n = int(row["n"] or 0)
-    if n == 0:
-        return 0, True, 120.0
-    area = max((row["lat_hi"] - row["lat_lo"]) * (row["lon_hi"] - row["lon_lo"]), 1e-4)
-    deg = min(max(math.sqrt(MEAN_PLACES_PER_CELL * area / n), 0.01), 60.0)
-    for _ in range(8):
-        peak = places.groupBy(
-            F.floor(F.col("__plat") / F.lit(deg)), F.floor(F.col("__plon") / F.lit(deg))
-        ).count().agg(F.max("count")).collect()[0][0]
-        if peak <= 2 * MAX_PLACES_PER_CELL or deg <= 0.01:
-            break
-        deg = max(deg * math.sqrt(MAX_PLACES_PER_CELL / peak), 0.01)
-    return n, n <= min(broadcast_max_rows, 1 << RANK_BITS), deg
-
-
-def _levels(cell_deg: float, growth: float) -> list[float]:
-    """Cell sizes ``360 / m`` for a shrinking integer ``m``.
-
-    Every size divides 360, so all longitude cells are full width and
-    the block guard holds at the wrap-around too. The ladder ends at
-    ``m = 3`` (120 degrees), where the 3x3 block is the whole globe.
-    """
-    m = max(3, round(360.0 / cell_deg))
-    out = []
-    while m > 3:
-        out.append(360.0 / m)
-        m = max(3, int(m // growth))
-    out.append(120.0)
-    return out
+def _millimetres(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    s_phi = np.sin((lat2 - lat1) * DEG_TO_RAD / 2)
+    s_lmb = np.sin((lon2 - lon1) * DEG_TO_RAD / 2)
+    a = s_phi * s_phi + np.cos(lat1 * DEG_TO_RAD) * np.cos(lat2 * DEG_TO_RAD) * (s_lmb * s_lmb)
+    return np.floor(2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(a, 1.0))) * 10.0 ** KM_DECIMALS + 0.5)
+
+
+def coordinate(col: str, limit: float) -> Column:
+    """The column as a finite double within +-limit, else NULL."""
+    v = F.col(col).try_cast("double")
+    return F.when(v.between(-limit, limit), v)
+
+
+def _unit(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    phi, lmb = lat * DEG_TO_RAD, lon * DEG_TO_RAD
+    return np.stack([np.cos(phi) * np.cos(lmb), np.cos(phi) * np.sin(lmb), np.sin(phi)], axis=1)
+
+
+def _box_distance2(q: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    gap = np.maximum(np.maximum(lo - q, q - hi), 0.0)
+    return (gap * gap).sum(axis=-1)
+
+
+class PlaceTree:
+    """Places in the order of their ids, for exact nearest search."""
+
+    def __init__(self, lat: np.ndarray, lon: np.ndarray):
+        self.lat, self.lon = lat, lon
+        self.xyz = _unit(lat, lon)
+        self.depth = max(0, math.ceil(math.log2(max(1, len(lat)) / LEAF_PLACES)))
+        n_nodes = (2 << self.depth) - 1
+        self.order = np.arange(len(lat))
+        self.lo, self.hi = np.full((n_nodes, 3), np.inf), np.full((n_nodes, 3), -np.inf)
+        self.begin, self.end = np.zeros(n_nodes, np.int64), np.zeros(n_nodes, np.int64)
+        self.end[0] = len(lat)
+        for node in range(n_nodes):  # parents come before their children
+            a, b = self.begin[node], self.end[node]
+            if b > a:
+                points = self.xyz[self.order[a:b]]
+                self.lo[node], self.hi[node] = points.min(axis=0), points.max(axis=0)
+            if 2 * node + 2 < n_nodes:
+                mid = (a + b) // 2
+                if b - a > 1:
+                    axis = int(np.argmax(self.hi[node] - self.lo[node]))
+                    self.order[a:b] = self.order[a:b][np.argpartition(points[:, axis], mid - a)]
+                self.begin[2 * node + 1], self.end[2 * node + 1] = a, mid
+                self.begin[2 * node + 2], self.end[2 * node + 2] = mid, b
+        self.scored = 0  # places scored so far, for tests
+
+    def _points(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair, place) for all places of the leaves ``node``."""
+        n = self.end[node] - self.begin[node]
+        pair = np.repeat(np.arange(len(node)), n)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + self.begin[node][pair]
+        self.scored += len(pair)
+        return pair, self.order[at]
+
+    def nearest(self, lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place number, distance in mm) for each event; -1 without places."""
+        place, mm = np.full(len(lat), -1, np.int64), np.full(len(lat), np.inf)
+        for a in range(0, len(lat), EVENTS_AT_ONCE):
+            part = slice(a, a + EVENTS_AT_ONCE)
+            if len(self.lat):
+                place[part], mm[part] = self._nearest(lat[part], lon[part])
+        return place, mm
+
+    def _nearest(self, lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        q = _unit(lat, lon)
+        node = np.zeros(len(q), np.int64)
+        for _ in range(self.depth):
+            left, right = 2 * node + 1, 2 * node + 2
+            nearer = _box_distance2(q, self.lo[left], self.hi[left]) <= _box_distance2(q, self.lo[right], self.hi[right])
+            node = np.where(nearer, left, right)
+        pair, at = self._points(node)
+        bound = np.full(len(q), np.inf)
+        np.minimum.at(bound, pair, ((self.xyz[at] - q[pair]) ** 2).sum(axis=1))
+        bound = (np.sqrt(bound) + _SLACK) ** 2
+
+        event, node = np.arange(len(q)), np.zeros(len(q), np.int64)
+        for _ in range(self.depth):
+            event, node = np.concatenate([event, event]), np.concatenate([2 * node + 1, 2 * node + 2])
+            keep = _box_distance2(q[event], self.lo[node], self.hi[node]) <= bound[event]
+            event, node = event[keep], node[keep]
+        pair, at = self._points(node)
+        event = event[pair]
+        close = ((self.xyz[at] - q[event]) ** 2).sum(axis=1) <= bound[event]
+        event, at = event[close], at[close]
+        d = _millimetres(lat[event], lon[event], self.lat[at], self.lon[at])
+        order = np.lexsort((at, d, event))
+        first = np.searchsorted(event[order], np.arange(len(q)))
+        best = order[first]
+        return at[best], d[best]
+
+
+def _places(places: DataFrame, place_id: str, place_lat: str, place_lon: str) -> DataFrame:
+    """(__pid, __plat, __plon), one row for each valid coordinate: copies of a
+    place are equally far from every event, and the smaller id wins."""
+    return (
+        places.select(F.col(place_id).alias("__pid"), coordinate(place_lat, 90.0).alias("__plat"), coordinate(place_lon, 180.0).alias("__plon"))
+        .where(F.col("__plat").isNotNull() & F.col("__plon").isNotNull() & F.col("__pid").isNotNull())
+        .groupBy("__plat", "__plon").agg(F.min("__pid").alias("__pid"))
+    )
+
+
+def _by_tree(events: DataFrame, rows: pd.DataFrame) -> DataFrame:
+    """Events with ``__at``: the coordinates of their nearest place."""
+    sent = events.sparkSession.sparkContext.broadcast(PlaceTree(rows["__plat"].to_numpy(float), rows["__plon"].to_numpy(float)))
+
+    @F.pandas_udf("lat double, lon double")
+    def search(lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
+        tree = sent.value
+        y, x = lat.to_numpy(float), lon.to_numpy(float)
+        ok = np.isfinite(y) & np.isfinite(x)
+        place, _ = tree.nearest(y[ok], x[ok])
+        out = np.full((len(y), 2), np.nan)
+        if len(tree.lat):
+            out[ok, 0], out[ok, 1] = tree.lat[place], tree.lon[place]
+        return pd.DataFrame({"lat": out[:, 0], "lon": out[:, 1]})
+
+    return events.withColumn("__at", search("__elat", "__elon"))
+
+
+def _tiles(places: DataFrame, tile_places: int) -> DataFrame:
+    """Places with ``__tile``: bands of latitude cut by longitude, of about
+    ``tile_places`` places each."""
+    n = places.count()
+    bands = max(1, math.ceil(math.sqrt(n / tile_places)))
+    share = [k / bands for k in range(1, bands)]
+    cuts = places.approxQuantile("__plat", share, 0.1 / bands) if share else []
+    below = lambda col, bounds: F.size(F.filter(bounds, lambda b: b <= F.col(col)))
+    banded = places.withColumn("__band", below("__plat", F.array(*map(F.lit, cuts))) if cuts else F.lit(0))
+    if not share:
+        return banded.withColumn("__tile", F.lit(0)).drop("__band")
+    bounds = banded.groupBy("__band").agg(F.percentile_approx("__plon", share, 10_000).alias("__cuts"))
+    return banded.join(F.broadcast(bounds), "__band").withColumn("__tile", F.col("__band") * bands + below("__plon", F.col("__cuts"))).drop("__band", "__cuts")
+
+
+def _by_tiles(events: DataFrame, places: DataFrame, tile_places: int) -> DataFrame:
+    """Like ``_by_tree`` for more places than one tree holds."""
+    spark = events.sparkSession
+    ensure_checkpoint_dir(spark)
+    tiled = _tiles(places, tile_places).checkpoint(eager=True)
+    phi, lmb = F.col("__plat") * DEG_TO_RAD, F.col("__plon") * DEG_TO_RAD
+    axes = {"x": F.cos(phi) * F.cos(lmb), "y": F.cos(phi) * F.sin(lmb), "z": F.sin(phi)}
+    boxes = tiled.groupBy("__tile").agg(
+        *[f(c).alias(n + a) for n, f in (("lo_", F.min), ("hi_", F.max)) for a, c in axes.items()]
+    ).orderBy("__tile").toPandas()  # one row a tile
+    lo, hi = (boxes[[f"{n}_{a}" for a in "xyz"]].to_numpy() for n in ("lo", "hi"))
+    sent = spark.sparkContext.broadcast((boxes["__tile"].to_numpy(), lo - _SLACK, hi + _SLACK))
+
+    @F.pandas_udf("array<int>")
+    def tiles_of(lat: pd.Series, lon: pd.Series) -> pd.Series:
+        tile, lo, hi = sent.value
+        out = []
+        for a in range(0, len(lat), EVENTS_AT_ONCE):
+            q = _unit(lat[a: a + EVENTS_AT_ONCE].to_numpy(float), lon[a: a + EVENTS_AT_ONCE].to_numpy(float))
+            near = np.stack([_box_distance2(q, lo[k], hi[k]) for k in range(len(tile))], axis=1)
+            far = np.stack([(np.maximum(np.abs(q - lo[k]), np.abs(q - hi[k])) ** 2).sum(axis=1) for k in range(len(tile))], axis=1)
+            keep = near <= far.min(axis=1, keepdims=True)
+            out += [tile[row] for row in keep]
+        return pd.Series(out)
+
+    at = events.where(F.col("__elat").isNotNull() & F.col("__elon").isNotNull()).select("__elat", "__elon").distinct()
+    salts = max(1, math.ceil(at.count() / SALT_EVENTS))
+    salt = F.pmod(F.xxhash64("__elat", "__elon"), F.lit(salts)).cast("int")
+    asked = at.select("__elat", "__elon", F.explode(tiles_of("__elat", "__elon")).alias("__tile"), salt.alias("__salt"))
+    copies = tiled.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by([("__pid", "ascending"), ("__plat", "ascending"), ("__plon", "ascending")])
+        tree = PlaceTree(right["__plat"].to_numpy(), right["__plon"].to_numpy())
+        place, mm = tree.nearest(left["__elat"].to_numpy(), left["__elon"].to_numpy())
+        found = place >= 0
+        hits = right.take(pa.array(place[found]))
+        kept = left.filter(pa.array(found))
+        return pa.table({"__elat": kept["__elat"], "__elon": kept["__elon"], "mm": pa.array(mm[found]), "pid": hits["__pid"], "lat": hits["__plat"], "lon": hits["__plon"]})
+
+    pid_type = places.schema["__pid"].dataType.simpleString()
+    per_tile = asked.groupBy("__tile", "__salt").cogroup(copies.groupBy("__tile", "__salt")).applyInArrow(
+        search, f"__elat double, __elon double, mm double, pid {pid_type}, lat double, lon double"
+    )
+    best = per_tile.groupBy("__elat", "__elon").agg(F.min(F.struct("mm", "pid", "lat", "lon")).alias("b")).select(
+        "__elat", "__elon", F.struct(F.col("b.lat"), F.col("b.lon")).alias("__at")
+    )
+    return events.join(best, ["__elat", "__elon"], "left")
+
+
+def attach_nearest(
+    events: DataFrame,
+    places: DataFrame,
+    attributes: dict[str, str] | None = None,
+    event_lat: str = "latitude",
+    event_lon: str = "longitude",
+    place_id: str = "place_id",
+    place_lat: str = "latitude",
+    place_lon: str = "longitude",
+    tree_places: int = TREE_PLACES,
+) -> DataFrame:
+    """``events`` row by row, with ``place_id``, ``attributes`` (place columns
+    to output names) and ``distance_km`` of the nearest place. If a place id
+    stands for several rows, one of them gives the attributes."""
+    known = events.columns
+    ev = events.withColumns({"__elat": coordinate(event_lat, 90.0), "__elon": coordinate(event_lon, 180.0)})
+    pl = _places(places, place_id, place_lat, place_lon)
+    rows = pl.orderBy("__pid", "__plat", "__plon").limit(tree_places + 1).toPandas()
+    found = _by_tree(ev, rows) if len(rows) <= tree_places else _by_tiles(ev, pl, tree_places)
+    lookup = pl
+    if attributes:
+        attrs = places.select(F.col(place_id).alias("__pid"), *[F.col(c).alias(o) for c, o in attributes.items()]).dropDuplicates(["__pid"])
+        lookup = pl.join(bounded_broadcast(attrs), "__pid", "left")
+    lookup = bounded_broadcast(lookup.withColumnsRenamed({"__plat": "__klat", "__plon": "__klon"}))
+    joined = found.join(lookup, (F.col("__at.lat") == F.col("__klat")) & (F.col("__at.lon") == F.col("__klon")), "left")
+    km = km_units(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__klat"), F.col("__klon"))).cast("double") / F.lit(10.0 ** KM_DECIMALS)
+    return joined.select(*[F.col(f"`{c}`") for c in known], F.col("__pid").alias(place_id), *(attributes or {}).values(), km.alias("distance_km"))
 
 
 def nearest_place(
@@ -139,261 +295,16 @@ def nearest_place(
     place_id: str = "place_id",
     place_lat: str = "latitude",
     place_lon: str = "longitude",
-    cell_deg: float | None = None,
-    growth: float = 4.0,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     keep_invalid: bool = False,
+    tree_places: int = TREE_PLACES,
 ) -> DataFrame:
-    """``(event_id, place_id, distance_km)`` for every event with valid
-    coordinates (and, with ``keep_invalid``, NULLs for the others).
-    ``event_id`` must be unique; ``place_id`` orderable."""
-    spark = events.sparkSession
-    ensure_checkpoint_dir(spark)
-    ev_all = events.select(
-        F.col(event_id).alias("__eid"),
-        F.col(event_lat).try_cast("double").alias("__elat"),
-        F.col(event_lon).try_cast("double").alias("__elon"),
-    )
-    valid = F.coalesce(
-        F.col("__elat").isNotNull() & F.col("__elon").isNotNull()
-        & ~F.isnan("__elat") & ~F.isnan("__elon")
-        & F.col("__elat").between(-90.0, 90.0),
-        F.lit(False),
-    )
-    # Events with unusable coordinates ride along at the first level (so
-    # the events are read once) and come out with no place.
-    ev = ev_all.select("__eid", "__elat", "__elon")
-    pl = places.select(
-        F.col(place_id).alias("__pid"),
-        F.col(place_lat).try_cast("double").alias("__plat"),
-        F.col(place_lon).try_cast("double").alias("__plon"),
-    ).where(
-        F.col("__plat").isNotNull() & F.col("__plon").isNotNull()
-        & ~F.isnan("__plat") & ~F.isnan("__plon")
-    )
-    # Copies of a place (same coordinates) cannot be split by any grid;
-    # they are at equal distance from every event and ties go to the
-    # smaller id, so keeping the smallest id per coordinate is exact.
-    pl = pl.groupBy("__plat", "__plon").agg(F.min("__pid").alias("__pid"))
-    n_places, small_places, auto_deg = _place_stats(pl, broadcast_max_rows)
-    if cell_deg is None:
-        cell_deg = auto_deg
-    pid_type = pl.schema["__pid"].dataType
-    if small_places:
-        # Number the places 0..n-1 by id (n is checked to fit in RANK_BITS).
-        pl = pl.withColumn(
-            "__prank", (F.row_number().over(Window.orderBy("__pid", "__plat", "__plon")) - 1).cast("long")
-        )
-        pl = pl.checkpoint(eager=True)
-
-    resolved: list[DataFrame] = []
-    open_events = ev
-    levels = _levels(cell_deg, growth)
-    for i, deg in enumerate(levels):
-        if i == 0 or not small_places:
-            best = _best_in_block(open_events, pl, deg, small_places)
-        else:
-            best = _best_in_block_pruned(open_events, pl, deg)
-        best = best.checkpoint(eager=True)
-        if i == 0:
-            invalid = ~valid
-            if keep_invalid:
-                resolved.append(best.where(invalid).select(
-                    "__eid", "__elat", "__elon", F.lit(None).cast("double").alias("__km"),
-                    *([F.lit(None).cast("long").alias("__prank")] if small_places else
-                      [F.lit(None).cast(pid_type).alias("__pid")]),
-                ))
-            best = best.where(valid)
-        if i == len(levels) - 1:
-            resolved.append(best)
-            break
-        c_rad = deg * DEG_TO_RAD
-        # Shrunk by a hair so float error at cell borders cannot matter.
-        guard = F.lit(EARTH_RADIUS_KM * (1.0 - 1e-9)) * F.least(
-            F.lit(c_rad), F.asin(F.cos(F.col("__elat") * DEG_TO_RAD) * F.lit(math.sin(c_rad)))
-        )
-        final = F.col("__km").isNotNull() & (F.col("__km") < guard)
-        resolved.append(best.where(final))
-        open_events = best.where(~final).select("__eid", "__elat", "__elon")
-        if open_events.isEmpty():
-            break
-    out = resolved[0]
-    for part in resolved[1:]:
-        out = out.unionByName(part)
-    out = out.select("__eid", "__km", "__pid" if not small_places else "__prank")
-    if small_places:
-        ids = F.broadcast(pl.select("__prank", "__pid"))
-        out = out.join(ids, "__prank", "left")
-    return out.select(
-        F.col("__eid").alias(event_id),
-        F.col("__pid").alias(place_id),
-        F.col("__km").alias("distance_km"),
-    )
-
-
-# A candidate is packed as (distance in micro-km) << RANK_BITS | place rank,
-# so the best candidate is a plain min over longs (a code-generated hash
-# aggregate) and equal distances go to the smaller place id.
-RANK_BITS = 20
-NO_CANDIDATE = (1 << 62)
-
-
-def _into_blocks(df: DataFrame, n_lat: int, n_lon: int) -> DataFrame:
-    """Copy each row of a (small) table keyed by cell (``__cy``, ``__cx``)
-    into the 9 cells whose 3x3 block contains that cell, so an event
-    joins on its own cell only and the large side is not multiplied."""
-    offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    return (
-        df.withColumn("__dy", F.explode(offsets))
-        .withColumn("__dx", F.explode(offsets))
-        .withColumn("__cy", F.col("__cy") + F.col("__dy"))
-        .withColumn("__cx", F.pmod(F.col("__cx") + F.col("__dx"), F.lit(n_lon)))
-        .where(F.col("__cy").between(0, n_lat))
-        .drop("__dy", "__dx")
-    )
-
-
-def _event_cells(open_events: DataFrame, deg: float) -> DataFrame:
-    return open_events.select(
-        "__eid", "__elat", "__elon",
-        _lat_cell(F.col("__elat"), deg).alias("__cy"),
-        _lon_cell(F.col("__elon"), deg).alias("__cx"),
-    )
-
-
-# Sub-cells per cell side used to prune places at the coarser levels.
-SUB_CELLS = 4
-
-
-def _lower_bound_km(lat: Column, lon: Column, lat_lo: Column, lat_hi: Column, lon_lo: Column, lon_hi: Column) -> Column:
-    """A lower bound of the distance from a point to any point of a
-    latitude / longitude box: the larger of the latitude gap and the
-    distance to the nearest meridian of the box's longitude range."""
-    dlat = F.greatest(lat_lo - lat, lat - lat_hi, F.lit(0.0))
-    # Longitude gap to the box, wrap-aware, capped at 90 degrees.
-    def gap(a, b):
-        d = F.pmod(a - b, F.lit(360.0))
-        return F.least(d, F.lit(360.0) - d)
-    inside = F.pmod(lon - lon_lo, F.lit(360.0)) <= F.pmod(lon_hi - lon_lo, F.lit(360.0))
-    dlon = F.when(inside, F.lit(0.0)).otherwise(F.least(gap(lon, lon_lo), gap(lon, lon_hi)))
-    dlon = F.least(dlon, F.lit(90.0))
-    lon_bound = F.asin(F.cos(lat * DEG_TO_RAD) * F.sin(dlon * DEG_TO_RAD))
-    return F.lit(EARTH_RADIUS_KM) * F.greatest(dlat * DEG_TO_RAD, lon_bound)
-
-
-def _best_in_block_pruned(open_events: DataFrame, places: DataFrame, deg: float) -> DataFrame:
-    """Like ``_best_in_block``, for the coarse levels, without scoring
-    every place of a dense block.
-
-    Phase A joins each open event to per-sub-cell summaries of its 3x3
-    block (at most 9 * SUB_CELLS^2 rows per event): the bounding box of
-    the sub-cell's places and one representative place. The distance to
-    the box is a lower bound, the distance to the representative an
-    upper bound of the event's nearest distance. Phase B scores only the
-    places of sub-cells whose lower bound is within the event's best
-    upper bound; the nearest place is always in one of them.
-    """
-    n_lat, n_lon = _cells(deg)
-    sub = deg / SUB_CELLS
-    pc = places.select(
-        "__pid", "__plat", "__plon", "__prank",
-        _lat_cell(F.col("__plat"), deg).alias("__cy"),
-        _lon_cell(F.col("__plon"), deg).alias("__cx"),
-        F.floor((F.col("__plat") + F.lit(90.0)) / F.lit(sub)).cast("long").alias("__sy"),
-        F.floor((F.col("__plon") + F.lit(180.0)) / F.lit(sub)).cast("long").alias("__sx"),
-    )
-    summary = pc.groupBy("__cy", "__cx", "__sy", "__sx").agg(
-        F.min("__plat").alias("__lat_lo"), F.max("__plat").alias("__lat_hi"),
-        F.min("__plon").alias("__lon_lo"), F.max("__plon").alias("__lon_hi"),
-        F.min("__prank").alias("__rep_rank"),
-        F.min_by("__plat", "__prank").alias("__rep_lat"),
-        F.min_by("__plon", "__prank").alias("__rep_lon"),
-    )
-    keys = ["__eid", "__elat", "__elon"]
-    expanded = _event_cells(open_events, deg)
-    summary = _into_blocks(summary, n_lat, n_lon)
-    rep_km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__rep_lat"), F.col("__rep_lon"))
-    phase_a = expanded.join(F.broadcast(summary), ["__cy", "__cx"]).select(
-        *keys, "__sy", "__sx",
-        _lower_bound_km(F.col("__elat"), F.col("__elon"), F.col("__lat_lo"), F.col("__lat_hi"),
-                        F.col("__lon_lo"), F.col("__lon_hi")).alias("__lb"),
-        (F.shiftleft(km_units(rep_km), RANK_BITS) + F.col("__rep_rank")).alias("__ub"),
-    )
-    upper = phase_a.groupBy("__eid").agg(F.min("__ub").alias("__u"))
-    # Keep sub-cells that can hold something at most as far as the best
-    # representative (1 mm slack for rounding).
-    u_km = F.shiftright("__u", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)
-    kept = phase_a.join(upper, "__eid").where(F.col("__lb") <= u_km + F.lit(1e-6)).select(*keys, "__sy", "__sx", "__u")
-    km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon"))
-    packed = F.shiftleft(km_units(km), RANK_BITS) + F.col("__prank")
-    scored = kept.join(F.broadcast(pc.select("__sy", "__sx", "__plat", "__plon", "__prank")), ["__sy", "__sx"]).select(
-        *keys, packed.alias("__key")
-    )
-    sentinel = open_events.select(*keys, F.lit(NO_CANDIDATE).cast("long").alias("__key"))
-    best = scored.unionByName(sentinel).groupBy(*keys).agg(F.min("__key").alias("__key"))
-    found = F.col("__key") < F.lit(NO_CANDIDATE)
-    return best.select(
-        *keys,
-        F.when(found, F.shiftright("__key", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)).alias("__km"),
-        F.when(found, F.col("__key").bitwiseAND(F.lit((1 << RANK_BITS) - 1))).alias("__prank"),
-    )
-
-
-def _best_in_block(open_events: DataFrame, places: DataFrame, deg: float, small_places: bool) -> DataFrame:
-    """Best candidate per event among the places of its 3x3 block.
-
-    The block join is a left join, so an event whose block holds no
-    place (or whose coordinates are unusable) still comes out of the
-    aggregate, with no candidate. Events keep one row each (the places
-    are copied into neighbouring cells instead) and are read once.
-    """
-    n_lat, n_lon = _cells(deg)
-    cols = ["__pid", "__plat", "__plon"] + (["__prank"] if small_places else [])
-    pc = places.select(
-        *cols,
-        _lat_cell(F.col("__plat"), deg).alias("__cy"),
-        _lon_cell(F.col("__plon"), deg).alias("__cx"),
-    )
-    # Events keep one row (their own cell); places are copied into the
-    # cells whose block holds them. A NULL cell (bad coordinates) matches
-    # nothing, so such events come out with no candidate.
-    expanded = _event_cells(open_events, deg)
-    pc = _into_blocks(pc, n_lat, n_lon)
-    side = F.broadcast(pc) if small_places else pc
-    km = haversine_km(F.col("__elat"), F.col("__elon"), F.col("__plat"), F.col("__plon"))
-    # Left join: an event whose block holds no place keeps a row with no
-    # candidate, so every event comes out of the aggregate below. All
-    # candidates of an event come from one input row in one task, so the
-    # partial aggregate leaves one row per event for the shuffle.
-    cand = expanded.join(side, ["__cy", "__cx"], "left")
-    keys = ["__eid", "__elat", "__elon"]
-    if small_places:
-        packed = F.coalesce(F.shiftleft(km_units(km), RANK_BITS) + F.col("__prank"), F.lit(NO_CANDIDATE))
-        best = (
-            cand.select(*keys, packed.alias("__key"))
-            .groupBy(*keys)
-            .agg(F.min("__key").alias("__key"))
-        )
-        found = F.col("__key") < F.lit(NO_CANDIDATE)
-        return best.select(
-            *keys,
-            F.when(found, F.shiftright("__key", RANK_BITS).cast("double") / F.lit(10.0 ** KM_DECIMALS)).alias("__km"),
-            F.when(found, F.col("__key").bitwiseAND(F.lit((1 << RANK_BITS) - 1))).alias("__prank"),
-        )
-    # Large place tables: a shuffle join on the cell, then a struct
-    # minimum per event (sort-based aggregate).
-    k = F.coalesce(km_units(km).cast("double") / F.lit(10.0 ** KM_DECIMALS), F.lit(float("inf")))
-    best = (
-        cand.select(*keys, k.alias("k"), F.col("__pid").alias("p"))
-        .groupBy(*keys)
-        .agg(F.min(F.struct("k", "p")).alias("__b"))
-    )
-    found = F.col("__b.k") < F.lit(float("inf"))
-    return best.select(
-        *keys,
-        F.when(found, F.col("__b.k")).alias("__km"),
-        F.col("__b.p").alias("__pid"),
-    )
+    """``(event_id, place_id, distance_km)`` for every event row with valid
+    coordinates (and, with ``keep_invalid``, NULLs for the others)."""
+    ev = events.select(F.col(event_id).alias("__eid"), F.col(event_lat).alias("__lat"), F.col(event_lon).alias("__lon"))
+    if not keep_invalid:
+        ev = ev.where(coordinate("__lat", 90.0).isNotNull() & coordinate("__lon", 180.0).isNotNull())
+    out = attach_nearest(ev, places, None, "__lat", "__lon", place_id, place_lat, place_lon, tree_places)
+    return out.select(F.col("__eid").alias(event_id), place_id, "distance_km")
 
 
 def locate(
@@ -407,22 +318,13 @@ def locate(
     place_lat: str = "latitude",
     place_lon: str = "longitude",
     keep_unlocated: bool = True,
-    **kwargs,
+    tree_places: int = TREE_PLACES,
 ) -> DataFrame:
-    """Events with the attributes of their nearest place attached.
-
-    ``attributes`` maps place columns to output names (one row per place
-    id is used if a place appears more than once). Events whose
-    coordinates are NULL, NaN or not numbers keep NULL attributes when
-    ``keep_unlocated`` (left semantics), else they are dropped. The
-    attach is a key join on the event id (rows have no positions).
-    """
-    hits = nearest_place(
-        events, places, event_id=event_id, event_lat=event_lat, event_lon=event_lon,
-        place_id=place_id, place_lat=place_lat, place_lon=place_lon,
-        keep_invalid=keep_unlocated, **kwargs,
-    )
-    # One attribute row per place id, even if a place was loaded twice.
-    attrs = places.select(F.col(place_id).alias("__pid"), *[F.col(c).alias(o) for c, o in attributes.items()])
-    attrs = bounded_broadcast(attrs.dropDuplicates(["__pid"]))
-    return hits.join(attrs, hits[place_id] == attrs["__pid"], "left").drop("__pid")
+    """``(event_id, place_id, distance_km, attributes)``, a row for each event
+    row; those without valid coordinates keep NULLs, or go without
+    ``keep_unlocated`` (J3-J5)."""
+    ev = events.select(F.col(event_id).alias("__eid"), F.col(event_lat).alias("__lat"), F.col(event_lon).alias("__lon"))
+    if not keep_unlocated:
+        ev = ev.where(coordinate("__lat", 90.0).isNotNull() & coordinate("__lon", 180.0).isNotNull())
+    out = attach_nearest(ev, places, attributes, "__lat", "__lon", place_id, place_lat, place_lon, tree_places)
+    return out.select(F.col("__eid").alias(event_id), place_id, "distance_km", *attributes.values())

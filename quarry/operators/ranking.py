@@ -1,25 +1,22 @@
 """Global ranks and positions over a whole DataFrame.
 
 ``RANK() OVER (ORDER BY m DESC)`` and ``ROW_NUMBER() OVER (ORDER BY m
-DESC, key)`` without a PARTITION BY put every row into one task. That is
-fine for a few thousand aggregated groups and wrong for a large input,
-so the row count is checked first:
-
-* up to ``rows_per_task`` rows: one ordinary window;
-* more rows: rows are cut into range buckets of the order
-  ``(m DESC, key ASC)`` at bounds taken from a bounded sample. The key
-  makes every sort tuple unique, so even a value that holds a third of
-  all rows is spread over many buckets. Each bucket is numbered by a
-  window partitioned by bucket; a broadcast table of per-bucket row
-  counts (one row per bucket, a bounded size) gives each bucket its
-  offset. ``position`` = offset + number inside the bucket, and
-  ``rank`` = the smallest position among rows with the same value
-  (a grouped min joined back on the value).
-
-Bounds are literal values in the plan, so a recomputed task lands every
-row in the same bucket again. Inputs are checkpointed into the
-cluster's checkpoint folder first, so the count, the sample and the
-final job do not recompute the upstream plan.
+DESC, key)`` without a PARTITION BY put every row into one task. For
+aggregated groups (states, counties) that is the right plan: one lazy
+window, no job while the query is built.
+
+``large=True`` is for inputs of any size, and gives the same numbers:
+
+* rank: rows collapse to distinct values with their counts first, so a
+  value that holds a third of all rows is one row from then on. The
+  distinct values are dealt into ranges of the order; a window inside each
+  range and the ranges' totals give the number of rows before a value,
+  which is joined back on the value;
+* position: rows are dealt into ranges of ``(value, keys)``. The keys make
+  that order unique, so a hot value spreads over many ranges.
+
+The dealt rows are checkpointed (``spark.checkpoint.dir``) with the number
+of their range, so every later step sees the same ranges.
 """
 
 from __future__ import annotations
@@ -33,11 +30,8 @@ from pyspark.sql import functions as F
 from quarry.session import ensure_checkpoint_dir
 
 ROWS_PER_TASK = 2_000_000
-MAX_BUCKETS = 4096
-SAMPLE_PER_BUCKET = 16
 
-_BUCKET = "__bucket"
-_POS = "__pos"
+_PART, _ROWS, _BEFORE = "__part", "__rows", "__before"
 
 
 def _order(value: str, keys: Sequence[str], descending: bool, nulls_first: bool) -> list[Column]:
@@ -49,31 +43,6 @@ def _order(value: str, keys: Sequence[str], descending: bool, nulls_first: bool)
     return [first] + [F.col(k).asc_nulls_first() for k in keys]
 
 
-def _before(bound: Column, row: Sequence[Column], descending: Sequence[bool], nulls_first: Sequence[bool]) -> Column:
-    """True when ``bound`` (a struct of the sort fields) sorts strictly
-    before ``row`` in the given order. NULLs and NaN follow Spark's sort
-    order (NaN above every number)."""
-    result = F.lit(False)
-    # Build the lexicographic test from the last field backwards.
-    for i in reversed(range(len(row))):
-        b, r = bound[f"c{i}"], row[i]
-        b_null, r_null = b.isNull(), r.isNull()
-        if nulls_first[i]:
-            null_before = b_null & ~r_null
-        else:
-            null_before = ~b_null & r_null
-        strictly = (b > r) if descending[i] else (b < r)
-        precedes = null_before | (~b_null & ~r_null & F.coalesce(strictly, F.lit(False)))
-        equal = (b_null & r_null) | (~b_null & ~r_null & F.coalesce(b == r, F.lit(False)))
-        result = precedes | (equal & result)
-    return result
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def add_rank(
     df: DataFrame,
     value: str,
@@ -82,9 +51,8 @@ def add_rank(
     position_col: str | None = None,
     descending: bool = True,
     nulls_first: bool = True,
+    large: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
-    checkpoint: bool = True,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``RANK()`` and/or ``ROW_NUMBER()`` over the whole DataFrame.
 
@@ -92,82 +60,40 @@ def add_rank(
     unique ``keys`` ascending as the tie-break for positions. Ranks and
     positions are bigint.
     """
-    if rank_col is None and position_col is None:
-        return df
-    if checkpoint:
-        df = _checkpointed(df)
-    n = df.count() if n_rows is None else n_rows
     order = _order(value, keys, descending, nulls_first)
-    if n <= rows_per_task:
-        return _single_task(df, value, order, rank_col, position_col, descending, nulls_first)
-    buckets = min(MAX_BUCKETS, math.ceil(n / rows_per_task))
-    return _bucketed(df, value, keys, order, buckets, n, rank_col, position_col, descending, nulls_first)
-
-
-def _single_task(df, value, order, rank_col, position_col, descending, nulls_first):
-    # One window partition; the row count above bounds its size.
-    out = df
+    if large:
+        ensure_checkpoint_dir(df.sparkSession)
+        if position_col:
+            df = _numbered(df, order, F.lit(1), position_col, rows_per_task)
+        return _ranked_values(df, value, order[0], rank_col, rows_per_task) if rank_col else df
     if position_col:
-        out = out.withColumn(position_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+        df = df.withColumn(position_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     if rank_col:
-        out = out.withColumn(rank_col, F.rank().over(Window.orderBy(order[0])).cast("bigint"))
-    return out
-
-
-def _bucketed(df, value, keys, order, buckets, n, rank_col, position_col, descending, nulls_first):
-    fields = [value, *keys]
-    desc = [descending] + [False] * len(keys)
-    nfirst = [nulls_first] + [True] * len(keys)
-
-    # Bounded sample of sort tuples -> bucket bounds (literals in the plan).
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / max(n, 1))
-    sample = (
-        df.select(*[F.col(f).alias(f"c{i}") for i, f in enumerate(fields)])
-        .sample(withReplacement=False, fraction=fraction, seed=17)
-        .orderBy(*_order("c0", [f"c{i}" for i in range(1, len(fields))], descending, nulls_first))
-        .limit(SAMPLE_PER_BUCKET * buckets * 2)
-        .collect()
-    )
-    step = max(1, len(sample) // buckets)
-    picks = [sample[i] for i in range(step, len(sample), step)][: buckets - 1]
-    if picks:
-        bound_array = F.array(*[
-            F.struct(*[F.lit(row[f"c{i}"]).alias(f"c{i}") for i in range(len(fields))])
-            for row in picks
-        ])
-        row_cols = [F.col(f) for f in fields]
-        bucket = F.size(F.filter(bound_array, lambda b: _before(b, row_cols, desc, nfirst)))
-    else:
-        bucket = F.lit(0)
-    tagged = df.withColumn(_BUCKET, bucket)
-
-    # Rows per bucket -> offsets; one row per bucket, so broadcasting is bounded.
-    sizes = tagged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = sizes.select(
-        _BUCKET,
-        F.coalesce(
-            F.sum("__n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("__offset"),
-    )
-    in_bucket = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order))
-    positioned = (
-        tagged.join(F.broadcast(offsets), _BUCKET)
-        .withColumn(_POS, (F.col("__offset") + in_bucket).cast("bigint"))
-        .drop("__offset", _BUCKET)
+        df = df.withColumn(rank_col, F.rank().over(Window.orderBy(order[0])).cast("bigint"))
+    return df
+
+
+def _numbered(df: DataFrame, order: list[Column], weight: Column, out: str, rows_per_task: int) -> DataFrame:
+    """``out`` = total weight of the rows up to and including each row."""
+    df = df.checkpoint(eager=True)
+    parts = max(1, math.ceil(df.count() / rows_per_task))
+    dealt = df.repartitionByRange(parts, *order).withColumn(_PART, F.spark_partition_id()).checkpoint(eager=True)
+    totals = dealt.groupBy(_PART).agg(F.sum(weight).alias(_ROWS))  # one row a range
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_PART, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BEFORE))
+    inside = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        dealt.join(F.broadcast(offsets), _PART)
+        .withColumn(out, (F.col(_BEFORE) + F.sum(weight).over(inside)).cast("bigint"))
+        .drop(_PART, _BEFORE)
     )
-    if rank_col:
-        # Read twice below (grouped min and join back): materialize once.
-        positioned = _checkpointed(positioned)
-    out = positioned
-    if rank_col:
-        firsts = positioned.groupBy(value).agg(F.min(_POS).alias(rank_col))
-        out = out.join(firsts, out[value].eqNullSafe(firsts[value]), "inner").drop(firsts[value])
-    if position_col:
-        out = out.withColumnRenamed(_POS, position_col)
-    else:
-        out = out.drop(_POS)
-    return out
+
+
+def _ranked_values(df: DataFrame, value: str, order: Column, rank_col: str, rows_per_task: int) -> DataFrame:
+    counts = df.groupBy(F.col(value).alias("__value")).agg(F.count("*").alias("__n"))
+    values = _numbered(counts.withColumnRenamed("__value", value), [order], F.col("__n"), "__upto", rows_per_task)
+    ranks = values.select(F.col(value).alias("__value"), (F.col("__upto") - F.col("__n") + 1).cast("bigint").alias(rank_col))
+    return df.join(ranks, df[value].eqNullSafe(ranks["__value"])).drop("__value")
 
 
 def add_ranks(
@@ -176,19 +102,10 @@ def add_ranks(
     keys: Sequence[str],
     descending: bool = True,
     nulls_first: bool = True,
+    large: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Several independent ranks: ``{output column: value column}``.
-
-    The input is checkpointed once and shared by every rank.
-    """
-    out = _checkpointed(df)
-    n = out.count()
-    for i, (out_col, value) in enumerate(ranks.items()):
-        if i and n > rows_per_task:
-            out = _checkpointed(out)  # each large rank starts from a cut lineage
-        out = add_rank(
-            out, value, keys, rank_col=out_col, descending=descending,
-            nulls_first=nulls_first, rows_per_task=rows_per_task, checkpoint=False, n_rows=n,
-        )
-    return out
+    """Several independent ranks: ``{output column: value column}``."""
+    for out_col, value in ranks.items():
+        df = add_rank(df, value, keys, rank_col=out_col, descending=descending, nulls_first=nulls_first, large=large, rows_per_task=rows_per_task)
+    return df

@@ -289,6 +289,26 @@ FROM ev e LEFT JOIN ranked r ON e.id = r.id AND r.rn = 1"""
     return with_([RAW_QUAKES, RAW_COUNTIES, events, ranked], body)
 
 
+def _attached_sql(row_id: str, bad: str) -> str:
+    """Nearest place by row; rows where ``bad`` holds have no coordinates."""
+    d2r = "0.017453292519943295"
+    s_phi = f'sin((p."LATITUDE" - e.latitude) * {d2r} / 2)'
+    s_lmb = f'sin((p."LONGITUDE" - e.longitude) * {d2r} / 2)'
+    km = (f"(2 * 6371.0 * asin(sqrt({s_phi} * {s_phi} + cos(e.latitude * {d2r}) * cos(p.\"LATITUDE\" * {d2r})"
+          f" * ({s_lmb} * {s_lmb}))))")
+    dist = f"CAST(floor({km} * 1000000.0 + 0.5) AS BIGINT)"
+    events = f"""ev AS (
+  SELECT k AS row_key, {row_id} AS id, {bad} AS bad, latitude, longitude FROM (SELECT *, CAST(id AS BIGINT) AS k FROM raw_quakes) q
+)"""
+    best = f"""best AS (
+  SELECT e.row_key, p."OBJECTID" AS place_id, p."NAME" AS county, {dist} AS mm,
+    ROW_NUMBER() OVER (PARTITION BY e.row_key ORDER BY {dist}, p."OBJECTID") AS rn
+  FROM ev e CROSS JOIN raw_counties p WHERE NOT e.bad
+)"""
+    return with_([RAW_QUAKES, RAW_COUNTIES, events, best], """SELECT e.row_key, e.id, b.place_id, b.county, CAST(b.mm AS DOUBLE) / 1000000.0 AS distance_km
+FROM ev e LEFT JOIN best b ON e.row_key = b.row_key AND b.rn = 1""")
+
+
 ORACLE: dict[str, str] = {
     # ---- composed models -------------------------------------------------
     "gold_agg_rig_earthquake": with_(WEEKLY_CHAIN + [GOLD_STATE], """SELECT state,
@@ -436,6 +456,10 @@ FROM raw_counties c JOIN state_codes sc ON c."STATE" = sc.state_abbrev"""),
   round(avg_magnitude, 9) AS avg_magnitude FROM combined_data"""),
     "nearest_place": _nearest_sql(False),
     "nearest_place_nulls": _nearest_sql(True),
+    "nearest_place_repeated_ids": _attached_sql("CASE WHEN k % 3 <> 0 THEN CAST(k % 5 AS VARCHAR) END", "FALSE"),
+    "nearest_place_bad_coords": _attached_sql(
+        "id", "(k % 13 = 0 OR k % 17 = 0 OR k % 19 = 0 OR k % 23 = 0 OR k % 29 = 0 OR k % 31 = 0)"
+    ),
     "sum_by_group": with_(RIG_CHAIN, """SELECT state_or_province, CAST(SUM(rig_count) AS BIGINT) AS total_rigs
 FROM silver_rig_counts GROUP BY state_or_province"""),
     "count_by_group": with_(QUAKE_CHAIN, """SELECT state, county, CAST(COUNT(*) AS BIGINT) AS total_earthquakes
@@ -512,4 +536,6 @@ FROM (SELECT vec_id, embedding[1:(vec_id % 4)] AS coords FROM embeddings) e""",
        ELSE 'error' END AS status
 FROM (SELECT 'user_' || CAST(user_id AS VARCHAR) AS table_name, max(ts) AS max_loaded_at FROM events GROUP BY user_id) t""",
 })
-ORACLE["ordered_marts"] = ORACLE["state_rig_count"]
+ORACLE["ordered_marts"] = f"""SELECT state, county, peak_rig_rank, total_rig_rank,
+  CAST(ROW_NUMBER() OVER (ORDER BY peak_rig_rank, total_rig_rank, state, county) AS BIGINT) AS position
+FROM ({ORACLE["state_rig_count"]}) m"""

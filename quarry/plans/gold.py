@@ -16,17 +16,9 @@ from quarry.functions import null_default, to_day
 from quarry.operators.aggregates import count_rows, count_when, exact_distinct, sum_when
 from quarry.operators.ranking import add_rank, add_ranks
 
-# Means of measured magnitudes are reported to this many decimals, so the
-# summation order of a distributed average does not show in the output.
-MEAN_DECIMALS = 9
-
 WEEK_KEYS = ["state", "year", "event_week_num"]
 
 
-def _mean(col: str, decimals: int | None):
-    return F.round(F.col(col), decimals) if decimals is not None else F.col(col)
-
-
 def rig_weekly(silver_rigs: DataFrame) -> DataFrame:
     """Per (state, year, ISO week): sum, distinct days, mean and peak rigs."""
     return (
@@ -89,7 +81,6 @@ def gold_agg_rig_earthquake(
     silver_rigs: DataFrame,
     silver_quakes: DataFrame,
     thresholds: Thresholds = Thresholds(),
-    mean_decimals: int | None = MEAN_DECIMALS,
 ) -> DataFrame:
     """Per state over shared weeks: rig total, event total, mean of weekly
     mean magnitudes (unweighted), RANK and ROW_NUMBER by rig total.
@@ -107,7 +98,7 @@ def gold_agg_rig_earthquake(
         "state",
         "total_rigs_count",
         "total_earthquake_count",
-        _mean("avg_earthquake_magnitude", mean_decimals).alias("avg_earthquake_magnitude"),
+        "avg_earthquake_magnitude",
         "rig_rank",
         "rig_position",
     ).orderBy(F.desc_nulls_first("total_rigs_count"), "state")
@@ -140,7 +131,6 @@ def state_rig_count(silver_rigs: DataFrame) -> DataFrame:
 def earthquake_ranking(
     silver_quakes: DataFrame,
     thresholds: Thresholds = Thresholds(),
-    mean_decimals: int | None = MEAN_DECIMALS,
 ) -> DataFrame:
     """Per (state, county): event count, distinct event instants (named
     ``active_days``), mean / max magnitude, significant events, three
@@ -168,7 +158,7 @@ def earthquake_ranking(
     )
     return ranked.select(
         "state", "county", "total_earthquakes", "active_days",
-        _mean("avg_magnitude", mean_decimals).alias("avg_magnitude"),
+        "avg_magnitude",
         "max_magnitude", "significant_quakes",
         "rank_by_frequency", "rank_by_max_magnitude", "rank_by_significant_quakes",
     )

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CTX = FIXED_CONTEXT
 
+# Means of measured magnitudes are compared to this many decimals: the
+# summation order of a distributed average shows in the last digits.
+MEAN_DECIMALS = 9
+
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, MEAN_DECIMALS) for c in cols})
+
 
 def silver_rigs(spark: SparkSession, d: str) -> DataFrame:
     return silver.silver_rig_counts(bronze.bronze_rig_count(A.raw_rigs(spark, d)), CTX)
@@ -37,7 +45,8 @@ def silver_quakes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_gold_agg_rig_earthquake(spark, d):
-    return gold.gold_agg_rig_earthquake(silver_rigs(spark, d), silver_quakes(spark, d), CTX.thresholds)
+    mart = gold.gold_agg_rig_earthquake(silver_rigs(spark, d), silver_quakes(spark, d), CTX.thresholds)
+    return _rounded(mart, "avg_earthquake_magnitude")
 
 
 def q_state_rig_count(spark, d):
@@ -45,7 +54,7 @@ def q_state_rig_count(spark, d):
 
 
 def q_earthquake_ranking(spark, d):
-    return gold.earthquake_ranking(silver_quakes(spark, d), CTX.thresholds)
+    return _rounded(gold.earthquake_ranking(silver_quakes(spark, d), CTX.thresholds), "avg_magnitude")
 
 
 def q_silver_rig_counts(spark, d):
@@ -213,7 +222,7 @@ def q_lookup_join(spark, d):
 
 def q_agg_to_agg_join(spark, d):
     w = gold.weekly_activity(silver_rigs(spark, d), silver_quakes(spark, d), CTX.thresholds)
-    return w.withColumn("avg_magnitude", F.round("avg_magnitude", gold.MEAN_DECIMALS))
+    return w.withColumn("avg_magnitude", F.round("avg_magnitude", MEAN_DECIMALS))
 
 
 def _located(spark, d, null_coords: bool):
@@ -239,6 +248,31 @@ def q_nearest_place_nulls(spark, d):
     return _located(spark, d, null_coords=True)
 
 
+def _attached(spark, d, ev):
+    """Event rows with their nearest place, no id involved."""
+    places = A.raw_counties(spark, d)
+    return nearest.attach_nearest(ev, places, {"NAME": "county"}, place_id="OBJECTID", place_lat="LATITUDE", place_lon="LONGITUDE").select(
+        "row_key", "id", F.col("OBJECTID").alias("place_id"), "county", "distance_km"
+    )
+
+
+def q_nearest_place_repeated_ids(spark, d):
+    ev = A.raw_quakes(spark, d).select(
+        _key().alias("row_key"), F.when(_key() % 3 != 0, (_key() % 5).cast("string")).alias("id"), "latitude", "longitude"
+    )
+    return _attached(spark, d, ev)
+
+
+def q_nearest_place_bad_coords(spark, d):
+    k = _key()
+    ev = A.raw_quakes(spark, d).select(
+        k.alias("row_key"), "id",
+        F.when(k % 13 == 0, F.lit("1e12")).when(k % 17 == 0, F.lit("north")).when(k % 19 == 0, F.lit("Infinity")).otherwise(F.col("latitude").cast("string")).alias("latitude"),
+        F.when(k % 23 == 0, F.lit("-Infinity")).when(k % 29 == 0, F.lit("NaN")).when(k % 31 == 0, F.lit("180.5")).otherwise(F.col("longitude").cast("string")).alias("longitude"),
+    )
+    return _attached(spark, d, ev)
+
+
 def q_sum_by_group(spark, d):
     return AG.grouped(silver_rigs(spark, d), ["state_or_province"], {"total_rigs": F.sum("rig_count")})
 
@@ -285,9 +319,9 @@ def q_weekly_activity(spark, d):
     w = gold.quake_weekly(silver_quakes(spark, d), CTX.thresholds)
     return w.select(
         "state", "year", "event_week_num", "total_earthquakes", "active_days",
-        F.round("avg_magnitude", gold.MEAN_DECIMALS).alias("avg_magnitude"),
+        F.round("avg_magnitude", MEAN_DECIMALS).alias("avg_magnitude"),
         "max_magnitude", "significant_events",
-        F.round("avg_significance", gold.MEAN_DECIMALS).alias("avg_significance"),
+        F.round("avg_significance", MEAN_DECIMALS).alias("avg_significance"),
     )
 
 
@@ -297,7 +331,7 @@ def q_rig_weekly(spark, d):
 
 def q_mean_of_means(spark, d):
     w = gold.weekly_activity(silver_rigs(spark, d), silver_quakes(spark, d), CTX.thresholds)
-    return w.groupBy("state").agg(F.round(F.avg("avg_magnitude"), gold.MEAN_DECIMALS).alias("avg_earthquake_magnitude"))
+    return w.groupBy("state").agg(F.round(F.avg("avg_magnitude"), MEAN_DECIMALS).alias("avg_earthquake_magnitude"))
 
 
 def q_rank_over_aggregates(spark, d):
@@ -315,7 +349,12 @@ def q_row_position(spark, d):
 
 
 def q_ordered_marts(spark, d):
-    return q_state_rig_count(spark, d)
+    """The mart as its table is read back row by row: the number of each row
+    in the order the mart comes in."""
+    ordered = q_state_rig_count(spark, d).select("state", "county", "peak_rig_rank", "total_rig_rank")
+    return ordered.withColumn("place", F.monotonically_increasing_id()).withColumn(
+        "position", F.row_number().over(Window.orderBy("place")).cast("bigint")
+    ).drop("place")
 
 
 def q_upper_text(spark, d):
@@ -441,6 +480,8 @@ QUERIES: dict[str, Query] = {
     "agg_to_agg_join": q_agg_to_agg_join,
     "nearest_place": q_nearest_place,
     "nearest_place_nulls": q_nearest_place_nulls,
+    "nearest_place_repeated_ids": q_nearest_place_repeated_ids,
+    "nearest_place_bad_coords": q_nearest_place_bad_coords,
     "sum_by_group": q_sum_by_group,
     "count_by_group": q_count_by_group,
     "distinct_dates": q_distinct_dates,

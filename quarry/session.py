@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CHECKPOINT_DIR = "/tmp/quarry-checkpoints"
-
 
 def build_session(
     master: str | None = None,
@@ -36,8 +34,8 @@ def build_session(
         # Lenient CSV loads flag rows with a wrong field count; that flag
         # must not depend on which columns a query happens to read.
         "spark.sql.csv.parser.columnPruning.enabled": "false",
-        # Ranking and nearest-place checkpoint intermediate results; drop
-        # those files once nothing references them.
+        # Large ranks and place tables checkpoint intermediate results;
+        # drop those files once nothing references them.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions is not None:
@@ -55,15 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
     Read from ``spark.checkpoint.dir``; only when the setting is absent
-    and the master is local (tests) is a folder of our own set. On a
-    cluster a missing setting is an error, never a machine-local folder.
+    and the master is ``local[...]`` (tests) is a new temporary folder
+    set. On a cluster a missing setting is an error, never a machine-local
+    folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        current = os.environ.get("QUARRY_CHECKPOINT_DIR", DEFAULT_CHECKPOINT_DIR)
+        current = tempfile.mkdtemp(prefix="quarry-checkpoints-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

@@ -1,7 +1,9 @@
 import math
 import random
 
-from quarry.operators.nearest import EARTH_RADIUS_KM, locate, nearest_place
+import numpy as np
+
+from quarry.operators.nearest import EARTH_RADIUS_KM, PlaceTree, attach_nearest, locate, nearest_place
 
 
 def _hav(lat1, lon1, lat2, lon2):
@@ -46,7 +48,7 @@ def test_levels_borders_ties_far_points_and_nulls(spark):
         (5, None, 1.0),      # NULL coordinate -> NULL place
         (6, 89.9, 0.0),      # near the pole
     ]
-    got = _run(spark, events, places, cell_deg=0.5)
+    got = _run(spark, events, places)
     exp = _brute(events, places)
     assert got == exp
     assert got[1] == 3 and got[4] == 1 and got[5] is None
@@ -85,7 +87,7 @@ def test_text_coordinates_that_do_not_cast_give_null(spark):
     assert got == {1: 7, 2: None, 3: None}
 
 
-def test_far_events_from_dense_cluster_use_pruned_levels(spark):
+def test_far_events_from_dense_cluster(spark):
     rng = random.Random(5)
     places = [(i, 40.0 + rng.random() * 0.5, -100.0 + rng.random() * 0.5) for i in range(2000)]
     places += [(5000 + i, rng.uniform(-50, 50), rng.uniform(-180, 180)) for i in range(30)]
@@ -101,3 +103,46 @@ def test_copies_of_places(spark):
     got = _run(spark, events, hot + others)
     assert got == _brute(events, hot + others)
     assert all(p == 0 or p >= 10000 for p in got.values())
+
+
+def test_tiles_give_the_same_as_one_tree(spark):
+    rng = random.Random(21)
+    places = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(400)]
+    places += [(1000 + i, 30.0 + rng.random() * 0.01, -90.0 + rng.random() * 0.01) for i in range(400)]
+    events = [(i % 50, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(300)]
+    events += [(None, 30.005, -89.995)] * 20 + [(1, None, 5.0)]
+    ev = spark.createDataFrame(events, "id bigint, latitude double, longitude double")
+    pl = spark.createDataFrame(places, "place_id bigint, latitude double, longitude double")
+    row = lambda r: tuple(str(x) for x in r)
+    one = sorted((r for r in attach_nearest(ev, pl).collect()), key=row)
+    tiles = sorted((r for r in attach_nearest(ev, pl, tree_places=50).collect()), key=row)
+    assert tiles == one and len(one) == len(events)
+    best = _brute([(k, lat, lon) for k, (_, lat, lon) in enumerate(events)], places)
+    assert sorted(str(r.place_id) for r in one) == sorted(map(str, best.values()))
+
+
+def test_repeated_and_null_ids_keep_every_row(spark):
+    rng = random.Random(4)
+    places = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(60)]
+    at = [(rng.uniform(-80, 80), rng.uniform(-180, 180)) for _ in range(8)]
+    pl = spark.createDataFrame(places, "place_id bigint, latitude double, longitude double")
+    for ids in ([7] * 8, [None] * 8):
+        ev = spark.createDataFrame([(i, lat, lon) for i, (lat, lon) in zip(ids, at, strict=True)], "id bigint, latitude double, longitude double")
+        for tree in (200_000, 10):
+            got = sorted(r.place_id for r in nearest_place(ev, pl, tree_places=tree).collect())
+            assert got == sorted(_brute([(k, *a) for k, a in enumerate(at)], places).values())
+
+
+def test_bad_coordinates_give_null(spark):
+    inf, nan = float("inf"), float("nan")
+    events = [(1, 1e12, 0.0), (2, 0.0, inf), (3, nan, 0.0), (4, -inf, nan), (5, 91.0, 0.0), (6, 0.0, 180.5), (7, 90.0, -180.0)]
+    for tree in (200_000, 1):
+        assert _run(spark, events, [(1, 0.0, 0.0), (2, 80.0, 10.0)], tree_places=tree) == {1: None, 2: None, 3: None, 4: None, 5: None, 6: None, 7: 2}
+
+
+def test_far_events_score_few_places():
+    rng = np.random.default_rng(6)
+    tree = PlaceTree(40 + 0.5 * rng.random(3000), -100 + 0.5 * rng.random(3000))
+    lat, lon = rng.uniform(-80, 20, 400), rng.uniform(0, 170, 400)
+    tree.nearest(lat, lon)
+    assert tree.scored < 300 * 400

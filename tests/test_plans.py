@@ -37,12 +37,11 @@ def test_fact_scan_is_pruned_and_never_broadcast(spark):
     assert p.count("BroadcastHashJoin") == 3
 
 
-def test_nearest_level_is_a_hash_aggregate_over_a_broadcast_join(spark):
-    ev = A.raw_quakes(spark, SF).select(
-        F.col("id").alias("__eid"), F.col("latitude").alias("__elat"), F.col("longitude").alias("__elon"))
-    pl = A.raw_counties(spark, SF).select(
-        F.col("OBJECTID").alias("__pid"), F.col("LATITUDE").alias("__plat"), F.col("LONGITUDE").alias("__plon"),
-    ).withColumn("__prank", F.col("__pid"))
-    p = _plan(N._best_in_block(ev, pl, 2.0, True))
-    assert "BroadcastHashJoin" in p and "HashAggregate" in p and "SortAggregate" not in p
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+def test_nearest_search_does_not_move_events(spark):
+    ev = A.raw_quakes(spark, SF).select("id", "latitude", "longitude")
+    pl = A.raw_counties(spark, SF).select(F.col("OBJECTID").alias("place_id"), F.col("LATITUDE").alias("latitude"), F.col("LONGITUDE").alias("longitude"))
+    p = _plan(N.attach_nearest(ev, pl))
+    assert "ArrowEvalPython" in p and "BroadcastHashJoin" in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "SortMergeJoin" not in p
+    orders = [i for i, ln in enumerate(p.splitlines()) if "orders.parquet" in ln]
+    assert orders and not any("Exchange hashpartitioning" in ln and "o_orderkey" in ln for ln in p.splitlines())

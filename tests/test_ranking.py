@@ -18,9 +18,9 @@ def _expected(rows):
     return {k: (1 + larger(v), pos[k]) for k, v in rows}
 
 
-def _check(spark, rows, rows_per_task):
+def _check(spark, rows, **how):
     df = spark.createDataFrame(rows, "k string, v double")
-    out = add_rank(df, "v", ["k"], rank_col="r", position_col="p", rows_per_task=rows_per_task)
+    out = add_rank(df, "v", ["k"], rank_col="r", position_col="p", **how)
     got = {r.k: (r.r, r.p) for r in out.collect()}
     assert got == _expected(rows)
     assert dict(out.dtypes)["r"] == "bigint" and dict(out.dtypes)["p"] == "bigint"
@@ -28,13 +28,14 @@ def _check(spark, rows, rows_per_task):
 
 def test_ties_give_gaps_and_positions_by_key(spark):
     rows = [("b", 10.0), ("a", 10.0), ("c", 5.0), ("d", None), ("e", 1.0)]
-    _check(spark, rows, rows_per_task=1_000_000)
+    _check(spark, rows)
+    _check(spark, rows, large=True)
     df = spark.createDataFrame(rows, "k string, v double")
     got = {r.k: (r.r, r.p) for r in add_rank(df, "v", ["k"], rank_col="r", position_col="p").collect()}
     assert got == {"d": (1, 1), "a": (2, 2), "b": (2, 3), "c": (4, 4), "e": (5, 5)}
 
 
-def test_bucketed_path_matches_window_with_hot_value(spark):
+def test_large_path_matches_window_with_hot_value(spark):
     rng = random.Random(7)
     rows = []
     for i in range(3000):
@@ -45,12 +46,30 @@ def test_bucketed_path_matches_window_with_hot_value(spark):
         else:
             v = float(rng.randint(0, 400))
         rows.append((f"k{i:05d}", v))
-    _check(spark, rows, rows_per_task=250)   # 12 range buckets
+    _check(spark, rows, large=True, rows_per_task=250)   # 12 ranges
+    _check(spark, rows)
 
 
 def test_add_ranks_several_columns(spark):
     df = spark.createDataFrame([("a", 3, 1.0), ("b", 3, 2.0), ("c", 1, 2.0)], "k string, x bigint, y double")
     got = {r.k: (r.rx, r.ry) for r in add_ranks(df, {"rx": "x", "ry": "y"}, keys=["k"]).collect()}
     assert got == {"a": (1, 3), "b": (1, 1), "c": (3, 1)}
-    got2 = {r.k: (r.rx, r.ry) for r in add_ranks(df, {"rx": "x", "ry": "y"}, keys=["k"], rows_per_task=1).collect()}
+    got2 = {r.k: (r.rx, r.ry) for r in add_ranks(df, {"rx": "x", "ry": "y"}, keys=["k"], large=True, rows_per_task=1).collect()}
     assert got2 == got
+
+
+def test_building_a_mart_starts_no_job_of_its_own(spark):
+    from quarry.plans import gold
+    from quarry.queries import silver_quakes, silver_rigs
+
+    sf = "/root/testdata/sf0.001"
+    rigs, quakes = silver_rigs(spark, sf), silver_quakes(spark, sf)  # their dimension size checks run here
+    sc = spark.sparkContext
+    sc.setJobGroup("build", "building marts")
+    try:
+        gold.gold_agg_rig_earthquake(rigs, quakes)
+        gold.state_rig_count(rigs)
+        gold.earthquake_ranking(quakes)
+        assert not sc.statusTracker().getJobIdsForGroup("build")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
