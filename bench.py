@@ -4,7 +4,10 @@ Runs each headline query on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` (default 8): one warm-up
 run, then ``$BENCH_REPEATS`` (default 3) timed runs executed in full
 through the ``noop`` sink (no collect to the driver). Prints one JSON
-line; ``value`` is the sum of the per-query medians.
+line; ``value`` is the sum of the per-query medians. ``build`` and ``run``
+part each query's time into making the DataFrame (analysis and the size
+checks of lookup tables) and running it, ``jobs`` counts the Spark jobs of
+one run in both parts, and ``first`` is the untimed warm-up's time.
 """
 
 from __future__ import annotations
@@ -44,15 +47,26 @@ def main() -> None:
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
     spark = build_session(f"local[{cpus}]", app_name="quarry-bench", shuffle_partitions=cpus * 2, extra=extra)
     timings: dict[str, float] = {}
+    parts: dict[str, dict[str, float]] = {"build": {}, "run": {}, "first": {}}
+    jobs: dict[str, list[int]] = {}
+    sc = spark.sparkContext
     for name in names:
         runs = []
         for i in range(repeats + 1):
-            spark.sparkContext.setJobDescription(f"{name} run {i}")
+            sc.setJobGroup(f"{name} {i} build", f"{name} run {i}, build")
             t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            df = QUERIES[name](spark, sf_dir)
+            t1 = time.perf_counter()
+            sc.setJobGroup(f"{name} {i} run", f"{name} run {i}")
+            df.write.format("noop").mode("overwrite").save()
+            t2 = time.perf_counter()
             if i:
-                runs.append(time.perf_counter() - t0)
-        timings[name] = round(statistics.median(runs), 3)
+                runs.append((t2 - t0, t1 - t0, t2 - t1))
+            else:
+                parts["first"][name] = round(t2 - t0, 3)
+        for k, of in enumerate((timings, parts["build"], parts["run"])):
+            of[name] = round(statistics.median(r[k] for r in runs), 3)
+        jobs[name] = [len(sc.statusTracker().getJobIdsForGroup(f"{name} {repeats} {part}")) for part in ("build", "run")]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_marts_median_sum",
@@ -62,6 +76,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "repeats": repeats,
+        **parts,
+        "jobs": jobs,
     }))
     spark.stop()
 

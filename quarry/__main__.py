@@ -33,6 +33,10 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("run", help="load extracts, then rebuild views and tables")
     r.add_argument("--rig-sheet", action="append", default=[])
     r.add_argument("--quake-features", action="append", default=[])
+    r.add_argument("--quake-lines", action="store_true", help="event files hold one feature a line")
+    r.add_argument("--quake-period", nargs=2, metavar=("START", "END"), help="ISO dates; default: the 90 days up to --as-of")
+    r.add_argument("--as-of", help="ISO date of the event extract; default: today (UTC)")
+    r.add_argument("--quake-box", nargs=4, type=float, metavar=("MIN_LAT", "MAX_LAT", "MIN_LON", "MAX_LON"), help="default: the contiguous states")
     r.add_argument("--county-csv")
     r.add_argument("--seed-csv")
     r.add_argument("--quarantine", required=True)
@@ -49,7 +53,11 @@ def main(argv: list[str] | None = None) -> int:
         ctx = RunContext(run_id=args.run_id) if args.run_id else RunContext()
         inputs = pipeline.Inputs(rig_sheets=args.rig_sheet, quake_features=args.quake_features,
                                  county_csv=args.county_csv, seed_csv=args.seed_csv,
-                                 quarantine_dir=args.quarantine)
+                                 quarantine_dir=args.quarantine, quake_lines=args.quake_lines,
+                                 as_of=dt.date.fromisoformat(args.as_of) if args.as_of else None,
+                                 quake_period=tuple(map(dt.date.fromisoformat, args.quake_period)) if args.quake_period else None)
+        if args.quake_box:
+            inputs.quake_bbox = dict(zip(("min_lat", "max_lat", "min_lon", "max_lon"), args.quake_box, strict=True))
         results = pipeline.run(wh, inputs, ctx, partition_silver=args.partition_silver)
         print(json.dumps({k: vars(v) for k, v in results.items()}))
         if args.checks_as_of:

@@ -15,9 +15,7 @@ from quarry.functions.columns import (
     strip_ws,
     text_to_date,
     to_day,
-    typed,
     upper_text,
-    window_start,
 )
 
 __all__ = [
@@ -35,7 +33,5 @@ __all__ = [
     "strip_ws",
     "text_to_date",
     "to_day",
-    "typed",
     "upper_text",
-    "window_start",
 ]

@@ -13,7 +13,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 ColumnOrName = Column | str
 
@@ -108,11 +107,6 @@ def null_tokens(c: ColumnOrName, tokens: Iterable[str]) -> Column:
     return F.when(col.isin(tokens), F.lit(None)).otherwise(col)
 
 
-def typed(c: ColumnOrName, data_type: DataType | str) -> Column:
-    """Lenient cast: text that does not fit the type becomes NULL."""
-    return _col(c).try_cast(data_type)
-
-
 def present(c: ColumnOrName, numeric: bool = False) -> Column:
     """Required-field test: not NULL, and for doubles also not NaN."""
     col = _col(c)
@@ -122,11 +116,6 @@ def present(c: ColumnOrName, numeric: bool = False) -> Column:
     return cond
 
 
-def window_start(as_of: dt.date, days: int) -> Column:
-    """``as_of - days`` as a date literal column."""
-    return F.date_sub(F.lit(as_of), days)
-
-
 def audit_loaded_at(loaded_at: dt.datetime | None) -> Column:
     """Build timestamp: the given literal, or the query's current time."""
     if loaded_at is None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,14 +33,17 @@ def normalized_equals(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.where(F.upper(F.col(f"`{column}`")) == F.lit(value))
 
 
-def time_window(df: DataFrame, column: str, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> DataFrame:
+def in_time_window(t: Column, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> Column:
     """``start <= t <= end``; a bare date bound means midnight of that day."""
     def bound(x):
         if isinstance(x, dt.datetime):
             return F.lit(x.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
         return F.lit(x.isoformat()).cast("timestamp_ntz")
-    c = F.col(f"`{column}`")
-    return df.where((c >= bound(start)) & (c <= bound(end)))
+    return (t >= bound(start)) & (t <= bound(end))
+
+
+def time_window(df: DataFrame, column: str, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> DataFrame:
+    return df.where(in_time_window(F.col(f"`{column}`"), start, end))
 
 
 def last_days(df: DataFrame, column: str, as_of: dt.date, days: int) -> DataFrame:
@@ -48,12 +51,13 @@ def last_days(df: DataFrame, column: str, as_of: dt.date, days: int) -> DataFram
     return time_window(df, column, as_of - dt.timedelta(days=days), as_of)
 
 
-def bbox(df: DataFrame, lat: str, lon: str, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
+def in_bbox(lat: Column, lon: Column, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> Column:
     """Points inside a latitude / longitude box, borders included."""
-    return df.where(
-        F.col(lat).between(F.lit(min_lat), F.lit(max_lat))
-        & F.col(lon).between(F.lit(min_lon), F.lit(max_lon))
-    )
+    return lat.between(F.lit(min_lat), F.lit(max_lat)) & lon.between(F.lit(min_lon), F.lit(max_lon))
+
+
+def bbox(df: DataFrame, lat: str, lon: str, **box: float) -> DataFrame:
+    return df.where(in_bbox(F.col(lat), F.col(lon), **box))
 
 
 # The extract area and look-back used by the event load.

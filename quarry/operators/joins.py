@@ -10,19 +10,21 @@ from pyspark.sql import functions as F
 # Largest lookup table broadcast when its size is checked.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 62  # Spark's estimate for rows without one (given by the driver) is above
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (no job is run).
 
     For file scans this is the file size scaled to the read columns; it
-    ignores filters, so it errs on the large side.
+    ignores filters, so it errs on the large side. A plan without
+    statistics counts as large.
     """
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
         return int(str(stats.sizeInBytes()))
-    except Exception:  # no plan statistics here: let the exact row check decide
-        return 0
+    except Exception:  # no plan statistics: not known to be small
+        return UNKNOWN_BYTES - 1
 
 
 def bounded_broadcast(
@@ -33,11 +35,13 @@ def bounded_broadcast(
     """Broadcast ``df`` only when its size is proven small.
 
     Two checks: the planner's size estimate against ``max_bytes`` (no
-    job; rules out large tables at once), then an exact row bound by
-    counting at most ``max_rows + 1`` rows (a limit, not a full scan).
+    job; rules out large tables at once, except rows given by the driver,
+    which have no estimate), then an exact row bound by counting at most
+    ``max_rows + 1`` rows (a limit, not a full scan).
     Anything larger is returned unhinted and joined by shuffle.
     """
-    if estimated_bytes(df) > max_bytes:
+    size = estimated_bytes(df)
+    if max_bytes < size < UNKNOWN_BYTES:
         return df
     if df.limit(max_rows + 1).count() > max_rows:
         return df
@@ -49,13 +53,7 @@ def lookup_join(
     lookup: DataFrame,
     on: Column | Sequence[str],
     how: str = "inner",
-    lookup_is_bounded: bool = False,
 ) -> DataFrame:
-    """Join a fact table to a lookup table.
-
-    ``lookup_is_bounded`` marks tables whose size is fixed by construction
-    (a 51-row seed); those are broadcast without a count. Otherwise the
-    size is checked first.
-    """
-    side = F.broadcast(lookup) if lookup_is_bounded else bounded_broadcast(lookup)
-    return facts.join(side, on=on, how=how)
+    """Join a fact table to a lookup table, broadcast if its size is checked
+    to be small."""
+    return facts.join(bounded_broadcast(lookup), on=on, how=how)

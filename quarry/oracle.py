@@ -146,7 +146,7 @@ RAW_COUNTIES = f"""raw_counties AS (
     lon AS "X", lat AS "Y",
     s_suppkey AS "OBJECTID_1", s_suppkey AS "OBJECTID",
     s_name AS "NAME",
-    CAST(s_nationkey AS VARCHAR) AS "STATE",
+    CASE WHEN s_nationkey < {A.KNOWN_STATES} THEN CAST(s_nationkey AS VARCHAR) ELSE '??' END AS "STATE",
     CAST(s_nationkey AS BIGINT) AS "STATE_FIPS_CD",
     s_suppkey % 1000 AS "COUNTY_FIPS_CD",
     CAST(s_nationkey AS BIGINT) * 1000 + s_suppkey % 1000 AS "FIPS_CD",
@@ -168,7 +168,7 @@ RAW_COUNTIES = f"""raw_counties AS (
 
 STATE_CODES = """state_codes AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS state_abbrev, n_name AS state_full
-  FROM nation WHERE n_nationkey < 20
+  FROM nation
 )"""
 
 SILVER_COUNTIES = f"""silver_counties AS (
@@ -289,6 +289,19 @@ FROM ev e LEFT JOIN ranked r ON e.id = r.id AND r.rn = 1"""
     return with_([RAW_QUAKES, RAW_COUNTIES, events, ranked], body)
 
 
+_FEATURE_FLATTEN = """SELECT CAST(o_orderkey AS VARCHAR) AS id,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'abc' ELSE CAST(o_custkey AS VARCHAR) END AS magnitude,
+  CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS place,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'noon' WHEN o_orderkey % 17 = 0 THEN NULL
+    ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS time,
+  CAST(o_custkey % 1000 AS VARCHAR) AS sig,
+  CASE WHEN o_orderkey % 4 >= 1 THEN CAST(o_orderkey % 360 AS VARCHAR) END AS longitude,
+  CASE WHEN o_orderkey % 4 >= 2 THEN CAST(o_orderkey % 90 AS VARCHAR) END AS latitude,
+  CASE WHEN o_orderkey % 4 >= 3 THEN CAST(o_orderkey % 700 AS VARCHAR) END AS elevation,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'bad_value:magnitude' WHEN o_orderkey % 13 = 0 THEN 'bad_value:time' END AS reason
+FROM orders"""
+
+
 def _attached_sql(row_id: str, bad: str) -> str:
     """Nearest place by row; rows where ``bad`` holds have no coordinates."""
     d2r = "0.017453292519943295"
@@ -521,6 +534,16 @@ FROM (SELECT event_id,
 FROM (SELECT vec_id, embedding[1:(vec_id % 4)] AS coords FROM embeddings) e""",
     "last_token": with_([LAST_TOKEN_TEXT], f"""SELECT c_custkey, place,
   {_strip("string_split(place, ',')[-1]")} AS state_code FROM texts"""),
+    "feature_flatten": _FEATURE_FLATTEN,
+    "sheet_parse": """SELECT line, reason,
+  CASE WHEN reason IS NULL THEN county END AS county,
+  CASE WHEN reason IS NULL THEN 'Basin\\' END AS basin,
+  CASE WHEN reason IS NULL THEN rig_count END AS rig_count
+FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS line,
+  CASE WHEN l_orderkey % 11 = 0 OR l_orderkey % 13 = 0 THEN 'malformed' WHEN l_orderkey % 7 = 0 THEN 'bad_value:Rig Count Value' END AS reason,
+  CASE l_orderkey % 5 WHEN 0 THEN 'Har "X" ris, co' WHEN 1 THEN '' ELSE 'C' || CAST(l_orderkey AS VARCHAR) END AS county,
+  CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS rig_count
+FROM lineitem) t""",
     "explode_nested": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "explode_array": """SELECT vec_id, CAST(UNNEST(range(len(embedding))) AS BIGINT) AS pos,
   CAST(UNNEST(embedding) AS DOUBLE) AS value FROM embeddings""",

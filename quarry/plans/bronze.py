@@ -1,20 +1,32 @@
-"""Bronze views (M1-M3): raw tables as they are, rigs minus incomplete rows."""
+"""Bronze views (M1-M3): raw tables as they are, rigs minus incomplete rows.
+
+Each is one SELECT over ``{source}``, used for the persisted views and,
+with a DataFrame in its place, for queries on one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from quarry.operators.filters import required_fields
+VIEWS = {
+    "bronze_rig_count": "SELECT * FROM {source} WHERE `Country` IS NOT NULL AND `Rig Count Value` IS NOT NULL",
+    "bronze_county": "SELECT * FROM {source}",
+    "bronze_rig_earthquake": "SELECT * FROM {source}",
+}
+
+
+def _model(name: str, source: DataFrame) -> DataFrame:
+    return source.sparkSession.sql(VIEWS[name], source=source)
 
 
 def bronze_rig_count(raw_rigs: DataFrame) -> DataFrame:
     """Raw rig rows that have a country and a rig count."""
-    return required_fields(raw_rigs.select("*"), ["Country", "Rig Count Value"])
+    return _model("bronze_rig_count", raw_rigs)
 
 
 def bronze_county(raw_counties: DataFrame) -> DataFrame:
-    return raw_counties.select("*")
+    return _model("bronze_county", raw_counties)
 
 
 def bronze_rig_earthquake(raw_quakes: DataFrame) -> DataFrame:
-    return raw_quakes.select("*")
+    return _model("bronze_rig_earthquake", raw_quakes)

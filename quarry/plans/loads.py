@@ -1,19 +1,19 @@
 """Raw loads (S7, L1-L7): read -> type leniently -> stamp -> append.
 
-Each load is one lazy plan from the files to the raw table: the reader
-keeps bad rows (flagged), ``operators.validate`` splits typed good rows
-from quarantined ones, the load columns are stamped, and good rows are
-appended while rejected rows go to a quarantine folder. Counts come
-from Observations on the same writes (no second scan). An empty
-extract loads nothing and leaves the table untouched.
+The reader keeps bad rows (flagged), ``operators.validate`` tells good rows
+from others, and the classified extract is staged once as columns in the
+shared checkpoint folder. From there rejected rows go to a quarantine
+folder and good rows, typed and stamped, are appended. Every row of the
+extract is either loaded or quarantined. An empty extract loads nothing and
+leaves the table untouched.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +22,7 @@ from quarry import schemas as S
 from quarry.config import RunContext
 from quarry.functions import null_tokens
 from quarry.operators import filters, validate
-from quarry.operators.nearest import locate
+from quarry.operators.nearest import attach_nearest
 from quarry.plans.materialize import Warehouse
 from quarry.sinks import writers
 from quarry.sources import delimited, geojson, sheet
@@ -54,26 +54,39 @@ def _load(
     ctx: RunContext,
     loaded_at_col: str = "ingestion_timestamp",
     refresh: bool = False,
+    source: str = "",
+    once: bool = False,
+    count_table: bool = False,
 ) -> writers.LoadResult:
-    """Create the table if absent, then append the good rows (``refresh``:
-    replace the table's rows instead) and quarantine the rest."""
+    """Create the table if absent, quarantine rejected rows, then append the
+    good ones (``refresh``: replace the table's rows instead).
+
+    Rejects go to a folder named by the run and the source, so a run that
+    is repeated replaces its own. ``once`` is for streaming batches, whose
+    quarantine folder names the batch: a marker there tells that the batch
+    is loaded, and a replay adds nothing. ``count_table`` also counts the
+    rows of the whole table (a scan)."""
+    spark = wh.spark
     target = wh.name("raw", table)
-    writers.ensure_table(wh.spark, target, schema)
-    # Good rows and rejected rows are two writes of one classified plan;
-    # keep it so the extract's files are read once.
-    classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if classified.isEmpty():  # S7: nothing to load, table untouched
-            return writers.LoadResult(0, 0, 0, wh.spark.table(target).count())
-        stamped = writers.stamp_metadata(classified, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
+    writers.ensure_table(spark, target, schema)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{quarantine.rstrip('/')}/_loaded")
+    files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    if once and files.exists(marker):
+        return writers.LoadResult(0, 0, 0)
+    result = writers.LoadResult(0, 0, 0)
+    staged = writers.stage(classified)
+    if not staged.isEmpty():  # S7: else nothing to load, table untouched
+        stamped = writers.stamp_metadata(staged, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
         good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-        result = writers.write_split(stamped, good_cols, target, quarantine, refresh=refresh)
-    finally:
-        classified.unpersist()
+        load = f"{ctx.run_id or 'run'}-{zlib.crc32(source.encode()):08x}"
+        result = writers.write_split(stamped, good_cols, target, f"{quarantine.rstrip('/')}/load={load}", refresh=refresh)
+    if once:
+        files.create(marker).close()
     # The write may have run in another session (a stream's batch): drop
     # this session's cached file listing of the table before reading it.
-    wh.spark.catalog.refreshTable(target)
-    result.table_rows = wh.spark.table(target).count()
+    spark.catalog.refreshTable(target)
+    if count_table:
+        result.table_rows = spark.table(target).count()
     return result
 
 
@@ -88,20 +101,26 @@ def load_rigs(wh: Warehouse, paths: str | Sequence[str], quarantine: str, ctx: R
 
 
 def load_rig_rows(wh: Warehouse, raw: DataFrame, quarantine: str, ctx: RunContext, file_url: str,
-                  refresh: bool = False) -> writers.LoadResult:
+                  refresh: bool = False, once: bool = False) -> writers.LoadResult:
     """Parsed sheet rows (12 text columns + corrupt record) -> raw rigs."""
     classified = validate.classify(raw, S.RIG_SHEET, corrupt_col="_corrupt_record")
     meta = {"data_source": RIG_SOURCE, "file_url": file_url}
-    return _load(wh, RIG_TABLE, S.RAW_RIGS, classified, quarantine, meta, ctx, refresh=refresh)
+    return _load(wh, RIG_TABLE, S.RAW_RIGS, classified, quarantine, meta, ctx, refresh=refresh, source=file_url, once=once)
 
 
 def load_counties(wh: Warehouse, path: str, quarantine: str, ctx: RunContext) -> writers.LoadResult:
     """Headered county CSV -> raw counties (empty fields become NULL)."""
     raw = delimited.read_text_columns(wh.spark, path, S.COUNTY_FILE, null_values=COUNTY_NULL_TOKENS)
+    return load_county_rows(wh, raw, quarantine, ctx, path)
+
+
+def load_county_rows(wh: Warehouse, raw: DataFrame, quarantine: str, ctx: RunContext, file_path: str,
+                     once: bool = False) -> writers.LoadResult:
+    """County rows as text (with the corrupt record) -> raw counties."""
     classified = validate.classify(raw, S.COUNTY_FILE, corrupt_col=delimited.CORRUPT)
-    meta = {"DATA_SOURCE": COUNTY_SOURCE, "FILE_PATH": path}
+    meta = {"DATA_SOURCE": COUNTY_SOURCE, "FILE_PATH": file_path}
     return _load(wh, COUNTY_TABLE, S.RAW_COUNTIES, classified, quarantine, meta, ctx,
-                 loaded_at_col="INGESTION_TIMESTAMP")
+                 loaded_at_col="INGESTION_TIMESTAMP", source=file_path, once=once)
 
 
 def load_quakes(
@@ -114,15 +133,21 @@ def load_quakes(
     bbox: dict | None = None,
     api_url: str = "",
     sequence: bool = False,
+    count_table: bool = False,
 ) -> writers.LoadResult:
     """GeoJSON features -> raw events, each located at its nearest place.
 
-    ``places`` has (place_id, latitude, longitude, state, county); events
-    without valid coordinates keep NULL location columns. ``period`` and
-    ``bbox`` are the extract's source-side predicates.
+    ``places`` has (place_id, latitude, longitude) and some of state,
+    county, country_code; events without valid coordinates keep NULL
+    location columns. ``period`` and ``bbox`` are the extract's source-side
+    predicates: events known to be outside are not part of the extract.
     """
-    ev = geojson.read_events(wh.spark, paths, sequence=sequence)
-    return load_quake_rows(wh, ev, quarantine, ctx, places=places, period=period, bbox=bbox, api_url=api_url)
+    ev = geojson.flatten_features(geojson.read_features(wh.spark, paths, sequence=sequence))
+    return load_quake_rows(wh, ev, quarantine, ctx, places=places, period=period, bbox=bbox, api_url=api_url,
+                           source=_paths_text(paths), count_table=count_table)
+
+
+LOCATION = ("state", "county", "country_code")
 
 
 def load_quake_rows(
@@ -134,27 +159,23 @@ def load_quake_rows(
     period: tuple[dt.date, dt.date] | None = None,
     bbox: dict | None = None,
     api_url: str = "",
+    source: str = "",
+    once: bool = False,
+    count_table: bool = False,
 ) -> writers.LoadResult:
-    """Flattened feed events (``geojson.flatten_features``) -> raw events."""
+    """Flattened feed events as text (``geojson.flatten_features``) -> raw events."""
+    inside = F.lit(True)
     if period:
-        ev = filters.time_window(ev, "time", period[0], period[1])
+        inside = inside & filters.in_time_window(F.col("time").try_cast("timestamp_ntz"), *period)
     if bbox:
-        ev = filters.bbox(ev, "latitude", "longitude", **bbox)
-    if places is not None:
-        loc = locate(ev.select("id", "latitude", "longitude"), places,
-                     {"state": "state", "county": "county"}, place_id="place_id")
-        ev = ev.join(loc.select("id", "state", "county"), "id", "left").withColumn(
-            "country_code", F.when(F.col("state").isNotNull(), F.lit("US"))
-        )
-    else:
-        ev = ev.select("*", *[F.lit(None).cast("string").alias(c) for c in ("state", "county", "country_code")])
-    # Text fields get the feed's NULL tokens; typed fields are already typed.
-    cols = [
-        null_tokens(F.col(f.name), QUAKE_NULL_TOKENS).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f.name)
-        for f in S.QUAKE_EVENT.fields
-    ]
-    classified = validate.classify(ev.select(*cols), S.QUAKE_EVENT)
+        inside = inside & filters.in_bbox(F.col("latitude").try_cast("double"), F.col("longitude").try_cast("double"), **bbox)
+    ev = ev.where(F.coalesce(inside, F.lit(True)))  # what cannot be judged is left to the typing
+    known = [c for c in LOCATION if places is not None and c in places.columns]
+    if known:
+        ev = attach_nearest(ev, places, {c: c for c in known}).drop("place_id", "distance_km")
+    ev = ev.withColumns({c: F.lit(None).cast("string") for c in LOCATION if c not in known})
+    cols = [null_tokens(F.col(f.name), QUAKE_NULL_TOKENS).alias(f.name) for f in S.QUAKE_EVENT.fields]
+    classified = validate.classify(ev.select(*cols, geojson.CORRUPT), S.QUAKE_EVENT, corrupt_col=geojson.CORRUPT)
     meta = {
         "data_source": QUAKE_SOURCE,
         "api_url": api_url,
@@ -162,4 +183,4 @@ def load_quake_rows(
         "data_period_end": period[1] if period else None,
         "region": "USA",
     }
-    return _load(wh, QUAKE_TABLE, S.RAW_QUAKES, classified, quarantine, meta, ctx)
+    return _load(wh, QUAKE_TABLE, S.RAW_QUAKES, classified, quarantine, meta, ctx, source=source, once=once, count_table=count_table)

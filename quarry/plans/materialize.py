@@ -9,6 +9,7 @@ properties.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,20 @@ def _ident(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+@dataclass(frozen=True)
+class Model:
+    layer: str
+    model: Callable[[SparkSession, dict[str, DataFrame]], DataFrame]
+    inputs: dict[str, tuple[str, str]]
+    tags: tuple[str, ...]
+    comment: str | None
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
     ns: Namespaces = field(default_factory=Namespaces)
+    models: dict[str, "Model"] = field(default_factory=dict)
 
     def create_namespaces(self) -> None:
         for db in (self.ns.raw, self.ns.bronze, self.ns.silver, self.ns.gold):
@@ -78,6 +89,30 @@ class Warehouse:
         kv = ", ".join(f"'{k}' = '{_quote(v)}'" for k, v in props.items())
         self.spark.sql(f"ALTER TABLE {_ident(target)} SET TBLPROPERTIES ({kv})")
 
+    # -- user models ---------------------------------------------------
+    def register(self, layer: str, name: str, model: Callable[[SparkSession, dict[str, DataFrame]], DataFrame],
+                 inputs: dict[str, tuple[str, str]], tags: tuple[str, ...] = (), comment: str | None = None) -> None:
+        """A model ``(session, inputs) -> DataFrame``; ``inputs`` names the
+        (layer, table) of each input."""
+        self.models[name] = Model(layer, model, inputs, tags, comment)
+
+    def build(self, name: str) -> DataFrame:
+        """Materialize a registered model and, before it, the registered
+        models that it reads; its table."""
+        self._build(name, set(), ())
+        return self.ref(self.models[name].layer, name)
+
+    def _build(self, name: str, done: set[str], above: tuple[str, ...]) -> None:
+        if name in above:
+            raise ValueError(f"models read each other: {' -> '.join([*above, name])}")
+        m = self.models[name]
+        for layer, table in m.inputs.values():
+            if table in self.models and self.models[table].layer == layer and table not in done:
+                self._build(table, done, (*above, name))
+        frames = {k: self.ref(layer, table) for k, (layer, table) in m.inputs.items()}
+        self.table(m.layer, name, m.model(self.spark, frames), m.tags, m.comment)
+        done.add(name)
+
     def properties(self, layer: str, model: str) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {_ident(self.name(layer, model))}").collect()
         return {r["key"]: r["value"] for r in rows}

@@ -61,11 +61,11 @@ def silver_counties(bronze_counties: DataFrame, state_codes: DataFrame, ctx: Run
 
     The join compares the raw state code (case-sensitive); only the
     output is upper-cased. Codes missing from the lookup drop the row.
-    The lookup is a fixed 51-row table, so it is broadcast.
+    The lookup is broadcast if it is small (its size is checked).
     """
     br = bronze_counties.alias("br")
     sc = state_codes.alias("sc")
-    joined = lookup_join(br, sc, F.col("br.STATE") == F.col("sc.state_abbrev"), "inner", lookup_is_bounded=True)
+    joined = lookup_join(br, sc, F.col("br.STATE") == F.col("sc.state_abbrev"), "inner")
     return joined.select(
         upper_text(F.col("br.NAME")).alias("county"),
         upper_text(F.col("br.STATE")).alias("state_code"),

@@ -20,7 +20,9 @@ from quarry.operators import aggregates as AG
 from quarry.operators import filters, joins, nearest, projection, quality, validate
 from quarry.plans import bronze, gold, silver
 from quarry.sinks import writers
+from quarry.schemas import QUAKE_EVENT, RIG_SHEET
 from quarry.sources import adapters as A
+from quarry.sources import geojson, sheet
 from quarry.sources.nulls import QUAKE_NULL_TOKENS, RIG_NULL_TOKENS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -416,6 +418,53 @@ def q_last_token(spark, d):
     return t.select("c_custkey", "place", QF.last_token("place").alias("state_code"))
 
 
+def q_feature_flatten(spark, d):
+    """Feed features, built from orders as the reader gives them, flattened
+    and checked like a load."""
+    o = A.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    k, text = F.col("o_orderkey"), lambda c: c.cast("string")
+    millis = F.timestamp_diff("MILLISECOND", QF.lit_ntz(EPOCH), F.col("o_orderdate").cast("timestamp_ntz"))
+    time = F.when(k % 13 == 0, F.lit("noon")).when(k % 17 == 0, F.lit("0")).otherwise(text(millis))
+    coords = F.slice(F.array(text(k % 360), text(k % 90), text(k % 700)), 1, (k % 4).cast("int"))
+    props = {
+        "mag": F.when(k % 11 == 0, F.lit("abc")).otherwise(text(F.col("o_custkey"))),
+        "place": F.when(k % 7 != 0, F.col("o_orderpriority")),
+        "time": time, "updated": time, "sig": text(F.col("o_custkey") % 1000),
+    }
+    fields = geojson.FEATURE["properties"].dataType.names
+    feature = F.struct(
+        text(k).alias("id"),
+        F.struct(*[props.get(n, F.lit(None).cast("string")).alias(n) for n in fields]).alias("properties"),
+        F.struct(coords.alias("coordinates")).alias("geometry"),
+    )
+    flat = geojson.flatten_features(o.select(feature.alias("f"), F.lit(None).cast("string").alias(geojson.CORRUPT)))
+    rule = T.StructType([f for f in QUAKE_EVENT.fields if f.name in flat.columns])
+    return validate.classify(flat, rule, corrupt_col=geojson.CORRUPT).select(
+        "id", "magnitude", "place", "time", "sig", "longitude", "latitude", "elevation", F.col(validate.REASON).alias("reason")
+    )
+
+
+def q_sheet_parse(spark, d):
+    """Sheet lines, built from lineitem, parsed by position and checked:
+    doubled quotes, commas in quotes, empty and missing fields."""
+    li = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    k = F.col("l_orderkey")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    county = F.when(k % 5 == 0, F.lit('Har "X" ris, co')).when(k % 5 == 1, F.lit("")).otherwise(F.concat(F.lit("C"), k.cast("string")))
+    count = F.when(k % 7 == 0, F.lit("many")).otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+    cells = [F.lit("United States"), county, F.lit("Basin\\"), F.lit("N"), F.col("l_returnflag"), F.lit("Land"), F.lit("TEXAS"), F.lit("H"),
+             F.lit("2024"), F.lit("1"), F.lit("2024-01-05"), count]
+    line = F.concat_ws(",", *[quoted(c) for c in cells[:11]])
+    line = F.when(k % 11 == 0, line).when(k % 13 == 0, F.concat(line, F.lit(',"1","2"'))).otherwise(F.concat(line, F.lit(","), quoted(cells[11])))
+    lines = li.select(line.alias("value"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("file_path"))
+    parsed = validate.classify(sheet.parse_positional(lines), RIG_SHEET, corrupt_col="_corrupt_record")
+    good = F.col(validate.REASON).isNull()
+    return parsed.select(
+        F.col("file_path").alias("line"), F.col(validate.REASON).alias("reason"),
+        *[F.when(good, F.col(f"`{c}`")).alias(a) for c, a in (("County", "county"), ("Basin", "basin"), ("Rig Count Value", "rig_count"))],
+    )
+
+
 def q_explode_nested(spark, d):
     """A nested JSON field by path (NULL when the key is missing)."""
     ev = A.table(spark, d, "events").select("event_id", "props")
@@ -504,6 +553,8 @@ QUERIES: dict[str, Query] = {
     "epoch_millis": q_epoch_millis,
     "safe_index": q_safe_index,
     "last_token": q_last_token,
+    "feature_flatten": q_feature_flatten,
+    "sheet_parse": q_sheet_parse,
     "explode_nested": q_explode_nested,
     "explode_array": q_explode_array,
     "json_field": q_json_field,

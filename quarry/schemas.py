@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, L, D, TS, DT, B, I = (
+S, L, D, TS, DT, B = (
     T.StringType(),
     T.LongType(),
     T.DoubleType(),
     T.TimestampNTZType(),
     T.DateType(),
     T.BooleanType(),
-    T.IntegerType(),
 )
 
 # Longest text any raw text column may hold.
@@ -65,60 +64,28 @@ RAW_COUNTIES = T.StructType(COUNTY_FILE.fields + COUNTY_META.fields)
 
 STATE_CODE = _struct(("state_abbrev", S), ("state_full", S))
 
-# GeoJSON feature collection, only the fields the loader reads.
+# GeoJSON feature collection, only the fields the loader reads. Values are
+# read as text, so one that does not fit its type is still there to be
+# quarantined.
 GEOJSON_COLLECTION = T.StructType([
     T.StructField("features", T.ArrayType(T.StructType([
         T.StructField("id", S),
         T.StructField("properties", _struct(
-            ("mag", D), ("place", S), ("time", L), ("updated", L), ("sig", L),
+            ("mag", S), ("place", S), ("time", S), ("updated", S), ("sig", S),
             ("sources", S), ("types", S), ("magType", S), ("type", S), ("title", S),
         )),
         T.StructField("geometry", T.StructType([
-            T.StructField("coordinates", T.ArrayType(D)),
+            T.StructField("coordinates", T.ArrayType(S)),
         ])),
     ]))),
 ])
 
 
-def spark_type_for(name: str, pandas_dtype: str, source: str = "rigs") -> T.DataType:
-    """Storage type of a raw column from its frame dtype and name.
-
-    Rules: load timestamps (and event times for quakes) are zone-less
-    timestamps, named text columns are text, period bounds are dates,
-    integer / float / boolean dtypes map to long / double / boolean, and
-    anything else (datetimes included) is stored as text.
-    """
-    ts_names = {"ingestion_timestamp"}
-    text_names: set[str] = set()
-    date_names: set[str] = set()
-    if source == "quakes":
-        ts_names |= {"time", "updated"}
-        text_names = {
-            "data_source", "api_url", "place", "url", "detail", "alert", "status",
-            "net", "code", "magType", "type", "title", "region", "state", "county",
-            "country_code",
-        }
-        date_names = {"data_period_start", "data_period_end"}
-    elif source == "rigs":
-        text_names = {"data_source", "file_url"}
-    elif source == "counties":
-        text_names = {"data_source", "file_path"}
-    dtype = str(pandas_dtype)
-    if name in ts_names:
-        return TS
-    if name in text_names:
-        return S
-    if name in date_names:
-        return DT
-    if "int" in dtype:
-        return L
-    if "float" in dtype:
-        return D
-    if source == "quakes" and "bool" in dtype:
-        return B
-    return S
-
-
-def schema_from_dtypes(dtypes: dict[str, str], source: str) -> T.StructType:
-    """Storage schema of a raw table from an extract's column dtypes."""
-    return T.StructType([T.StructField(n, spark_type_for(n, d, source), True) for n, d in dtypes.items()])
+def schema_from_dtypes(dtypes: dict[str, str], declared: T.StructType) -> T.StructType:
+    """Storage schema of an extract with these frame dtypes: declared columns
+    as declared, others by their dtype (integers long, floats double,
+    booleans boolean, anything else text)."""
+    kinds = {"int": L, "float": D, "bool": B}
+    known = {f.name: f.dataType for f in declared.fields}
+    other = lambda dtype: next((t for k, t in kinds.items() if k in str(dtype)), S)
+    return T.StructType([T.StructField(n, known.get(n) or other(d), True) for n, d in dtypes.items()])

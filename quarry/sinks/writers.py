@@ -3,24 +3,27 @@
 * ``stamp_metadata``: load columns added as literals / build time;
 * ``ensure_table``: create the target from a declared schema if absent
   (the schema is frozen from then on: appends must match it);
-* ``append_load`` / ``full_refresh``: add the extract again, or replace
-  the table's rows;
-* ``write_split``: write good rows and quarantined rows of one classified
-  plan, counting both with an ``Observation`` on the same job;
+* ``stage``: the classified extract as a columnar file, so that its source
+  is read once;
+* ``write_split``: quarantine the rejected rows, then append the good ones or
+  replace the table's rows with them;
 * ``write_quoted_csv``: fully quoted CSV extract with a header.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import audit_loaded_at
 from quarry.operators.validate import REASON
+from quarry.schemas import schema_from_dtypes
+from quarry.session import ensure_checkpoint_dir
 
 
 def stamp_metadata(df: DataFrame, values: dict[str, object], loaded_at: dt.datetime | None = None,
@@ -32,10 +35,15 @@ def stamp_metadata(df: DataFrame, values: dict[str, object], loaded_at: dt.datet
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet",
-                 comment: str | None = None, properties: dict[str, str] | None = None) -> bool:
-    """Create ``name`` with ``schema`` unless it exists. True if created."""
+                 comment: str | None = None, properties: dict[str, str] | None = None,
+                 dtypes: dict[str, str] | None = None) -> bool:
+    """Create ``name`` with ``schema`` unless it exists. True if created.
+    With an extract's ``dtypes`` the table has its columns, typed as in
+    ``schema`` where declared there."""
     if spark.catalog.tableExists(name):
         return False
+    if dtypes:
+        schema = schema_from_dtypes(dtypes, schema)
     empty = spark.createDataFrame([], schema)
     writer = empty.write.format(fmt).mode("ignore")
     if properties:
@@ -50,25 +58,6 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str
     return True
 
 
-def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``df`` in the table's order and types (by name)."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def append_load(df: DataFrame, table: str) -> None:
-    """Add every row of the extract; no key, no de-duplication."""
-    spark = df.sparkSession
-    schema = spark.table(table).schema
-    _conform(df, schema).write.mode("append").insertInto(table)
-
-
-def full_refresh(df: DataFrame, table: str) -> None:
-    """Replace the table's rows with the extract (the schema stays)."""
-    spark = df.sparkSession
-    schema = spark.table(table).schema
-    _conform(df, schema).write.mode("overwrite").insertInto(table, overwrite=True)
-
-
 @dataclass
 class LoadResult:
     rows_in: int
@@ -86,21 +75,34 @@ def load_counts(classified: DataFrame) -> DataFrame:
     )
 
 
-def write_split(classified: DataFrame, good_cols: list[Column], table: str, quarantine_path: str,
+def stage(classified: DataFrame) -> DataFrame:
+    """The classified extract written once, as columns, to the shared
+    checkpoint folder: the files are read once, and the writes after it
+    each read only their rows."""
+    spark = classified.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/load-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    classified.toDF(*[f"c{i}" for i in range(len(classified.columns))]).write.parquet(path)
+    return spark.read.parquet(path).toDF(*classified.columns)
+
+
+def write_split(staged: DataFrame, good_cols: list[Column], table: str, quarantine_path: str,
                 refresh: bool = False) -> LoadResult:
-    """Append good rows to ``table`` (or, with ``refresh``, replace its
-    rows) and write rejected rows to ``quarantine_path`` (parquet).
-    Counts come from Observations on the writes, so no extra scan is
-    needed."""
-    obs_good = Observation("good")
-    obs_bad = Observation("bad")
-    good = classified.where(F.col(REASON).isNull()).select(*good_cols)
-    bad = classified.where(F.col(REASON).isNotNull())
-    good.observe(obs_good, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=refresh)
-    bad.observe(obs_bad, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine_path)
-    n_good = obs_good.get.get("n", 0)
-    n_bad = obs_bad.get.get("n", 0)
-    return LoadResult(rows_in=n_good + n_bad, rows_loaded=n_good, rows_rejected=n_bad)
+    """Write rejected rows to ``quarantine_path`` (parquet, replaced), then
+    add the good rows to ``table`` (or, with ``refresh``, replace its rows).
+    The append comes last and in one commit, so a load that failed can run
+    again. Columns are matched by name."""
+    spark = staged.sparkSession
+    good = staged.where(F.col(REASON).isNull()).select(*good_cols)
+    bad = staged.where(F.col(REASON).isNotNull())
+    if good.columns != spark.table(table).columns:
+        raise ValueError(f"{table} has the columns {spark.table(table).columns}, the load {good.columns}")
+    counts = load_counts(staged).first()
+    if counts["rows_rejected"]:
+        bad.write.mode("overwrite").parquet(quarantine_path)
+    good.write.insertInto(table, overwrite=refresh)
+    return LoadResult(counts["rows_in"], counts["rows_loaded"], counts["rows_rejected"])
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:

@@ -3,9 +3,12 @@
 Files are read with every column as text plus a corrupt-record column,
 so a row with the wrong number of fields is kept (flagged) rather than
 silently dropped, and the whole schema is always read (the corrupt
-column is only reliable when no column is pruned). Per-source NULL
-tokens are applied before typing; ``operators.validate`` then splits
-typed good rows from quarantined ones.
+column is only reliable when no column is pruned). Columns are found by
+their header names, in whatever order the file has them; a missing one is
+an error. Quoted fields may hold line breaks, so a file is one task: cut
+large extracts into files, or pass ``multiline=False`` for files that are
+known to have none. Per-source NULL tokens are applied before typing;
+``operators.validate`` then splits typed good rows from quarantined ones.
 """
 
 from __future__ import annotations
@@ -24,13 +27,6 @@ CORRUPT = "_corrupt_record"
 NO_NULL_TEXT = "\u0000"
 
 
-def text_schema(schema: T.StructType) -> T.StructType:
-    """Same names, all text, plus the corrupt-record column."""
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [
-        T.StructField(CORRUPT, T.StringType())
-    ])
-
-
 def read_text_columns(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -38,22 +34,54 @@ def read_text_columns(
     header: bool = True,
     null_values: Iterable[str] = (),
     quote: str = '"',
+    multiline: bool = True,
 ) -> DataFrame:
-    """Read CSV as text columns (by position) with NULL tokens applied.
+    """Read CSV as text columns (by header name, without a header by
+    position) with NULL tokens applied.
 
-    A missing path fails at analysis, as a missing input file should.
+    A missing path fails at analysis, as a missing input file should; so
+    does a file without one of the columns. Files read together must have
+    one header.
     """
-    df = (
-        spark.read.schema(text_schema(schema))
-        .option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("quote", quote)
-        .option("escape", quote)
-        .option("nullValue", NO_NULL_TEXT)
-        .option("enforceSchema", True)
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    options = {"header": header, "quote": quote, "escape": quote, "multiLine": multiline, "columnPruning": False}
+    wanted = [f.name for f in schema.fields]
+
+    def read(path: str) -> DataFrame:
+        names = wanted
+        if header:
+            names = spark.read.options(**options).csv(path).columns
+            missing = sorted(set(wanted) - set(names))
+            if missing or len(set(names)) < len(names):
+                raise ValueError(f"{path}: no column {missing}" if missing else f"{path}: a column name comes twice")
+        found = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
+        rows = (
+            spark.read.schema(found)
+            .options(**options)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("nullValue", NO_NULL_TEXT)
+            .option("enforceSchema", False)
+            .csv(path)
+        )
+        return rows.select(*[F.col(f"`{n}`") for n in wanted], CORRUPT)
+
+    df = read(paths[0])
+    for path in paths[1:]:
+        df = df.unionByName(read(path))
+    return _without_tokens(df, null_values)
+
+
+def stream_text_columns(spark: SparkSession, folder: str, schema: T.StructType, null_values: Iterable[str] = (), quote: str = '"') -> DataFrame:
+    """The files of a drop folder as a stream of text columns. Files must have
+    the declared columns in order; another header is an error."""
+    found = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())])
+    options = {"header": True, "quote": quote, "escape": quote, "multiLine": True, "columnPruning": False, "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": CORRUPT, "nullValue": NO_NULL_TEXT, "enforceSchema": False}
+    return _without_tokens(spark.readStream.schema(found).options(**options).csv(folder), null_values)
+
+
+def _without_tokens(df: DataFrame, null_values: Iterable[str]) -> DataFrame:
     tokens = list(null_values)
     if not tokens:
         return df

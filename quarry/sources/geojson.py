@@ -1,22 +1,31 @@
 """GeoJSON feature collections.
 
 One row per feature: id, the ``properties`` fields, and longitude /
-latitude / elevation from ``geometry.coordinates[0..2]``. Missing
-objects, keys or coordinates give NULL (declared schema, safe index);
-times are epoch milliseconds where 0 means "no time".
+latitude / elevation from ``geometry.coordinates[0..2]``. Missing objects,
+keys or coordinates give NULL (declared schema, safe index); times are
+epoch milliseconds where 0 means "no time".
+
+Values come as text, beside a corrupt-record column: a line that is not
+JSON, or a value that does not fit its column's type, reaches
+``operators.validate`` and is quarantined whole. A collection file that
+cannot be decoded ends the load; only a decoded one without features is
+empty.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions import epoch_millis_to_ntz, safe_index
-from quarry.schemas import GEOJSON_COLLECTION
+from quarry.schemas import GEOJSON_COLLECTION, QUAKE_EVENT
 
 FEATURE = GEOJSON_COLLECTION["features"].dataType.elementType
+CORRUPT = "_corrupt_record"
+FEATURE_LINE = T.StructType(FEATURE.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
 def read_features(spark: SparkSession, paths: str | Sequence[str], sequence: bool = False) -> DataFrame:
@@ -25,20 +34,32 @@ def read_features(spark: SparkSession, paths: str | Sequence[str], sequence: boo
     (``sequence=True``: one feature per line, split across tasks)."""
     p = paths if isinstance(paths, str) else list(paths)
     if sequence:
-        return spark.read.schema(FEATURE).json(p).select(F.struct("*").alias("f"))
-    coll = spark.read.schema(GEOJSON_COLLECTION).option("multiLine", True).json(p)
-    return coll.select(F.explode("features").alias("f"))
+        return feature_lines(spark.read.schema(FEATURE_LINE).option("columnNameOfCorruptRecord", CORRUPT).json(p))
+    coll = spark.read.schema(GEOJSON_COLLECTION).option("multiLine", True).option("mode", "FAILFAST").json(p)
+    return coll.select(F.explode("features").alias("f"), F.lit(None).cast("string").alias(CORRUPT))
+
+
+def feature_lines(lines: DataFrame) -> DataFrame:
+    """(f, corrupt record) of parsed feature lines."""
+    return lines.select(F.struct(*[f.name for f in FEATURE.fields]).alias("f"), CORRUPT)
+
+
+def _time_text(millis: Column) -> Column:
+    """Epoch milliseconds as the text of a time; other text as it is."""
+    number = millis.try_cast("bigint")
+    return F.when(number.isNotNull(), epoch_millis_to_ntz(number).cast("string")).otherwise(millis)
 
 
 def flatten_features(features: DataFrame) -> DataFrame:
-    """Event columns in the raw feed's order (location columns come later)."""
+    """Event columns as text in the raw feed's order (location columns come
+    later), and the corrupt-record column."""
     props, coords = F.col("f.properties"), F.col("f.geometry.coordinates")
     return features.select(
         F.col("f.id").alias("id"),
         props["mag"].alias("magnitude"),
         props["place"].alias("place"),
-        epoch_millis_to_ntz(props["time"]).alias("time"),
-        epoch_millis_to_ntz(props["updated"]).alias("updated"),
+        _time_text(props["time"]).alias("time"),
+        _time_text(props["updated"]).alias("updated"),
         props["sig"].alias("sig"),
         props["sources"].alias("sources"),
         props["types"].alias("types"),
@@ -48,8 +69,12 @@ def flatten_features(features: DataFrame) -> DataFrame:
         safe_index(coords, 0).alias("longitude"),
         safe_index(coords, 1).alias("latitude"),
         safe_index(coords, 2).alias("elevation"),
+        CORRUPT,
     )
 
 
 def read_events(spark: SparkSession, paths: str | Sequence[str], sequence: bool = False) -> DataFrame:
-    return flatten_features(read_features(spark, paths, sequence))
+    """Events with their declared types; what does not fit is NULL here (the
+    loads quarantine it)."""
+    text = flatten_features(read_features(spark, paths, sequence))
+    return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in QUAKE_EVENT.fields if f.name in text.columns])

@@ -78,7 +78,7 @@ def parse_positional(lines: DataFrame, names: Sequence[str] = RIG_SHEET_COLUMNS)
     ddl = ", ".join(f"c{i} STRING" for i in range(len(names))) + ", _corrupt_record STRING"
     parsed = F.from_csv(
         F.col("value"), ddl,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "nullValue": "\u0000"},
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "nullValue": "\u0000", "quote": '"', "escape": '"'},
     )
     return lines.select(parsed.alias("r"), "file_path").select(
         *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)],

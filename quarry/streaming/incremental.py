@@ -7,21 +7,36 @@ stops, so a re-run without new files adds no rows. Files are tracked by
 path, so each extract must land under a new name (a file replaced under
 the same name is not read again).
 
-Batches go through the same typing and stamping as the batch loads and
-are appended with ``foreachBatch``. The file sink is the exactly-once
-path; ``foreachBatch`` into a plain table is at-least-once if the driver
-dies between a batch's write and its checkpoint commit.
+Batches go through the same typing, quarantine and stamping as the batch
+loads. Each batch has a quarantine folder of its own with a marker that
+is set once its rows are in the table, so a batch that Spark replays after
+a failure is not loaded twice. (If the driver is lost between the append
+and the marker, that one batch can repeat.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+KEEP_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _to_end(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str) -> int:
+    """Runs the stream over what is new; the number of rows read in all its
+    batches (Spark keeps the last 100 progress reports unless told to keep more)."""
+    spark = stream.sparkSession
+    kept = spark.conf.get(KEEP_PROGRESS)
+    spark.conf.set(KEEP_PROGRESS, str(1 << 30))
+    try:
+        query = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(KEEP_PROGRESS, kept)
+    query.awaitTermination()
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
 
 def load_new_files(
     spark: SparkSession,
@@ -34,24 +49,17 @@ def load_new_files(
     max_files_per_trigger: int | None = None,
     refresh_table: str | None = None,
 ) -> int:
-    """Process files not seen before; return the number of input rows."""
-    reader = spark.readStream.format(fmt).schema(schema)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
+    """Process files not seen before; return the number of input rows. A
+    value that does not fit ``schema`` ends the load (mode FAILFAST) unless
+    ``options`` say otherwise; the loads below quarantine such rows."""
+    reader = spark.readStream.format(fmt).schema(schema).options(**{"mode": "FAILFAST"} | (options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(source_dir)
-    query = (
-        stream.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    rows = _to_end(reader.load(source_dir), on_batch, checkpoint)
     if refresh_table:
         # Batches write through the stream's own session.
         spark.catalog.refreshTable(refresh_table)
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return rows
 
 
 def append_batches(table: str, transform: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -63,36 +71,34 @@ def append_batches(table: str, transform: Callable[[DataFrame], DataFrame]) -> C
     return run
 
 
+def _load_each(wh, stream: DataFrame, checkpoint: str, quarantine: str, table: str, load: Callable[[DataFrame, str], object]) -> int:
+    rows = _to_end(stream, lambda batch, epoch_id: load(batch, f"{quarantine.rstrip('/')}/batch={epoch_id}") and None, checkpoint)
+    wh.spark.catalog.refreshTable(wh.name("raw", table))
+    return rows
+
+
 def load_new_sheets(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx) -> int:
     """Rig sheet exports dropped into ``drop_dir``: load the files not
-    seen before into the raw rig table (typed, quarantined, stamped like
-    a batch load); return the number of data lines read."""
+    seen before into the raw rig table; return the number of lines read."""
     from quarry.plans import loads
     from quarry.sources import sheet
 
     parsed = sheet.read_rig_sheet(wh.spark, drop_dir, stream=True)
+    return _load_each(wh, parsed, checkpoint, quarantine, loads.RIG_TABLE, lambda batch, path: loads.load_rig_rows(
+        wh, batch.drop("file_path"), path, ctx, file_url=drop_dir, once=True))
 
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        # The load runs several actions (empty check, good rows, rejected
-        # rows); keep the batch so its files are read once.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            loads.load_rig_rows(wh, batch.drop("file_path"), f"{quarantine.rstrip('/')}/batch={epoch_id}", ctx,
-                                file_url=drop_dir)
-        finally:
-            batch.unpersist()
-
-    query = (
-        parsed.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    # Batches write through the stream's own session; refresh the
-    # caller's view of the table.
-    wh.spark.catalog.refreshTable(wh.name("raw", loads.RIG_TABLE))
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+def load_new_counties(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx) -> int:
+    """Headered county files dropped into ``drop_dir``, columns in the
+    declared order (a file with another header ends the load): load the
+    files not seen before; return the number of rows read."""
+    from quarry.plans import loads
+    from quarry.schemas import COUNTY_FILE
+    from quarry.sources import delimited
+
+    rows = delimited.stream_text_columns(wh.spark, drop_dir, COUNTY_FILE, null_values=loads.COUNTY_NULL_TOKENS)
+    return _load_each(wh, rows, checkpoint, quarantine, loads.COUNTY_TABLE, lambda batch, path: loads.load_county_rows(
+        wh, batch, path, ctx, file_path=drop_dir, once=True))
 
 
 def load_new_features(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx, places: DataFrame | None = None,
@@ -103,23 +109,7 @@ def load_new_features(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx,
     from quarry.plans import loads
     from quarry.sources import geojson
 
-    features = wh.spark.readStream.schema(geojson.FEATURE).json(drop_dir).select(F.struct("*").alias("f"))
-    events = geojson.flatten_features(features)
-
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            loads.load_quake_rows(wh, batch, f"{quarantine.rstrip('/')}/batch={epoch_id}", ctx,
-                                  places=places, api_url=api_url)
-        finally:
-            batch.unpersist()
-
-    query = (
-        events.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    wh.spark.catalog.refreshTable(wh.name("raw", loads.QUAKE_TABLE))
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    lines = wh.spark.readStream.schema(geojson.FEATURE_LINE).option("columnNameOfCorruptRecord", geojson.CORRUPT).json(drop_dir)
+    events = geojson.flatten_features(geojson.feature_lines(lines))
+    return _load_each(wh, events, checkpoint, quarantine, loads.QUAKE_TABLE, lambda batch, path: loads.load_quake_rows(
+        wh, batch, path, ctx, places=places, api_url=api_url, source=drop_dir, once=True))

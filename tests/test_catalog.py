@@ -4,7 +4,8 @@ from pyspark.sql import types as T
 
 from quarry.config import Namespaces
 from quarry.plans.materialize import Warehouse
-from quarry.schemas import schema_from_dtypes
+from quarry.schemas import RAW_QUAKES, schema_from_dtypes
+from quarry.sinks.writers import ensure_table
 
 
 def test_namespace_routing():
@@ -15,23 +16,18 @@ def test_namespace_routing():
     assert Namespaces.routed().gold == "gold"
 
 
-def test_dtype_rules():
+def test_dtype_rules(spark):
     quakes = schema_from_dtypes({
-        "time": "datetime64[ns]", "id": "object", "magnitude": "float64", "sig": "int64",
-        "tsunami": "bool", "data_period_start": "object", "place": "object", "updated": "datetime64[ns]",
-    }, "quakes")
-    types = {f.name: f.dataType for f in quakes.fields}
-    assert types == {
+        "time": "datetime64[ns]", "id": "object", "magnitude": "float64", "sig": "int64", "tsunami": "bool", "depth": "float32",
+        "data_period_start": "object", "seen": "datetime64[ns]",
+    }, RAW_QUAKES)
+    assert {f.name: f.dataType for f in quakes.fields} == {
         "time": T.TimestampNTZType(), "id": T.StringType(), "magnitude": T.DoubleType(), "sig": T.LongType(),
-        "tsunami": T.BooleanType(), "data_period_start": T.DateType(), "place": T.StringType(),
-        "updated": T.TimestampNTZType(),
+        "tsunami": T.BooleanType(), "depth": T.DoubleType(), "data_period_start": T.DateType(), "seen": T.StringType(),
     }
-    rigs = {f.name: f.dataType for f in schema_from_dtypes(
-        {"US_PublishDate": "datetime64[ns]", "Year": "int64", "ingestion_timestamp": "datetime64[ns]", "flag": "bool"},
-        "rigs").fields}
-    # datetimes other than the load stamp are stored as text; no boolean rule for rigs
-    assert rigs == {"US_PublishDate": T.StringType(), "Year": T.LongType(),
-                    "ingestion_timestamp": T.TimestampNTZType(), "flag": T.StringType()}
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    assert ensure_table(spark, name, RAW_QUAKES, dtypes={"id": "object", "extra": "int32"})
+    assert dict(spark.table(name).dtypes) == {"id": "string", "extra": "bigint"}
 
 
 def test_partitioned_table_prunes(spark):

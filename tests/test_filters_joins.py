@@ -88,7 +88,7 @@ def test_mean_of_weekly_means_is_unweighted(spark):
     rigs = _silver_rigs(spark, [("S", "X", 2024, dt.date(2024, 1, 3), 1), ("S", "X", 2024, dt.date(2024, 1, 10), 1)])
     week1 = [("S", "Y", dt.datetime(2024, 1, 2), 1.0, 0)]
     week2 = [("S", "Y", dt.datetime(2024, 1, 9, h), 3.0, 0) for h in range(9)]
-    out = gold.gold_agg_rig_earthquake(rigs, _silver_quakes(spark, week1 + week2), mean_decimals=None).collect()
+    out = gold.gold_agg_rig_earthquake(rigs, _silver_quakes(spark, week1 + week2)).collect()
     assert out[0].avg_earthquake_magnitude == 2.0  # (1 + 3) / 2, not (1 + 27) / 10
     assert out[0].total_earthquake_count == 10
 
@@ -117,3 +117,11 @@ def test_earthquake_ranking_active_days_counts_instants(spark):
     assert len(out) == 1
     r = out[0]
     assert (r.total_earthquakes, r.active_days, r.significant_quakes, r.max_magnitude) == (3, 2, 1, 4.5)
+
+
+def test_oversized_lookup_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 10)
+    monkeypatch.setattr(joins.bounded_broadcast, "__defaults__", (joins.BROADCAST_MAX_BYTES, 10))
+    counties = spark.createDataFrame([("A", "TX", 1, 1.0, 2.0)], "NAME string, STATE string, STATE_FIPS_CD bigint, LONGITUDE double, LATITUDE double")
+    out = silver.silver_counties(counties, seed.state_codes(spark), RunContext(run_id="r", loaded_at=dt.datetime(2024, 1, 1)))
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString() and out.count() == 1

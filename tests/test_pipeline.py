@@ -3,6 +3,7 @@ import json
 import os
 import uuid
 
+import pytest
 
 from quarry import schemas as S
 from quarry.config import Namespaces, RunContext
@@ -10,7 +11,7 @@ from quarry.operators import quality
 from quarry.plans import checks, loads, pipeline
 from quarry.plans.materialize import Warehouse
 from quarry.sinks import writers
-from quarry.streaming.incremental import append_batches, load_new_features, load_new_files, load_new_sheets
+from quarry.streaming.incremental import append_batches, load_new_counties, load_new_features, load_new_files, load_new_sheets
 
 CTX = RunContext(run_id="run-1", loaded_at=dt.datetime(2024, 1, 10, 6, 0))
 
@@ -86,6 +87,7 @@ def test_whole_run(spark, tmp):
     props = wh.properties("gold", "earthquake_ranking")
     assert props["tags"] == "gold,analytics" and props["layer"] == "gold"
     assert wh.properties("silver", "silver_earthquake")["tags"] == "silver,cleaned"
+    assert all(t.description for t in spark.catalog.listTables(wh.ns.silver) + spark.catalog.listTables(wh.ns.gold))
     # quarantine keeps the rejected rig row
     q = spark.read.parquet(os.path.join(tmp, "quarantine", "rigs"))
     assert [r._reject_reason for r in q.collect()] == ["bad_value:Rig Count Value"]
@@ -118,23 +120,10 @@ def test_empty_extract_leaves_table_untouched(spark, tmp):
     empty = os.path.join(tmp, "empty.geojson")
     with open(empty, "w") as f:
         json.dump({"type": "FeatureCollection", "features": []}, f)
-    res = loads.load_quakes(wh, [empty], os.path.join(tmp, "q2"), CTX)
+    res = loads.load_quakes(wh, [empty], os.path.join(tmp, "q2"), CTX, count_table=True)
     assert (res.rows_in, res.table_rows) == (0, 6)
 
 
-def test_full_refresh_replaces_rows(spark, tmp):
-    wh = _warehouse(spark)
-    wh.create_namespaces()
-    name = wh.name("raw", "t")
-    writers.ensure_table(spark, name, S.STATE_CODE)
-    df = spark.createDataFrame([("AA", "A"), ("BB", "B")], S.STATE_CODE)
-    writers.append_load(df, name)
-    writers.append_load(df, name)
-    assert spark.table(name).count() == 4
-    writers.full_refresh(df.limit(1), name)
-    assert spark.table(name).count() == 1
-
-
 def test_incremental_load_only_new_files(spark, tmp):
     wh = _warehouse(spark)
     wh.create_namespaces()
@@ -205,7 +194,7 @@ def test_command_line_run(tmp):
     cmd = [sys.executable, "-m", "quarry", "--master", "local[2]", "--schema", f"cli_{uuid.uuid4().hex[:6]}",
            "run", "--rig-sheet", inputs.rig_sheets[0], "--quake-features", inputs.quake_features[0],
            "--county-csv", inputs.county_csv, "--quarantine", os.path.join(tmp, "q"), "--run-id", "cli",
-           "--checks-as-of", "2024-01-10T07:00:00"]
+           "--as-of", "2024-01-10", "--checks-as-of", "2024-01-10T07:00:00"]
     env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--conf spark.sql.warehouse.dir=" + os.path.join(tmp, "wh") + " pyspark-shell")
     out = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=600, env=env)
     assert out.returncode == 0, out.stderr[-2000:]
@@ -242,3 +231,97 @@ def test_incremental_event_features(spark, tmp):
     rows = wh.source(loads.QUAKE_TABLE).collect()
     assert sorted(r.id for r in rows) == [f"e{i}" for i in range(5)]
     assert {(r.state, r.county) for r in rows} == {("TEXAS", "Harris")}
+
+
+def test_event_extract_defaults_and_bounds(spark, tmp):
+    """90 days up to the run's day and the fixed box, stamped on the rows."""
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    feats = os.path.join(tmp, "f.jsonl")
+    ms = lambda *a: int(dt.datetime(*a, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    rows = [("in", ms(2024, 1, 2), 30.0, -95.0), ("old", ms(2023, 10, 11), 30.0, -95.0), ("late", ms(2024, 1, 10, 1), 30.0, -95.0),
+            ("north", ms(2024, 1, 2), 50.0, -95.0), ("west", ms(2024, 1, 2), 30.0, -126.0), ("edge", ms(2023, 10, 12), 24.6, -65.0)]
+    with open(feats, "w") as f:
+        for i, t, lat, lon in rows:
+            f.write(json.dumps({"id": i, "properties": {"mag": 1.0, "time": t}, "geometry": {"coordinates": [lon, lat, 1]}}) + "\n")
+    pipeline.run_loads(wh, pipeline.Inputs(quake_features=[feats], quake_lines=True, quarantine_dir=os.path.join(tmp, "q")), CTX)
+    got = wh.source(loads.QUAKE_TABLE).collect()
+    assert sorted(r.id for r in got) == ["edge", "in"]
+    assert {(r.data_period_start, r.data_period_end) for r in got} == {(dt.date(2023, 10, 12), dt.date(2024, 1, 10))}
+
+
+def test_broken_feeds_lose_nothing(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    lines = os.path.join(tmp, "f.jsonl")
+    with open(lines, "w") as f:
+        f.write('{"id": "a", "properties": {"mag": 1.5}}\n{"id": "b", "prop\n{"id": "c", "properties": {"mag": "abc"}}\n')
+        f.write('{"id": "d", "properties": {"time": "noon"}, "geometry": {"coordinates": [1.5, 2.5]}}\n')
+    q = os.path.join(tmp, "q")
+    res = loads.load_quakes(wh, [lines], q, CTX, sequence=True)
+    assert (res.rows_in, res.rows_loaded, res.rows_rejected) == (4, 1, 3)
+    assert sorted(r._reject_reason for r in spark.read.parquet(q).collect()) == ["bad_value:magnitude", "bad_value:time", "malformed"]
+    cut = os.path.join(tmp, "cut.geojson")
+    with open(cut, "w") as f:
+        f.write('{"type": "FeatureCollection", "features": [{"id": "x", "properties": {"mag": 1')
+    with pytest.raises(Exception, match="FAILFAST|[Mm]alformed"):
+        loads.load_quakes(wh, [cut], q, CTX)
+    assert wh.source(loads.QUAKE_TABLE).count() == 1
+
+
+def test_events_with_one_id_keep_their_rows(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    places = spark.createDataFrame([(1, 30.0, -95.0, "TEXAS", "Harris", "US"), (2, 35.0, -97.0, "OKLAHOMA", "Oklahoma", "US")],
+                                   "place_id int, latitude double, longitude double, state string, county string, country_code string")
+    feats = os.path.join(tmp, "f.jsonl")
+    with open(feats, "w") as f:
+        for i, (lon, lat) in ((1, (-95.1, 30.1)), (1, (-97.1, 35.1)), (None, (-95.0, 30.0)), (None, (200, 95))):
+            f.write(json.dumps({"id": i and str(i), "geometry": {"coordinates": [lon, lat]}}) + "\n")
+    res = loads.load_quakes(wh, [feats], os.path.join(tmp, "q"), CTX, places=places, sequence=True)
+    assert res.rows_loaded == 4
+    assert sorted(str((r.id, r.state, r.country_code)) for r in wh.source(loads.QUAKE_TABLE).collect()) == sorted(map(str, [
+        ("1", "TEXAS", "US"), ("1", "OKLAHOMA", "US"), (None, "TEXAS", "US"), (None, None, None)]))
+
+
+def test_replayed_batch_and_county_drops(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    raw = spark.createDataFrame([(*map(str, COUNTIES[0]), None), (*map(str, ("x", *COUNTIES[1][1:])), None)],
+                                ", ".join(f"`{f.name}` string" for f in S.COUNTY_FILE.fields) + ", _corrupt_record string")
+    batch = os.path.join(tmp, "q", "batch=0")
+    first = loads.load_county_rows(wh, raw, batch, CTX, "drop", once=True)
+    again = loads.load_county_rows(wh, raw, batch, CTX, "drop", once=True)
+    assert (first.rows_loaded, first.rows_rejected, again.rows_in) == (1, 1, 0) and wh.source(loads.COUNTY_TABLE).count() == 1
+    drop = os.path.join(tmp, "drop")
+    os.makedirs(drop)
+    src = _write_inputs(tmp).county_csv
+    for k in range(2):
+        with open(src) as f, open(os.path.join(drop, f"c{k}.csv"), "w") as g:
+            g.write(f.read())
+        load_new_counties(wh, drop, os.path.join(tmp, "cp"), os.path.join(tmp, "q2"), CTX)
+        assert wh.source(loads.COUNTY_TABLE).count() == 1 + 4 * (k + 1)
+
+
+def test_more_batches_than_progress_reports(spark, tmp):
+    drop = os.path.join(tmp, "many")
+    os.makedirs(drop)
+    for k in range(104):
+        with open(os.path.join(drop, f"{k:03d}.csv"), "w") as f:
+            f.write(f"A{k},B\n")
+    seen = []
+    n = load_new_files(spark, drop, S.STATE_CODE, os.path.join(tmp, "cp"), lambda b, e: seen.append(b.count()), max_files_per_trigger=1)
+    assert n == sum(seen) == len(seen) == 104
+
+
+def test_user_models(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.saveAsTable(wh.name("raw", "src"))
+    wh.register("gold", "top", lambda s, t: t["mid"].where("k > 1"), {"mid": ("silver", "mid")}, tags=("own",), comment="one row")
+    wh.register("silver", "mid", lambda s, t: t["src"].selectExpr("k", "upper(v) AS v"), {"src": ("raw", "src")})
+    assert [tuple(r) for r in wh.build("top").collect()] == [(2, "B")]
+    assert spark.catalog.getTable(wh.name("gold", "top")).description == "one row" and wh.ref("silver", "mid").count() == 2
+    wh.register("silver", "mid", lambda s, t: t["top"], {"top": ("gold", "top")})
+    with pytest.raises(ValueError, match="read each other"):
+        wh.build("top")

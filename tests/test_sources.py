@@ -2,7 +2,9 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry import schemas as S
 from quarry.operators import validate
@@ -149,3 +151,36 @@ def test_sheet_many_small_files_in_one_partition(spark, tmp):
     df = sheet.read_rig_sheet(spark, d)
     rows = sorted(r.County for r in df.collect())
     assert rows == sorted(f"County {100 * f + i}" for f in range(6) for i in range(3))
+
+
+def _csv(tmp, text):
+    path = os.path.join(tmp, "c.csv")
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_quoted_line_breaks_stay_whole(spark, tmp):
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    rows = delimited.read_text_columns(spark, _csv(tmp, 'a,b\n"1","line one\nline ""two"""\n2,x\n'), schema).collect()
+    assert sorted((r.a, r.b, r[delimited.CORRUPT]) for r in rows) == [("1", 'line one\nline "two"', None), ("2", "x", None)]
+
+
+def test_columns_by_header_name(spark, tmp):
+    schema = T.StructType([T.StructField("LATITUDE", T.DoubleType()), T.StructField("LONGITUDE", T.DoubleType())])
+    rows = delimited.read_text_columns(spark, _csv(tmp, "LONGITUDE,OTHER,LATITUDE\n-95.0,x,30.0\n"), schema).collect()
+    assert [(r.LATITUDE, r.LONGITUDE) for r in rows] == [("30.0", "-95.0")]
+    with pytest.raises(ValueError, match="LATITUDE"):
+        delimited.read_text_columns(spark, _csv(tmp, "LONGITUDE,LAT\n1,2\n"), schema)
+
+
+def test_written_extract_reads_back_through_both_readers(spark, tmp):
+    names = S.RIG_SHEET_COLUMNS
+    row = ['Har "X" ris, co', "back\\", "", "N", "O", "L", "T", "H", "2024", "1", "2024-01-05", "3"]
+    out = os.path.join(tmp, "extract")
+    writers.write_quoted_csv(spark.createDataFrame([row], ", ".join(f"`{n}` string" for n in names)).coalesce(1), out)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    by_name = delimited.read_text_columns(spark, out, schema).collect()
+    assert list(by_name[0])[:12] == row
+    lines = sheet.read_sheet_lines(spark, out, skip=1)
+    assert list(sheet.parse_positional(lines).collect()[0])[:13] == [*row, None]
