@@ -168,9 +168,11 @@ def _around_centres(open_: DataFrame, sets: DataFrame) -> DataFrame:
     )
     x, y = prefix.alias("x"), prefix.alias("y")
     same = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.e") == F.col("y.e"))
+    behind = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    apart = (F.col("x.size") + F.col("y.size") - 2 * (1 + behind)) * (100 + PERCENT)  # |x ^ y| at least
     return (
         x.join(y, same & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.comp") != F.col("y.comp")))
-        .where(_sizes_allow("x.n", "y.n"))
+        .where(_sizes_allow("x.n", "y.n") & (apart <= (F.col("x.n") + F.col("y.n")) * (100 - PERCENT)))
         .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
         .distinct()
     )
