@@ -17,6 +17,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions import lit_ntz
 from quarry.operators.joins import bounded_broadcast
@@ -42,9 +43,16 @@ KNOWN_STATES = 20
 MAGNITUDE_DIVISOR = 100003.0
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. Its schema is taken from the files once; nothing else is
+    kept between queries."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def spread(key: Column, factor: int, steps: int, origin: float) -> Column:

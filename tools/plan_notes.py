@@ -1,8 +1,6 @@
 """Write PLANS.md: physical plans of the headline work (sf0.1).
 
-Ranks and nearest-place levels cut lineage with checkpoints, so the
-interesting upstream plans are printed from the DataFrames before the
-cut. usage: python tools/plan_notes.py [sf_dir]
+usage: python tools/plan_notes.py [sf_dir]
 """
 
 from __future__ import annotations
@@ -51,14 +49,11 @@ def main() -> None:
         F.col("state_or_province").alias("state"), "county"
     ).agg(F.sum("rig_count").alias("total_rigs"), F.count_distinct("date").alias("active_days"))
     sections.append(("state_rig_count before the ranks", per_county))
-    ev = A.raw_quakes(spark, sf_dir).select(
-        F.col("id").alias("__eid"), F.col("latitude").alias("__elat"), F.col("longitude").alias("__elon"))
-    pl = A.raw_counties(spark, sf_dir).select(
-        F.col("OBJECTID").alias("__pid"), F.col("LATITUDE").alias("__plat"), F.col("LONGITUDE").alias("__plon"),
-    ).withColumn("__prank", F.col("__pid"))
-    sections.append(("Nearest place, first level (3x3 block, packed long min)", N._best_in_block(ev, pl, 2.0, True)))
-    sections.append(("Nearest place, a coarse level (sub-cell bounds, then only kept sub-cells)",
-                     N._best_in_block_pruned(ev, pl, 8.0)))
+    ev = A.raw_quakes(spark, sf_dir).select("id", "latitude", "longitude")
+    pl = A.raw_counties(spark, sf_dir)
+    located = N.attach_nearest(ev, pl, {"NAME": "county"}, place_id="OBJECTID", place_lat="LATITUDE", place_lon="LONGITUDE")
+    sections.append(("Nearest place: events searched where they stand", located))
+    sections.append(("Flagship with its rank and position", gold.gold_agg_rig_earthquake(rigs, quakes)))
     out = ["# Physical plans (generated by tools/plan_notes.py at " + os.path.basename(sf_dir) + ")", ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", formatted(df), "```", ""]
