@@ -72,7 +72,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(coalesce(" + _LOWER.format("text") + r", ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_RUNS = "regexp_extract_all(coalesce(" + _LOWER.format("text") + r", ''), '[^\x20\x09-\x0D]+')"
+
 ORACLE: dict[str, str] = {
+    "op2_minhash_near_dedup": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_RUNS} AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+            FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p JOIN n u ON u.doc_id = x JOIN n v ON v.doc_id = y WHERE 100 * c >= 85 * (u.n + v.n - c)),
+        e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+        r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.c = e.a),
+        m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+        FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN m ON d.doc_id = m.doc_id
+    """,
+    "op10_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS g
+            FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0
+        ), dg AS (
+            SELECT r, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+            FROM d, (SELECT DISTINCT n FROM bw) x, unnest(range(1, len(w) - n + 2)) t(i) WHERE len(w) >= n
+        ), hits AS (SELECT dg.r, dg.i, dg.n, bw.item_id FROM dg JOIN bw ON dg.n = bw.n AND dg.g = bw.g),
+        pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+        it AS (
+            SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM hits GROUP BY r
+        )
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(pos.n_hit, 0) AS n_hit, coalesce(it.n_items, 0) AS n_items,
+               sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AND 20 * pos.n_hit >= len(d.w) AS contaminated
+        FROM d LEFT JOIN pos ON d.r = pos.r LEFT JOIN it ON d.r = it.r
+    """,
     "op4_exact_topk": """
         WITH v AS (
             SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
