@@ -36,7 +36,8 @@ def read_features(spark: SparkSession, paths: str | Sequence[str], sequence: boo
     if sequence:
         return feature_lines(spark.read.schema(FEATURE_LINE).option("columnNameOfCorruptRecord", CORRUPT).json(p))
     coll = spark.read.schema(GEOJSON_COLLECTION).option("multiLine", True).option("mode", "FAILFAST").json(p)
-    return coll.select(F.explode("features").alias("f"), F.lit(None).cast("string").alias(CORRUPT))
+    missing = F.raise_error(F.lit("a decoded file has no features")).cast(GEOJSON_COLLECTION["features"].dataType)
+    return coll.select(F.explode(F.coalesce("features", missing)).alias("f"), F.lit(None).cast("string").alias(CORRUPT))
 
 
 def feature_lines(lines: DataFrame) -> DataFrame:

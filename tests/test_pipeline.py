@@ -266,6 +266,10 @@ def test_broken_feeds_lose_nothing(spark, tmp):
         f.write('{"type": "FeatureCollection", "features": [{"id": "x", "properties": {"mag": 1')
     with pytest.raises(Exception, match="FAILFAST|[Mm]alformed"):
         loads.load_quakes(wh, [cut], q, CTX)
+    with open(cut, "w") as f:
+        f.write('{"type": "error", "status": 503}')
+    with pytest.raises(Exception, match="no features"):
+        loads.load_quakes(wh, [cut], q, CTX)
     assert wh.source(loads.QUAKE_TABLE).count() == 1
 
 
