@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import words as W
-from quarry.llm.tables import arrow_map, blobs, lists, text_blocks, written
+from quarry.llm.tables import arrow_map, blobs, lists, release, text_blocks, written
 
 CLASSES = 32
 WORDS, FORMS = 3071, 1024
@@ -81,6 +81,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(u.view(np.int64)), pa.array(form[first], pa.int32()), pa.array(np.bincount(back, n).astype(np.int64))], names=["h", "form", "n"]
         )
+        del batch, parts, h, form, n, u, first, back
+        release()
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -202,6 +204,8 @@ def context_counts(seqs: DataFrame, classes: np.ndarray) -> np.ndarray:
                 total[:, :k] += np.bincount(u * k + cls[prev], minlength=UNITS * k).reshape(UNITS, k)
                 total[:, k: 2 * k] += np.bincount(prev * k + cls[u], minlength=UNITS * k).reshape(UNITS, k)
                 total[:, 2 * k] += np.bincount(u[u == prev], minlength=UNITS)
+            del batch, all_units
+            release()
         if some:
             part = TaskContext.get().partitionId()
             for b in range(0, UNITS, BLOCK_UNITS):

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.memo import Memo
-from quarry.llm.tables import arrow_map, binary_files, checked_broadcast, scratch, text_blocks
+from quarry.llm.tables import arrow_map, binary_files, checked_broadcast, release, scratch, text_blocks
 from quarry.llm.words import LOWER, NOT_SPACE, Words, units
 from quarry.operators.joins import estimated_bytes
 
@@ -231,8 +231,12 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end: int = END_ID, s
                 ids.append(i)
                 counts.append(n)
             all_ids = np.concatenate(ids)
+            n_ids = len(all_ids)
             blob = pack(batch.column(0).to_pylist(), np.concatenate(counts), all_ids)
-            yield pa.RecordBatch.from_arrays([pa.array([seq]), pa.array([len(all_ids)]), pa.array([blob], pa.binary())], names=["shard", "n_ids", "file"])
+            del batch, ids, all_ids, raw, at, i
+            yield pa.RecordBatch.from_arrays([pa.array([seq]), pa.array([n_ids]), pa.array([blob], pa.binary())], names=["shard", "n_ids", "file"])
+            del blob
+            release()
             seq += 1
 
     files = ordered.select("doc_id", "text").mapInArrow(encode, "shard long, n_ids long, file binary")

@@ -15,7 +15,7 @@ from quarry.llm.words import blocks, text_bytes
 from quarry.session import ensure_checkpoint_dir
 
 #: Bytes of text that a task works on at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Rows up to which a table that the data decide about is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -86,6 +86,23 @@ def blobs(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data.tobytes())])
 
 
+def _trim():
+    import ctypes
+
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def release() -> None:
+    """Gives the memory of finished batches back to the system. Workers live
+    on and are shared by stages; without this each keeps what its largest
+    batch took."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``fn`` applied to each Arrow batch of ``df``; batches without rows are skipped."""
 
@@ -93,6 +110,8 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
+            del batch
+            release()
 
     return df.mapInArrow(run, schema)
 

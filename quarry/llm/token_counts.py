@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.id_files import with_end
 from quarry.llm.sp_viterbi import encode_block
-from quarry.llm.tables import arrow_map, binary_files, lists, scratch, text_blocks
+from quarry.llm.tables import arrow_map, binary_files, lists, release, scratch, text_blocks
 
 END_ID = 2
 SEPARATOR = "\x02\x00"
@@ -53,6 +53,8 @@ def write_files(docs: DataFrame, path: str, tokenizer: str) -> None:
                 [pa.array(["tokens", "doc_ids"]), pa.array([number, number]), pa.array([tokens.tobytes(), values.tobytes() + known.tobytes()], pa.binary())],
                 names=["kind", "file", "data"],
             )
+            del batch, ids, tokens, values, known, names
+            release()
             number += 1
 
     files = docs.select("doc_id", "text").mapInArrow(run, "kind string, file long, data binary")
