@@ -50,7 +50,7 @@ from quarry.llm.words import LOWER, NOT_SPACE, Words, units
 from quarry.operators.joins import estimated_bytes
 
 END_ID = 2
-SHARD_BYTES = 16 << 20  # of the stored table, a shard
+SHARD_BYTES = 8 << 20  # of the stored table, a shard
 MAGIC, TRAILER = b"QIDS", "\nEND\n"
 
 
