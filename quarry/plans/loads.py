@@ -69,7 +69,7 @@ def _load(
     spark = wh.spark
     target = wh.name("raw", table)
     writers.ensure_table(spark, target, schema)
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{quarantine.rstrip('/')}/_loaded")
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{quarantine.rstrip('/')}/_loaded-{target}")
     files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
     if once and files.exists(marker):
         return writers.LoadResult(0, 0, 0)

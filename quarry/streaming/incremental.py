@@ -8,10 +8,13 @@ path, so each extract must land under a new name (a file replaced under
 the same name is not read again).
 
 Batches go through the same typing, quarantine and stamping as the batch
-loads. Each batch has a quarantine folder of its own with a marker that
-is set once its rows are in the table, so a batch that Spark replays after
-a failure is not loaded twice. (If the driver is lost between the append
-and the marker, that one batch can repeat.)
+loads. Each batch has a quarantine folder of its own, named by the table,
+the id that Spark keeps in the stream's checkpoint, and the batch number
+(which starts at 0 in every checkpoint), so feeds and new checkpoints can
+share one quarantine folder. A marker there is set once the batch's rows are
+in the table, so a batch that Spark replays after a failure is not loaded
+twice. (If the driver is lost between the append and the marker, that one
+batch can repeat.)
 """
 
 from __future__ import annotations
@@ -71,9 +74,20 @@ def append_batches(table: str, transform: Callable[[DataFrame], DataFrame]) -> C
     return run
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream, which its checkpoint keeps from the first run on."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def _load_each(wh, stream: DataFrame, checkpoint: str, quarantine: str, table: str, load: Callable[[DataFrame, str], object]) -> int:
-    rows = _to_end(stream, lambda batch, epoch_id: load(batch, f"{quarantine.rstrip('/')}/batch={epoch_id}") and None, checkpoint)
-    wh.spark.catalog.refreshTable(wh.name("raw", table))
+    target = wh.name("raw", table)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        stream_id = _stream_id(wh.spark, checkpoint)
+        load(batch, f"{quarantine.rstrip('/')}/table={target}/stream={stream_id}/batch={epoch_id}")
+
+    rows = _to_end(stream, run, checkpoint)
+    wh.spark.catalog.refreshTable(target)
     return rows
 
 

@@ -307,6 +307,30 @@ def test_replayed_batch_and_county_drops(spark, tmp):
         assert wh.source(loads.COUNTY_TABLE).count() == 1 + 4 * (k + 1)
 
 
+def test_streams_share_a_quarantine_folder(spark, tmp):
+    """Two feeds, and a new checkpoint after a reset: no stream's first batch
+    is taken for one of another stream; a replay in the same stream is."""
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    inputs, q = _write_inputs(tmp), os.path.join(tmp, "shared_q")
+    drops = {k: os.path.join(tmp, k) for k in ("sheets", "counties")}
+    for k, src in (("sheets", inputs.rig_sheets[0]), ("counties", inputs.county_csv)):
+        os.makedirs(drops[k])
+        with open(src) as f, open(os.path.join(drops[k], "a.csv"), "w") as g:
+            g.write(f.read())
+    load_new_sheets(wh, drops["sheets"], os.path.join(tmp, "cp_s"), q, CTX)
+    load_new_counties(wh, drops["counties"], os.path.join(tmp, "cp_c"), q, CTX)
+    assert (wh.source(loads.RIG_TABLE).count(), wh.source(loads.COUNTY_TABLE).count()) == (4, 4)
+    load_new_counties(wh, drops["counties"], os.path.join(tmp, "cp_c2"), q, CTX)
+    load_new_sheets(wh, drops["sheets"], os.path.join(tmp, "cp_s2"), q, CTX)
+    assert (wh.source(loads.RIG_TABLE).count(), wh.source(loads.COUNTY_TABLE).count()) == (8, 8)
+    assert spark.read.parquet(os.path.join(q, f"table={wh.name('raw', loads.RIG_TABLE)}")).count() == 2  # a rejected row of each
+    for name in ("0", ".0.crc"):  # as if lost after the load: Spark replays the batch
+        os.remove(os.path.join(tmp, "cp_s2", "commits", name))
+    load_new_sheets(wh, drops["sheets"], os.path.join(tmp, "cp_s2"), q, CTX)
+    assert wh.source(loads.RIG_TABLE).count() == 8
+
+
 def test_more_batches_than_progress_reports(spark, tmp):
     drop = os.path.join(tmp, "many")
     os.makedirs(drop)
