@@ -5,18 +5,27 @@ before) + log10 P(word | class). Tokens are words (A-Z lower-cased, cut at
 spaces, tabs and line breaks) and one end for each text; the class before
 the first word is that of the end.
 
-Classes come from exchange clustering. What is exchanged are units: the
-``WORDS`` most frequent words each for itself, and all other words by the
-hash of their last bytes (``FORMS`` of them), so every word, seen or not,
-has a class and the class of a token can be told without a look-up in the
-whole vocabulary. A sweep counts, over the whole training corpus, how often
-each unit follows and precedes each class (a Spark job whose result has a
-fixed size), then moves every second unit to the class with the largest
-exact gain in likelihood.
-
-Counts of words are kept for all words. The frequent ones, with a share of
-at least 1 / ``HEAD`` of the tokens - by that at most ``HEAD`` many - are
-sent to the tasks; the others are joined by a shuffle.
+Classes come from exchange clustering, in two parts. The first gives every
+word a class to start from. What it exchanges are units: the ``WORDS`` most
+frequent words each for itself, and all other words by the hash of their last
+bytes (``FORMS`` of them). A sweep counts how often each unit follows and
+precedes each class, then moves every second unit in turn to the class with
+the largest gain in likelihood.
+
+The second part exchanges every word of the training corpus for itself. Each
+pair of neighbouring words is counted once; a sweep counts, for each word, how
+often it follows and precedes each class (one row a word, by a shuffle), and
+every second word takes the class with the largest exact gain against the
+class table of the sweep, where a class other than the one it started from
+costs ``LEAVE``: the few places of a rare word could else be fitted by chance,
+which held-out texts pay for. As many words move at once, the likelihood is
+counted anew after each sweep: a sweep that lowers it (less what was paid) is
+dropped, and sweeps end when two of them together gain less than ``SETTLED``. Words that the
+training corpus does not have take the class that most words of their form
+(last bytes) have.
+
+Counts and classes are kept for all words. The most frequent, at most ``HEAD``
+many, are sent to the tasks; the others are joined by a shuffle.
 
     P(c2 | c1)    = (n(c1, c2) + m * P(c2)) / (n(c1) + m), m = classes
     P(word | c)   = (n(word) + 0.1) / (n(c) + 0.1 * (words of c + 1))
@@ -30,6 +39,7 @@ counts are 0 and the formulas still hold.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,13 +54,18 @@ from quarry.llm.tables import arrow_map, blobs, lists, release, text_blocks, wri
 CLASSES = 32
 WORDS, FORMS = 3071, 1024
 UNITS = 1 + WORDS + FORMS  # unit 0 is the end
-HEAD = 1 << 21
+HEAD = 1 << 18
 SWEEPS = 8
 BLOCK_UNITS = 256
 FAN = 64  # partial count tables summed in one task
 ADD = 0.1
 END = np.uint64(1)  # stands for the end among word hashes
 END_FORM = FORMS
+SETTLED = 1e-3  # gain of two sweeps, of the likelihood, under which they end
+LEAVE = float(np.log(9 * (CLASSES - 2)))  # nats: one word in ten leaves its first class, for any other
+PACK = 1 << 20  # contexts summed at once
+SELF, OWN, START = range(2 * CLASSES, 2 * CLASSES + 3)  # a word's slots after those of classes before and after: follows itself; its class; its first class
+TAIL = -(1 << 63)  # bit of the codes of words outside the head
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -94,11 +109,12 @@ def word_counts(training: DataFrame) -> DataFrame:
 class Head:
     """Look-up of the frequent words: place in falling order of frequency, or -1."""
 
-    def __init__(self, h: np.ndarray, n: np.ndarray, n_all: int, v_all: int, ends: int):
+    def __init__(self, h: np.ndarray, n: np.ndarray, form: np.ndarray, n_all: int, v_all: int, ends: int):
         self.all = n_all + ADD * (v_all + 1)
         self.ends, self.end_log = ends, float(np.log10((ends + ADD) / self.all))
         order = np.lexsort((h, -n))
-        self.h, self.n = h[order], n[order]
+        self.h, self.n, self.form = h[order], n[order], form[order]
+        self.units = np.concatenate([[0], unit_of(np.arange(len(order)), self.form)]).astype(np.uint16)  # by code
         self.log = np.log10((self.n + ADD) / self.all)
         self.tables = []
         left = np.arange(len(self.h))
@@ -138,12 +154,13 @@ def unit_of(place: np.ndarray, form: np.ndarray) -> np.ndarray:
     return np.where((place >= 0) & (place < WORDS), place + 1, 1 + WORDS + form).astype(np.uint16)
 
 
-SEQUENCES = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, s_head double, units binary, tail array<long>"
+SEQUENCES = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, s_head double, codes binary, tail array<long>"
 
 
 def sequences(docs: DataFrame, sent) -> DataFrame:
-    """Each text as units (its end included), what its frequent words add to
-    the scores, and the hashes of its other words."""
+    """Each text as codes (0: its end, place + 1: a word of the head, -1 - form:
+    another), what its frequent words add to the scores, and the hashes of its
+    other words."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         head: Head = sent.value
@@ -151,10 +168,10 @@ def sequences(docs: DataFrame, sent) -> DataFrame:
             w = W.scan(raw, at)
             counts = w.counts()
             place = head.find(w.hash)
-            rare = np.flatnonzero((place < 0) | (place >= WORDS))
-            units = (place + 1).astype(np.uint16)
-            units[rare] = unit_of(place[rare], forms(raw, w, rare))
-            units = np.insert(units, w.first[1:], 0)
+            rare = np.flatnonzero(place < 0)
+            codes = (place + 1).astype(np.int32)
+            codes[rare] = -1 - forms(raw, w, rare)
+            codes = np.insert(codes, w.first[1:], 0)
             known_logs = np.append(head.log, 0.0)[place]  # place -1: nothing yet
             s_head = np.full(len(counts), head.end_log)
             some = counts > 0
@@ -170,33 +187,38 @@ def sequences(docs: DataFrame, sent) -> DataFrame:
                     pa.array(counts + 1),
                     pa.array(n_head + int(head.ends > 0)),
                     pa.array(s_head),
-                    blobs(units, counts + 1),
+                    blobs(codes, counts + 1),
                     lists(w.hash[place < 0].view(np.int64), counts - n_head, pa.int64()),
                 ],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_head", "s_head", "units", "tail"],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_head", "s_head", "codes", "tail"],
             )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out().alias("held_out"), "text")
     return written(arrow_map(rows, run, SEQUENCES), "sequences")
 
 
-def _units(batch: pa.RecordBatch) -> np.ndarray:
-    column = batch.column(batch.schema.get_field_index("units"))
-    return W.text_bytes(column)[0].view(np.uint16) if len(column) else np.zeros(0, np.uint16)
+def _codes(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column(batch.schema.get_field_index("codes"))
+    return W.text_bytes(column)[0].view(np.int32) if len(column) else np.zeros(0, np.int32)
 
 
-def context_counts(seqs: DataFrame, classes: np.ndarray) -> np.ndarray:
+def _tail(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index("tail")).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def context_counts(seqs: DataFrame, sent, classes: np.ndarray) -> np.ndarray:
     """For each unit: how often it follows each class, precedes each class,
     and follows itself. Summed over all sequences in rounds of FAN tables."""
     k = CLASSES
-    sent = seqs.sparkSession.sparkContext.broadcast(classes)
+    cls_sent = seqs.sparkSession.sparkContext.broadcast(classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls = sent.value.astype(np.int64)
+        cls, of_head = cls_sent.value.astype(np.int64), sent.value.units
         total = np.zeros((UNITS, 2 * k + 1), np.int64)
         some = False
         for batch in batches:
-            all_units = _units(batch).astype(np.int64)
+            codes = _codes(batch)
+            all_units = np.where(codes >= 0, of_head[np.maximum(codes, 0)], WORDS - codes).astype(np.int64)
             for a in range(0, len(all_units), 1 << 20):
                 u = all_units[a: a + (1 << 20)]
                 some = True
@@ -204,7 +226,7 @@ def context_counts(seqs: DataFrame, classes: np.ndarray) -> np.ndarray:
                 total[:, :k] += np.bincount(u * k + cls[prev], minlength=UNITS * k).reshape(UNITS, k)
                 total[:, k: 2 * k] += np.bincount(prev * k + cls[u], minlength=UNITS * k).reshape(UNITS, k)
                 total[:, 2 * k] += np.bincount(u[u == prev], minlength=UNITS)
-            del batch, all_units
+            del batch, codes, all_units
             release()
         if some:
             part = TaskContext.get().partitionId()
@@ -218,7 +240,7 @@ def context_counts(seqs: DataFrame, classes: np.ndarray) -> np.ndarray:
         return pa.table({"block": table.column("block")[:1], "part": pa.array([table.column("part")[0].as_py() // FAN]), "counts": pa.array([total.tobytes()], pa.binary())})
 
     schema = "block long, part long, counts binary"
-    source = seqs.where(~F.col("held_out")).select("units")
+    source = seqs.where(~F.col("held_out")).select("codes")
     parts = source.mapInArrow(count, schema)
     left = source.rdd.getNumPartitions()
     while left > 1:
@@ -281,40 +303,288 @@ def exchange(counts: np.ndarray, classes: np.ndarray, active: np.ndarray) -> tup
     return classes, moves
 
 
-def cluster(seqs: DataFrame, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each unit, n(class before, class))."""
+def cluster_units(seqs: DataFrame, sent, sweeps: int = SWEEPS) -> np.ndarray:
+    """Class of each unit, from which the words start."""
     classes = np.concatenate([[0], 1 + np.arange(UNITS - 1) % (CLASSES - 1)]).astype(np.int64)
-    counts = context_counts(seqs, classes)
+    counts = context_counts(seqs, sent, classes)
     for k in range(sweeps):
         total = counts[:, :CLASSES].sum(axis=1)
         units = np.arange(1, UNITS)
         units = units[(units % 2 == k % 2) & (total[1:] > 0)]
         classes, moves = exchange(counts, classes, units[np.argsort(-total[units], kind="stable")])
-        if moves or k == 0:
-            counts = context_counts(seqs, classes)
-    return classes, class_pairs(counts, classes)
+        if k + 1 < sweeps and (moves or k == 0):
+            counts = context_counts(seqs, sent, classes)
+    return classes
+
+
+CONTEXTS = "code long, slots binary, counts binary"
+
+
+def _summed(code: np.ndarray, slot: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of n by (code, slot), in that order."""
+    if not len(code):
+        return code, slot, n
+    order = np.lexsort((slot, code))
+    code, slot = code[order], slot[order]
+    first = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (slot[1:] != slot[:-1])]))
+    return code[first], slot[first], np.add.reduceat(n[order], first)
+
+
+def _rows(code: np.ndarray, slot: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Summed contexts as one row a word."""
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))[: len(code)]
+    size = np.diff(np.append(first, len(code)))
+    return pa.RecordBatch.from_arrays([pa.array(code[first]), blobs(slot.astype(np.uint8), size), blobs(n.astype(np.int64), size)], names=["code", "slots", "counts"])
+
 
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    slots, at = W.text_bytes(batch.column(1))
+    return np.repeat(batch.column(0).to_numpy(), np.diff(at)), slots.astype(np.int64), W.text_bytes(batch.column(2))[0].view(np.int64)
 
-def _class_sizes(words: DataFrame, sent, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, distinct words) of each class."""
-    cls_sent = words.sparkSession.sparkContext.broadcast(classes)
+
+def packed(df: DataFrame, fn) -> DataFrame:
+    """(code, slot, n) from ``fn`` of each batch, summed within some batches: rows of CONTEXTS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                parts.append(fn(batch))
+                size += len(parts[-1][0])
+            if size >= PACK:
+                yield _rows(*_summed(*(np.concatenate(x) for x in zip(*parts, strict=True))))
+                parts, size = [], 0
+                release()
+        if size:
+            yield _rows(*_summed(*(np.concatenate(x) for x in zip(*parts, strict=True))))
+        del parts
+        release()
+
+    return df.mapInArrow(run, CONTEXTS)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a word from rows in the order of their codes."""
+    held = (np.zeros(0, np.int64),) * 3
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        code, slot, n = _summed(*(np.concatenate(x) for x in zip(held, _entries(batch), strict=True)))
+        cut = int(np.searchsorted(code, code[-1]))  # the last word may go on
+        if cut:
+            yield _rows(code[:cut], slot[:cut], n[:cut])
+        held = code[cut:], slot[cut:], n[cut:]
+    if len(held[0]):
+        yield _rows(*held)
+
+
+def word_pairs(seqs: DataFrame) -> DataFrame:
+    """(v, w, n) for every pair of neighbouring training tokens. Codes: 0 the
+    end, place + 1 for the head, negative (the hash with bit TAIL) for others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, tail, before, a0 = _codes(batch), _tail(batch), 0, 0
+            for a in range(0, len(codes), PACK):
+                w = codes[a: a + PACK].astype(np.int64)
+                rare = np.flatnonzero(w < 0)
+                w[rare] = tail[a0: a0 + len(rare)] | np.int64(TAIL)
+                a0 += len(rare)
+                v = np.concatenate([[before], w[:-1]])  # a text follows an end
+                before = w[-1]
+                with np.errstate(over="ignore"):
+                    key = W.mix(W.mix(v.view(np.uint64)) + w.view(np.uint64))
+                _, first, n = np.unique(key, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(v[first]), pa.array(w[first]), pa.array(n.astype(np.int64))], names=["v", "w", "n"])
+            del batch, codes, tail
+            release()
+
+    pairs = seqs.where(~F.col("held_out")).select("codes", "tail").mapInArrow(run, "v long, w long, n long")
+    return written(pairs.groupBy("v", "w").agg(F.sum("n").alias("n")), "word-pairs")
+
+
+def word_contexts(pairs: DataFrame, heads: np.ndarray, tail: DataFrame) -> DataFrame:
+    """For each word how often it follows and precedes each class (``heads``:
+    classes by code; ``tail``: (code, cls, start) of the other words)."""
+    sent = pairs.sparkSession.sparkContext.broadcast(heads)
+
+    def by_head(batch: pa.RecordBatch):
+        cls = sent.value.astype(np.int64)
+        v, w, n = (batch.column(i).to_numpy() for i in range(3))
+        hv, hw, same = v >= 0, w >= 0, v == w
+        slots = [cls[v[hv]], CLASSES + cls[w[hw]], np.full(same.sum(), SELF)]
+        return np.concatenate([w[hv], v[hw], v[same]]), np.concatenate(slots), np.concatenate([n[hv], n[hw], n[same]])
+
+    def as_is(batch: pa.RecordBatch):
+        return tuple(batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+
+    # a word of the tail has few pairs, so these joins have no heavy key
+    after = pairs.where("w < 0").join(tail, F.col("w") == F.col("code")).select(F.col("v").alias("code"), (F.col("cls") + CLASSES).alias("slot"), "n")
+    before = pairs.where("v < 0").join(tail, F.col("v") == F.col("code")).select(F.col("w").alias("code"), F.col("cls").alias("slot"), "n")
+    own = tail.select("code", F.inline(F.array(*(F.struct(F.lit(i).alias("slot"), F.col(c).cast("long").alias("n")) for i, c in ((OWN, "cls"), (START, "start"))))))
+    parts = packed(pairs, by_head).union(packed(after, as_is)).union(packed(before, as_is)).union(packed(own, as_is))
+    return written(parts.repartition("code").sortWithinPartitions("code").mapInArrow(_merged, CONTEXTS), "word-contexts")
+
+
+def _own(batch: pa.RecordBatch, heads: np.ndarray, first: np.ndarray):
+    """(codes, class and first class of each word, and the entries: word, slot, count) of a batch of contexts."""
+    codes = batch.column(0).to_numpy()
+    slots, at = W.text_bytes(batch.column(1))
+    n = W.text_bytes(batch.column(2))[0].view(np.int64)
+    word = np.repeat(np.arange(len(codes)), np.diff(at))
+    of = []
+    for slot, classes in ((OWN, heads), (START, first)):
+        of.append(classes[np.maximum(codes, 0)].astype(np.int64))
+        of[-1][word[slots == slot]] = n[slots == slot]
+    e = slots <= SELF
+    return codes, *of, word[e], slots[e].astype(np.int64), n[e]
+
+
+def class_table(contexts: DataFrame, heads: np.ndarray) -> np.ndarray:
+    """n(class before, class)."""
+    sent = contexts.sparkSession.sparkContext.broadcast(heads)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        h, form, n = (batch.column(i).to_numpy() for i in range(3))
-        h = h.view(np.uint64)
-        unit = unit_of(sent.value.find(h), np.minimum(form, FORMS - 1))
-        unit[h == END] = 0
-        cls = cls_sent.value[unit]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(CLASSES)), pa.array(np.bincount(cls, n, CLASSES).astype(np.int64)), pa.array(np.bincount(cls, minlength=CLASSES))],
-            names=["cls", "tokens", "kinds"],
-        )
+        _, cls, _, word, slot, n = _own(batch, sent.value, sent.value)
+        follows = slot < CLASSES
+        pair = slot[follows] * CLASSES + cls[word[follows]]
+        some, back = np.unique(pair, return_inverse=True)
+        total = np.zeros(len(some), np.int64)
+        np.add.at(total, back, n[follows])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total)], names=["pair", "n"])
+
+    out = np.zeros(CLASSES * CLASSES, np.int64)
+    for r in arrow_map(contexts, run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out.reshape(CLASSES, CLASSES)
+
+
+def likelihood(g: np.ndarray) -> float:
+    return float(_xlogx(g).sum() - _xlogx(g.sum(axis=1)).sum() - _xlogx(g.sum(axis=0)).sum())
+
+
+def best_classes(g: np.ndarray, cls: np.ndarray, word: np.ndarray, slot: np.ndarray, n: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """For each word the class with the largest likelihood if that word alone
+    moved; with ``start``, any other class than that costs LEAVE. ``word``,
+    ``slot``, ``n``: its contexts, with words in order."""
+    k, size = CLASSES, len(cls)
+    g = g.astype(np.float64)
+    dense = np.zeros((size, 2 * k + 1))
+    dense[word, slot] = n
+    at = np.arange(size)
+    into, out, s = dense[:, :k], dense[:, k: 2 * k], dense[:, 2 * k]
+    into[at, cls] -= s
+    out[at, cls] -= s
+    gain = np.zeros((size, k))
+    for table, mine, other in ((g, out, into), (g.T, into, out)):  # rows of the class table, then its columns
+        i, c = np.nonzero(mine)
+        o, a = mine[i, c], cls[i]
+        rest = table.T[c]  # without the word: count of each class b with c
+        rest -= np.where((c == a)[:, None], other[i], 0.0)
+        e = np.arange(len(i))
+        rest[e, a] -= o + np.where(c == a, s[i], 0.0)
+        part = _xlogx(rest + o[:, None]) - _xlogx(rest)
+        part[e, c] = 0.0  # the diagonal comes below
+        some, first = np.unique(i, return_index=True)
+        if len(some):
+            gain[some] += np.add.reduceat(part, first)
+        total = np.repeat(table.sum(axis=1)[None, :], size, axis=0)
+        tokens = mine.sum(axis=1) + s
+        total[at, cls] -= tokens
+        gain -= _xlogx(total + tokens[:, None]) - _xlogx(total)
+    diag = np.repeat(np.diag(g)[None, :], size, axis=0)
+    diag[at, cls] -= into[at, cls] + out[at, cls] + s
+    gain += _xlogx(diag + into + out + s[:, None]) - _xlogx(diag)
+    if start is not None:
+        gain[at, start] += LEAVE
+    gain[:, 0] = -np.inf  # the end keeps a class of its own
+    best = gain.argmax(axis=1)
+    return np.where((cls > 0) & (gain[at, best] > gain[at, cls] + 1e-9), best, cls)
+
+
+def moved(contexts: DataFrame, heads: np.ndarray, first: np.ndarray, g: np.ndarray, turn: int) -> DataFrame:
+    """(code, cls, start, moved) of every word after a sweep over the words whose turn it is."""
+    sent = contexts.sparkSession.sparkContext.broadcast((heads, first, g))
 
-    sums = arrow_map(words.select("h", "form", "n"), run, "cls long, tokens long, kinds long").groupBy("cls").agg(F.sum("tokens").alias("t"), F.sum("kinds").alias("v"))
-    tokens, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for r in sums.collect():
-        tokens[r["cls"]], kinds[r["cls"]] = r["t"], r["v"]
-    return tokens, kinds
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        heads_, first_, table = sent.value
+        codes, cls, start, word, slot, n = _own(batch, heads_, first_)
+        new = cls.copy()
+        at = np.searchsorted(word, np.arange(len(codes) + 1))
+        for a, b in W.blocks(np.diff(at), 1 << 15):
+            e = slice(at[a], at[b])
+            new[a:b] = best_classes(table, cls[a:b], word[e] - a, slot[e], n[e], start[a:b])
+        new = np.where(W.mix(codes.view(np.uint64)) % np.uint64(2) == turn % 2, new, cls)
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(new.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(new != cls)], names=["code", "cls", "start", "moved"])
+
+    return written(arrow_map(contexts, run, "code long, cls int, start int, moved boolean"), "word-classes")
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes written tables that are not read again, and lets Spark drop the
+    shuffle files of jobs that are over."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
+
+
+def cluster(seqs: DataFrame, sent, words: DataFrame) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+    """(classes of the head by code, (code, cls) of the other words, n(class
+    before, class)); ``words`` are those outside the head."""
+    start = cluster_units(seqs, sent)
+    heads = first = start[sent.value.units].astype(np.uint8)
+    of_form = F.array(*(F.lit(int(c)) for c in start[1 + WORDS:]))
+    tail = written(words.select("code", F.get(of_form, F.col("form")).alias("cls")).withColumn("start", F.col("cls")), "word-classes")
+    pairs = word_pairs(seqs)
+    gc.collect()
+    seqs.sparkSession._jvm.System.gc()  # the pairs' shuffle files
+    contexts = word_contexts(pairs, heads, tail)
+    g = class_table(contexts, heads)
+    now, gained, turn = likelihood(g), [np.inf], 0
+    while g.any():
+        state = moved(contexts, heads, first, g, turn)
+        changes = state.where("moved and code >= 0").select("code", "cls").toPandas()
+        new_heads = heads.copy()
+        new_heads[changes["code"].to_numpy(np.int64)] = changes["cls"].to_numpy(np.uint8)
+        new_tail = state.where("code < 0").select("code", "cls", "start")
+        new_contexts = word_contexts(pairs, new_heads, new_tail)
+        new_g = class_table(new_contexts, new_heads)
+        new = likelihood(new_g) - LEAVE * state.where("cls != start").count()
+        gained.append((new - now) / abs(now))
+        if gained[-1] > 0:
+            dropped(contexts, tail)
+            heads, tail, contexts, g, now = new_heads, new_tail, new_contexts, new_g, new
+        else:
+            dropped(new_contexts, new_tail)
+        if gained[-1] <= 0 and gained[-2] <= 0 or max(gained[-1], 0) + max(gained[-2], 0) < SETTLED:
+            break
+        turn += 1
+    dropped(pairs, contexts)
+    return heads, tail, g
+
+
+def form_classes(head: Head, heads: np.ndarray, tail: DataFrame) -> np.ndarray:
+    """Class of an unseen word of each form: that of most training words of the
+    form; without any, of most training words."""
+    kinds = np.zeros((FORMS, CLASSES), np.int64)
+    np.add.at(kinds, (head.form, heads[1:]), 1)
+    for r in tail.groupBy("form", "cls").count().collect():
+        kinds[r["form"], r["cls"]] += r["count"]
+    every = kinds.sum(axis=0)
+    every[0] = -1
+    return np.where(kinds.any(axis=1), kinds.argmax(axis=1), every.argmax())
+
+
+def head_limit(words: DataFrame) -> int:
+    """The least count such that at most HEAD words have it or more."""
+    kinds = words.where(F.col("h") != int(END)).groupBy("n").agg(F.count("*").alias("v")).toPandas().sort_values("n", ascending=False)
+    n, v = kinds["n"].to_numpy(np.int64), kinds["v"].to_numpy(np.int64).cumsum()
+    fits = n[v <= HEAD]
+    return int(fits[-1]) if len(fits) else int(n.max(initial=0)) + 1
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -325,41 +595,84 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     words = word_counts(docs.where(~held_out()))
     size = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = int(size["n"] or 0), int(size["v"])
-    head_rows = words.where((F.col("n") * HEAD >= n_all) & (F.col("h") != int(END))).select("h", "n").toPandas()
+    least = head_limit(words)
+    head_rows = words.where((F.col("n") >= least) & (F.col("h") != int(END))).select("h", "n", "form").toPandas()
     ends = words.where(F.col("h") == int(END)).agg(F.sum("n").alias("n")).first()["n"] or 0
-    head = Head(head_rows["h"].to_numpy(np.int64).view(np.uint64), head_rows["n"].to_numpy(np.int64), n_all, v_all, int(ends))
+    h, n, form = (head_rows[c].to_numpy(np.int64) for c in ("h", "n", "form"))
+    head = Head(h.view(np.uint64), n, form, n_all, v_all, int(ends))
     sent = spark.sparkContext.broadcast(head)
     seqs = sequences(docs, sent)
-    classes, pairs = cluster(seqs)
-    tokens, kinds = _class_sizes(words, sent, classes)
+    others = words.where((F.col("n") < least) & (F.col("h") != int(END))).select("h", F.col("h").bitwiseOR(F.lit(TAIL)).alias("code"), "form", "n")
+    heads, tail_classes, pairs = cluster(seqs, sent, others)
+    tail_words = written(others.join(tail_classes, "code").select("h", "form", "n", "cls"), "tail-words")
+    kinds = np.bincount(heads, minlength=CLASSES)  # the end is in it
+    for r in tail_words.groupBy("cls").count().collect():
+        kinds[r["cls"]] += r["count"]
+    tokens = pairs.sum(axis=0)
 
     share = (tokens + 1) / (tokens.sum() + CLASSES)
     step = np.log10((pairs + CLASSES * share[None, :]) / (pairs.sum(axis=1, keepdims=True) + CLASSES))
     norm = np.log10(tokens + ADD * (kinds + 1))
     base = float(np.log10(head.all))
-    model = spark.sparkContext.broadcast((classes, step - norm[None, :] + base))  # beside the base score's log10((n + 0.1) / all)
+    # beside the base score's log10((n + 0.1) / all)
+    model = spark.sparkContext.broadcast((heads.astype(np.int64), form_classes(head, heads, tail_words), step - norm[None, :] + base))
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        cls_of, table = model.value
+        cls_of, _, table = model.value
         n = batch.column(batch.schema.get_field_index("n_tokens")).to_numpy()
-        u = _units(batch)
+        codes = _codes(batch)
         ends_ = np.cumsum(n)
         total = np.empty(len(n))
         a = 0
         for r0 in range(0, len(n), 512):  # some texts at once
             r1 = min(len(n), r0 + 512)
-            part = cls_of[u[a: ends_[r1 - 1]]]
-            logs = table[np.concatenate([[0], part[:-1]]), part]
+            part = codes[a: ends_[r1 - 1]]
+            before = np.concatenate([[0], part[:-1]])
+            logs = np.where((part >= 0) & (before >= 0), table[cls_of[np.maximum(before, 0)], cls_of[np.maximum(part, 0)]], 0.0)
             total[r0:r1] = np.add.reduceat(logs, np.concatenate([[0], ends_[r0: r1 - 1] - a]))
             a = ends_[r1 - 1]
         names = ["row", "doc_id", "held_out", "n_tokens", "n_head", "s_head"]
         yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(total)], names=[*names, "s_class"])
 
-    kept = seqs.select("row", "doc_id", "held_out", "n_tokens", "n_head", "s_head", "units")
+    def tail_tokens(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Words outside the head: row, number in the row, hash, the classes beside (-1: another such word), the form's class."""
+        cls_of, form_cls, _ = model.value
+        codes = _codes(batch)
+        at = np.flatnonzero(codes < 0)  # never the last: that is an end
+        cls = np.where(codes >= 0, cls_of[np.maximum(codes, 0)], -1)
+        sizes = np.diff(batch.column(batch.schema.get_field_index("tail")).offsets.to_numpy())
+        row = np.repeat(batch.column(batch.schema.get_field_index("row")).to_numpy(), sizes)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left = np.where(at > 0, cls[at - 1], 0)
+        hashes = _tail(batch)
+        for a in range(0, len(at), 1 << 16):
+            b = slice(a, a + (1 << 16))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[b]), pa.array(nth[b].astype(np.int32)), pa.array(hashes[b]), *(pa.array(x[b].astype(np.int32)) for x in (left, cls[at + 1], form_cls[-1 - codes[at]]))],
+                names=["row", "nth", "h", "before", "after", "form_cls"],
+            )
+
+    def tail_steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        table = model.value[2]
+        steps = batch.column(1)
+        flat = steps.flatten()
+        cls, before, after = (flat.field(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+        before = np.where(before >= 0, before, np.concatenate([[0], cls[:-1]]))  # the word before in the list stands beside
+        logs = table[before, cls] + np.where(after >= 0, table[cls, np.maximum(after, 0)], 0.0)
+        first = np.concatenate([[0], np.cumsum(np.diff(steps.offsets.to_numpy()))[:-1]])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(np.add.reduceat(logs, first))], names=["row", "s_tail", "n_tail", "s_steps"])
+
+    kept = seqs.select("row", "doc_id", "held_out", "n_tokens", "n_head", "s_head", "codes")
     scored = arrow_map(kept, score, "row long, doc_id long, held_out boolean, n_tokens long, n_head long, s_head double, s_class double")
-    rare = seqs.select("row", F.explode("tail").alias("h")).join(words.select("h", "n"), "h", "left")
-    tail = rare.groupBy("row").agg(F.sum(F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(float(head.all)))).alias("s_tail"), F.count("n").alias("n_tail"))
+    rare = arrow_map(seqs.select("row", "codes", "tail"), tail_tokens, "row long, nth int, h long, before int, after int, form_cls int").join(tail_words.select("h", "n", "cls"), "h", "left")
+    found = rare.groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("nth", F.coalesce("cls", "form_cls").alias("cls"), "before", "after"))).alias("steps"),
+        F.sum(F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(float(head.all)))).alias("s_tail"),
+        F.count("n").alias("n_tail"),
+    )
+    tail = arrow_map(found, tail_steps, "row long, s_tail double, n_tail long, s_steps double")
     words_part = F.col("s_head") + F.coalesce("s_tail", F.lit(0.0))
+    s_class = F.col("s_class") + F.coalesce("s_steps", F.lit(0.0))
     return scored.join(tail, "row", "left").select(
         "doc_id",
         "held_out",
@@ -367,6 +680,6 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
         words_part.alias("base_score"),
-        (words_part + F.col("s_class")).alias("score"),
-        F.pow(F.lit(10.0), -(words_part + F.col("s_class")) / F.col("n_tokens")).alias("perplexity"),
+        (words_part + s_class).alias("score"),
+        F.pow(F.lit(10.0), -(words_part + s_class) / F.col("n_tokens")).alias("perplexity"),
     )

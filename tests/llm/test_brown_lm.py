@@ -105,3 +105,38 @@ def test_defined_cases(spark):
     assert B.lm_scores(df.where("false")).count() == 0
     only_held = B.lm_scores(df.where("doc_id is null")).collect()
     assert len(only_held) == 1 and only_held[0].train_tokens == 0 and math.isfinite(only_held[0].score)
+
+
+def test_words_of_one_form_get_classes_of_their_own(spark, monkeypatch):
+    """Words outside the first WORDS are exchanged one by one, in the head and by the shuffle."""
+    seen = []
+    whole = B.form_classes
+    monkeypatch.setattr(B, "form_classes", lambda *a: seen.append(a) or whole(*a))
+    monkeypatch.setattr(B, "HEAD", 8000)
+    B.lm_scores(table(spark, "/root/testdata/sf0.01", "documents").where("doc_id % 4 < 3"))
+    head, heads, tail = seen[0]
+    rare = set(zip(head.form[B.WORDS:], heads[1 + B.WORDS:], strict=True))
+    assert len(rare) > 1.2 * len({f for f, _ in rare})
+    assert tail.select("form", "cls").distinct().count() > 1.2 * tail.select("form").distinct().count()
+
+
+def test_best_classes_are_exact():
+    """Against the likelihood of the class table counted anew for every class."""
+    rng = np.random.default_rng(7)
+    text = np.concatenate([[0], np.append(rng.integers(1, 60, (300, 9)), np.zeros((300, 1), int), axis=1).ravel()])
+    text[40:44] = 5  # a word that follows itself
+    cls = np.concatenate([[0], 1 + np.arange(59) % 6])
+    v, w = text[:-1], text[1:]
+
+    def table_of(c):
+        g = np.zeros((B.CLASSES, B.CLASSES), np.int64)
+        np.add.at(g, (c[v], c[w]), 1)
+        return g
+
+    word, slot = np.concatenate([w, v, v[v == w]]), np.concatenate([cls[v], B.CLASSES + cls[w], np.full((v == w).sum(), B.SELF)])
+    word, slot, n = B._summed(word, slot, np.ones(len(word), np.int64))
+    best = B.best_classes(table_of(cls), cls, word, slot, n)
+    assert best[0] == 0
+    for u in range(1, 60):
+        of = [B.likelihood(table_of(np.where(np.arange(60) == u, b, cls))) for b in range(1, B.CLASSES)]
+        assert of[best[u] - 1] == pytest.approx(max(of), rel=1e-12)
