@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm.brown_lm import lm_scores
 from quarry.llm.chat_hmm import format_chats
 from quarry.llm.decontam import contamination
+from quarry.llm.heap_kmeans import cluster_vectors
+from quarry.llm.host_reputation import filter_urls, label_outcomes
 from quarry.llm.id_files import encode_and_read
 from quarry.llm.near_dedup import near_duplicates
+from quarry.llm.oracle_sql import clustering, url_filter
 from quarry.llm.quality_mil import quality_scores
 from quarry.llm.sharding import shards_by_bytes
 from quarry.llm.sp_viterbi import digests as viterbi_digests
@@ -59,6 +62,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_heap_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = label_outcomes(table(spark, sf_dir, "labels"))
+    return filter_urls(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -70,6 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_brown_lm": op8_brown_lm,
     "op9_id_files": op9_id_files,
     "op10_decontamination": op10_decontamination,
+    "op11_heap_kmeans": op11_heap_kmeans,
+    "op13_url_filter": op13_url_filter,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,4 +140,6 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op11_heap_kmeans": clustering(),
+    "op13_url_filter": url_filter(),
 }

@@ -47,6 +47,15 @@ def written(df: DataFrame, name: str, options: dict[str, str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped_table(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that are not read again."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def binary_files(spark: SparkSession, path: str, folders: dict[str, str]) -> DataFrame:
     """Files below ``path`` with the values of their ``name=value`` folders,
     typed; no rows if nothing was written."""
