@@ -97,15 +97,15 @@ def groups_of(host: Column, suffixes: Sequence[str] = ()) -> tuple[Column, Colum
     return F.when(address, name).otherwise(domain), F.when(address, name).otherwise(suffix)
 
 
-def _strength(children: DataFrame, parents: DataFrame, key: str) -> float:
-    """Strength of the prior that groups of a step have from their parents, by
-    moments: one row is collected."""
-    both = children.select(key, "n", "k").join(parents.select(key, F.col("n").alias("pn"), F.col("k").alias("pk")), key)
+def _strength(children: DataFrame, *key: str) -> float:
+    """Strength of the prior that groups (n, k) of a step have from the sums
+    over ``key``, by moments: one row is collected."""
+    sums = children.groupBy(*key).agg(
+        F.sum("n").alias("pn"), F.sum("k").alias("pk"), F.sum(F.col("k") * F.col("k") / F.col("n")).alias("kk"), F.sum(F.col("n") * F.col("n")).alias("nn"), (F.count("*") - 1).alias("df")
+    )
     p = F.col("pk") / F.col("pn")
-    known = both.where("pk > 0 and pk < pn")
-    off = F.col("n") * F.pow(F.col("k") / F.col("n") - p, 2) / (p * (1 - p))
-    of = known.groupBy(key).agg(F.sum(off).alias("z"), (F.count("*") - 1).alias("df"), (F.max("pn") - F.sum(F.col("n") * F.col("n") / F.col("pn"))).alias("room"))
-    r = of.agg(F.sum("z").alias("z"), F.sum("df").alias("df"), F.sum("room").alias("room")).first()
+    off = (F.col("kk") - F.col("pk") * p) / (p * (1 - p))  # sum of n * (k / n - p)^2 over p * (1 - p)
+    r = sums.where("pk > 0 and pk < pn").agg(F.sum(off).alias("z"), F.sum("df").alias("df"), F.sum(F.col("pn") - F.col("nn") / F.col("pn")).alias("room")).first()
     if not r["df"] or r["room"] - r["df"] <= 0:
         return WEAKEST
     rho = (r["z"] - r["df"]) / (r["room"] - r["df"])
@@ -128,10 +128,7 @@ def reputations(hosts: DataFrame, suffixes: Sequence[str] = (), z: float = Z) ->
     by_suffix = sums(by_domain, "suffix")
     every = sums(by_suffix).first()
     mean = ((every["k"] or 0) + 0.5) / ((every["n"] or 0) + 1)
-    top = by_suffix.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("all", F.lit(1))
-    s_suffix = _strength(by_suffix.withColumn("all", F.lit(1)), top, "all")
-    s_domain = _strength(by_domain, by_suffix, "suffix")
-    s_host = _strength(seen, by_domain, "domain")
+    s_suffix, s_domain, s_host = _strength(by_suffix), _strength(by_domain, "suffix"), _strength(seen, "suffix", "domain")
 
     suffixes_ = hosts.select("suffix").distinct().join(by_suffix, "suffix", "left").select("suffix", _shrunk(by_suffix, F.lit(mean), s_suffix).alias("m_suffix"))
     domains = hosts.select("suffix", "domain").distinct().join(by_domain, ["suffix", "domain"], "left").join(suffixes_, "suffix")
