@@ -93,3 +93,37 @@ def url_filter() -> str:
                coalesce({case(lambda r: r.verdict)}, CASE WHEN bound > {H.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
         FROM p JOIN b USING (host)
     """
+
+
+def phrases(least: int = 10, inside: int = 50, most: int = 2000) -> str:
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+        p AS (SELECT row_number() OVER () AS id, lang, piece FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+        e AS (SELECT id, lang, unnest(w) AS u, generate_subscripts(w, 1) AS i FROM (SELECT id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p)),
+        g AS MATERIALIZED (SELECT lang, u, lead(u) OVER o AS v, lead(u, 2) OVER o AS w FROM e WINDOW o AS (PARTITION BY id ORDER BY i)),
+        f AS MATERIALIZED (
+            SELECT lang, 1 AS k, u AS phrase, count(*) AS f FROM g GROUP BY ALL
+            UNION ALL SELECT lang, 2, u || ' ' || v, count(*) FROM g WHERE v IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, 3, u || ' ' || v || ' ' || w, count(*) FROM g WHERE w IS NOT NULL GROUP BY ALL
+        ), n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= {least}),
+        x AS (
+            SELECT c.lang, c.k, c.phrase, c.a, j, array_to_string(list_slice(c.w, 1, j), ' ') AS u, array_to_string(list_slice(c.w, j + 1, c.k), ' ') AS v
+            FROM c, unnest(range(1, c.k)) t(j)
+        ), q AS MATERIALIZED (SELECT lang, k, phrase, f FROM f WHERE f >= {least}),
+        y AS MATERIALIZED (SELECT x.*, q.f AS l FROM x JOIN q ON q.lang = x.lang AND q.phrase = x.u AND q.k = x.j),
+        s AS MATERIALIZED (
+            SELECT y.*, q.f AS r, CAST(CAST(1000000 AS HUGEINT) * y.a * y.a // (CAST(y.l AS HUGEINT) * q.f) AS BIGINT) AS score
+            FROM y JOIN q ON q.lang = y.lang AND q.phrase = y.v AND q.k = y.k - y.j
+        ), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        h AS (
+            SELECT lang, phrase, max(a) AS a FROM (
+                SELECT lang, array_to_string(list_slice(w, i, i + 1), ' ') AS phrase, a FROM c, (SELECT unnest([1, 2]) AS i) y WHERE k = 3
+            ) GROUP BY ALL
+        ), o AS (
+            SELECT b.lang, b.phrase, b.a, b.l, b.r, b.score FROM b LEFT JOIN h ON b.k = 2 AND b.lang = h.lang AND b.phrase = h.phrase
+            WHERE h.a IS NULL OR 100 * h.a < {inside} * b.a
+        )
+        SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY o.score DESC, o.a DESC, o.phrase) AS rank, o.phrase, o.a, o.l, o.r, n.n, o.score
+        FROM o JOIN n ON o.lang = n.lang QUALIFY rank <= {most}
+    """

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.brown_lm import lm_scores
 from quarry.llm.chat_hmm import format_chats
+from quarry.llm.collocations import collocations
 from quarry.llm.decontam import contamination
 from quarry.llm.heap_kmeans import cluster_vectors
 from quarry.llm.host_reputation import filter_urls, label_outcomes
 from quarry.llm.id_files import encode_and_read
 from quarry.llm.near_dedup import near_duplicates
-from quarry.llm.oracle_sql import clustering, url_filter
+from quarry.llm.oracle_sql import clustering, phrases, url_filter
 from quarry.llm.quality_mil import quality_scores
 from quarry.llm.sharding import shards_by_bytes
 from quarry.llm.sp_viterbi import digests as viterbi_digests
@@ -66,6 +67,10 @@ def op11_heap_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = label_outcomes(table(spark, sf_dir, "labels"))
     return filter_urls(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_id_files": op9_id_files,
     "op10_decontamination": op10_decontamination,
     "op11_heap_kmeans": op11_heap_kmeans,
+    "op12_collocations": op12_collocations,
     "op13_url_filter": op13_url_filter,
 }
 
@@ -141,5 +147,6 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
     "op11_heap_kmeans": clustering(),
+    "op12_collocations": phrases(),
     "op13_url_filter": url_filter(),
 }
