@@ -6,11 +6,18 @@ shared checkpoint folder. From there rejected rows go to a quarantine
 folder and good rows, typed and stamped, are appended. Every row of the
 extract is either loaded or quarantined. An empty extract loads nothing and
 leaves the table untouched.
+
+Each load has an id, which names its partition of the raw table and its
+quarantine folder. A run's loads get a new one each, so a repeated run adds
+its rows (and rejects) again, as the raw tables do. A streaming batch always
+has the same one, so a batch that is replayed replaces what it wrote.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import uuid
 import zlib
 from collections.abc import Sequence
 
@@ -61,27 +68,29 @@ def _load(
     """Create the table if absent, quarantine rejected rows, then append the
     good ones (``refresh``: replace the table's rows instead).
 
-    Rejects go to a folder named by the run and the source, so a run that
-    is repeated replaces its own. ``once`` is for streaming batches, whose
-    quarantine folder names the batch: a marker there tells that the batch
-    is loaded, and a replay adds nothing. ``count_table`` also counts the
-    rows of the whole table (a scan)."""
+    ``once`` is for streaming batches: the load's id comes from the quarantine
+    folder, which names the table, the stream and the batch, so a replay
+    replaces the batch's rows and rejects. A marker there, written last, only
+    saves the work of a replay after it. ``count_table`` also counts the rows
+    of the whole table (a scan)."""
     spark = wh.spark
     target = wh.name("raw", table)
-    writers.ensure_table(spark, target, schema)
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{quarantine.rstrip('/')}/_loaded-{target}")
-    files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
-    if once and files.exists(marker):
+    folder = quarantine.rstrip("/")
+    writers.ensure_table(spark, target, schema, by_load=True)
+    marker = f"{folder}/_loaded-{target}"
+    if once and writers.exists(spark, marker):
         return writers.LoadResult(0, 0, 0)
-    result = writers.LoadResult(0, 0, 0)
-    staged = writers.stage(classified)
-    if not staged.isEmpty():  # S7: else nothing to load, table untouched
+    if once:
+        load_id = batch_id(target, folder)
+    else:
+        load_id = f"{ctx.run_id or 'run'}-{zlib.crc32(source.encode()):08x}-{uuid.uuid4().hex[:12]}"
+    staged, result = writers.stage(classified)
+    if result.rows_in:  # S7: else nothing to load, table untouched
         stamped = writers.stamp_metadata(staged, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
         good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-        load = f"{ctx.run_id or 'run'}-{zlib.crc32(source.encode()):08x}"
-        result = writers.write_split(stamped, good_cols, target, f"{quarantine.rstrip('/')}/load={load}", refresh=refresh)
+        writers.write_split(stamped, result, good_cols, target, f"{folder}/load={load_id}", load_id, refresh=refresh)
     if once:
-        files.create(marker).close()
+        writers.mark(spark, marker)
     # The write may have run in another session (a stream's batch): drop
     # this session's cached file listing of the table before reading it.
     spark.catalog.refreshTable(target)
@@ -90,6 +99,11 @@ def _load(
     return result
 
 
+def batch_id(*names: str) -> str:
+    """Load id of a streaming batch, from what names it."""
+    return "batch-" + hashlib.sha256("\n".join(names).encode()).hexdigest()[:24]
+
+
 def load_rigs(wh: Warehouse, paths: str | Sequence[str], quarantine: str, ctx: RunContext,
               refresh: bool = False) -> writers.LoadResult:
     """Sheet exports -> raw rigs. Empty text stays empty (no NULL tokens).

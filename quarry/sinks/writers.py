@@ -2,11 +2,13 @@
 
 * ``stamp_metadata``: load columns added as literals / build time;
 * ``ensure_table``: create the target from a declared schema if absent
-  (the schema is frozen from then on: appends must match it);
+  (the schema is frozen from then on: appends must match it), by default with
+  one partition for each load;
 * ``stage``: the classified extract as a columnar file, so that its source
-  is read once;
-* ``write_split``: quarantine the rejected rows, then append the good ones or
-  replace the table's rows with them;
+  is read once; its rows are counted by the write itself;
+* ``write_split``: quarantine the rejected rows, then add the good ones as the
+  partition of their load, or replace the table's rows with them. A load that
+  runs again under its id replaces what it wrote, in both places;
 * ``write_quoted_csv``: fully quoted CSV extract with a header.
 """
 
@@ -16,7 +18,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +27,10 @@ from quarry.operators.validate import REASON
 from quarry.schemas import schema_from_dtypes
 from quarry.session import ensure_checkpoint_dir
 
+#: Partition column of tables that loads add to.
+LOAD_ID = "load_id"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"  # dynamic: only the partitions that come
+
 
 def stamp_metadata(df: DataFrame, values: dict[str, object], loaded_at: dt.datetime | None = None,
                    loaded_at_col: str = "ingestion_timestamp") -> DataFrame:
@@ -36,16 +42,21 @@ def stamp_metadata(df: DataFrame, values: dict[str, object], loaded_at: dt.datet
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet",
                  comment: str | None = None, properties: dict[str, str] | None = None,
-                 dtypes: dict[str, str] | None = None) -> bool:
+                 dtypes: dict[str, str] | None = None, by_load: bool = False) -> bool:
     """Create ``name`` with ``schema`` unless it exists. True if created.
     With an extract's ``dtypes`` the table has its columns, typed as in
-    ``schema`` where declared there."""
+    ``schema`` where declared there. ``by_load`` adds the partition column
+    ``load_id``, which exactly-once loads need."""
     if spark.catalog.tableExists(name):
         return False
     if dtypes:
         schema = schema_from_dtypes(dtypes, schema)
+    if by_load:
+        schema = T.StructType([*schema.fields, T.StructField(LOAD_ID, T.StringType())])
     empty = spark.createDataFrame([], schema)
     writer = empty.write.format(fmt).mode("ignore")
+    if by_load:
+        writer = writer.partitionBy(LOAD_ID)
     if properties:
         for k, v in properties.items():
             writer = writer.option(k, v)
@@ -66,43 +77,75 @@ class LoadResult:
     table_rows: int | None = None
 
 
-def load_counts(classified: DataFrame) -> DataFrame:
-    """(rows_in, rows_loaded, rows_rejected) of a classified plan, one row."""
-    return classified.agg(
+def load_count_columns() -> list[Column]:
+    """rows_in, rows_loaded and rows_rejected of a classified plan, as aggregates."""
+    return [
         F.count(F.lit(1)).cast("bigint").alias("rows_in"),
         F.count_if(F.col(REASON).isNull()).cast("bigint").alias("rows_loaded"),
         F.count_if(F.col(REASON).isNotNull()).cast("bigint").alias("rows_rejected"),
-    )
+    ]
+
+
+def load_counts(classified: DataFrame) -> DataFrame:
+    """(rows_in, rows_loaded, rows_rejected) of a classified plan, one row."""
+    return classified.agg(*load_count_columns())
 
 
-def stage(classified: DataFrame) -> DataFrame:
+def stage(classified: DataFrame) -> tuple[DataFrame, LoadResult]:
     """The classified extract written once, as columns, to the shared
-    checkpoint folder: the files are read once, and the writes after it
-    each read only their rows."""
+    checkpoint folder (the files are read once, and the writes after it each
+    read only their rows), and its counts, which that write observes."""
     spark = classified.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/load-{uuid.uuid4().hex}"
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    classified.toDF(*[f"c{i}" for i in range(len(classified.columns))]).write.parquet(path)
-    return spark.read.parquet(path).toDF(*classified.columns)
+    seen = Observation()
+    observed = classified.observe(seen, *load_count_columns())
+    observed.toDF(*[f"c{i}" for i in range(len(classified.columns))]).write.parquet(path)
+    staged = spark.read.parquet(path).toDF(*classified.columns)
+    if staged.isEmpty():  # a plan known to be empty may run without its observation
+        return staged, LoadResult(0, 0, 0)
+    counts = seen.get
+    return staged, LoadResult(counts["rows_in"], counts["rows_loaded"], counts["rows_rejected"])
+
+
+def add_rows(good: DataFrame, table: str, load_id: str, refresh: bool = False) -> None:
+    """Adds rows to ``table`` (or, with ``refresh``, replaces its rows by
+    them). In a table partitioned by load they are the partition ``load_id``,
+    put in place as a whole when the write ends: writing it again replaces it."""
+    spark = good.sparkSession
+    columns = spark.table(table).columns
+    by_load = columns[-1:] == [LOAD_ID]
+    if by_load:
+        good = good.withColumn(LOAD_ID, F.lit(load_id))
+    if good.columns != columns:
+        raise ValueError(f"{table} has the columns {columns}, the load {good.columns}")
+    kept = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic" if by_load and not refresh else "static")
+    try:
+        good.write.insertInto(table, overwrite=by_load or refresh)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, kept)
+
+
+def write_split(staged: DataFrame, counts: LoadResult, good_cols: list[Column], table: str, quarantine_path: str, load_id: str,
+                refresh: bool = False) -> None:
+    """Write rejected rows to ``quarantine_path`` (parquet, replaced), then
+    the good rows to ``table``. Columns are matched by name."""
+    if counts.rows_rejected:
+        staged.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(quarantine_path)
+    add_rows(staged.where(F.col(REASON).isNull()).select(*good_cols), table, load_id, refresh)
 
 
-def write_split(staged: DataFrame, good_cols: list[Column], table: str, quarantine_path: str,
-                refresh: bool = False) -> LoadResult:
-    """Write rejected rows to ``quarantine_path`` (parquet, replaced), then
-    add the good rows to ``table`` (or, with ``refresh``, replace its rows).
-    The append comes last and in one commit, so a load that failed can run
-    again. Columns are matched by name."""
-    spark = staged.sparkSession
-    good = staged.where(F.col(REASON).isNull()).select(*good_cols)
-    bad = staged.where(F.col(REASON).isNotNull())
-    if good.columns != spark.table(table).columns:
-        raise ValueError(f"{table} has the columns {spark.table(table).columns}, the load {good.columns}")
-    counts = load_counts(staged).first()
-    if counts["rows_rejected"]:
-        bad.write.mode("overwrite").parquet(quarantine_path)
-    good.write.insertInto(table, overwrite=refresh)
-    return LoadResult(counts["rows_in"], counts["rows_loaded"], counts["rows_rejected"])
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target).close()
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:

@@ -8,22 +8,24 @@ path, so each extract must land under a new name (a file replaced under
 the same name is not read again).
 
 Batches go through the same typing, quarantine and stamping as the batch
-loads. Each batch has a quarantine folder of its own, named by the table,
-the id that Spark keeps in the stream's checkpoint, and the batch number
-(which starts at 0 in every checkpoint), so feeds and new checkpoints can
-share one quarantine folder. A marker there is set once the batch's rows are
-in the table, so a batch that Spark replays after a failure is not loaded
-twice. (If the driver is lost between the append and the marker, that one
-batch can repeat.)
+loads, and each is added exactly once. A batch is named by the table, the id
+that Spark keeps in the stream's checkpoint, and the batch number (which
+starts at 0 in every checkpoint), so feeds and new checkpoints can share one
+quarantine folder. That name is the batch's partition of the table, which a
+write puts in place as a whole: when the driver is lost at any point before
+Spark has noted the batch, the replay replaces what the lost one left.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quarry.operators import filters
+
 KEEP_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 
 
@@ -41,6 +43,18 @@ def _to_end(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], check
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 
+def _new_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The new files of a drop folder as a stream of their paths (no file is opened)."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return spark.readStream.format("binaryFile").schema(schema).load(folder).select("path")
+
+
+def _paths(batch: DataFrame) -> list[str]:
+    """The files of a batch: which ones is fixed in the stream's checkpoint
+    before the batch runs, so a replay reads the same."""
+    return sorted(r["path"] for r in batch.collect())
+
+
 def load_new_files(
     spark: SparkSession,
     source_dir: str,
@@ -65,20 +79,28 @@ def load_new_files(
     return rows
 
 
-def append_batches(table: str, transform: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: transform the batch and append it to ``table``."""
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        out = transform(batch)
-        cols = batch.sparkSession.table(table).columns
-        out.select(*[f"`{c}`" for c in cols]).write.mode("append").insertInto(table)
-    return run
-
-
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of the stream, which its checkpoint keeps from the first run on."""
     return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
+def append_batches(table: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: transform the batch and add it to ``table`` as the
+    partition of its load, exactly once. The table must be partitioned by load
+    (``ensure_table(by_load=True)``); ``checkpoint`` is the stream's."""
+    from quarry.plans.loads import batch_id
+    from quarry.sinks import writers
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        columns = spark.table(table).columns
+        if columns[-1:] != [writers.LOAD_ID]:
+            raise ValueError(f"{table} is not partitioned by {writers.LOAD_ID}: a replayed batch would be added twice")
+        out = transform(batch).select(*[f"`{c}`" for c in columns[:-1]])
+        writers.add_rows(out, table, batch_id(table, _stream_id(spark, checkpoint), str(epoch_id)))
+    return run
+
+
 def _load_each(wh, stream: DataFrame, checkpoint: str, quarantine: str, table: str, load: Callable[[DataFrame, str], object]) -> int:
     target = wh.name("raw", table)
 
@@ -93,37 +115,48 @@ def _load_each(wh, stream: DataFrame, checkpoint: str, quarantine: str, table: s
 
 def load_new_sheets(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx) -> int:
     """Rig sheet exports dropped into ``drop_dir``: load the files not
-    seen before into the raw rig table; return the number of lines read."""
+    seen before into the raw rig table; return the number of files."""
     from quarry.plans import loads
     from quarry.sources import sheet
 
-    parsed = sheet.read_rig_sheet(wh.spark, drop_dir, stream=True)
-    return _load_each(wh, parsed, checkpoint, quarantine, loads.RIG_TABLE, lambda batch, path: loads.load_rig_rows(
-        wh, batch.drop("file_path"), path, ctx, file_url=drop_dir, once=True))
+    return _load_each(wh, _new_files(wh.spark, drop_dir), checkpoint, quarantine, loads.RIG_TABLE, lambda batch, path: loads.load_rig_rows(
+        wh, sheet.read_rig_sheet(wh.spark, _paths(batch)).drop("file_path"), path, ctx, file_url=drop_dir, once=True))
 
 
 def load_new_counties(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx) -> int:
-    """Headered county files dropped into ``drop_dir``, columns in the
-    declared order (a file with another header ends the load): load the
-    files not seen before; return the number of rows read."""
+    """Headered county files dropped into ``drop_dir``, each with its columns
+    in an order of its own (a file without one of them ends the load): load
+    the files not seen before; return the number of files."""
     from quarry.plans import loads
     from quarry.schemas import COUNTY_FILE
     from quarry.sources import delimited
 
-    rows = delimited.stream_text_columns(wh.spark, drop_dir, COUNTY_FILE, null_values=loads.COUNTY_NULL_TOKENS)
-    return _load_each(wh, rows, checkpoint, quarantine, loads.COUNTY_TABLE, lambda batch, path: loads.load_county_rows(
-        wh, batch, path, ctx, file_path=drop_dir, once=True))
+    def load(batch: DataFrame, path: str) -> None:
+        rows = delimited.read_text_columns(wh.spark, _paths(batch), COUNTY_FILE, null_values=loads.COUNTY_NULL_TOKENS)
+        loads.load_county_rows(wh, rows, path, ctx, file_path=drop_dir, once=True)
+
+    return _load_each(wh, _new_files(wh.spark, drop_dir), checkpoint, quarantine, loads.COUNTY_TABLE, load)
 
 
 def load_new_features(wh, drop_dir: str, checkpoint: str, quarantine: str, ctx, places: DataFrame | None = None,
-                      api_url: str = "") -> int:
-    """Line-delimited GeoJSON features dropped into ``drop_dir``: load the
-    files not seen before into the raw event table, each event located
-    at its nearest place; return the number of features read."""
+                      api_url: str = "", period: tuple[dt.date, dt.date] | None = None,
+                      bbox: dict | None = filters.US_BBOX, lines: bool = True) -> int:
+    """GeoJSON features dropped into ``drop_dir`` (one a line, or collections
+    with ``lines=False``): load the files not seen before into the raw event
+    table, each event located at its nearest place; return the number of files.
+
+    As in the batch load, events outside the box or the period (else the
+    look-back days up to the run's day) are not part of the extract, and the
+    period is stamped on the rows."""
     from quarry.plans import loads
     from quarry.sources import geojson
 
-    lines = wh.spark.readStream.schema(geojson.FEATURE_LINE).option("columnNameOfCorruptRecord", geojson.CORRUPT).json(drop_dir)
-    events = geojson.flatten_features(geojson.feature_lines(lines))
-    return _load_each(wh, events, checkpoint, quarantine, loads.QUAKE_TABLE, lambda batch, path: loads.load_quake_rows(
-        wh, batch, path, ctx, places=places, api_url=api_url, source=drop_dir, once=True))
+    if period is None:
+        end = (ctx.loaded_at or dt.datetime.now(dt.timezone.utc)).date()
+        period = (end - dt.timedelta(days=filters.EVENT_LOOKBACK_DAYS), end)
+
+    def load(batch: DataFrame, path: str) -> None:
+        events = geojson.flatten_features(geojson.read_features(wh.spark, _paths(batch), sequence=lines))
+        loads.load_quake_rows(wh, events, path, ctx, places=places, period=period, bbox=bbox, api_url=api_url, source=drop_dir, once=True)
+
+    return _load_each(wh, _new_files(wh.spark, drop_dir), checkpoint, quarantine, loads.QUAKE_TABLE, load)

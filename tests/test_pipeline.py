@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import shutil
 import uuid
 
 import pytest
@@ -128,7 +129,7 @@ def test_incremental_load_only_new_files(spark, tmp):
     wh = _warehouse(spark)
     wh.create_namespaces()
     name = wh.name("raw", "codes")
-    writers.ensure_table(spark, name, S.STATE_CODE)
+    writers.ensure_table(spark, name, S.STATE_CODE, by_load=True)
     drop = os.path.join(tmp, "drop")
     os.makedirs(drop)
     cp = os.path.join(tmp, "cp")
@@ -140,7 +141,7 @@ def test_incremental_load_only_new_files(spark, tmp):
                 f.write(f"{a},{b}\n")
 
     def run():
-        return load_new_files(spark, drop, S.STATE_CODE, cp, append_batches(name, lambda b: b),
+        return load_new_files(spark, drop, S.STATE_CODE, cp, append_batches(name, lambda b: b, cp),
                               options={"header": "true"}, refresh_table=name)
 
     put("extract-1.csv", [("AA", "A"), ("BB", "B")])
@@ -331,6 +332,123 @@ def test_streams_share_a_quarantine_folder(spark, tmp):
     assert wh.source(loads.RIG_TABLE).count() == 8
 
 
+class Lost(Exception):
+    """The driver, at some point of a batch."""
+
+
+def _lose(monkeypatch, at):
+    """Ends a batch right before ``at`` is done: the marker, or the rows after the rejects."""
+    def gone(*_, **__):
+        raise Lost
+    monkeypatch.setattr(writers, at, gone)
+
+
+@pytest.mark.parametrize("at", ["mark", "add_rows"])
+def test_lost_batches_are_added_once(spark, tmp, monkeypatch, at):
+    """All feeds: a batch is lost before or after its rows are in, then replayed."""
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    inputs, q = _write_inputs(tmp), os.path.join(tmp, "q")
+    feeds = {
+        "rigs": (inputs.rig_sheets[0], loads.RIG_TABLE, load_new_sheets, {}, 4, 1),
+        "counties": (inputs.county_csv, loads.COUNTY_TABLE, load_new_counties, {}, 4, 0),
+        "quakes": (inputs.quake_features[0], loads.QUAKE_TABLE, load_new_features, {"lines": False}, 6, 0),
+    }
+    for name, (src, table, load, more, n, bad) in feeds.items():
+        drop, cp = os.path.join(tmp, name), os.path.join(tmp, f"cp_{name}")
+        os.makedirs(drop)
+        shutil.copy(src, os.path.join(drop, "day1"))
+        with monkeypatch.context() as m:
+            _lose(m, at)
+            with pytest.raises(Exception, match="Lost"):
+                load(wh, drop, cp, q, CTX, **more)
+        shutil.copy(src, os.path.join(drop, "day2"))  # dropped before the next run
+        later = RunContext(run_id="run-2", loaded_at=CTX.loaded_at)
+        load(wh, drop, cp, q, later, **more)
+        assert wh.source(table).count() == 2 * n
+        assert wh.source(table).select(writers.LOAD_ID).distinct().count() == 2
+        rejects = os.path.join(q, f"table={wh.name('raw', table)}")
+        if bad:
+            assert spark.read.parquet(rejects).count() == 2 * bad
+
+
+def test_append_batches_adds_a_lost_batch_once(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    name, drop, cp = wh.name("raw", "codes"), os.path.join(tmp, "drop"), os.path.join(tmp, "cp")
+    writers.ensure_table(spark, name, S.STATE_CODE, by_load=True)
+    os.makedirs(drop)
+    with open(os.path.join(drop, "a.csv"), "w") as f:
+        f.write("AA,A\nBB,B\n")
+    add = append_batches(name, lambda b: b, cp)
+
+    def lost(batch, epoch):
+        add(batch, epoch)
+        raise Lost
+
+    with pytest.raises(Exception, match="Lost"):
+        load_new_files(spark, drop, S.STATE_CODE, cp, lost)
+    load_new_files(spark, drop, S.STATE_CODE, cp, add, refresh_table=name)
+    assert spark.table(name).count() == 2
+    writers.ensure_table(spark, wh.name("raw", "plain"), S.STATE_CODE)
+    with pytest.raises(Exception, match="not partitioned by load_id"):
+        load_new_files(spark, drop, S.STATE_CODE, os.path.join(tmp, "cp2"), append_batches(wh.name("raw", "plain"), lambda b: b, os.path.join(tmp, "cp2")))
+
+
+def test_incremental_events_keep_the_window_and_box(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    drop = os.path.join(tmp, "drop")
+    os.makedirs(drop)
+    ms = lambda *a: int(dt.datetime(*a, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    with open(os.path.join(drop, "a.jsonl"), "w") as f:
+        for i, t, lat, lon in (("in", ms(2024, 1, 2), 30.0, -95.0), ("far", ms(2024, 1, 2), -30.0, 100.0), ("old", ms(1990, 1, 2), 30.0, -95.0)):
+            f.write(json.dumps({"id": i, "properties": {"mag": 1.0, "time": t}, "geometry": {"coordinates": [lon, lat, 1]}}) + "\n")
+    load_new_features(wh, drop, os.path.join(tmp, "cp"), os.path.join(tmp, "q"), CTX)
+    rows = wh.source(loads.QUAKE_TABLE).collect()
+    assert [(r.id, r.data_period_start, r.data_period_end) for r in rows] == [("in", dt.date(2023, 10, 12), dt.date(2024, 1, 10))]
+
+
+def test_incremental_counties_by_header_name(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    drop, names = os.path.join(tmp, "drop"), [f.name for f in S.COUNTY_FILE.fields]
+    os.makedirs(drop)
+    for k, order in enumerate((list(range(len(names))), list(range(len(names)))[::-1])):
+        with open(os.path.join(drop, f"{k}.csv"), "w") as f:
+            for r in (names, COUNTIES[k]):
+                f.write(",".join(str(r[i]) for i in order) + "\n")
+    load_new_counties(wh, drop, os.path.join(tmp, "cp"), os.path.join(tmp, "q"), CTX)
+    assert sorted((r.NAME, r.LATITUDE) for r in wh.source(loads.COUNTY_TABLE).collect()) == [("Harris", 29.8), ("Los Angeles", 34.3)]
+
+
+def test_repeated_run_keeps_all_rejects(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    inputs, q = _write_inputs(tmp), os.path.join(tmp, "q")
+    for _ in range(2):
+        loads.load_rigs(wh, inputs.rig_sheets, q, CTX)
+        loads.load_rigs(wh, inputs.rig_sheets, q, RunContext(run_id=None, loaded_at=CTX.loaded_at))
+    assert spark.read.parquet(q).count() == 4 and wh.source(loads.RIG_TABLE).count() == 16
+
+
+def test_counts_come_from_the_write(spark, tmp):
+    """One job writes the extract and counts it."""
+    from pyspark.sql import functions as F
+
+    sc = spark.sparkContext
+    rows = spark.range(1000).select(F.when(F.col("id") % 10 == 0, F.lit("bad")).alias("_reject_reason"), "id")
+    group = uuid.uuid4().hex
+    sc.setJobGroup(group, "counts")
+    _, counts = writers.stage(rows)
+    jobs = sc.statusTracker().getJobIdsForGroup(group)
+    sc.setJobGroup("rest", "rest")
+    assert (counts.rows_in, counts.rows_loaded, counts.rows_rejected) == (1000, 900, 100)
+    assert len(jobs) <= 3  # the write, the schema of its files, a look at whether there are rows
+    _, none = writers.stage(rows.where("false"))
+    assert none == writers.LoadResult(0, 0, 0)
+
+
 def test_more_batches_than_progress_reports(spark, tmp):
     drop = os.path.join(tmp, "many")
     os.makedirs(drop)
