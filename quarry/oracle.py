@@ -456,6 +456,13 @@ WHERE latitude BETWEEN 24.6 AND 49.0 AND longitude BETWEEN -125.0 AND -65.0""",
   CAST(COUNT(*) FILTER (WHERE _reject_reason IS NULL) AS BIGINT) AS rows_loaded,
   CAST(COUNT(*) FILTER (WHERE _reject_reason IS NOT NULL) AS BIGINT) AS rows_rejected
 FROM classified"""),
+    "csv_blocks": """WITH t AS (
+  SELECT CAST(l_linenumber AS VARCHAR) AS line, l_orderkey,
+    l_returnflag || CASE WHEN l_orderkey % 3 = 0 THEN repeat('x' || chr(10) || '"y", ', CAST(l_linenumber % 4 AS INTEGER)) ELSE '' END AS note
+  FROM lineitem)
+SELECT line, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected, CAST(SUM(l_orderkey) AS BIGINT) AS sum_order_key,
+  CAST(SUM(LENGTH(note)) AS BIGINT) AS note_length, COUNT(*) FILTER (WHERE contains(note, chr(10))) AS n_broken_notes
+FROM t GROUP BY line""",
     "null_tokens": """SELECT event_id, raw_text,
   CASE WHEN raw_text IN ('NULL', 'null', '') THEN NULL ELSE raw_text END AS quake_value,
   raw_text AS rig_value

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from quarry.plans import bronze, gold, silver
 from quarry.sinks import writers
 from quarry.schemas import QUAKE_EVENT, RIG_SHEET
 from quarry.sources import adapters as A
-from quarry.sources import geojson, sheet
+from quarry.session import ensure_checkpoint_dir
+from quarry.sources import delimited, geojson, sheet
 from quarry.sources.nulls import QUAKE_NULL_TOKENS, RIG_NULL_TOKENS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,6 +202,27 @@ def q_load_audit(spark, d):
     return writers.load_counts(validate.classify(_lineitem_text(spark, d), CAST_SCHEMA))
 
 
+def q_csv_blocks(spark, d):
+    """lineitem as one quoted text extract with line breaks in its notes, read back by blocks."""
+    li = A.table(spark, d, "lineitem")
+    breaks = F.repeat(F.lit('x\n"y", '), (F.col("l_linenumber") % 4).cast("int"))
+    note = F.concat(F.col("l_returnflag"), F.when(F.col("l_orderkey") % 3 == 0, breaks).otherwise(F.lit("")))
+    text = li.select(F.col("l_orderkey").cast("string").alias("order_key"), F.col("l_linenumber").cast("string").alias("line"), note.alias("note"))
+    path = f"{ensure_checkpoint_dir(spark)}/extract-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    writers.write_quoted_csv(text, path)
+    schema = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("line", T.IntegerType()), T.StructField("note", T.StringType())])
+    rows = validate.classify(delimited.read_text_columns(spark, path, schema, blocks=True), schema, corrupt_col=delimited.CORRUPT)
+    return rows.groupBy("line").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col(validate.REASON).isNotNull()).alias("n_rejected"),
+        F.sum(F.col("order_key").cast("bigint")).alias("sum_order_key"),
+        F.sum(F.length("note")).alias("note_length"),
+        F.count_if(F.contains("note", F.lit("\n"))).alias("n_broken_notes"),
+    )
+
+
 def q_null_tokens(spark, d):
     ev = A.table(spark, d, "events")
     k = F.col("event_id") % 7
@@ -524,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "stamp_metadata": q_stamp_metadata,
     "lenient_cast_split": q_lenient_cast_split,
     "load_audit": q_load_audit,
+    "csv_blocks": q_csv_blocks,
     "null_tokens": q_null_tokens,
     "lookup_join": q_lookup_join,
     "agg_to_agg_join": q_agg_to_agg_join,

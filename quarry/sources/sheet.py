@@ -2,12 +2,11 @@
 
 Each file starts with ``PREAMBLE_LINES`` lines of notes and a header on
 the next line; the header is discarded and columns are named by
-position. Files are read as text lines in parallel splits; only the
-first split of each file holds the preamble, so the lines are dropped
-there, per file, while the split streams through (no shuffle, no
-whole-file task). Quoted line breaks inside a field are not supported
-on this path, and the first split of a file must hold all preamble
-lines (any split size above a few KB does).
+position. Files are read in parallel blocks, records with line breaks in
+quoted cells included (``csv_blocks``); only the first block of each file
+holds the preamble, so the lines are dropped there. A file with quotes
+inside a cell is read line by line. The first block of a file must hold
+all preamble lines (any block size above a few KB does).
 
 Text stays as it is: a quoted empty field is an empty string, not NULL
 (extracts are written fully quoted). An unquoted empty field reads as
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.schemas import RIG_SHEET_COLUMNS
+from quarry.sources import csv_blocks
 
 # 10 note lines, then the header line (line 11).
 PREAMBLE_LINES = 10
@@ -70,23 +70,22 @@ def read_sheet_lines(spark: SparkSession, paths: str | Sequence[str], skip: int
 
 
 def parse_positional(lines: DataFrame, names: Sequence[str] = RIG_SHEET_COLUMNS) -> DataFrame:
-    """Split each CSV line into text columns named by position.
+    """Split each CSV record into text columns named by position.
 
-    Lines with a different field count keep their text in
+    Records with a different field count keep their text in
     ``_corrupt_record`` (and NULL fields), so they can be quarantined.
     """
-    ddl = ", ".join(f"c{i} STRING" for i in range(len(names))) + ", _corrupt_record STRING"
-    parsed = F.from_csv(
-        F.col("value"), ddl,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "nullValue": "\u0000", "quote": '"', "escape": '"'},
-    )
-    return lines.select(parsed.alias("r"), "file_path").select(
-        *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)],
-        F.col("r._corrupt_record").alias("_corrupt_record"),
-        "file_path",
-    )
+    return csv_blocks.parse(lines, names, "_corrupt_record")
+
+
+def read_sheet_records(spark: SparkSession, paths: str | Sequence[str], skip: int = PREAMBLE_LINES + HEADER_LINES) -> DataFrame:
+    """Data records of the sheet exports (``value``, ``file_path``)."""
+    records, ill = csv_blocks.read_records(spark, [paths] if isinstance(paths, str) else paths, skip)
+    rows = records.select("value", "file_path").where(F.length(F.trim("value")) > 0)
+    return rows.unionByName(read_sheet_lines(spark, ill, skip)) if ill else rows
 
 
 def read_rig_sheet(spark: SparkSession, paths: str | Sequence[str], stream: bool = False) -> DataFrame:
-    """The rig sheet as text columns with its 12 positional names."""
-    return parse_positional(read_sheet_lines(spark, paths, stream=stream))
+    """The rig sheet as text columns with its 12 positional names (a
+    ``stream`` is read line by line)."""
+    return parse_positional(read_sheet_lines(spark, paths, stream=True) if stream else read_sheet_records(spark, paths))
