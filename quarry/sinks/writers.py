@@ -149,11 +149,13 @@ def mark(spark: SparkSession, path: str) -> None:
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:
-    """CSV extract with a header, every field quoted and quotes doubled."""
+    """CSV extract with a header, every field quoted and quotes doubled; text stays as it is."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
