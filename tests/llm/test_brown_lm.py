@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarry.llm import brown_lm as B
@@ -51,13 +52,92 @@ def test_better_than_base_on_held_out_texts(spark):
     assert np.mean([r.score > r.base_score for r in rows]) > 0.9
 
 
-def test_rare_words_by_shuffle_give_the_same(small, monkeypatch):
-    docs, _, rows = small
-    monkeypatch.setattr(B, "HEAD", 200)  # most words now take the other way
-    monkeypatch.setattr(B, "WORDS", B.WORDS)
-    other = sorted(B.lm_scores(docs).collect(), key=lambda r: r.doc_id)
+def lookup(model):
+    """Class of a word: by its number, or by its form if the training texts do not have it."""
+    number = {}
+    for r in model.answers.where("chunk is null").collect():
+        power, n = B.unpressed(r["powers"], np.uint8), B.unpressed(r["counts"], np.int64)
+        place = B.unpressed(r["places"], np.uint32)
+        for p, k, c in zip(power.tolist(), place.tolist(), n.tolist(), strict=True):
+            at = int(model.numbers.start[p, r["bucket"]]) + k
+            assert at not in number
+            number[at] = c
+    assert sorted(number) == list(range(1, model.numbers.words + 1))  # every place once
+    return number
+
+
+def numbers_of(model):
+    """The numbers of each text's tokens, from the kept sequences."""
+    out = {}
+    for r in model.seqs.collect():
+        row = B.cells(pa.Table.from_pylist([r.asDict()]), 0, ids=np.int64, sizes=np.uint32, codes=np.int32)
+        for i, codes in zip(row["ids"].tolist(), np.split(row["codes"], np.cumsum(row["sizes"])[:-1]), strict=True):
+            out[i] = codes.tolist()
+    return out
+
+
+def test_scores_against_brute_force(small):
+    """Class pairs, emissions and scores counted anew from the texts, with the learned classes."""
+    df, docs, rows = small
+    model = B.learn(df)
+    counts, codes = lookup(model), numbers_of(model)
+    word_of = {}
+    for i, t in docs:
+        for w, c in zip(tokens(t), codes[i], strict=True):
+            assert word_of.setdefault(w, c) == c  # one number for a word
+    train = [(i, t) for i, t in docs if not (i is None or zlib.crc32(str(i).encode()) % 10 == 0)]
+    n = Counter(w for _, t in train for w in tokens(t))
+    assert all(counts[word_of[w]] == c for w, c in n.items() if w != "\0end") and word_of["\0end"] == 0
+    assert len({c for w, c in word_of.items() if w in n}) == len(n)
+    cls = {w: int(model.classes[c]) if c >= 0 else int(model.by_form[-1 - c]) for w, c in word_of.items()}
+    pairs, of_class, kinds = Counter(), Counter(), Counter(cls[w] for w in n)
+    for _, t in train:
+        before = 0
+        for w in tokens(t):
+            pairs[before, cls[w]] += 1
+            of_class[cls[w]] += 1
+            before = cls[w]
+    every, m = sum(of_class.values()), B.CLASSES
+    row = Counter()
+    for (a, _), k in pairs.items():
+        row[a] += k
+    by_id = {r.doc_id: r for r in rows}
+    for i, t in docs:
+        total, before = 0.0, 0
+        for w in tokens(t):
+            c = cls[w]
+            share = (of_class[c] + 1) / (every + m)
+            total += math.log10((pairs[before, c] + m * share) / (row[before] + m))
+            total += math.log10((n[w] + 0.1) / (of_class[c] + 0.1 * (kinds[c] + 1)))
+            before = c
+        assert by_id[i].score == pytest.approx(total, rel=1e-9)
+
+
+def test_chunks_blocks_and_parts_give_the_same(small, monkeypatch):
+    """Many chunks and buckets, blocks of a few words, words in several parts."""
+    df, _, rows = small
+    monkeypatch.setattr(B, "CHUNK", 20_000)
+    monkeypatch.setattr(B, "PAIRS", 1000)
+    monkeypatch.setattr(B, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(B, "SLICE", 100)
+    other = sorted(B.lm_scores(df).collect(), key=lambda r: r.doc_id)
     for a, b in zip(rows, other, strict=True):
-        assert a[:5] == b[:5] and a.base_score == pytest.approx(b.base_score, rel=1e-9)
+        assert a[:5] == b[:5] and a.base_score == pytest.approx(b.base_score, rel=1e-9) and a.score == pytest.approx(b.score, rel=1e-9)
+
+
+def test_words_in_parts(small, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_TOKENS", 500)
+    seen = []
+    whole = B.sweep
+    monkeypatch.setattr(B, "sweep", lambda lists, numbers, *a: seen.append(numbers) or whole(lists, numbers, *a))
+    B.learn(small[0])
+    assert (seen[0].parts > 1).any() and len(seen[0].edges) > 50 and (np.diff(seen[0].edges) > 0).all()
+
+
+def test_too_many_words_are_an_error(small, monkeypatch):
+    monkeypatch.setattr(B, "MOST_WORDS", 100)
+    with pytest.raises(ValueError, match="distinct words"):
+        B.learn(small[0])
 
 
 def test_probabilities_sum_to_one():
@@ -108,16 +188,14 @@ def test_defined_cases(spark):
 
 
 def test_words_of_one_form_get_classes_of_their_own(spark, monkeypatch):
-    """Words outside the first WORDS are exchanged one by one, in the head and by the shuffle."""
+    """Words outside the first WORDS are exchanged one by one."""
     seen = []
     whole = B.form_classes
     monkeypatch.setattr(B, "form_classes", lambda *a: seen.append(a) or whole(*a))
-    monkeypatch.setattr(B, "HEAD", 8000)
-    B.lm_scores(table(spark, "/root/testdata/sf0.01", "documents").where("doc_id % 4 < 3"))
-    head, heads, tail = seen[0]
-    rare = set(zip(head.form[B.WORDS:], heads[1 + B.WORDS:], strict=True))
+    B.learn(table(spark, "/root/testdata/sf0.01", "documents").where("doc_id % 4 < 3"))
+    form, classes = seen[0]
+    rare = set(zip(form[1 + B.WORDS:].tolist(), classes[1 + B.WORDS:].tolist(), strict=True))
     assert len(rare) > 1.2 * len({f for f, _ in rare})
-    assert tail.select("form", "cls").distinct().count() > 1.2 * tail.select("form").distinct().count()
 
 
 def test_best_classes_are_exact():
@@ -134,7 +212,8 @@ def test_best_classes_are_exact():
         return g
 
     word, slot = np.concatenate([w, v, v[v == w]]), np.concatenate([cls[v], B.CLASSES + cls[w], np.full((v == w).sum(), B.SELF)])
-    word, slot, n = B._summed(word, slot, np.ones(len(word), np.int64))
+    key, n = np.unique(word * B.SLOTS + slot, return_counts=True)
+    word, slot = key // B.SLOTS, key % B.SLOTS
     best = B.best_classes(table_of(cls), cls, word, slot, n)
     assert best[0] == 0
     for u in range(1, 60):
