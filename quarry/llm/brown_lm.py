@@ -65,11 +65,11 @@ SWEEPS = 8
 BLOCK_UNITS = 256
 FAN = 64  # partial count tables summed in one task
 ADD = 0.1
-CHUNK = 8 << 20  # bytes of text
+CHUNK = 4 << 20  # bytes of text
 BUCKET_BITS, ENTRIES = 8, 1 << 20  # buckets of word hashes: at least, and words of text for one
 POWERS = 48  # of two, of a word's count
-BLOCK_TOKENS = 1 << 20
-PAIRS = 3 << 20  # distinct pairs of neighbours counted before they are sent
+BLOCK_TOKENS = 1 << 19
+PAIRS = 3 << 19  # distinct pairs of neighbours counted before they are sent
 SLICE = 1 << 14  # words clustered at once
 MOST_WORDS = 1 << 30
 SETTLED = 1e-3  # gain of two sweeps, of the likelihood, under which they end
