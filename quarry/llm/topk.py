@@ -19,7 +19,8 @@ a final ranking by query.
 Defined cases: vectors that are null or hold null or non-finite components,
 and rows without a vec_id, take no part; repeated rows count once; vectors
 are compared with those of the same length only; fewer than k others give
-fewer rows.
+fewer rows. Scores are exact up to 64 bits; a returned score beyond that, or a
+component (as an integer) of 2**62 and more, ends the job with an error.
 """
 
 from __future__ import annotations
@@ -80,18 +81,30 @@ def block_top(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarr
             low = ((a[i] - b[j]) ** 2).sum(axis=1)
             gone = (q2[i] + x2[j] + slack[i, j] - low) / 2 < floor[i]
             alive[i[gone], j[gone]] = False
-    if alive.mean() > DENSE:
-        score = (qf @ xf.T).round().astype(np.int64)
-        i, j = np.nonzero(alive)
-        s = score[i, j]
-    else:
-        i, j = np.nonzero(alive)
-        s = np.einsum("nd,nd->n", q[i], x[j])
+    i, j = np.nonzero(alive)
+    s = inner(q, x, i, j, alive.mean() > DENSE)
     order = np.lexsort((ids[j], -s, i))
     i, j, s = i[order], j[order], s[order]
     place = np.arange(len(i)) - np.searchsorted(i, i)
     keep = place < k
-    return i[keep], j[keep], s[keep]
+    i, j, s = i[keep], j[keep], s[keep]
+    if s.dtype == object:
+        if any(abs(v) >= 1 << 63 for v in s):
+            raise OverflowError("an inner product does not fit 64 bits")
+        s = s.astype(np.int64)
+    return i, j, s
+
+
+def inner(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray, dense: bool) -> np.ndarray:
+    """Exact inner products of the rows q[i] and x[j]; ``dense``: most pairs are
+    asked for. int64, or Python integers where 64 bits may not do."""
+    bound = q.shape[1] * int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0))
+    if bound < 1 << 53 and dense:  # every partial sum is a whole double
+        return (q.astype(np.float64) @ x.astype(np.float64).T)[i, j].astype(np.int64)
+    if bound < 1 << 63:
+        return (q @ x.T)[i, j] if dense else np.einsum("nd,nd->n", q[i], x[j])
+    a, b = q.astype(object), x.astype(object)
+    return np.array([sum((a[m] * b[n]).tolist()) for m, n in zip(i.tolist(), j.tolist(), strict=True)] or [0], object)[: len(i)]
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
@@ -99,7 +112,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame
     product for every row whose vec_id is divisible by ``every``."""
     fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
-    whole = F.transform("embedding", lambda v: F.floor(v.cast("double") * 256).cast("long"))
+    scaled = lambda v: v.cast("double") * 256
+    too_large = F.raise_error(F.lit("a component does not fit 63 bits")).cast("long")
+    whole = F.transform("embedding", lambda v: F.when(F.abs(scaled(v)) < float(1 << 62), F.floor(scaled(v)).cast("long")).otherwise(too_large))
     rows = written(usable.select("vec_id", whole.alias("v")).distinct().select("vec_id", "v", F.size("v").alias("dim")), "vectors")
     n = rows.count()
     g, h = max(1, -(-n // DATA_BLOCK)), max(1, -(-n // (every * QUERY_BLOCK)))

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -58,6 +59,25 @@ def test_bounds_lose_nothing(dim, nq, nx, seed, width):
         assert [(-t, b) for t, b in zip(s[i == a].tolist(), j[i == a].tolist(), strict=True)] == others
 
 
+@pytest.mark.parametrize("far", [0, 1])
+def test_scores_near_64_bits(spark, far):
+    """With most pairs surviving, and with few."""
+    rng = np.random.default_rng(3)
+    v = rng.uniform(0.98e6, 1e6, (60, 64))
+    if far:
+        v[30:] *= rng.uniform(0, 1e-3, (30, 1))
+    rows = [(i, np.float32(r).tolist()) for i, r in enumerate(v)]
+    want = brute(rows)
+    assert max(r[3] for r in want) > 1 << 61 and got(spark, rows) == want
+    q = np.array([[1 << 31, 1 << 31]] * 2, np.int64)
+    with pytest.raises(OverflowError):
+        topk.block_top(np.arange(2), q, np.arange(2, 4), q)
+    x = np.array([[1 << 31, -(1 << 31)], [1, 1]], np.int64)  # the sum fits, the bound does not
+    assert topk.block_top(np.arange(1), q[:1], np.arange(2, 4), x)[2].tolist() == [1 << 32, 0]
+    with pytest.raises(Exception, match="63 bits"):
+        got(spark, [(50, [1e30]), (1, [1.0])])
+
+
 def test_lower_bounds_grow_with_resolution():
     rng = np.random.default_rng(0)
     q, x = rng.normal(size=(20, 64)), rng.normal(size=(30, 64))
