@@ -58,7 +58,7 @@ def read_text_columns(
             missing = sorted(set(wanted) - set(names))
             if missing or len(set(names)) < len(names):
                 raise ValueError(f"{path}: no column {missing}" if missing else f"{path}: a column name comes twice")
-        if multiline and quote == '"' and (blocks if blocks is not None else _larger_than_a_task(spark, path)):
+        if multiline and quote == '"' and (blocks if blocks is not None else larger_than_a_task(spark, path)):
             by_blocks = _blocks(spark, path, names, header)
             if by_blocks is not None:
                 return by_blocks.select(*[F.col(f"`{n}`") for n in wanted], CORRUPT)
@@ -80,7 +80,8 @@ def read_text_columns(
     return _without_tokens(df, null_values)
 
 
-def _larger_than_a_task(spark: SparkSession, path: str) -> bool:
+def larger_than_a_task(spark: SparkSession, path: str) -> bool:
+    """Whether a file at ``path`` is larger than what a task reads at most."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
     most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))

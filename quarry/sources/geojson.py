@@ -22,17 +22,25 @@ from pyspark.sql import types as T
 
 from quarry.functions import epoch_millis_to_ntz, safe_index
 from quarry.schemas import GEOJSON_COLLECTION, QUAKE_EVENT
+from quarry.sources import json_blocks
+from quarry.sources.delimited import larger_than_a_task
 
 FEATURE = GEOJSON_COLLECTION["features"].dataType.elementType
 CORRUPT = "_corrupt_record"
 FEATURE_LINE = T.StructType(FEATURE.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def read_features(spark: SparkSession, paths: str | Sequence[str], sequence: bool = False) -> DataFrame:
+def read_features(spark: SparkSession, paths: str | Sequence[str], sequence: bool = False, blocks: bool | None = None) -> DataFrame:
     """Features of collection files (``sequence=False``: one JSON object
-    per file, unsplittable) or of line-delimited feature files
-    (``sequence=True``: one feature per line, split across tasks)."""
+    per file) or of line-delimited feature files (``sequence=True``: one
+    feature per line, split across tasks). ``blocks`` tells whether collections
+    are read by many tasks each (if not given: where one is larger than a
+    task's share, ``spark.sql.files.maxPartitionBytes``); the rows are the same."""
     p = paths if isinstance(paths, str) else list(paths)
+    listed = [p] if isinstance(p, str) else p
+    if not sequence and (blocks if blocks is not None else any(larger_than_a_task(spark, x) for x in listed)):
+        found = json_blocks.read_objects(spark, listed, "features")
+        return found.select(F.from_json("value", FEATURE, {"mode": "FAILFAST"}).alias("f"), F.lit(None).cast("string").alias(CORRUPT))
     if sequence:
         return feature_lines(spark.read.schema(FEATURE_LINE).option("columnNameOfCorruptRecord", CORRUPT).json(p))
     coll = spark.read.schema(GEOJSON_COLLECTION).option("multiLine", True).option("mode", "FAILFAST").json(p)
