@@ -120,29 +120,33 @@ def record(schema: str, *rows: tuple) -> pa.RecordBatch:
 LOCAL = "chunk long, ids binary, known binary, held binary, sizes binary, codes binary, hashes binary, counts binary, forms binary"
 
 
-def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _local(most: int):
     """Chunks with their own word numbers (1 + place among the chunk's hashes; 0: an end)."""
-    number = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        for rows, raw, at in text_blocks(batch, most=CHUNK):
-            w = W.scan(raw, at)
-            u, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-            some = slice(rows.start, rows.stop)
-            ids = batch.column(0).slice(some.start, some.stop - some.start)
-            held = batch.column(1).slice(some.start, some.stop - some.start).to_numpy(zero_copy_only=False)
-            counts = np.bincount(back[~np.repeat(held, w.counts())], minlength=len(u)).astype(np.uint32)
-            codes = np.insert((back + 1).astype(np.uint32), w.first[1:], 0)
-            yield record(LOCAL, (
-                number, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8),
-                held.astype(np.uint8), (w.counts() + 1).astype(np.uint32), codes, u, counts, forms(raw, w, first).astype(np.uint16),
-            ))
-            number += 1
-            del w, u, first, back, counts, codes, raw, at
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for rows, raw, at in text_blocks(batch, most=most):
+                w = W.scan(raw, at)
+                u, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
+                some = slice(rows.start, rows.stop)
+                ids = batch.column(0).slice(some.start, some.stop - some.start)
+                held = batch.column(1).slice(some.start, some.stop - some.start).to_numpy(zero_copy_only=False)
+                counts = np.bincount(back[~np.repeat(held, w.counts())], minlength=len(u)).astype(np.uint32)
+                codes = np.insert((back + 1).astype(np.uint32), w.first[1:], 0)
+                yield record(LOCAL, (
+                    number, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8),
+                    held.astype(np.uint8), (w.counts() + 1).astype(np.uint32), codes, u, counts, forms(raw, w, first).astype(np.uint16),
+                ))
+                number += 1
+                del w, u, first, back, counts, codes, raw, at
+                release()
+            del batch
             release()
-        del batch
-        release()
+
+    return run
 
 
 ASKED = "bucket int, chunk long, hashes binary, counts binary, forms binary"
@@ -650,7 +654,7 @@ class Model(NamedTuple):
 def learn(docs: DataFrame) -> Model:
     """The model of the training rows of ``docs`` (doc_id, text)."""
     rows = docs.select("doc_id", held_out().alias("held"), "text")
-    local = written(rows.mapInArrow(_local, LOCAL), "chunks", ROW_GROUPS)
+    local = written(rows.mapInArrow(_local(CHUNK), LOCAL), "chunks", ROW_GROUPS)
     ends, tokens = 0, 0
     for r in local.select("held", "sizes").mapInArrow(_sizes, "ends long, tokens long").groupBy().agg(F.sum("ends").alias("ends"), F.sum("tokens").alias("tokens")).collect():
         ends, tokens = int(r["ends"] or 0), int(r["tokens"] or 0)
