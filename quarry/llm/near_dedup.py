@@ -8,7 +8,8 @@ was not empty from the start, so two sets agree in a filled bin with the
 probability of their Jaccard similarity. ``ROWS`` consecutive bins form a
 band; equal bands put two sets into one bucket.
 
-Equal sets are one class from the start and are never expanded into pairs.
+Equal sets are one class from the start and are never expanded into pairs;
+a class is named by its fingerprint, whatever the ids of its rows.
 Of a bucket's classes, the one that is met most often in buckets is the
 centre; the candidates are the star of the others around it. Candidates are
 confirmed on the full sets. What a star cannot decide - two classes of one
@@ -22,8 +23,8 @@ At similarity 0.85 a pair misses all 32 bands of 7 bins with probability
 
 Defined cases: null or wordless texts have an empty set, link with nothing
 and are their own component; a null doc_id gets a null component and kept
-flag and takes no part; repeated rows are copies like others (rows that
-share a doc_id have one verdict each, by their own text).
+flag and takes no part; repeated rows are copies like others; rows that
+share a doc_id have one verdict each, by their own text.
 """
 
 from __future__ import annotations
@@ -60,6 +61,14 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, width: int = SHINGLE) -> tuple
     return distinct_sets(h, row, len(at) - 1)
 
 
+def fingerprints(sets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over the hashes of each set: 128 bits that name it."""
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (sets, W.mix(sets))]
+    s1, s2 = ((x[ends[1:]] - x[ends[:-1]]).view(np.int64) for x in sums)
+    return s1, s2
+
+
 def sketch(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Densified one-permutation sketch, one row of BINS hashes for each
     non-empty set (``sets`` sorted within each)."""
@@ -98,16 +107,14 @@ def _sketches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for rows, raw, at in text_blocks(batch):
         sets, counts = shingle_sets(raw, at)
         some = counts > 0
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (sets, W.mix(sets))]
-        s1, s2 = (x[ends[1:]] - x[ends[:-1]] for x in sums)
+        s1, s2 = fingerprints(sets, counts)
         keys = band_keys(sketch(sets, counts[some])) if some.any() else np.zeros((0, BANDS), np.uint64)
         yield pa.RecordBatch.from_arrays(
             [
                 ids.slice(rows.start, rows.stop - rows.start),
                 pa.array(counts, pa.int64()),
-                pa.array(s1.view(np.int64)),
-                pa.array(s2.view(np.int64)),
+                pa.array(s1),
+                pa.array(s2),
                 lists(keys.ravel().view(np.int64), np.where(some, BANDS, 0), pa.int64()),
             ],
             names=["doc_id", "n_shingles", "s1", "s2", "keys"],
@@ -118,8 +125,16 @@ def _set_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     ids = batch.column(batch.schema.get_field_index("doc_id"))
     for rows, raw, at in text_blocks(batch, most=1 << 20):
         sets, counts = shingle_sets(raw, at)
+        s1, s2 = fingerprints(sets, counts)
         yield pa.RecordBatch.from_arrays(
-            [ids.slice(rows.start, rows.stop - rows.start), lists(sets.view(np.int64), counts, pa.int64())], names=["cid", "shingles"]
+            [
+                ids.slice(rows.start, rows.stop - rows.start),
+                pa.array(counts, pa.int64()),
+                pa.array(s1),
+                pa.array(s2),
+                lists(sets.view(np.int64), counts, pa.int64()),
+            ],
+            names=["doc_id", "n_shingles", "s1", "s2", "shingles"],
         )
 
 
@@ -150,7 +165,15 @@ def _around_centres(open_: DataFrame, sets: DataFrame) -> DataFrame:
     pair that is left shares one of the rarest elements of D: of x's, the
     first 15 / 85 * |x| + 1 (a prefix filter, exact). The first element that
     they share, rarest first, also tells how many more they can share: what
-    stands behind it in both (a positional filter, exact)."""
+    stands behind it in both (a positional filter, exact).
+
+    That filter comes apart into a number for each side: with p elements up to
+    and with the shared one, the pair needs v(x) + v(y) <= 0 for
+    v = p - 1 - 15 / 185 * n. So only rows with v <= 0 are one side of the
+    join, and the other side keeps the rows that the lowest v of their
+    (centre, element) can make up for. Pages that share most of their text
+    but are no near copies have their own elements first, hence v > 0, and
+    are not joined on what all of them share."""
     sr = sets.select(F.col("cid").alias("centre"), F.col("shingles").alias("sr"))
     diff = (
         open_.join(sets, "cid")
@@ -162,18 +185,25 @@ def _around_centres(open_: DataFrame, sets: DataFrame) -> DataFrame:
     one = Window.partitionBy("centre", "cid")
     place = F.col("size") - F.count("*").over(one) + F.row_number().over(one.orderBy("f", "e"))
     allowed = F.floor(F.col("n") * (100 - PERCENT) / PERCENT) + 1
+    excess = (F.col("place") - 1) * (100 + PERCENT) - F.col("n") * (100 - PERCENT)  # v, in whole numbers
     prefix = written(
-        elements.join(often, ["centre", "e"]).withColumn("place", place).where(F.col("place") <= allowed).select("centre", "e", "cid", "comp", "n", "size", "place"),
+        elements.join(often, ["centre", "e"])
+        .withColumn("place", place)
+        .where(F.col("place") <= allowed)
+        .select("centre", "e", "cid", "comp", "n", "size", "place", excess.alias("v")),
         "prefixes",
     )
-    x, y = prefix.alias("x"), prefix.alias("y")
+    lowest = prefix.where("v <= 0").groupBy("centre", "e").agg(F.min("v").alias("low"))
+    able = written(prefix.join(lowest, ["centre", "e"]).where("v + low <= 0").drop("low"), "able")
+    x, y = able.where("v <= 0").alias("x"), able.alias("y")
     same = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.e") == F.col("y.e"))
+    once = (F.col("y.v") > 0) | (F.col("x.cid") < F.col("y.cid"))  # of two rows that both stand as x
     behind = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     apart = (F.col("x.size") + F.col("y.size") - 2 * (1 + behind)) * (100 + PERCENT)  # |x ^ y| at least
     return (
-        x.join(y, same & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.comp") != F.col("y.comp")))
+        x.join(y, same & once & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.v") + F.col("y.v") <= 0))
         .where(_sizes_allow("x.n", "y.n") & (apart <= (F.col("x.n") + F.col("y.n")) * (100 - PERCENT)))
-        .select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
+        .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
         .distinct()
     )
 
@@ -186,9 +216,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         arrow_map(docs, _sketches, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "sketches"
     )
     named = sketched.where("doc_id is not null and n_shingles > 0")
-    classes = written(
-        named.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("cid"), F.any_value("keys").alias("keys")), "classes"
-    )
+    groups = named.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.any_value("keys").alias("keys"))
+    classes = written(groups.withColumn("cid", F.monotonically_increasing_id()), "classes")  # numbers stand once they are written
     bands = classes.select("cid", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     members = written(bands.join(shared, "key"), "members")
@@ -202,9 +231,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spokes = written(members.join(centres, "key").where("cid <> centre"), "spokes")
     stars = spokes.where(_sizes_allow("n", "nc")).select(F.col("cid").alias("a"), F.col("centre").alias("b")).distinct()
 
-    needed = checked_broadcast(written(members.select(F.col("cid").alias("doc_id")).distinct(), "needed"))
-    one_each = docs.join(needed, "doc_id", "left_semi")
-    sets = written(arrow_map(one_each, _set_rows, "cid long, shingles array<long>").dropDuplicates(["cid"]), "sets")
+    met_once = members.select("cid").distinct()
+    needed = checked_broadcast(written(classes.drop("keys").join(met_once, "cid", "left_semi"), "needed"))
+    one_each = docs.join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
+    scanned = arrow_map(one_each, _set_rows, "doc_id long, n_shingles long, s1 long, s2 long, shingles array<long>")
+    by_class = scanned.join(needed, ["doc_id", "n_shingles", "s1", "s2"]).select("cid", "shingles")
+    sets = written(by_class.dropDuplicates(["cid"]), "sets")
 
     confirmed = written(_confirm(stars, sets), "confirmed")
     links = written(_links(confirmed), "links")
@@ -218,9 +250,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = written(_links(_confirm(pairs, sets)), "links")
     found = first if more.isEmpty() else components(links.unionAll(more))
 
-    verdicts = classes.drop("keys").join(found.select(F.col("node").alias("cid"), "label"), "cid", "left").select(
-        "s1", "s2", "n_shingles", F.coalesce("label", "cid").alias("component_id")
-    )
+    grouped = classes.drop("keys").join(found.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    smallest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    verdicts = grouped.join(smallest, "label").select("s1", "s2", "n_shingles", "component_id")
     full = named.select("doc_id", "s1", "s2", "n_shingles").join(verdicts, ["s1", "s2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
     rest = sketched.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.unionAll(rest).withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from quarry.llm import near_dedup
 from quarry.llm.components import components
 from quarry.llm.near_dedup import near_duplicates
 from quarry.llm.tables import table
@@ -73,6 +74,34 @@ def test_defined_cases(spark):
     ])
 
 
+def test_one_id_on_two_texts(spark):
+    """Rows of one id stand for their own text each, and neither loses its links."""
+    a, b = ([f"{k}{i}" for i in range(120)] for k in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (5, " ".join(a[:-3])), (6, " ".join(b[:-3])), (7, " ".join(b)), (7, "x y z"), (8, "x y z")]
+    got = Counter(tuple(r) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id", "kept").collect())
+    assert got == Counter([(1, 116, 1, True), (1, 116, 1, True), (5, 113, 1, False), (6, 113, 1, False), (7, 116, 1, False), (7, 1, 7, True), (8, 1, 7, False)])
+
+
+def test_pages_of_one_frame_are_not_paired(spark, monkeypatch):
+    """Pages that share 84 % pairwise, just under the threshold: no link, and
+    no pair from what all of them share."""
+    seen = []
+    around = near_dedup._around_centres
+
+    def counted(open_, sets):
+        pairs = around(open_, sets)
+        seen.append((open_.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_around_centres", counted)
+    frame = [f"w{i}" for i in range(500)]
+    rows = [(k, " ".join(frame + [f"p{k}x{j}" for j in range(48)])) for k in range(300)]
+    near = [(1000 + k, " ".join(frame + [f"p{k}x{j}" for j in range(40)])) for k in range(0, 300, 50)]  # each near one page
+    check(spark, rows + near)
+    assert seen and seen[0][0] > 100
+    assert seen[0][1] <= 10 * seen[0][0]
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
