@@ -4,9 +4,12 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet to the shared folder and read again as the next stage's
 ``docs``. All but the last stage return the columns of ``documents``.
 
-A document is named by its doc_id: rows that share one go together if none
-of them stays. Rows without a doc_id are judged for quality; no later stage
-takes them out.
+The filters take out rows, not ids: a stage numbers its input's rows and
+judges each row by its own text, so rows without a doc_id, and rows that
+share one, are copies or contaminated like others. Of a group of near copies
+the row with the smallest doc_id stays (a row without one only if no row of
+the group has one), once. Texts without words are no copies of each other,
+but of such rows that share a doc_id one stays.
 
 ORACLE_SQL is None: the classifier and the lattice search are not SQL; the
 tests hold the pipeline against a brute-force version instead.
@@ -28,10 +31,20 @@ from quarry.llm.tables import checked_broadcast, table, tokenizer_file, written
 ORACLE_SQL = None
 
 
-def without(docs: DataFrame, verdicts: DataFrame, stays: str) -> DataFrame:
-    """``docs`` without the documents of which no row stays by ``verdicts``."""
-    gone = verdicts.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.expr(stays)).alias("stays")).where("not stays").select("doc_id")
-    return docs.join(checked_broadcast(written(gone, "gone")), "doc_id", "left_anti").select(docs.columns)
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, d): each row of ``docs`` as ``d``, with a number of its own that
+    stands, as the table is written."""
+    return written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("d")), "rows")
+
+
+def texts(rows: DataFrame) -> DataFrame:
+    """The row numbers as doc_id, with their texts."""
+    return rows.select(F.col("row").alias("doc_id"), F.col("d.text").alias("text"))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents of ``rows`` whose ``row`` is not in ``gone``."""
+    return rows.join(checked_broadcast(written(gone, "gone")), "row", "left_anti").select("d.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,19 +53,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays;
-    of repeated rows (id and text equal) one."""
-    kept = without(docs, near_duplicates(docs), "kept")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    """One row of each group of near copies."""
+    rows = numbered(docs)
+    found = near_duplicates(texts(rows)).select(F.col("doc_id").alias("row"), "n_shingles", "component_id")
+    placed = written(found.join(rows.select("row", F.col("d.doc_id").alias("doc_id")), "row"), "placed")
+    wordless = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    group = [F.when(~wordless, F.col("component_id")).alias("copies"), F.when(wordless, F.col("doc_id")).alias("repeats")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
+    stays = placed.groupBy(*group).agg(first.alias("first")).select("first.row")
+    return without(rows, placed.select("row").join(stays, "row", "left_anti"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by ``benchmark``."""
-    return without(docs, contamination(docs, table(spark, sf_dir, "benchmark")), "not contaminated")
+    rows = numbered(docs)
+    verdicts = contamination(texts(rows), table(spark, sf_dir, "benchmark"))
+    return without(rows, verdicts.where("contaminated").select(F.col("doc_id").alias("row")))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
