@@ -1,7 +1,6 @@
 """The stages in order, each against what a plain reading of its rule keeps."""
 
 import corpus_pipeline as P
-from pyspark.sql import functions as F
 
 from quarry.llm import sp_viterbi
 from quarry.llm.tables import table, tokenizer_file
@@ -36,9 +35,25 @@ def test_stages(spark):
     assert sorted(map(str, P.run(spark, SF).collect())) == sorted(map(str, ids))
 
 
-def test_repeated_rows_and_null_ids(spark):
-    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "A b c d e f g"), (3, "x"), (3, "y"), (None, "a b c d e f g"), (None, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(map(str, (tuple(r) for r in P.near_dedup(spark, df, SF).collect())))
-    assert got == sorted(map(str, [rows[0], rows[3], rows[4], rows[5], rows[6]]))
-    assert P.without(df, df.select("doc_id", F.lit(True).alias("kept")), "kept").count() == len(rows)
+def test_rows_and_not_ids_are_taken_out(spark):
+    """Copies without an id or under a shared one go; what is no copy stays."""
+    t = "a b c d e f g"
+    rows = [(1, t, 0), (1, t, 0), (2, "A b c d e f g", 0), (3, "x", 0), (3, "y", 0), (None, t, 0), (None, None, 0), (None, None, 0), (4, "", 0), (4, "", 0)]
+    rows += [(3, t, 0), (None, "lone p q r s t", 0), (None, "lone p q r s t", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int")  # an extra column of a clashing name
+    out = P.near_dedup(spark, df, SF)
+    assert out.columns == df.columns
+    got = sorted(map(str, (tuple(r) for r in out.collect())))
+    assert got == sorted(map(str, [(1, t, 0), (3, "x", 0), (3, "y", 0), (None, None, 0), (None, None, 0), (4, "", 0), (None, "lone p q r s t", 0)]))
+
+
+def test_contaminated_rows_without_a_clean_id_go(spark):
+    item = next(r.text for r in table(spark, SF, "benchmark").collect() if len((r.text or "").split()) > 15)
+    rows = [(1, item), (1, "clean words of one row"), (None, item), (None, "clean words without an id"), (2, None)]
+    got = sorted(map(str, (tuple(r) for r in P.decontaminate(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect())))
+    assert got == sorted(map(str, [rows[1], rows[3], rows[4]]))
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert P.near_dedup(spark, df, SF).count() == 0 and P.decontaminate(spark, df, SF).count() == 0
