@@ -121,6 +121,7 @@ def state_rig_count(silver_rigs: DataFrame) -> DataFrame:
         per_county,
         {"peak_rig_rank": "peak_rigs", "total_rig_rank": "total_rigs", "avg_rig_rank": "avg_daily_rigs"},
         keys=["state", "county"],
+        large=None,
     )
     return ranked.select(
         "state", "county", "total_rigs", "active_days", "avg_daily_rigs", "peak_rigs",
@@ -155,6 +156,7 @@ def earthquake_ranking(
             "rank_by_significant_quakes": "significant_quakes",
         },
         keys=["state", "county"],
+        large=None,
     )
     return ranked.select(
         "state", "county", "total_earthquakes", "active_days",

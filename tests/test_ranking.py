@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
+from quarry.operators import ranking
 from quarry.operators.ranking import add_rank, add_ranks
 
 
@@ -73,3 +76,25 @@ def test_building_a_mart_starts_no_job_of_its_own(spark):
         assert not sc.statusTracker().getJobIdsForGroup("build")
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ranks_together_equal_the_windows(spark):
+    """Ties, NULLs, NaN, a hot value and metrics of different types."""
+    nan = float("nan")
+    rows = [(i, None if i % 11 == 0 else i % 7, nan if i % 13 == 0 else (None if i % 5 == 0 else (i * i) % 17 / 4), "hot" if i % 3 else f"s{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, a bigint, b double, c string")
+    ranks = {"ra": "a", "rb": "b", "rc": "c"}
+    for how in ({}, {"descending": False, "nulls_first": False}):
+        want = sorted((r.k, r.ra, r.rb, r.rc) for r in add_ranks(df, ranks, keys=["k"], **how).collect())
+        got = add_ranks(df, ranks, keys=["k"], large=True, rows_per_task=20, **how)
+        assert got.columns == [*df.columns, *ranks] and "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.k, r.ra, r.rb, r.rc) for r in got.collect()) == want
+
+
+def test_group_count_decides(spark, monkeypatch):
+    df = spark.range(50).select("id", (F.col("id") % 7).alias("x"))
+    assert ranking.checked_groups(df, rows_per_task=10) == (df, False)  # little is read: no count
+    monkeypatch.setattr(ranking, "WINDOW_BYTES", 0)
+    assert ranking.checked_groups(df, rows_per_task=10)[1] and not ranking.checked_groups(df, rows_per_task=50)[1]
+    got = add_ranks(df, {"r": "x"}, keys=["id"], large=None, rows_per_task=10)
+    assert sorted(map(str, got.collect())) == sorted(map(str, add_ranks(df, {"r": "x"}, keys=["id"]).collect()))
