@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table broadcast when its size is checked.
+# Largest lookup table broadcast by a hint.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-UNKNOWN_BYTES = 1 << 62  # Spark's estimate for rows without one (given by the driver) is above
+UNKNOWN_BYTES = 1 << 62  # taken for a plan without an estimate
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -24,7 +24,20 @@ def estimated_bytes(df: DataFrame) -> int:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
         return int(str(stats.sizeInBytes()))
     except Exception:  # no plan statistics: not known to be small
-        return UNKNOWN_BYTES - 1
+        return UNKNOWN_BYTES
+
+
+def proven_rows(df: DataFrame) -> int | None:
+    """Catalyst's bound on the number of rows (rows given by the driver, limits,
+    global aggregates); None where the plan has none. No job is run."""
+    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return int(bound.get()) if bound.isDefined() else None
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Catalyst's sizes of the tables that ``df`` reads, added up (no job)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
 
 
 def bounded_broadcast(
@@ -32,18 +45,17 @@ def bounded_broadcast(
     max_bytes: int = BROADCAST_MAX_BYTES,
     max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Broadcast ``df`` only when its size is proven small.
+    """``df`` with a broadcast hint only where its plan proves it small.
 
-    Two checks: the planner's size estimate against ``max_bytes`` (no
-    job; rules out large tables at once, except rows given by the driver,
-    which have no estimate), then an exact row bound by counting at most
-    ``max_rows + 1`` rows (a limit, not a full scan).
-    Anything larger is returned unhinted and joined by shuffle.
+    Building the join starts no job. A plan with a bound on its rows (the
+    seed, other rows of the driver, limits) gets the hint if that bound and
+    the size estimate are low. Any other lookup goes without a hint: the
+    planner broadcasts a file below the session's
+    ``spark.sql.autoBroadcastJoinThreshold``, adaptive execution one that
+    turns out to be below it, and everything else is joined by shuffle.
     """
-    size = estimated_bytes(df)
-    if max_bytes < size < UNKNOWN_BYTES:
-        return df
-    if df.limit(max_rows + 1).count() > max_rows:
+    rows = proven_rows(df)
+    if rows is None or rows > max_rows or estimated_bytes(df) > max_bytes:
         return df
     return F.broadcast(df)
 
@@ -54,6 +66,6 @@ def lookup_join(
     on: Column | Sequence[str],
     how: str = "inner",
 ) -> DataFrame:
-    """Join a fact table to a lookup table, broadcast if its size is checked
-    to be small."""
+    """Join a fact table to a lookup table, broadcast if its plan, its files or
+    its size at run time say that it is small."""
     return facts.join(bounded_broadcast(lookup), on=on, how=how)

@@ -428,7 +428,7 @@ def q_safe_index(spark, d):
 def q_last_token(spark, d):
     c = A.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = A.table(spark, d, "nation").select("n_nationkey", "n_name")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    j = c.join(joins.bounded_broadcast(n), c.c_nationkey == n.n_nationkey)
     k = F.col("c_custkey") % 5
     text = (
         F.when(k == 0, F.col("c_name"))

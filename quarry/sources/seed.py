@@ -1,10 +1,12 @@
 """State lookup seed (S5): code -> full state name.
 
-A fixed 51-row table, so joins against it broadcast it without a count.
+A fixed 51-row table; as an Arrow table it is rows of the plan, whose number
+the planner knows, so joins broadcast it without a count.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.schemas import STATE_CODE
@@ -30,7 +32,8 @@ STATE_CODES: list[tuple[str, str]] = [
 
 def state_codes(spark: SparkSession) -> DataFrame:
     """The built-in lookup as a DataFrame."""
-    return spark.createDataFrame(STATE_CODES, STATE_CODE)
+    abbrev, full = zip(*STATE_CODES, strict=True)
+    return spark.createDataFrame(pa.table({"state_abbrev": pa.array(abbrev), "state_full": pa.array(full)}), STATE_CODE)
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import nearest as N
 from quarry.plans import gold
-from quarry.queries import silver_quakes, silver_rigs
+from quarry.queries import QUERIES, silver_quakes, silver_rigs
 from quarry.sources import adapters as A
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +45,18 @@ def test_nearest_search_does_not_move_events(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "SortMergeJoin" not in p
     orders = [i for i, ln in enumerate(p.splitlines()) if "orders.parquet" in ln]
     assert orders and not any("Exchange hashpartitioning" in ln and "o_orderkey" in ln for ln in p.splitlines())
+
+
+def test_marts_are_built_without_a_job(spark):
+    """Lookups are sized by statistics, ranks are lazy: once the table schemas
+    are known, building a mart starts no job."""
+    names = ["silver_rig_counts", "silver_earthquake_with_location", "state_rig_count", "gold_agg_rig_earthquake", "lookup_join"]
+    for name in names:
+        QUERIES[name](spark, SF)
+    spark.sparkContext.setJobGroup("built", "building")
+    try:
+        for name in names:
+            QUERIES[name](spark, SF)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("built")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
