@@ -18,9 +18,11 @@ are dense and however far away the event is.
   tree is sent to the tasks and events are searched where they stand: two
   columns through Arrow, no shuffle, no checkpoint, one row in, one out.
 * More places are cut into tiles of about that many. Each distinct event
-  coordinate is sent to the tiles that may hold its nearest place, by the
-  tiles' bounding boxes (mostly one), every tile is searched with the same
-  tree in salted groups, and the best of the tiles is joined back to the
+  coordinate is sent to the tiles that may hold its nearest place (mostly
+  one), found by a tree over the tiles' bounding boxes; the nearest of a few
+  places of each tile bounds how far away that can be. Every tile is searched
+  with the same tree of its places; only tiles that many coordinates ask for
+  are copied, in salted groups. The best of the tiles is joined back to the
   events on the coordinates. Both ways give the same rows.
 """
 
@@ -34,7 +36,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import bounded_broadcast
 from quarry.session import ensure_checkpoint_dir
 
 # Mean Earth radius (km) and degrees-to-radians factor.
@@ -48,6 +49,8 @@ KM_DECIMALS = 6
 TREE_PLACES = 200_000  # places in one tree
 LEAF_PLACES = 16
 EVENTS_AT_ONCE = 4096
+LEAF_BOXES = 8
+TILE_SAMPLE = 64  # places of a tile, about, that bound the distance while points are routed
 SALT_EVENTS = 500_000  # distinct event coordinates per salt of a tile
 _SLACK = 1e-9  # of a chord on the unit sphere: about 6 mm, more than rounding
 
@@ -93,30 +96,82 @@ def _box_distance2(q: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return (gap * gap).sum(axis=-1)
 
 
+def _halves(lo: np.ndarray, hi: np.ndarray, leaf: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Balanced tree over boxes, halved along the longest axis: (depth, order
+    of the boxes, begin and end of each node in it, the nodes' own boxes).
+    The children of node k are 2k + 1 and 2k + 2."""
+    middle = (lo + hi) / 2
+    depth = max(0, math.ceil(math.log2(max(1, len(lo)) / leaf)))
+    n_nodes = (2 << depth) - 1
+    order = np.arange(len(lo))
+    node_lo, node_hi = np.full((n_nodes, 3), np.inf), np.full((n_nodes, 3), -np.inf)
+    begin, end = np.zeros(n_nodes, np.int64), np.zeros(n_nodes, np.int64)
+    end[0] = len(lo)
+    for node in range(n_nodes):  # parents come before their children
+        a, b = begin[node], end[node]
+        if b > a:
+            inside = order[a:b]
+            node_lo[node], node_hi[node] = lo[inside].min(axis=0), hi[inside].max(axis=0)
+        if 2 * node + 2 < n_nodes:
+            mid = (a + b) // 2
+            if b - a > 1:
+                axis = int(np.argmax(node_hi[node] - node_lo[node]))
+                order[a:b] = inside[np.argpartition(middle[inside, axis], mid - a)]
+            begin[2 * node + 1], end[2 * node + 1] = a, mid
+            begin[2 * node + 2], end[2 * node + 2] = mid, b
+    return depth, order, begin, end, node_lo, node_hi
+
+
+class BoxTree:
+    """Boxes of tiles that each hold a place, for routing points."""
+
+    def __init__(self, lo: np.ndarray, hi: np.ndarray):
+        self.box_lo, self.box_hi = lo, hi
+        self.depth, self.order, self.begin, self.end, self.lo, self.hi = _halves(lo, hi, LEAF_BOXES)
+        self.measured = 0  # boxes measured so far, for tests
+
+    def _far(self, q: np.ndarray, box: np.ndarray) -> np.ndarray:
+        return (np.maximum(np.abs(q - self.box_lo[box]), np.abs(q - self.box_hi[box])) ** 2).sum(axis=1)
+
+    def _boxes(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair, box) for all boxes of the leaves ``node``."""
+        n = self.end[node] - self.begin[node]
+        pair = np.repeat(np.arange(len(node)), n)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + self.begin[node][pair]
+        self.measured += len(pair)
+        return pair, self.order[at]
+
+    def route(self, q: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(point, box) where the box may hold the point's nearest place: it
+        begins no farther away than the nearest far corner of any box, and
+        than a place that is ``known`` to be that far away (squared)."""
+        node = np.zeros(len(q), np.int64)
+        for _ in range(self.depth):
+            left, right = 2 * node + 1, 2 * node + 2
+            nearer = _box_distance2(q, self.lo[left], self.hi[left]) <= _box_distance2(q, self.lo[right], self.hi[right])
+            node = np.where(nearer, left, right)
+        pair, box = self._boxes(node)
+        bound = np.full(len(q), np.inf) if known is None else known.copy()
+        np.minimum.at(bound, pair, self._far(q[pair], box))
+        point, node = np.arange(len(q)), np.zeros(len(q), np.int64)
+        for _ in range(self.depth):
+            point, node = np.concatenate([point, point]), np.concatenate([2 * node + 1, 2 * node + 2])
+            keep = _box_distance2(q[point], self.lo[node], self.hi[node]) <= bound[point]
+            point, node = point[keep], node[keep]
+        pair, box = self._boxes(node)
+        point = point[pair]
+        np.minimum.at(bound, point, self._far(q[point], box))
+        keep = _box_distance2(q[point], self.box_lo[box], self.box_hi[box]) <= bound[point]
+        return point[keep], box[keep]
+
+
 class PlaceTree:
     """Places in the order of their ids, for exact nearest search."""
 
     def __init__(self, lat: np.ndarray, lon: np.ndarray):
         self.lat, self.lon = lat, lon
         self.xyz = _unit(lat, lon)
-        self.depth = max(0, math.ceil(math.log2(max(1, len(lat)) / LEAF_PLACES)))
-        n_nodes = (2 << self.depth) - 1
-        self.order = np.arange(len(lat))
-        self.lo, self.hi = np.full((n_nodes, 3), np.inf), np.full((n_nodes, 3), -np.inf)
-        self.begin, self.end = np.zeros(n_nodes, np.int64), np.zeros(n_nodes, np.int64)
-        self.end[0] = len(lat)
-        for node in range(n_nodes):  # parents come before their children
-            a, b = self.begin[node], self.end[node]
-            if b > a:
-                points = self.xyz[self.order[a:b]]
-                self.lo[node], self.hi[node] = points.min(axis=0), points.max(axis=0)
-            if 2 * node + 2 < n_nodes:
-                mid = (a + b) // 2
-                if b - a > 1:
-                    axis = int(np.argmax(self.hi[node] - self.lo[node]))
-                    self.order[a:b] = self.order[a:b][np.argpartition(points[:, axis], mid - a)]
-                self.begin[2 * node + 1], self.end[2 * node + 1] = a, mid
-                self.begin[2 * node + 2], self.end[2 * node + 2] = mid, b
+        self.depth, self.order, self.begin, self.end, self.lo, self.hi = _halves(self.xyz, self.xyz, LEAF_PLACES)
         self.scored = 0  # places scored so far, for tests
 
     def _points(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +262,17 @@ def _tiles(places: DataFrame, tile_places: int) -> DataFrame:
     return banded.join(F.broadcast(bounds), "__band").withColumn("__tile", F.col("__band") * bands + below("__plon", F.col("__cuts"))).drop("__band", "__cuts")
 
 
-def _by_tiles(events: DataFrame, places: DataFrame, tile_places: int) -> DataFrame:
+def tile_salts(routed: DataFrame, salt_events: int) -> DataFrame:
+    """(__tile, __salts): in how many groups the coordinates of a tile are searched."""
+    return routed.groupBy("__tile").agg(F.ceil(F.count("*") / F.lit(salt_events)).cast("int").alias("__salts"))
+
+
+def salted_places(tiled: DataFrame, salts: DataFrame) -> DataFrame:
+    """The places of the tiles asked for, once for each of the tile's groups."""
+    return tiled.join(F.broadcast(salts), "__tile").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+
+
+def _by_tiles(events: DataFrame, places: DataFrame, tile_places: int, salt_events: int = SALT_EVENTS) -> DataFrame:
     """Like ``_by_tree`` for more places than one tree holds."""
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
@@ -218,25 +283,29 @@ def _by_tiles(events: DataFrame, places: DataFrame, tile_places: int) -> DataFra
         *[f(c).alias(n + a) for n, f in (("lo_", F.min), ("hi_", F.max)) for a, c in axes.items()]
     ).orderBy("__tile").toPandas()  # one row a tile
     lo, hi = (boxes[[f"{n}_{a}" for a in "xyz"]].to_numpy() for n in ("lo", "hi"))
-    sent = spark.sparkContext.broadcast((boxes["__tile"].to_numpy(), lo - _SLACK, hi + _SLACK))
+    every = max(1, tile_places // TILE_SAMPLE)
+    some = tiled.where(F.pmod(F.xxhash64("__plat", "__plon"), F.lit(every)) == 0).select("__plat", "__plon").toPandas()  # a few a tile; only bounds distances
+    near = PlaceTree(some["__plat"].to_numpy(float), some["__plon"].to_numpy(float))
+    sent = spark.sparkContext.broadcast((boxes["__tile"].to_numpy(), BoxTree(lo - _SLACK, hi + _SLACK), near))
 
     @F.pandas_udf("array<int>")
     def tiles_of(lat: pd.Series, lon: pd.Series) -> pd.Series:
-        tile, lo, hi = sent.value
+        tile, tree, near = sent.value
         out = []
         for a in range(0, len(lat), EVENTS_AT_ONCE):
-            q = _unit(lat[a: a + EVENTS_AT_ONCE].to_numpy(float), lon[a: a + EVENTS_AT_ONCE].to_numpy(float))
-            near = np.stack([_box_distance2(q, lo[k], hi[k]) for k in range(len(tile))], axis=1)
-            far = np.stack([(np.maximum(np.abs(q - lo[k]), np.abs(q - hi[k])) ** 2).sum(axis=1) for k in range(len(tile))], axis=1)
-            keep = near <= far.min(axis=1, keepdims=True)
-            out += [tile[row] for row in keep]
+            y, x = (v[a: a + EVENTS_AT_ONCE].to_numpy(float) for v in (lat, lon))
+            q, (place, _) = _unit(y, x), near.nearest(y, x)
+            known = (np.sqrt(((near.xyz[place] - q) ** 2).sum(axis=1)) + _SLACK) ** 2 if len(near.lat) else None
+            point, box = tree.route(q, known)
+            order = np.argsort(point, kind="stable")
+            out += np.split(tile[box[order]], np.searchsorted(point[order], np.arange(1, len(q))))
         return pd.Series(out)
 
     at = events.where(F.col("__elat").isNotNull() & F.col("__elon").isNotNull()).select("__elat", "__elon").distinct()
-    salts = max(1, math.ceil(at.count() / SALT_EVENTS))
-    salt = F.pmod(F.xxhash64("__elat", "__elon"), F.lit(salts)).cast("int")
-    asked = at.select("__elat", "__elon", F.explode(tiles_of("__elat", "__elon")).alias("__tile"), salt.alias("__salt"))
-    copies = tiled.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    routed = at.select("__elat", "__elon", F.explode(tiles_of("__elat", "__elon")).alias("__tile")).checkpoint(eager=True)
+    salts = tile_salts(routed, salt_events)  # one row a tile, like the boxes
+    asked = routed.join(F.broadcast(salts), "__tile").withColumn("__salt", F.pmod(F.xxhash64("__elat", "__elon"), F.col("__salts")).cast("int"))
+    copies = salted_places(tiled, salts)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by([("__pid", "ascending"), ("__plat", "ascending"), ("__plon", "ascending")])
@@ -274,13 +343,16 @@ def attach_nearest(
     known = events.columns
     ev = events.withColumns({"__elat": coordinate(event_lat, 90.0), "__elon": coordinate(event_lon, 180.0)})
     pl = _places(places, place_id, place_lat, place_lon)
-    rows = pl.orderBy("__pid", "__plat", "__plon").limit(tree_places + 1).toPandas()
-    found = _by_tree(ev, rows) if len(rows) <= tree_places else _by_tiles(ev, pl, tree_places)
+    rows = pl.limit(tree_places + 1).toPandas()
+    one_tree = len(rows) <= tree_places
+    found = _by_tree(ev, rows.sort_values(["__pid", "__plat", "__plon"])) if one_tree else _by_tiles(ev, pl, tree_places)
     lookup = pl
     if attributes:
         attrs = places.select(F.col(place_id).alias("__pid"), *[F.col(c).alias(o) for c, o in attributes.items()]).dropDuplicates(["__pid"])
-        lookup = pl.join(bounded_broadcast(attrs), "__pid", "left")
-    lookup = bounded_broadcast(lookup.withColumnsRenamed({"__plat": "__klat", "__plon": "__klon"}))
+        lookup = pl.join(attrs, "__pid", "left")
+    lookup = lookup.withColumnsRenamed({"__plat": "__klat", "__plon": "__klon"})
+    if one_tree:  # its rows are counted: at most ``tree_places``
+        lookup = F.broadcast(lookup)
     joined = found.join(lookup, (F.col("__at.lat") == F.col("__klat")) & (F.col("__at.lon") == F.col("__klon")), "left")
     km = km_units(haversine_km(F.col("__elat"), F.col("__elon"), F.col("__klat"), F.col("__klon"))).cast("double") / F.lit(10.0 ** KM_DECIMALS)
     return joined.select(*[F.col(f"`{c}`") for c in known], F.col("__pid").alias(place_id), *(attributes or {}).values(), km.alias("distance_km"))

@@ -3,7 +3,8 @@ import random
 
 import numpy as np
 
-from quarry.operators.nearest import EARTH_RADIUS_KM, PlaceTree, attach_nearest, locate, nearest_place
+from quarry.operators import nearest as N
+from quarry.operators.nearest import EARTH_RADIUS_KM, BoxTree, PlaceTree, attach_nearest, locate, nearest_place, salted_places
 
 
 def _hav(lat1, lon1, lat2, lon2):
@@ -140,6 +141,38 @@ def test_bad_coordinates_give_null(spark):
         assert _run(spark, events, [(1, 0.0, 0.0), (2, 80.0, 10.0)], tree_places=tree) == {1: None, 2: None, 3: None, 4: None, 5: None, 6: None, 7: 2}
 
 
+def test_routing_finds_every_box_that_may_matter():
+    rng = np.random.default_rng(8)
+    middle, half = rng.uniform(-1, 1, (700, 3)), rng.uniform(0, 0.05, (700, 3))
+    tree, q = BoxTree(middle - half, middle + half), rng.uniform(-1.2, 1.2, (300, 3))
+    near = (np.maximum(np.maximum(tree.box_lo - q[:, None], q[:, None] - tree.box_hi), 0) ** 2).sum(axis=2)
+    far = (np.maximum(np.abs(q[:, None] - tree.box_lo), np.abs(q[:, None] - tree.box_hi)) ** 2).sum(axis=2)
+    assert sorted(zip(*(x.tolist() for x in tree.route(q)), strict=True)) == [tuple(x) for x in np.argwhere(near <= far.min(axis=1, keepdims=True)).tolist()]
+    assert tree.measured < 0.5 * 300 * 700
+
+
+def test_only_hot_tiles_are_copied(spark, monkeypatch):
+    """Half of the coordinates lie in one tile: its places alone are copied."""
+    rng = random.Random(3)
+    places = [(i, rng.uniform(25, 49), rng.uniform(-125, -65)) for i in range(2000)]
+    events = [(i, rng.uniform(25, 49), rng.uniform(-125, -65)) for i in range(300)]
+    events += [(1000 + i, 40.0 + rng.random() * 0.01, -90.0 + rng.random() * 0.01) for i in range(300)]
+    seen = []
+
+    def salted(tiled, salts):
+        out = salted_places(tiled, salts)
+        seen.append((tiled.count(), out.count(), sorted(r["__salts"] for r in salts.collect())))
+        return out
+
+    monkeypatch.setattr(N, "salted_places", salted)
+    monkeypatch.setattr(N._by_tiles, "__defaults__", (100,))
+    assert _run(spark, events, places, tree_places=50) == _brute(events, places)
+    n, copied, salts = seen[0]
+    hot = [k for k in salts if k > 1]
+    assert hot and len(hot) <= 6 < len(salts)
+    assert copied <= n + 2 * 50 * sum(hot)
+
+
 def test_far_events_score_few_places():
     rng = np.random.default_rng(6)
     tree = PlaceTree(40 + 0.5 * rng.random(3000), -100 + 0.5 * rng.random(3000))
