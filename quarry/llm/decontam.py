@@ -8,12 +8,16 @@ to the shared folder, one row a segment, and searched from there.
 A phrase is found in a segment by intersection: the posting lists of its
 terms, from the rarest on, are shifted by the term's place in the phrase,
 and only starts that are in all of them survive. A phrase never crosses
-the end of a document. ``near`` finds the looser case: all terms of the
-phrase, in any order, within a run of ``span`` words.
+the end of a document. ``near`` finds the looser case: all distinct terms of the
+phrase, in any order, within a run of words of one document that is at most
+``slack`` words longer than the phrase. Places of the rarest term are kept
+only while each further term stands close to them; runs are tried for what
+is left.
 
 The benchmark is searched in blocks of a bounded number of words, so that
-what is sent to the executors does not grow with it; results of several
-blocks are united for each document.
+what the driver holds and sends to the executors does not grow with it. With
+several blocks, each one's matches are written before the next is sent, and
+then united for each document.
 
 Words are runs of digits, ASCII letters (lower-cased) and non-ASCII bytes.
 A window is ``WINDOW`` consecutive words of an item; an item with fewer
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import words as W
@@ -40,6 +44,8 @@ from quarry.llm.tables import ROW_GROUPS, arrow_map, blobs, lists, text_blocks,
 WINDOW = 13
 SEGMENT = 2 << 20  # bytes of text in a segment
 ITEM_WORDS = 1_000_000  # benchmark words searched at once
+SLACK = 7  # a proximity match may be so many words longer than its phrase
+ANCHORS = 1 << 14  # places whose runs are tried at once
 
 INDEX = "doc_ids array<long>, first binary, terms binary, counts binary, postings binary"
 
@@ -91,15 +97,27 @@ class Segment:
     def near(self, terms: np.ndarray, counts: np.ndarray, span: int) -> np.ndarray:
         """Positions of the rarest term that lie in a run of ``span`` words of
         one document that holds all the terms."""
-        order = np.argsort(counts, kind="stable")
-        anchors = self.positions(terms[order[0]])
+        rarest = terms[np.argsort(counts, kind="stable")]
+        _, at = np.unique(rarest, return_index=True)
+        others = [self.positions(t) for t in rarest[np.sort(at)[1:]]]
+        anchors = self.positions(rarest[0])
         doc = np.searchsorted(self.first, anchors, side="right")
-        starts = anchors[:, None] - np.arange(span)[None, :]
-        lo = np.maximum(starts, self.first[doc - 1][:, None])
-        hi = np.minimum(starts + span, self.first[doc][:, None])
-        ok = np.ones(starts.shape, bool)
-        for t in np.unique(terms[order[1:]]):
-            other = self.positions(t)
+        start, end = self.first[doc - 1], self.first[doc]
+        for other in others:
+            lo, hi = np.maximum(anchors - span + 1, start), np.minimum(anchors + span, end)
+            ok = np.searchsorted(other, hi) > np.searchsorted(other, lo)
+            if not ok.any():
+                return anchors[:0]
+            anchors, start, end = anchors[ok], start[ok], end[ok]
+        found = [self._runs(anchors[k: k + ANCHORS], start[k: k + ANCHORS], end[k: k + ANCHORS], others, span) for k in range(0, len(anchors), ANCHORS)]
+        return np.concatenate(found)
+
+    @staticmethod
+    def _runs(anchors: np.ndarray, start: np.ndarray, end: np.ndarray, others: list[np.ndarray], span: int) -> np.ndarray:
+        runs = anchors[:, None] - np.arange(span)[None, :]
+        lo, hi = np.maximum(runs, start[:, None]), np.minimum(runs + span, end[:, None])
+        ok = np.ones(runs.shape, bool)
+        for other in others:
             ok &= np.searchsorted(other, hi) > np.searchsorted(other, lo)
         return anchors[ok.any(axis=1)]
 
@@ -138,17 +156,20 @@ def _item_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         )
 
 
-def item_blocks(benchmark: DataFrame, most: int = ITEM_WORDS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(item ids, word hashes, first word of each) in blocks of about ``most`` words."""
+def item_table(benchmark: DataFrame, most: int = ITEM_WORDS) -> tuple[DataFrame, int]:
+    """The items with words, written, and the number of blocks of about ``most`` words."""
     items = written(arrow_map(benchmark.select("item_id", "text"), _item_words, "item_id long, words array<long>").where("size(words) > 0"), "items")
     total = items.agg(F.sum(F.size("words")).alias("n")).first()["n"] or 0
-    n = -(-total // most)
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)) == k)
-        rows = part.collect()
-        counts = [len(r["words"]) for r in rows]
-        hashes = np.array([h for r in rows for h in r["words"]], np.int64).view(np.uint64)
-        yield [r["item_id"] for r in rows], hashes, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    return items, -(-total // most)
+
+
+def item_block(items: DataFrame, k: int, n: int) -> tuple[list, np.ndarray, np.ndarray]:
+    """(item ids, word hashes, first word of each) of block ``k`` of ``n``."""
+    part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)) == k)
+    rows = part.collect()
+    counts = [len(r["words"]) for r in rows]
+    hashes = np.array([h for r in rows for h in r["words"]], np.int64).view(np.uint64)
+    return [r["item_id"] for r in rows], hashes, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
 
 def _alive(seg: Segment, hashes: np.ndarray, first: np.ndarray, width: int):
@@ -162,7 +183,7 @@ def _alive(seg: Segment, hashes: np.ndarray, first: np.ndarray, width: int):
         yield int(row[k]), term[a:b], count[a:b]
 
 
-def _search(batch: pa.RecordBatch, items: tuple, width: int, span: int | None) -> Iterator[pa.RecordBatch]:
+def _search(batch: pa.RecordBatch, items: tuple, width: int, slack: int | None) -> Iterator[pa.RecordBatch]:
     names, hashes, item_first = items
     for r in range(batch.num_rows):
         cell = {c: batch.column(i)[r] for i, c in enumerate(batch.schema.names)}
@@ -179,8 +200,8 @@ def _search(batch: pa.RecordBatch, items: tuple, width: int, span: int | None) -
             np.add.at(mark, starts + len(terms), -1)
             for d in np.unique(np.searchsorted(first, starts, side="right") - 1):
                 found[d].add(item)
-            if span:
-                for d in np.unique(np.searchsorted(first, seg.near(terms, counts, span), side="right") - 1):
+            if slack is not None:
+                for d in np.unique(np.searchsorted(first, seg.near(terms, counts, len(terms) + slack), side="right") - 1):
                     close[d].add(item)
         hit = np.cumsum(mark[:-1]) > 0
         edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
@@ -227,19 +248,20 @@ def _united(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 FOUND = "segment long, row long, doc_id long, n_words long, starts array<long>, ends array<long>, items array<long>, near_items array<long>"
 
 
-def search(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, span: int | None = None, block_words: int = ITEM_WORDS) -> DataFrame:
+def search(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, slack: int | None = None, block_words: int = ITEM_WORDS) -> DataFrame:
     """One row per document: its number of words, its hit runs of words
     (``starts`` .. ``ends``), the items with occurring windows and, with
-    ``span``, those with a proximity match."""
+    ``slack``, those with a proximity match of a window."""
+    context = index.sparkSession.sparkContext
+    items, n = item_table(benchmark, block_words)
+    if n <= 1:
+        sent = context.broadcast(item_block(items, 0, 1))
+        return arrow_map(index, lambda b: _search(b, sent.value, width, slack), FOUND)
     parts = []
-    for items in item_blocks(benchmark, block_words):
-        sent = index.sparkSession.sparkContext.broadcast(items)
-        parts.append(arrow_map(index, lambda b, sent=sent: _search(b, sent.value, width, span), FOUND))
-    if not parts:
-        nothing = ([], np.zeros(0, np.uint64), np.zeros(1, np.int64))
-        return arrow_map(index, lambda b: _search(b, nothing, width, span), FOUND)
-    if len(parts) == 1:
-        return parts[0]
+    for k in range(n):
+        sent = context.broadcast(item_block(items, k, n))
+        parts.append(written(arrow_map(index, lambda b, sent=sent: _search(b, sent.value, width, slack), FOUND), "found", ROW_GROUPS))
+        sent.destroy()
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionAll(p)
@@ -250,16 +272,22 @@ def search(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, span: in
     return arrow_map(grouped, _united, FOUND)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each document."""
-    found = search(build_index(docs), benchmark)
-    items = F.array_sort(F.array_distinct(F.transform(F.filter("items", lambda x: x.isNotNull()), lambda x: x.cast("string"))))
+def _names(items: str) -> Column:
+    return F.array_sort(F.array_distinct(F.transform(F.filter(items, lambda x: x.isNotNull()), lambda x: x.cast("string"))))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, slack: int | None = None) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each
+    document; with ``slack`` also n_near and near_sha256, the items with a
+    proximity match. The verdict goes by exact matches alone."""
+    found = search(build_index(docs), benchmark, slack=slack)
     n_hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), items.alias("items")).select(
+    listed = lambda c, count, digest: [F.size(c).cast("long").alias(count), F.sha2(F.array_join(c, ","), 256).alias(digest)]
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), _names("items").alias("items"), _names("near_items").alias("near")).select(
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        *listed("items", "n_items", "items_sha256"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
+        *(listed("near", "n_near", "near_sha256") if slack is not None else []),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm.brown_lm import lm_scores
 from quarry.llm.chat_hmm import format_chats
 from quarry.llm.collocations import collocations
-from quarry.llm.decontam import contamination
+from quarry.llm.decontam import SLACK, contamination
 from quarry.llm.heap_kmeans import cluster_vectors
 from quarry.llm.host_reputation import filter_urls, label_outcomes
 from quarry.llm.id_files import encode_and_read
@@ -60,7 +60,7 @@ def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slack=SLACK)
 
 
 def op11_heap_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,10 +126,30 @@ ORACLE: dict[str, str] = {
         it AS (
             SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
             FROM hits GROUP BY r
+        ), k AS MATERIALIZED (SELECT row_number() OVER () AS k, item_id, n, list_distinct(string_split(g, ' ')) AS t FROM bw),
+        kt AS MATERIALIZED (SELECT k, unnest(t) AS u FROM k),
+        dw AS MATERIALIZED (SELECT r, unnest(w) AS u, unnest(range(1, len(w) + 1)) AS p FROM d),
+        f AS (SELECT u, count(*) AS f FROM dw GROUP BY u),
+        rare AS (SELECT k, kt.u FROM kt LEFT JOIN f ON kt.u = f.u QUALIFY row_number() OVER (PARTITION BY k ORDER BY coalesce(f, 0), kt.u) = 1),
+        a AS (SELECT k.k, k.n, len(k.t) AS m, dw.r, dw.p FROM rare JOIN k ON rare.k = k.k JOIN dw ON dw.u = rare.u),
+        x AS MATERIALIZED (
+            SELECT y.k, y.n, y.m, y.r, y.p, dw.p AS q, dw.u
+            FROM (SELECT a.*, unnest(range(p - n - {SLACK - 1}, p + n + {SLACK})) AS q FROM a) y
+            JOIN dw ON dw.r = y.r AND dw.p = y.q JOIN kt ON kt.k = y.k AND kt.u = dw.u
+            QUALIFY count(DISTINCT dw.u) OVER (PARTITION BY y.k, y.r, y.p) = y.m
+        ), ns AS (
+            SELECT DISTINCT k, r FROM (
+                SELECT s.k, s.r FROM x s JOIN x e ON s.k = e.k AND s.r = e.r AND s.p = e.p AND e.q BETWEEN s.q AND s.q + s.n + {SLACK - 1}
+                GROUP BY s.k, s.r, s.p, s.q, s.m HAVING count(DISTINCT e.u) = s.m
+            )
+        ), nr AS (
+            SELECT r, count(DISTINCT item_id) AS n_near, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM ns JOIN k ON ns.k = k.k GROUP BY r
         )
         SELECT d.doc_id, len(d.w) AS n_words, coalesce(pos.n_hit, 0) AS n_hit, coalesce(it.n_items, 0) AS n_items,
-               sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AND 20 * pos.n_hit >= len(d.w) AS contaminated
-        FROM d LEFT JOIN pos ON d.r = pos.r LEFT JOIN it ON d.r = it.r
+               sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AND 20 * pos.n_hit >= len(d.w) AS contaminated,
+               coalesce(nr.n_near, 0) AS n_near, sha256(coalesce(nr.ids, '')) AS near_sha256
+        FROM d LEFT JOIN pos ON d.r = pos.r LEFT JOIN it ON d.r = it.r LEFT JOIN nr ON d.r = nr.r
     """,
     "op4_exact_topk": """
         WITH v AS (

@@ -66,13 +66,62 @@ def test_blocks_of_items_unite(spark):
     assert norm(search(index, items, block_words=100)) == norm(search(index, items))
 
 
-def test_proximity(spark, monkeypatch):
-    docs = [(1, "a x b y c"), (2, "c z z z z z z b a"), (3, "c b a"), (4, "a b"), (5, "c b"), (6, "a")]
-    items = [(1, "a b c")]
-    monkeypatch.setattr(decontam, "SEGMENT", 1 << 20)
-    index = build_index(spark.createDataFrame(docs, "doc_id long, text string"))
-    rows = search(index, spark.createDataFrame(items, "item_id long, text string"), span=5).collect()
-    for r in rows:
-        w = dict(docs)[r.doc_id].split()
-        near = any({"a", "b", "c"} <= set(w[k:k + 5]) for k in range(len(w)))
-        assert list(r.near_items) == ([1] if near else [])
+def near_brute(docs, items, slack):
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        for k in range(max(1, len(w) - 12)) if w else []:
+            windows.setdefault((len(w[k:k + 13]), frozenset(w[k:k + 13])), set()).add(i)
+    out = []
+    for d, t in docs:
+        w, found = words(t), set()
+        for (n, terms), ids in windows.items():
+            if terms <= set(w) and any(terms <= set(w[k:k + n + slack]) for k in range(len(w))):
+                found |= ids
+        names = sorted(str(i) for i in found if i is not None)
+        out.append((d, len(names), hashlib.sha256(",".join(names).encode()).hexdigest()))
+    return out
+
+
+def check_near(spark, docs, items, slack):
+    got = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), slack=slack)
+    key = lambda r: tuple(str(x) for x in r)
+    rows = sorted(((r.doc_id, r.n_near, r.near_sha256) for r in got.collect()), key=key)
+    assert rows == sorted(near_brute(docs, items, slack), key=key)
+    return rows
+
+
+def test_proximity(spark):
+    docs = [(1, "a x b y c"), (2, "c z z z z z z b a"), (3, "c b a"), (4, "a b"), (5, "c b"), (6, "a"), (None, "b a c"), (7, None), (8, "")]
+    rows = check_near(spark, docs, [(1, "a b c"), (1, "a b c"), (2, None), (3, "z z a"), (None, "a")], 2)
+    assert [r[0] for r in rows if r[1]] == [1, 2, 3, None]
+    check_near(spark, docs, [], 2)
+
+
+def test_proximity_of_moved_and_inserted_words(spark):
+    item = [f"q{i}" for i in range(16)]
+    spread = " pad ".join(item)
+    docs = [(1, " ".join(reversed(item))), (2, " ".join(item[:6] + ["new", "words"] + item[6:])), (3, spread), (4, "common " * 3000 + " ".join(item[3:])),
+            (5, " ".join(item[:8])), (6, " ".join(item[8:]))]
+    items = [(1, " ".join(item)), (2, "common q3 q5"), (3, "common common q3")]
+    check_near(spark, docs, items, 7)
+    check_near(spark, docs, items, 0)
+
+
+def test_proximity_on_table(spark):
+    docs = [tuple(r) for r in table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in table(spark, "/root/testdata/sf0.001", "benchmark").select("item_id", "text").collect()]
+    check_near(spark, docs, items, decontam.SLACK)
+
+
+def test_proximity_runs_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "ANCHORS", 2)
+    w = decontam.W.scan
+    text = ("a b x a x x x b a x x x x b " * 5).encode()
+    import numpy as np
+    seg = decontam.Segment.of(w(np.frombuffer(text, np.uint8), np.array([0, len(text)]), decontam.W.ALNUM))
+    other = seg.find(w(np.frombuffer(b"a b", np.uint8), np.array([0, 3]), decontam.W.ALNUM).hash)
+    tokens = text.decode().split()
+    rare = "a" if tokens.count("a") <= tokens.count("b") else "b"
+    want = [p for p, t in enumerate(tokens) if t == rare and any({"a", "b"} <= set(tokens[s:s + 3]) and s <= p < s + 3 for s in range(len(tokens)))]
+    assert sorted(seg.near(*other, 3)) == want
