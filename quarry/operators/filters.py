@@ -42,8 +42,14 @@ def in_time_window(t: Column, start: dt.date | dt.datetime, end: dt.date | dt.da
     return (t >= bound(start)) & (t <= bound(end))
 
 
-def time_window(df: DataFrame, column: str, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> DataFrame:
-    return df.where(in_time_window(F.col(f"`{column}`"), start, end))
+def time_window(df: DataFrame, column: str, start: dt.date | dt.datetime, end: dt.date | dt.datetime, day: str | None = None) -> DataFrame:
+    """Rows with ``start <= column <= end``. ``day`` names a partition column
+    that holds the day of ``column``: other days are not read then."""
+    inside = in_time_window(F.col(f"`{column}`"), start, end)
+    if day:
+        first, last = (x.date() if isinstance(x, dt.datetime) else x for x in (start, end))
+        inside = F.col(f"`{day}`").between(F.lit(first), F.lit(last)) & inside
+    return df.where(inside)
 
 
 def last_days(df: DataFrame, column: str, as_of: dt.date, days: int) -> DataFrame:

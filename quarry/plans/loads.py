@@ -64,9 +64,11 @@ def _load(
     source: str = "",
     once: bool = False,
     count_table: bool = False,
+    event_time: str | None = None,
 ) -> writers.LoadResult:
     """Create the table if absent, quarantine rejected rows, then append the
-    good ones (``refresh``: replace the table's rows instead).
+    good ones (``refresh``: replace the table's rows instead). A table created
+    with ``event_time`` is partitioned by its day as well.
 
     ``once`` is for streaming batches: the load's id comes from the quarantine
     folder, which names the table, the stream and the batch, so a replay
@@ -76,7 +78,7 @@ def _load(
     spark = wh.spark
     target = wh.name("raw", table)
     folder = quarantine.rstrip("/")
-    writers.ensure_table(spark, target, schema, by_load=True)
+    writers.ensure_table(spark, target, schema, by_load=True, by_day=event_time is not None)
     marker = f"{folder}/_loaded-{target}"
     if once and writers.exists(spark, marker):
         return writers.LoadResult(0, 0, 0)
@@ -88,7 +90,7 @@ def _load(
     if result.rows_in:  # S7: else nothing to load, table untouched
         stamped = writers.stamp_metadata(staged, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
         good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-        writers.write_split(stamped, result, good_cols, target, f"{folder}/load={load_id}", load_id, refresh=refresh)
+        writers.write_split(stamped, result, good_cols, target, f"{folder}/load={load_id}", load_id, refresh=refresh, event_time=event_time)
     if once:
         writers.mark(spark, marker)
     # The write may have run in another session (a stream's batch): drop
@@ -197,4 +199,15 @@ def load_quake_rows(
         "data_period_end": period[1] if period else None,
         "region": "USA",
     }
-    return _load(wh, QUAKE_TABLE, S.RAW_QUAKES, classified, quarantine, meta, ctx, source=source, once=once, count_table=count_table)
+    return _load(wh, QUAKE_TABLE, S.RAW_QUAKES, classified, quarantine, meta, ctx, source=source, once=once, count_table=count_table, event_time="time")
+
+
+def events_between(wh: Warehouse, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> DataFrame:
+    """Raw events of a period (both ends inclusive); only its days are read."""
+    events = wh.source(QUAKE_TABLE)
+    return filters.time_window(events, "time", start, end, day=writers.EVENT_DAY if writers.EVENT_DAY in events.columns else None)
+
+
+def recent_events(wh: Warehouse, as_of: dt.date, days: int = filters.EVENT_LOOKBACK_DAYS) -> DataFrame:
+    """Raw events of the ``days`` days up to ``as_of``; only those are read."""
+    return events_between(wh, as_of - dt.timedelta(days=days), as_of)

@@ -2,8 +2,8 @@
 
 * ``stamp_metadata``: load columns added as literals / build time;
 * ``ensure_table``: create the target from a declared schema if absent
-  (the schema is frozen from then on: appends must match it), by default with
-  one partition for each load;
+  (the schema is frozen from then on: appends must match it), with one
+  partition for each load if asked, and in it one for each day;
 * ``stage``: the classified extract as a columnar file, so that its source
   is read once; its rows are counted by the write itself;
 * ``write_split``: quarantine the rejected rows, then add the good ones as the
@@ -29,6 +29,8 @@ from quarry.session import ensure_checkpoint_dir
 
 #: Partition column of tables that loads add to.
 LOAD_ID = "load_id"
+#: Partition column, within a load, of event tables: the day of the event.
+EVENT_DAY = "event_day"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"  # dynamic: only the partitions that come
 
 
@@ -42,21 +44,24 @@ def stamp_metadata(df: DataFrame, values: dict[str, object], loaded_at: dt.datet
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet",
                  comment: str | None = None, properties: dict[str, str] | None = None,
-                 dtypes: dict[str, str] | None = None, by_load: bool = False) -> bool:
+                 dtypes: dict[str, str] | None = None, by_load: bool = False, by_day: bool = False) -> bool:
     """Create ``name`` with ``schema`` unless it exists. True if created.
     With an extract's ``dtypes`` the table has its columns, typed as in
     ``schema`` where declared there. ``by_load`` adds the partition column
-    ``load_id``, which exactly-once loads need."""
+    ``load_id``, which exactly-once loads need; ``by_day`` (with it) also
+    ``event_day``, by which questions about some days read only those."""
     if spark.catalog.tableExists(name):
         return False
     if dtypes:
         schema = schema_from_dtypes(dtypes, schema)
-    if by_load:
-        schema = T.StructType([*schema.fields, T.StructField(LOAD_ID, T.StringType())])
+    parts = [T.StructField(LOAD_ID, T.StringType())] if by_load else []
+    if by_load and by_day:
+        parts.append(T.StructField(EVENT_DAY, T.DateType()))
+    schema = T.StructType([*schema.fields, *parts])
     empty = spark.createDataFrame([], schema)
     writer = empty.write.format(fmt).mode("ignore")
-    if by_load:
-        writer = writer.partitionBy(LOAD_ID)
+    if parts:
+        writer = writer.partitionBy(*[f.name for f in parts])
     if properties:
         for k, v in properties.items():
             writer = writer.option(k, v)
@@ -109,32 +114,49 @@ def stage(classified: DataFrame) -> tuple[DataFrame, LoadResult]:
     return staged, LoadResult(counts["rows_in"], counts["rows_loaded"], counts["rows_rejected"])
 
 
-def add_rows(good: DataFrame, table: str, load_id: str, refresh: bool = False) -> None:
+def partitioning(columns: list[str]) -> list[str]:
+    """Those of a table's columns that ``ensure_table`` partitions by."""
+    return next((p for p in ([LOAD_ID, EVENT_DAY], [LOAD_ID]) if columns[-len(p):] == p), [])
+
+
+def add_rows(good: DataFrame, table: str, load_id: str, refresh: bool = False, event_time: str | None = None) -> None:
     """Adds rows to ``table`` (or, with ``refresh``, replaces its rows by
     them). In a table partitioned by load they are the partition ``load_id``,
-    put in place as a whole when the write ends: writing it again replaces it."""
+    put in place as a whole when the write ends: writing it again replaces it.
+    If the table is partitioned by day too, the day is that of ``event_time``;
+    the rows of a day are brought together, a large day in several files."""
     spark = good.sparkSession
     columns = spark.table(table).columns
-    by_load = columns[-1:] == [LOAD_ID]
+    parts = partitioning(columns)
+    by_load = bool(parts)
     if by_load:
         good = good.withColumn(LOAD_ID, F.lit(load_id))
+    if EVENT_DAY in parts:
+        if event_time is None:
+            raise ValueError(f"{table} is partitioned by day: name the time of its events")
+        good = good.withColumn(EVENT_DAY, F.to_date(F.col(f"`{event_time}`"))).hint("rebalance", F.col(EVENT_DAY))
     if good.columns != columns:
         raise ValueError(f"{table} has the columns {columns}, the load {good.columns}")
     kept = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic" if by_load and not refresh else "static")
+    # By day a replay may hold other days than before: static mode clears the load's partitions, not only those that come.
+    spark.conf.set(OVERWRITE_MODE, "dynamic" if parts == [LOAD_ID] and not refresh else "static")
     try:
-        good.write.insertInto(table, overwrite=by_load or refresh)
+        if EVENT_DAY in parts and not refresh:
+            load = load_id.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_ID} = '{load}', {EVENT_DAY}) SELECT * FROM {{rows}}", rows=good.drop(LOAD_ID))
+        else:
+            good.write.insertInto(table, overwrite=by_load or refresh)
     finally:
         spark.conf.set(OVERWRITE_MODE, kept)
 
 
 def write_split(staged: DataFrame, counts: LoadResult, good_cols: list[Column], table: str, quarantine_path: str, load_id: str,
-                refresh: bool = False) -> None:
+                refresh: bool = False, event_time: str | None = None) -> None:
     """Write rejected rows to ``quarantine_path`` (parquet, replaced), then
     the good rows to ``table``. Columns are matched by name."""
     if counts.rows_rejected:
         staged.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(quarantine_path)
-    add_rows(staged.where(F.col(REASON).isNull()).select(*good_cols), table, load_id, refresh)
+    add_rows(staged.where(F.col(REASON).isNull()).select(*good_cols), table, load_id, refresh, event_time)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

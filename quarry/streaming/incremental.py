@@ -84,20 +84,23 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
-def append_batches(table: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str) -> Callable[[DataFrame, int], None]:
+def append_batches(table: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str,
+                   event_time: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: transform the batch and add it to ``table`` as the
     partition of its load, exactly once. The table must be partitioned by load
-    (``ensure_table(by_load=True)``); ``checkpoint`` is the stream's."""
+    (``ensure_table(by_load=True)``); ``checkpoint`` is the stream's.
+    ``event_time`` is needed if the table is partitioned by day too."""
     from quarry.plans.loads import batch_id
     from quarry.sinks import writers
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         columns = spark.table(table).columns
-        if columns[-1:] != [writers.LOAD_ID]:
+        parts = writers.partitioning(columns)
+        if not parts:
             raise ValueError(f"{table} is not partitioned by {writers.LOAD_ID}: a replayed batch would be added twice")
-        out = transform(batch).select(*[f"`{c}`" for c in columns[:-1]])
-        writers.add_rows(out, table, batch_id(table, _stream_id(spark, checkpoint), str(epoch_id)))
+        out = transform(batch).select(*[f"`{c}`" for c in columns[:-len(parts)]])
+        writers.add_rows(out, table, batch_id(table, _stream_id(spark, checkpoint), str(epoch_id)), event_time=event_time)
     return run
 
 

@@ -5,10 +5,11 @@ import shutil
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.config import Namespaces, RunContext
-from quarry.operators import quality
+from quarry.operators import filters, quality
 from quarry.plans import checks, loads, pipeline
 from quarry.plans.materialize import Warehouse
 from quarry.sinks import writers
@@ -434,7 +435,6 @@ def test_repeated_run_keeps_all_rejects(spark, tmp):
 
 def test_counts_come_from_the_write(spark, tmp):
     """One job writes the extract and counts it."""
-    from pyspark.sql import functions as F
 
     sc = spark.sparkContext
     rows = spark.range(1000).select(F.when(F.col("id") % 10 == 0, F.lit("bad")).alias("_reject_reason"), "id")
@@ -475,7 +475,6 @@ def test_user_models(spark, tmp):
 
 @pytest.mark.parametrize("by", [(), ("k",)])
 def test_failed_rebuild_leaves_the_old_rows(spark, tmp, by):
-    from pyspark.sql import functions as F
 
     wh = _warehouse(spark)
     wh.create_namespaces()
@@ -503,3 +502,45 @@ def test_rebuild_reads_its_own_table(spark, tmp):
     wh.table("silver", "m", spark.range(4))
     wh.table("silver", "m", wh.ref("silver", "m").selectExpr("id + 1 AS id"))
     assert sorted(r.id for r in wh.ref("silver", "m").collect()) == [1, 2, 3, 4]
+
+
+def _event_days(spark, wh):
+    name = wh.name("raw", "days")
+    writers.ensure_table(spark, name, S.RAW_QUAKES, by_load=True, by_day=True)
+    return name
+
+
+def _events(spark, days):
+    rows = spark.createDataFrame([(f"e{i}", None if d is None else dt.datetime(2024, 1, d, h)) for i, (d, h) in enumerate(days)], "id string, time timestamp_ntz")
+    return rows.select(*[rows[f.name] if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in S.RAW_QUAKES.fields])
+
+
+def test_event_days_are_partitions_of_a_load(spark):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    name = _event_days(spark, wh)
+    writers.add_rows(_events(spark, [(1, 0), (1, 5), (2, 0), (None, 0)]), name, "it's", event_time="time")
+    writers.add_rows(_events(spark, [(2, 1)]), name, "other", event_time="time")
+    assert spark.table(name).count() == 5
+    # a replay with other days leaves none of the days before, and other loads alone
+    writers.add_rows(_events(spark, [(2, 0), (3, 0)]), name, "it's", event_time="time")
+    got = {(r.load_id, r.event_day and r.event_day.day) for r in spark.table(name).collect()}
+    assert got == {("it's", 2), ("it's", 3), ("other", 2)}
+    with pytest.raises(ValueError, match="partitioned by day"):
+        writers.add_rows(_events(spark, [(1, 0)]), name, "third")
+    writers.add_rows(_events(spark, [(9, 0)]), name, "fourth", refresh=True, event_time="time")
+    assert [r.id for r in spark.table(name).collect()] == ["e0"]
+
+
+def test_questions_about_a_period_read_its_days_only(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    spread = [(d, h) for d in range(1, 21) for h in (0, 13)] + [(None, 0)]
+    writers.ensure_table(spark, wh.name("raw", loads.QUAKE_TABLE), S.RAW_QUAKES, by_load=True, by_day=True)
+    writers.add_rows(_events(spark, spread), wh.name("raw", loads.QUAKE_TABLE), "a", event_time="time")
+    for start, end in [(dt.date(2024, 1, 5), dt.date(2024, 1, 8)), (dt.datetime(2024, 1, 5, 13), dt.datetime(2024, 1, 6, 12)), (dt.date(2024, 2, 1), dt.date(2024, 2, 2))]:
+        pruned, plain = loads.events_between(wh, start, end), filters.time_window(wh.source(loads.QUAKE_TABLE), "time", start, end)
+        assert sorted(pruned.collect()) == sorted(plain.collect())
+        plan = pruned._jdf.queryExecution().executedPlan().toString()
+        assert "event_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert loads.recent_events(wh, dt.date(2024, 1, 20), 2).count() == 5
