@@ -57,8 +57,12 @@ def unique_violations(df: DataFrame, column: str) -> DataFrame:
 
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     """One summary row: how many values break uniqueness."""
-    v = unique_violations(df, column)
-    return v.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
+    return unique_summary(unique_violations(df, column), table, column)
+
+
+def unique_summary(violations: DataFrame, table: str, column: str) -> DataFrame:
+    """The summary row of a unique check, from the values that break it."""
+    return violations.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
         F.lit(table).alias("table_name"),
         F.lit(column).alias("column_name"),
         F.lit("unique").alias("check_name"),

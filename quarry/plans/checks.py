@@ -2,7 +2,8 @@
 
 ``column_checks`` runs every not-null and unique check of the raw and
 silver tables (one scan per table for its not-null checks, one for its
-unique checks);
+unique checks; a raw table whose loads all have their keys in a key table is
+checked there);
 ``source_freshness`` checks the loaded-at column of each raw source.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from quarry.operators import quality
 from quarry.plans import loads
 from quarry.plans.materialize import Warehouse
+from quarry.sinks import key_table
 
 # The declared checks (layer, table, not-null columns,
 # unique columns) and the loaded-at column of each raw source.
@@ -46,6 +48,9 @@ def column_checks(wh: Warehouse) -> DataFrame:
     parts = [quality.not_null(_table(wh, layer, t), t, cols) for layer, t, cols in NOT_NULL]
     by_table: dict[tuple[str, str], list[str]] = {}
     for layer, t, c in UNIQUE:
+        if layer == "raw" and key_table.covers(wh.spark, wh.name("raw", t), c):
+            parts.append(key_table.unique(wh.spark, wh.name("raw", t), c, t))
+            continue
         by_table.setdefault((layer, t), []).append(c)
     parts += [quality.unique_many(_table(wh, layer, t), t, cols) for (layer, t), cols in by_table.items()]
     return quality.union_all(parts)

@@ -31,7 +31,7 @@ from quarry.functions import null_tokens
 from quarry.operators import filters, validate
 from quarry.operators.nearest import attach_nearest
 from quarry.plans.materialize import Warehouse
-from quarry.sinks import writers
+from quarry.sinks import key_table, writers
 from quarry.sources import delimited, geojson, sheet
 from quarry.sources.nulls import COUNTY_NULL_TOKENS, QUAKE_NULL_TOKENS
 
@@ -65,10 +65,12 @@ def _load(
     once: bool = False,
     count_table: bool = False,
     event_time: str | None = None,
+    key: str | None = None,
 ) -> writers.LoadResult:
     """Create the table if absent, quarantine rejected rows, then append the
     good ones (``refresh``: replace the table's rows instead). A table created
-    with ``event_time`` is partitioned by its day as well.
+    with ``event_time`` is partitioned by its day as well. The values of the
+    column ``key`` go to the table's key table, for its unique check.
 
     ``once`` is for streaming batches: the load's id comes from the quarantine
     folder, which names the table, the stream and the batch, so a replay
@@ -90,6 +92,9 @@ def _load(
     if result.rows_in:  # S7: else nothing to load, table untouched
         stamped = writers.stamp_metadata(staged, meta, ctx.loaded_at, loaded_at_col=loaded_at_col)
         good_cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+        if key:
+            good = stamped.where(F.col(validate.REASON).isNull())
+            key_table.add(good.select(F.col(f"`{key}`").try_cast(schema[key].dataType).alias(key)), target, key, load_id)
         writers.write_split(stamped, result, good_cols, target, f"{folder}/load={load_id}", load_id, refresh=refresh, event_time=event_time)
     if once:
         writers.mark(spark, marker)
@@ -199,7 +204,8 @@ def load_quake_rows(
         "data_period_end": period[1] if period else None,
         "region": "USA",
     }
-    return _load(wh, QUAKE_TABLE, S.RAW_QUAKES, classified, quarantine, meta, ctx, source=source, once=once, count_table=count_table, event_time="time")
+    return _load(wh, QUAKE_TABLE, S.RAW_QUAKES, classified, quarantine, meta, ctx, source=source, once=once, count_table=count_table, event_time="time",
+                 key="id")
 
 
 def events_between(wh: Warehouse, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> DataFrame:

@@ -12,7 +12,7 @@ from quarry.config import Namespaces, RunContext
 from quarry.operators import filters, quality
 from quarry.plans import checks, loads, pipeline
 from quarry.plans.materialize import Warehouse
-from quarry.sinks import writers
+from quarry.sinks import key_table, writers
 from quarry.streaming.incremental import append_batches, load_new_counties, load_new_features, load_new_files, load_new_sheets
 
 CTX = RunContext(run_id="run-1", loaded_at=dt.datetime(2024, 1, 10, 6, 0))
@@ -544,3 +544,16 @@ def test_questions_about_a_period_read_its_days_only(spark, tmp):
         plan = pruned._jdf.queryExecution().executedPlan().toString()
         assert "event_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert loads.recent_events(wh, dt.date(2024, 1, 20), 2).count() == 5
+
+
+def test_event_ids_are_checked_by_their_key_table(spark, tmp):
+    wh = _warehouse(spark)
+    wh.create_namespaces()
+    inputs = _write_inputs(tmp)
+    box = {"period": (dt.date(2023, 12, 1), dt.date(2024, 1, 10))}
+    table = wh.name("raw", loads.QUAKE_TABLE)
+    for n in (0, 6):  # the second load repeats all ids
+        loads.load_quakes(wh, inputs.quake_features, os.path.join(tmp, "q"), CTX, **box)
+        assert key_table.covers(spark, table, "id")
+        assert key_table.unique(spark, table, "id", "t").collect() == quality.unique(wh.source(loads.QUAKE_TABLE), "t", "id").collect()
+        assert key_table.violations(spark, table, "id").count() == n
