@@ -12,7 +12,9 @@ A file holds one shard of documents in doc_id order:
 
 Document i's ids end at select(i): the position of the i-th set bit of the
 upper bitmap gives the high part, the packed low bits the rest. That takes
-about 2 + log2(ids / documents) bits a document instead of 64.
+about 2 + log2(ids / documents) bits a document instead of 64. When a file is
+read, the position of every 512th set bit is noted in 32 bits; a select reads
+the bitmap from there to the next one noted.
 
 Files are written by Spark's own text writer (a row is a shard, the line
 separator is the trailer) below the shared folder, under ``shard=`` and
@@ -52,6 +54,8 @@ from quarry.operators.joins import estimated_bytes
 END_ID = 2
 SHARD_BYTES = 8 << 20  # of the stored table, a shard
 MAGIC, TRAILER = b"QIDS", "\nEND\n"
+STEP = 512  # of this many set bits one has its position noted
+CHUNK = 4096  # bytes of a bitmap looked through at once for them
 
 
 class EliasFano:
@@ -59,8 +63,16 @@ class EliasFano:
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, upper: np.ndarray):
         self.n, self.low_bits, self.low, self.upper = n, low_bits, low, upper
-        ones = np.bitwise_count(upper).astype(np.int64)
-        self._before = np.concatenate([[0], np.cumsum(ones)])  # set bits before each byte
+        if 8 * len(upper) > 1 << 32:
+            raise ValueError("a bitmap of more than 2**32 bits: write smaller files")
+        self._noted = np.empty(-(-n // STEP), np.uint32)  # positions of set bits 0, STEP, 2 * STEP ...
+        seen = 0
+        for at in range(0, len(upper), CHUNK):
+            ones = self._ones(at, at + CHUNK)
+            first = -(-seen // STEP)
+            noted = ones[first * STEP - seen:: STEP]
+            self._noted[first: first + len(noted)] = noted
+            seen += len(ones)
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -73,14 +85,21 @@ class EliasFano:
         upper[(values >> low_bits) + np.arange(n)] = 1
         return cls(n, low_bits, np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"), np.packbits(upper, bitorder="little"))
 
+    def _ones(self, a: int, b: int) -> np.ndarray:
+        """Positions of the set bits in the bytes a .. b of the bitmap."""
+        return np.flatnonzero(np.unpackbits(self.upper[a:b], bitorder="little")) + 8 * a
+
     def select(self, i: np.ndarray) -> np.ndarray:
         """The numbers at the places i."""
         i = np.asarray(i, np.int64)
-        byte = np.searchsorted(self._before, i, side="right") - 1
-        bits = np.unpackbits(self.upper[byte][:, None], axis=1, bitorder="little")
-        nth = i - self._before[byte]  # set bits to skip within the byte
-        place = np.argmax(np.cumsum(bits, axis=1) == (nth + 1)[:, None], axis=1)
-        high = byte * 8 + place - i
+        high = np.empty(len(i), np.int64)
+        order = np.argsort(i // STEP, kind="stable")
+        steps, first = np.unique(i[order] // STEP, return_index=True)
+        for step, asked in zip(steps.tolist(), np.split(order, first[1:]), strict=False):
+            start = int(self._noted[step])
+            last = step + 1 == len(self._noted)
+            ones = self._ones(start >> 3, len(self.upper) if last else (int(self._noted[step + 1]) >> 3) + 1)
+            high[asked] = ones[np.searchsorted(ones, start) + i[asked] - step * STEP] - i[asked]
         at = i[:, None] * self.low_bits + np.arange(self.low_bits)
         low = ((self.low[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.int64) if self.low_bits else np.zeros((len(i), 0), np.int64)
         return (high << self.low_bits) + (low << np.arange(self.low_bits)).sum(axis=1)

@@ -80,3 +80,21 @@ def test_defined_cases(spark, tok):
     got = sorted(map(tuple, encode_and_read(df, PATH).collect()), key=lambda r: r[1])
     assert got == brute(tok, rows)
     assert encode_and_read(df.where("false"), PATH).count() == 0
+
+
+def test_select_directory_is_small_and_exact():
+    rng = np.random.default_rng(5)
+    cases = [rng.integers(0, 900, 100_000), rng.integers(0, 2, 5_000), np.zeros(2_000, int), np.ones(512, int), np.ones(513, int),
+             np.concatenate([np.ones(700, int), [3_000_000], np.ones(900, int)]), np.array([0]), np.array([7])]
+    for counts in cases:
+        values = np.cumsum(counts)
+        ef = EliasFano.of(values)
+        places = rng.integers(0, len(values), 3_000)  # in any order, repeated
+        assert ef.select(places).tolist() == values[places].tolist()
+        assert ef.select(np.arange(len(values))).tolist() == values.tolist()
+        assert ef.select(np.zeros(0, int)).tolist() == []
+        tables = [x for x in vars(ef).values() if isinstance(x, np.ndarray)]
+        assert all(x.dtype.itemsize <= 4 for x in tables)
+        if len(values) > 4_000:
+            assert 10 * ef._noted.nbytes < ef.low.nbytes + ef.upper.nbytes
+    assert EliasFano.of(np.zeros(0, int)).select(np.zeros(0, int)).tolist() == []
