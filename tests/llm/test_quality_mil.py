@@ -62,3 +62,30 @@ def test_defined_cases(spark):
     assert Q.quality_scores(docs.where("false"), labels).count() == 0
     kept = Q.keep_good(docs, one)
     assert kept.columns == docs.columns and kept.count() == 5
+
+
+def naive_score(model, text):
+    """Gated attention over the passages of one text, passage by passage."""
+    x, n = Q.passage_features(*text_bytes(pa.array([text], pa.string())))
+    assert n.tolist() == [len(x)] == [max(1, -(-len((text or "").split()) // Q.PASSAGE))]
+    p, weights, hidden = model.p, [], []
+    for row in x:
+        h = np.tanh(((row - model.mean) / model.scale) @ p["w"] + p["wb"])
+        gate = 1 / (1 + np.exp(-(h @ p["u"])))
+        weights.append(np.exp((np.tanh(h @ p["v"]) * gate) @ p["a"]))
+        hidden.append(h)
+    bag = sum(w / sum(weights) * h for w, h in zip(weights, hidden, strict=True))
+    return 1 / (1 + np.exp(-(bag @ p["c"] + p["cb"])))
+
+
+def test_scores_equal_a_naive_scorer(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    model = Q.fit(docs, labels)
+    assert model.p is not None
+    texts = dict(docs.collect())
+    rows = Q.quality_scores(docs, labels, model).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert abs(r.score - naive_score(model, texts[r.doc_id])) < 1e-6
+        assert r.predicted == int(r.score >= 0.3)
